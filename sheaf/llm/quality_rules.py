@@ -149,11 +149,11 @@ def _oracle() -> str:
     prior = ", ".join(f"{m(k)} as m_{k}, coalesce(case when var_samp(bad_{k} / n_docs) > 0 then least(greatest({m(k)} * (1 - {m(k)}) / var_samp(bad_{k} / n_docs) - 1, 1.0), 100.0) end, 100.0) as w_{k}" for k in bad)
     return rf"""
 with base as (select doc_id, source as host, coalesce(text, '') as text from documents),
-words as (select doc_id, host, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w, list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from base),
+words as (select doc_id, host, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from base),
 grams as (select doc_id, i, w[i:i + 4] as g from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from words where len(w) >= 5)),
 twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as c from grams) where c > 1),
 covered as (select doc_id, count(distinct i + k) as n_repeat_words from twice, range(5) r(k) group by doc_id),
-m as (select doc_id, host, cast(len(w) as bigint) as n_words, cast(list_sum(list_transform(w, x -> length(x))) as bigint) as wc, cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+m as (select doc_id, host, cast(len(w) as bigint) as n_words, cast(list_sum(list_transform(w, lambda x: length(x))) as bigint) as wc, cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
   len(lines) as n_lines, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines from words),
 f as (select m.doc_id, host, n_words, coalesce(wc, 0) as word_chars, n_symbols, n_lines, n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words from m left join covered using (doc_id)),
 flags as (select *, {", ".join(f"cast(({c}) as int) as f_{k}" for k, c in bad.items())} from f),
