@@ -1,9 +1,10 @@
 """MinHash near duplicates with tensored banding (operator 9).
 
 Two collections of `tables` small hashes are computed, each from `rows` minhashes; every pair of one of each keys a table, so
-tables x tables tables need only 2 x tables hashes. Documents with equal shingle sets are one class from the start. Classes that
-meet in a table are compared on their full sets: first all with the smallest of the table's bucket, which is linear in it;
-then, of buckets that still hold several components, the pairs between different components only.
+tables x tables tables need only 2 x tables hashes. Documents with equal shingle sets are one class from the start. The buckets
+of all tables with the same smallest class are one group, so a class meets another once and not in each table. Within a group all pairs are
+compared on their full sets, by matrix products over blocks of members: no pair becomes a row, and large groups are spread
+over tasks by pairs of blocks. Only links that join components are returned.
 
 With 85 percent, 8 and 2: a linked pair shares no table with probability 2 * (1 - 0.85**2)**8 < 0.00008 at the limit, less above.
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import prepare, table, to_batch, written
+from sheaf.llm.common import partitions, prepare, table, to_batch, written
 from sheaf.llm.components import components
 from sheaf.llm.rolling import mix, shingles
 
@@ -106,24 +107,95 @@ def common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(at, len(y) - 1)] == x).sum())
 
 
-def _linked(percent: int):
+BLOCK = 512  # members of a group that are compared at once
+COLUMNS = 4096  # shingles of a block that are counted at once
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairs' intersections: products of the 0/1 matrix of members and shared shingles, some columns at a time."""
+    member = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts > 1
+    number = np.cumsum(shared) - 1
+    use = shared[column]
+    member, column = member[use], number[column[use]]
+    order = np.argsort(column, kind="stable")
+    member, column = member[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(shared.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, [first, first + COLUMNS])
+        m = np.zeros((len(sets), COLUMNS), np.float32)
+        m[member[lo:hi], column[lo:hi] - first] = 1
+        out += m @ m.T
+    return out.astype(np.int64)
+
+
+def links_of(ids: list[int], blocks: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between members that the exact sets confirm; of those that say nothing new about components, none. With two blocks only pairs across them."""
+    n = np.array([len(x) for x in sets], np.int64)
+    block = np.array(blocks)
+    if len(sets) <= 6:
+        both = np.zeros((len(sets), len(sets)), np.int64)
+        for i in range(len(sets)):
+            for j in range(i):
+                if 100 * min(n[i], n[j]) >= percent * max(n[i], n[j]):
+                    both[i, j] = common(sets[i], sets[j])
+    else:
+        both = intersections(sets)
+    linked = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (both > 0)
+    if len(set(blocks)) > 1:
+        linked &= block[:, None] != block[None, :]
+    root = list(range(len(ids)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(np.tril(linked, -1)).tolist():
+        x, y = find(i), find(j)
+        if x != y:
+            root[x] = y
+            out.append((ids[i], ids[j]))
+    return out
+
+
+def _links(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, blocks, sets = None, [], [], []
+        found: list[tuple[int, int]] = []
         for b in batches:
-            keep = []
-            for s, t in zip(b.column(2), b.column(3), strict=True):
-                x, y = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-                n = common(x, y)
-                keep.append(100 * n >= percent * (len(x) + len(y) - n))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            low, one, two, mine, member, shingled = (b.column(k) for k in range(6))
+            raw = [np.frombuffer(x.as_buffer(), np.uint64) for x in shingled]
+            for k, m, i, s in zip(zip(low.to_pylist(), one.to_pylist(), two.to_pylist(), strict=True), mine.to_pylist(), member.to_pylist(), raw, strict=True):
+                if k != key:
+                    if len(ids) > 1:
+                        found += links_of(ids, blocks, sets, percent)
+                    key, ids, blocks, sets = k, [], [], []
+                ids.append(i)
+                blocks.append(m)
+                sets.append(s.copy())
+            if found:
+                yield to_batch({"a": [x for x, _ in found], "b": [y for _, y in found]}, LINKS)
+                found = []
+        if len(ids) > 1 and (found := links_of(ids, blocks, sets, percent)):
+            yield to_batch({"a": [x for x, _ in found], "b": [y for _, y in found]}, LINKS)
 
     return run
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike enough. Sets of a hot partner are joined, not gathered: Spark splits such a partition."""
-    first = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a")
-    second = first.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b")
-    return written(second.select("a", "b", "s", "t").mapInArrow(_linked(percent), "a long, b long"), "links")
+def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside groups (low, id). A group of more than BLOCK members is dealt out by pairs of blocks, so no task gets it whole."""
+    spark = groups.sparkSession
+    sizes = groups.groupBy("low").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    mine = F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")
+    dealt = groups.join(sizes, "low").select("low", "id", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other"))
+    dealt = dealt.select("low", F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"), "mine", "id")
+    rows = dealt.join(sets, "id").select("low", "one", "two", "mine", "id", "shingles")
+    rows = rows.repartition(partitions(spark), "low", "one", "two").sortWithinPartitions("low", "one", "two")
+    return written(rows.mapInArrow(_links(percent), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, tables: int = 10, rows: int = 2) -> DataFrame:
@@ -131,34 +203,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, tables:
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     signed = written(docs.mapInArrow(_sign(width, tables, rows), SIGNED_DDL), "signed")
-    classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
+    classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("left").alias("left"), F.first("right").alias("right"))
     classes = written(classes.where("id is not null"), "classes")
 
-    left = classes.select("id", "n", "right", F.posexplode("left").alias("i", "x"))
-    keys = left.select("id", "n", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id", F.col("n").cast("int").alias("n"))
+    left = classes.select("id", "right", F.posexplode("left").alias("i", "x"))
+    keys = left.select("id", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
     buckets = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "low")
-    members = written(keys.join(buckets, "key"), "buckets")
+    members = keys.join(buckets, "key").select("low", "id").distinct()
+    groups = written(members, "groups")  # the bucket's smallest is among its members
 
-    wanted = members.select("id").distinct()
+    wanted = groups.select("id").distinct()
     texts = IdFilter(wanted, "id").keep(docs.withColumnRenamed("doc_id", "id"), "id").join(wanted, "id", "left_semi")
-    sets = written(texts.mapInArrow(_sets(width), "id long, shingles binary"), "sets")
-
-    sizes = classes.select(F.col("id").alias("b"), F.col("n").alias("m"))
-    close = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    stars = members.where("id != low").select(F.col("id").alias("a"), F.col("low").alias("b"), "n").distinct()
-    stars = written(stars.join(sizes, "b").where(close).select("a", "b"), "pairs")
-    links = confirmed(stars, sets, percent)
-    labels = components(links)
-
-    # What is left: pairs of a bucket in different components that weren't compared.
-    placed = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", "n", F.coalesce("label", "id").alias("label"))
-    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    placed = written(placed.join(split, "key", "left_semi"), "split-buckets")
-    other = placed.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-    rest = placed.withColumnRenamed("id", "a").join(other, "key").where((F.col("b") < F.col("a")) & (F.col("label") != F.col("other")) & close)
-    rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    links = written(links.union(confirmed(rest, sets, percent)), "links")
-    labels = components(links)
+    sets = texts.mapInArrow(_sets(width), "id long, shingles binary")
+    labels = components(confirmed(groups, sets, percent))
 
     by_class = classes.select("digest", "id").join(labels, F.col("id") == F.col("node"), "left").select(F.col("digest").alias("_digest"), F.coalesce("label", "id").alias("component_id"))
     out = signed.join(by_class, (F.col("digest") == F.col("_digest")) & (F.col("n_shingles") > 0), "left")
