@@ -33,7 +33,7 @@ from sheaf.llm.tokens import tokenizer_path
 MARK = "▁"
 STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-KEPT_STRETCHES, KEPT_PAIRS, KEPT_LENGTH = 400_000, 600_000, 40
+KEPT_STRETCHES, KEPT_PAIRS, KEPT_LENGTH = 800_000, 1_000_000, 40
 UNIGRAM, BPE = 1, 2
 
 
@@ -61,13 +61,15 @@ class PieceModel:
             raise ValueError(f"{path}: a piece goes over a space mark")
         widths: dict[str, set[int]] = defaultdict(set)
         for p in self.ids:
-            widths[p[-1]].add(len(p))
-        self.widths = defaultdict(tuple, {c: tuple(sorted(w, reverse=True)) for c, w in widths.items()})  # lengths of the pieces that end in a character
+            if len(p) > 2:
+                widths[p[-3:]].add(len(p))
+        self.widths = {c: tuple(sorted(w, reverse=True)) for c, w in widths.items()}  # lengths over 2 of the pieces that end in three characters
         self.cuts = self._cuts()
         self.ranks = {p: k for k, p in enumerate(sorted(self.ids, key=lambda p: (-self.scores[p], self.ids[p])))}
         self.splits: dict[str, tuple[str, str] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _cuts(self) -> re.Pattern:
         """Stretches of a text: cut before space marks, and before those other characters that follow a letter in no piece."""
@@ -181,15 +183,21 @@ class PieceModel:
 
     def short(self, s: str) -> list[str]:
         """The same as window() for a BPE stretch that fits in it: nothing is final before the end."""
-        ids, pairs, widths, back, out = self.ids, self.pairs, self.widths, [""], []
+        ids, known, widths, back, out = self.ids, self.pairs.get, self.widths.get, [""], []
         for i in range(1, len(s) + 1):
-            for n in widths[s[i - 1]]:
-                if n <= i and (piece := s[i - n : i]) in ids:
-                    known = pairs.get((back[-n], piece))
-                    if self.fits(back[-n], piece) if known is None else known:
+            piece = ""
+            for n in widths(s[i - 3 : i], ()) if i > 2 else ():
+                if n <= i and (longer := s[i - n : i]) in ids:
+                    fit = known((back[-n], longer))
+                    if self.fits(back[-n], longer) if fit is None else fit:
+                        piece = longer
                         break
-            else:
+            if not piece:
                 piece = s[i - 1]
+                if i > 1 and (two := s[i - 2 : i]) in ids:
+                    fit = known((back[-2], two))
+                    if self.fits(back[-2], two) if fit is None else fit:
+                        piece = two
             back.append(piece)
         at = len(s)
         while at:
@@ -219,17 +227,21 @@ class PieceModel:
         if not text:
             return np.zeros(0, "<u4")
         if len(self.kept) > KEPT_STRETCHES:
-            self.kept.clear()
-        kept, out = self.kept, []
-        for s in self.cuts.findall(self.prefix + text.replace(" ", MARK)):
-            ids = kept.get(s)
-            if ids is None:
-                ids = self.stretch_ids(s)
-                if len(s) <= KEPT_LENGTH:
-                    kept[s] = ids
-            out.append(ids)
+            self.older, self.kept = self.kept, {}  # what is met again comes over from the older ones
+        parts = self.cuts.findall(self.prefix + text.replace(" ", MARK))
+        out = list(map(self.kept.get, parts))
+        if None in out:
+            for k, ids in enumerate(out):
+                if ids is None:
+                    out[k] = self.fresh(parts[k])
         return np.frombuffer(b"".join(out), "<u4")
 
+    def fresh(self, s: str) -> bytes:
+        ids = self.kept.get(s) or self.older.get(s) or self.stretch_ids(s)
+        if len(s) <= KEPT_LENGTH:
+            self.kept[s] = ids
+        return ids
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; runs of byte pieces as UTF-8, with U+FFFD for what is none."""
         out: list[str] = []

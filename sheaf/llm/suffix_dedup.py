@@ -37,7 +37,7 @@ from sheaf.llm.rolling import U, grams, mix, prefix, sliding_min, substrings
 
 ANCHOR = 24  # bytes of an anchor
 CHUNK = 1 << 22  # windows of a long text that are looked at together
-FLUSH = 1_000_000  # segments a map task combines at once
+FLUSH = 400_000  # segments a map task combines at once
 LOW = U(0xFFFFFF)
 
 SEGMENT = np.dtype([("anchor", "<u8"), ("seg", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])

@@ -11,7 +11,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -55,15 +55,20 @@ class Encoder:
     """Texts to ids, as lists or arrays of unsigned 32-bit integers."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.fast = fast_encoding(spec)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
 
+    @cached_property
+    def library(self):
+        """Loaded when a text first needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def lists(self, texts: list[str]) -> Iterator[list[int]]:
         for t in texts:
             if self.fast is None or UNSETTLED.search(t) or any(s in t for s in self.special):
