@@ -16,8 +16,8 @@ same one. Four steps:
 Blocks of packed numbers travel instead of rows, each with the number of its partition; map tasks combine equal segments
 before, so a hot passage reaches step 2 once for each task.
 
-Defined results: a null text counts as empty; texts shorter than `length` stay whole; of equal ids and starts one row counts as
-the earlier; a null id sorts first; an empty table gives no rows; further columns are not looked at.
+Defined results: a null text counts as empty; texts shorter than `length` stay whole; rows with equal ids count as one document,
+and what is a repeat in one of them goes from all at that place; a null id sorts first; an empty table gives no rows; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -101,6 +101,8 @@ def segments(doc: int, raw: bytes, length: int) -> Iterator[np.ndarray]:
 def split_repeats(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The earliest of each kind of segment, sorted by anchor; the others as ranges of repeats."""
     a = a[np.lexsort((a["start"], a["doc"], a["n"], a["off"], a["seg"], a["anchor"]))]
+    if len(a):  # a row that is there twice is one document
+        a = a[np.concatenate(([True], a[1:] != a[:-1]))]
     same = np.zeros(len(a), bool)
     if len(a):
         same[1:] = np.logical_and.reduce([a[f][1:] == a[f][:-1] for f in ("anchor", "seg", "off", "n")])
