@@ -606,7 +606,7 @@ def filename_parse(spark, sf):
     return spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", meta["exam"].alias("exam"), meta["year"].alias("year"), meta["shift"].alias("shift"))
 
 
-@query("""select 'neet-2024-imported-' || substr(s, 1, 2) || '-' || lpad(cast(p_partkey as varchar), cast(greatest(3, length(cast(p_partkey as varchar))) as int), '0') as id, s as subject, case when p_size % 3 = 0 then 'nat' else 'mcq' end as type, 'a,b' as options, case when p_size % 3 = 0 then 0.0 else -1.0 end as negative_marks from (select *, case when p_size % 2 = 0 then 'biology' else 'physics' end as s from part) as x""")
+@query("""select 'neet-2024-imported-' || substr(s, 1, 2) || '-' || lpad(cast(p_partkey as varchar), cast(greatest(3, length(cast(p_partkey as varchar))) as int), '0') as id, s as subject, case when p_size % 3 = 0 then 'nat' else 'mcq' end as type, 'a,b' as options, cast(case when p_size % 3 = 0 then 0 else -1 end as double) as negative_marks from (select *, case when p_size % 2 = 0 then 'biology' else 'physics' end as s from part) as x""")
 def import_flat(spark, sf):
     rows = spark.read.parquet(f"{sf}/part.parquet").selectExpr("p_partkey as row", "p_name as question", "case when p_size % 2 = 0 then ' Biology' else 'Other' end as subject", "case when p_size % 3 = 0 then 'Numerical' else 'single' end as type", "' a || b|' as options")
     return readers.import_flat(rows, "neet", 2024).select("id", "subject", "type", F.array_join("options", ",").alias("options"), F.col("negative_marks"))
