@@ -109,24 +109,32 @@ def common(x: np.ndarray, y: np.ndarray) -> int:
 
 BLOCK = 512  # members of a group that are compared at once
 COLUMNS = 4096  # shingles of a block that are counted at once
+ELEMENTS = 1_000_000  # of its sets that are sorted at once
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairs' intersections: products of the 0/1 matrix of members and shared shingles, some columns at a time."""
-    member = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = counts > 1
-    number = np.cumsum(shared) - 1
-    use = shared[column]
-    member, column = member[use], number[column[use]]
-    order = np.argsort(column, kind="stable")
-    member, column = member[order], column[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    for first in range(0, int(shared.sum()), COLUMNS):
-        lo, hi = np.searchsorted(column, [first, first + COLUMNS])
-        m = np.zeros((len(sets), COLUMNS), np.float32)
-        m[member[lo:hi], column[lo:hi] - first] = 1
-        out += m @ m.T
+    """Sizes of all pairs' intersections: products of the 0/1 matrix of members and shared shingles, some columns at a time.
+
+    Sets are sorted, so they are cut into ranges of hashes of about ELEMENTS elements, which bounds memory for long texts.
+    """
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    ranges = max(1, -(-sum(map(len, sets)) // ELEMENTS))
+    for r in range(ranges):
+        low, high = ((1 << 64) * k // ranges for k in (r, r + 1))
+        part = [x[np.searchsorted(x, U(low)) : (np.searchsorted(x, U(high)) if high < 1 << 64 else len(x))] for x in sets]
+        member = np.repeat(np.arange(len(sets)), [len(x) for x in part])
+        _, column, counts = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
+        shared = counts > 1
+        number = np.cumsum(shared) - 1
+        use = shared[column]
+        member, column = member[use], number[column[use]]
+        order = np.argsort(column, kind="stable")
+        member, column = member[order], column[order]
+        for first in range(0, int(shared.sum()), COLUMNS):
+            lo, hi = np.searchsorted(column, [first, first + COLUMNS])
+            m = np.zeros((len(sets), COLUMNS), np.float32)
+            m[member[lo:hi], column[lo:hi] - first] = 1
+            out += m @ m.T
     return out.astype(np.int64)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 U = np.uint64
@@ -74,14 +76,21 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+LONG = 1 << 20  # bytes of a text that are hashed at once
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
 def word_hashes(raw: bytes) -> np.ndarray:
-    """Hashes of the words of a text, A-Z lowered."""
-    b = np.frombuffer(raw.translate(FOLD), np.uint8)
-    if not len(b):
-        return np.zeros(0, np.uint64)
-    edge = np.diff(np.concatenate(([True], SPACE[b], [True])).astype(np.int8))
-    begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    return substrings(prefix(b), begin, end)
+    """Hashes of the words of a text, A-Z lowered; long texts are cut at white space."""
+    raw, out, at = raw.translate(FOLD), [], 0
+    while at < len(raw):
+        cut = BLANK.search(raw, at + LONG)
+        end = cut.end() if cut else len(raw)
+        b = np.frombuffer(raw, np.uint8, end - at, at)
+        edge = np.diff(np.concatenate(([True], SPACE[b], [True])).astype(np.int8))
+        out.append(substrings(prefix(b), np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def shingles(text: str | None, width: int = 5) -> np.ndarray:

@@ -36,7 +36,7 @@ from sheaf.llm.common import partitions, prepare, table, to_batch, written
 from sheaf.llm.rolling import U, grams, mix, prefix, sliding_min, substrings
 
 ANCHOR = 24  # bytes of an anchor
-CHUNK = 1 << 22  # windows of a long text that are looked at together
+CHUNK = 1 << 20  # windows of a long text that are looked at together
 FLUSH = 400_000  # segments a map task combines at once
 LOW = U(0xFFFFFF)
 

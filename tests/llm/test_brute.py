@@ -121,6 +121,20 @@ def test_near_duplicates_of_the_table(spark, sf, docs):
     assert got == components_of(docs, 85)
 
 
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    from sheaf.llm import rolling
+
+    text = " ".join(f"w{k % 97}x\n" for k in range(2000)) + " " + "y" * 300
+    whole = rolling.shingles(text)
+    monkeypatch.setattr(rolling, "LONG", 64)
+    assert (rolling.shingles(text) == whole).all()
+    sets = [np.unique(np.random.default_rng(k % 5).integers(0, 1 << 64, 500, dtype=np.uint64)[k:]) for k in range(20)]
+    expected = [[near_duplicates.common(x, y) for y in sets] for x in sets]
+    monkeypatch.setattr(near_duplicates, "ELEMENTS", 700)
+    monkeypatch.setattr(near_duplicates, "COLUMNS", 64)
+    assert near_duplicates.intersections(sets).tolist() == expected
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, 90), (90, 95)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
