@@ -129,10 +129,11 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
     monkeypatch.setattr(rolling, "LONG", 64)
     assert (rolling.shingles(text) == whole).all()
     sets = [np.unique(np.random.default_rng(k % 5).integers(0, 1 << 64, 500, dtype=np.uint64)[k:]) for k in range(20)]
-    expected = [[near_duplicates.common(x, y) for y in sets] for x in sets]
+    off = lambda m: [[0 if i == j else v for j, v in enumerate(row)] for i, row in enumerate(m)]  # noqa: E731  the diagonal isn't used
+    expected = off([[near_duplicates.common(x, y) for y in sets] for x in sets])
     monkeypatch.setattr(near_duplicates, "ELEMENTS", 700)
     monkeypatch.setattr(near_duplicates, "COLUMNS", 64)
-    assert near_duplicates.intersections(sets).tolist() == expected
+    assert off(near_duplicates.intersections(sets).tolist()) == expected
 
 
 def test_components(spark):
