@@ -24,16 +24,20 @@ from sheaf.llm.tokens import tokenizer_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Documents but for the rejected ids. These are written first, so Spark knows their size: few of them are broadcast, more are joined by a shuffle. A document without an id stays."""
+    rejected = written(rejected.select("doc_id").where("doc_id is not null").distinct(), "rejected")
+    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    kept = quality_rules(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return without(docs, quality_rules(docs).where("not kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    kept = near_duplicates(docs, percent=80, tables=10).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return without(docs, near_duplicates(docs, percent=80, tables=10).where("not kept"))
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
