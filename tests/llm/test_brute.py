@@ -267,10 +267,11 @@ def test_quality_counts():
     assert quality_rules.measure(None) == (0, 0, 0, 0, 0, 0)
 
 
-def test_quality_oracle(spark, sf):
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_oracles(spark, sf, name):
     from oracle import connection, differences
 
-    more, less = differences(QUERIES["op1_quality_rules"](spark, sf), connection(sf), ORACLES["op1_quality_rules"])
+    more, less = differences(QUERIES[name](spark, sf), connection(sf), ORACLES[name])
     assert not more and not less
 
 
