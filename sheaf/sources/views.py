@@ -11,7 +11,7 @@ KEY_LINE = " Answer Key 1(2) 2(4) 3(1) 4(3) 5(2) 6(1) 7(4) 8(3) 9(2) 10(1) 11(3)
 
 VIEWS = {
     "v_pages": f"""select paper, page, n_pages, doc_id, lang, case when n_pages - page < 2 and cast(substr(paper, 4) as int) % 2 = 0 then text || '{KEY_LINE}' else text end as markdown
-from (select source as paper, row_number() over (partition by source order by doc_id) as page, count(*) over (partition by source) as n_pages, doc_id, lang, text from {{documents}}) as d""",
+from (select source as paper, cast(row_number() over (partition by source order by doc_id) as bigint) as page, count(*) over (partition by source) as n_pages, doc_id, lang, text from {{documents}}) as d""",
     "v_providers": "select 0 as p, 'poolside' as provider union all select 1, 'longcat-lite' union all select 2, 'nvidia-qwen'",
     "v_candidates": """select paper, provider, p as rank, page as number, doc_id, substr(markdown, 1, 80) || case when doc_id % 10 = 0 then ' v' || cast(p as string) when (doc_id * 7 + p) % 5 = 0 then ' *' else '' end as text,
 case when (doc_id + p) % 11 = 0 then '' when doc_id % 10 = 0 then cast((doc_id + p) % 4 as string) else cast((doc_id + case when (doc_id + p) % 4 = 0 then p else 0 end) % 4 as string) end as answer,
@@ -31,7 +31,7 @@ case when pos % 11 = 0 then 'imported-kaggle' when pos % 59 = 0 then 'scan' else
 case when pos % 61 = 0 then 0 else 1 end as revision, case when pos % 14 = 0 then 'because' end as solution, case when pos % 28 = 0 then 'plain' when pos % 67 = 0 then 'rtf' end as solution_format,
 case when pos % 18 = 0 then '12x3' when pos % 18 = 1 then '12a' end as number_label, case when pos % 26 = 0 then 'p' || cast(pos % 4 as string) end as passage_id,
 case when pos % 15 = 0 then 'kinematics|Waves' when pos % 15 = 1 then 'cooking' when pos % 15 = 2 then 'sets|probability' else '' end as tags_text, case when type = 'nat' and pos % 16 = 2 then 'fuzzy' end as precision_type
-from (select pos, exam, year, shift, exam || '/' || cast(year as string) || '/' || shift as paper, name, kind, n_opt, row_number() over (partition by exam, year, shift order by pos) as number,
+from (select pos, exam, year, shift, exam || '/' || cast(year as string) || '/' || shift as paper, name, kind, n_opt, cast(row_number() over (partition by exam, year, shift order by pos) as bigint) as number,
 case when pos % 73 = 3 then 'geology' when size4 = 0 then 'physics' when size4 = 1 then 'chemistry' when size4 = 2 then 'mathematics' else 'biology' end as subject,
 case when pos % 79 = 4 then 'essay' when pos % 4 = 0 then 'mcq' when pos % 4 = 1 then 'msq' when pos % 4 = 2 then 'nat' else 'assertion-reason' end as type,
 case when pos % 10 = 0 then 'Kinematics' when pos % 10 = 1 then 'kineamtics' when pos % 10 = 2 then 'orgnic chemistry' when pos % 10 = 3 then 'laws of thermodynamics' when pos % 10 = 4 then '' when pos % 10 = 5 then 'd-block' when pos % 10 = 6 then 'number theory' when pos % 10 = 7 then 'zzzz qqqq' when pos % 10 = 8 then 'probability' else 'genetics' end as topic
