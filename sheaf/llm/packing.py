@@ -87,6 +87,7 @@ def best_fit_plan(histogram: dict[int, int], size: int) -> list[tuple[int, int,
     return plan
 
 
+BROADCAST_ROWS = 200_000  # of four numbers each: some megabytes
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("task", pa.int64()), ("rank", pa.int64())])
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, rank long"
 
@@ -125,8 +126,9 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) ->
     histogram = {r["_length"]: r["n"] for r in bases.groupBy("_length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
     plan = np.array(best_fit_plan(histogram, size), np.int64).reshape(-1, 5)
     placed = PlacedBy(plan).columns
-    # The bases grow with the tasks and compress well, so their file size says little: no broadcast.
-    ranked = pieces.join(bases.hint("merge"), (F.col("task") == F.col("_task")) & (F.col("length") == F.col("_length"))).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("rank")).alias("rank"))
+    # The bases grow with the tasks and compress well, so their file size says little: their rows decide about a broadcast.
+    how = "broadcast" if bases.count() <= BROADCAST_ROWS else "merge"
+    ranked = pieces.join(bases.hint(how), (F.col("task") == F.col("_task")) & (F.col("length") == F.col("_length"))).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("rank")).alias("rank"))
     schema = pa.schema([*[f for f in PIECES if f.name not in ("task", "rank")], ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

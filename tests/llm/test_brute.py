@@ -174,7 +174,9 @@ def test_best_fit(seed):
         assert at <= size
 
 
-def test_packing_of_the_table(spark, sf, docs):
+@pytest.mark.parametrize("rows", [200_000, 0])
+def test_packing_of_the_table(spark, sf, docs, rows, monkeypatch):
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", rows)
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokens.tokenizer_path())
