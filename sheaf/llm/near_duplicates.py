@@ -2,9 +2,10 @@
 
 Two collections of `tables` small hashes are computed, each from `rows` minhashes; every pair of one of each keys a table, so
 tables x tables tables need only 2 x tables hashes. Documents with equal shingle sets are one class from the start. The buckets
-of all tables with the same smallest class are one group, so a class meets another once and not in each table. Within a group all pairs are
-compared on their full sets, by matrix products over blocks of members: no pair becomes a row, and large groups are spread
-over tasks by pairs of blocks. Only links that join components are returned.
+of all tables with the same smallest class are one group, so a class meets another once and not in each table. Groups are
+compared on their full sets, by matrix products over blocks of members: no pair becomes a row. Members of a large group that
+their block joins to its smallest are done after one look; only pairs with one of the others follow, by pairs of blocks.
+Only links that join components are returned.
 
 With 85 percent, 8 and 2: a linked pair shares no table with probability 2 * (1 - 0.85**2)**8 < 0.00008 at the limit, less above.
 
@@ -16,11 +17,11 @@ carry it; an empty table gives no rows; further columns are not looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.llm.common import partitions, prepare, table, to_batch, written
@@ -94,7 +95,7 @@ def _sets(width: int):
     return run
 
 
-LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+LINKS = pa.schema([("low", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
 def common(x: np.ndarray, y: np.ndarray) -> int:
@@ -170,40 +171,99 @@ def links_of(ids: list[int], blocks: list[int], sets: list[np.ndarray], percent:
     return out
 
 
+def apart(ids: list[int], links: list[tuple[int, int]], low: int) -> list[int]:
+    """The ids that no path of links leads to from low."""
+    near: dict[int, list[int]] = {}
+    for a, b in links:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    todo = [low]
+    reached = {low}
+    while todo:
+        for y in near.get(todo.pop(), ()):
+            if y not in reached:
+                reached.add(y)
+                todo.append(y)
+    return [i for i in ids if i not in reached]
+
+
 def _links(percent: int):
+    """Links (a, b) of each (low, one, two); of groups that are not whole there also rows (low, a, null): members that low doesn't reach."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, blocks, sets = None, [], [], []
-        found: list[tuple[int, int]] = []
+        found: list[tuple[int | None, int, int | None]] = []
+
+        def compare() -> None:
+            if len(ids) > 1:
+                links = links_of(ids, blocks, sets, percent)
+                found.extend((None, a, b) for a, b in links)
+                if not key[3]:
+                    found.extend((key[0], i, None) for i in apart(ids, links, key[0]))
+
+        def out() -> pa.RecordBatch:
+            return to_batch(dict(zip(LINKS.names, zip(*found, strict=True), strict=True)), LINKS)
+
         for b in batches:
-            low, one, two, mine, member, shingled = (b.column(k) for k in range(6))
-            raw = [np.frombuffer(x.as_buffer(), np.uint64) for x in shingled]
-            for k, m, i, s in zip(zip(low.to_pylist(), one.to_pylist(), two.to_pylist(), strict=True), mine.to_pylist(), member.to_pylist(), raw, strict=True):
+            mine, member = b.column(4), b.column(5)
+            raw = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(6)]
+            for k, m, i, s in zip(zip(*(b.column(c).to_pylist() for c in range(4)), strict=True), mine.to_pylist(), member.to_pylist(), raw, strict=True):
                 if k != key:
-                    if len(ids) > 1:
-                        found += links_of(ids, blocks, sets, percent)
+                    compare()
                     key, ids, blocks, sets = k, [], [], []
                 ids.append(i)
                 blocks.append(m)
                 sets.append(s.copy())
             if found:
-                yield to_batch({"a": [x for x, _ in found], "b": [y for _, y in found]}, LINKS)
-                found = []
-        if len(ids) > 1 and (found := links_of(ids, blocks, sets, percent)):
-            yield to_batch({"a": [x for x, _ in found], "b": [y for _, y in found]}, LINKS)
+                yield out()
+                found.clear()
+        compare()
+        if found:
+            yield out()
 
     return run
 
 
-def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) inside groups (low, id). A group of more than BLOCK members is dealt out by pairs of blocks, so no task gets it whole."""
-    spark = groups.sparkSession
-    sizes = groups.groupBy("low").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
-    mine = F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")
-    dealt = groups.join(sizes, "low").select("low", "id", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other"))
-    dealt = dealt.select("low", F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"), "mine", "id")
-    rows = dealt.join(sets, "id").select("low", "one", "two", "mine", "id", "shingles")
-    rows = rows.repartition(partitions(spark), "low", "one", "two").sortWithinPartitions("low", "one", "two")
-    return written(rows.mapInArrow(_links(percent), "a long, b long"), "links")
+def compared(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """What _links finds in members dealt out as (low, one, two, whole, mine, id)."""
+    rows = dealt.join(sets, "id").select("low", "one", "two", "whole", "mine", "id", "shingles")
+    rows = rows.repartition(partitions(dealt.sparkSession), "low", "one", "two").sortWithinPartitions("low", "one", "two")
+    return written(rows.mapInArrow(_links(percent), "low long, a long, b long"), "links")
+
+
+def blocks_of(n: Column) -> Column:
+    return F.ceil(n / BLOCK).cast("int")
+
+
+def confirmed(groups: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Links (a, b) that join the components of groups (low, id, tables).
+
+    A group of at most BLOCK members is compared whole. A larger one is dealt out in blocks, each with two leaders: the smallest
+    member and the one that shares the most tables with it. Members that their block's links join to the smallest are in one
+    component, so no pair of them is looked at again: its rows grow with the group. Only pairs with a member that was
+    not reached follow, by pairs of blocks.
+    """
+    sizes = groups.groupBy("low").agg(blocks_of(F.count("*")).alias("n_blocks"), F.max_by("id", F.when(F.col("id") != F.col("low"), F.col("tables"))).alias("hub"))
+    leads = (F.col("id") == F.col("low")) | (F.col("id") == F.col("hub"))
+    block = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    everywhere = F.sequence(F.lit(0), F.col("n_blocks") - 1)
+    dealt = groups.join(sizes, "low").withColumn("mine", F.explode(F.when(leads, everywhere).otherwise(F.array(block(F.col("n_blocks"))))))
+    first = compared(dealt.select("low", F.col("mine").alias("one"), F.col("mine").alias("two"), (F.col("n_blocks") == 1).alias("whole"), "mine", "id"), sets(groups), percent)
+
+    rest = first.where("b is null").select("low", F.col("a").alias("id"), F.lit(True).alias("apart")).distinct()
+    links = first.where("b is not null").select("a", "b")
+    if rest.isEmpty():
+        return links
+    rest = written(rest, "apart")
+    counts = groups.groupBy("low").agg(F.count("*").alias("n")).join(rest.groupBy("low").agg(F.count("*").alias("n_apart")), "low")
+    counts = counts.select("low", blocks_of(F.col("n_apart")).alias("n_one"), blocks_of(F.col("n") - F.col("n_apart")).alias("n_two"))
+    # Blocks of members apart come first; each meets all blocks. Blocks of the others meet only those.
+    members = written(groups.select("low", "id").join(counts, "low").join(rest, ["low", "id"], "left"), "open-groups")
+    mine = F.when(F.col("apart"), block(F.col("n_one"))).otherwise(F.col("n_one") + block(F.col("n_two")))
+    last = F.col("n_one") - 1 + F.when(F.col("apart"), F.col("n_two")).otherwise(0)
+    dealt = members.select("low", "id", mine.alias("mine"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    dealt = dealt.select("low", F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"), F.lit(True).alias("whole"), "mine", "id")
+    return links.union(compared(dealt, sets(members), percent).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, tables: int = 10, rows: int = 2) -> DataFrame:
@@ -217,12 +277,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, tables:
     left = classes.select("id", "right", F.posexplode("left").alias("i", "x"))
     keys = left.select("id", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
     buckets = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "low")
-    members = keys.join(buckets, "key").select("low", "id").distinct()
+    members = keys.join(buckets, "key").groupBy("low", "id").agg(F.count("*").alias("tables"))
     groups = written(members, "groups")  # the bucket's smallest is among its members
 
-    wanted = groups.select("id").distinct()
-    texts = IdFilter(wanted, "id").keep(docs.withColumnRenamed("doc_id", "id"), "id").join(wanted, "id", "left_semi")
-    sets = texts.mapInArrow(_sets(width), "id long, shingles binary")
+    def sets(members: DataFrame) -> DataFrame:
+        """Sets of the members' texts."""
+        wanted = members.select("id").distinct()
+        texts = IdFilter(wanted, "id").keep(docs.withColumnRenamed("doc_id", "id"), "id").join(wanted, "id", "left_semi")
+        return texts.mapInArrow(_sets(width), "id long, shingles binary")
+
     labels = components(confirmed(groups, sets, percent))
 
     by_class = classes.select("digest", "id").join(labels, F.col("id") == F.col("node"), "left").select(F.col("digest").alias("_digest"), F.coalesce("label", "id").alias("component_id"))

@@ -116,6 +116,32 @@ def test_near_duplicates(spark, noisy, percent, block, monkeypatch):
     assert got == components_of(noisy, percent)
 
 
+@pytest.mark.parametrize("block", [512, 9])
+def test_near_duplicates_of_a_hub_and_a_chain(spark, block, monkeypatch):
+    """Copies that are linked with their source only, which has the largest id, and copies of copies."""
+    rng = random.Random(11)
+    source, rows = [f"w{k}" for k in range(200)], []
+    for k in range(60):
+        w = list(source)
+        for j in rng.sample(range(5, 195), 2):
+            w[j] = f"x{k}y{j}"
+        rows.append((k, " ".join(w)))
+    w = [f"v{k}" for k in range(200)]
+    for k in range(100, 160):
+        w[rng.randrange(200)] = f"u{k}"
+        rows.append((k, " ".join(w)))
+    rows.append((999, " ".join(source)))
+    expected = components_of(rows, 85)
+    assert len({c for i, (_, c) in expected.items() if i < 60 or i == 999}) == 1
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(df, 85).collect()} == expected
+
+
+def test_members_apart_from_the_smallest():
+    assert near_duplicates.apart([1, 2, 3, 4, 5, 6], [(2, 1), (3, 2), (5, 4)], 1) == [4, 5, 6]
+
+
 def test_near_duplicates_of_the_table(spark, sf, docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op9_near_duplicates"](spark, sf).collect()}
     assert got == components_of(docs, 85)
