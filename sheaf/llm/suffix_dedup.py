@@ -44,8 +44,8 @@ SEGMENT = np.dtype([("anchor", "<u8"), ("seg", "<u8"), ("doc", "<i8"), ("start",
 RANGE = np.dtype([("doc", "<i8"), ("start", "<u4"), ("n", "u1")])
 WANTED = np.dtype([("doc", "<i8"), ("anchor", "<u8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
 
-BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("block", pa.binary())])
-BLOCK_DDL = "part int, kind int, doc_id long, block binary"
+BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("block", pa.binary()), ("more", pa.string())])
+BLOCK_DDL = "part int, kind int, doc_id long, block binary, more string"
 SEGMENTS, REPEATS, WANT, DOC, CONTEXTS = range(5)
 
 
@@ -80,7 +80,7 @@ def blocks(a: np.ndarray, field: str, kind: int, parts: int) -> pa.RecordBatch:
     cuts = np.flatnonzero(np.diff(part)) + 1
     pieces = [packed(x) for x in np.split(a, cuts)] if len(a) else []
     firsts = part[np.concatenate(([0], cuts))].tolist() if len(a) else []
-    return to_batch({"part": firsts, "kind": [kind] * len(firsts), "doc_id": [None] * len(firsts), "block": pieces}, BLOCK)
+    return to_batch({"part": firsts, "kind": [kind] * len(firsts), "doc_id": [None] * len(firsts), "block": pieces, "more": [None] * len(firsts)}, BLOCK)
 
 
 def segments(doc: int, raw: bytes, length: int) -> Iterator[np.ndarray]:
@@ -203,7 +203,7 @@ def _context_blocks(found: list, parts: int) -> pa.RecordBatch:
     for members in np.split(order, cuts):
         body = b"".join(found[k][1] for k in members)
         mine = a[members]
-        for c, v in zip(BLOCK.names, (int(part[members[0]]), CONTEXTS, len(members), zip_.compress(packed(mine) + body)), strict=True):
+        for c, v in zip(BLOCK.names, (int(part[members[0]]), CONTEXTS, len(members), zip_.compress(packed(mine) + body), None), strict=True):
             rows[c].append(v)
     return to_batch(rows, BLOCK)
 
@@ -326,8 +326,8 @@ def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-FOUND = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
-FOUND_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+FOUND = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary()), ("more", pa.string())])
+FOUND_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, more string"
 
 
 def _cut(length: int, with_bytes: bool):
@@ -335,7 +335,7 @@ def _cut(length: int, with_bytes: bool):
         held, ranges, unzip = [], None, zstandard.ZstdDecompressor()
         for b in batches:
             rows: dict[str, list] = {c: [] for c in FOUND.names}
-            for kind, doc, block in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            for kind, doc, block, more in zip(*(b.column(c).to_pylist() for c in range(1, 5)), strict=True):
                 if kind == REPEATS:
                     held.append(block)
                     continue
@@ -346,7 +346,7 @@ def _cut(length: int, with_bytes: bool):
                 lo, hi = np.searchsorted(ranges["doc"], [NO_ID if doc is None else doc, (NO_ID if doc is None else doc) + 1])
                 spans = spans_of(ranges[lo:hi], len(raw), length)
                 kept = kept_bytes(raw, spans)
-                for c, v in zip(FOUND.names, (doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if with_bytes else None), strict=True):
+                for c, v in zip(FOUND.names, (doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if with_bytes else None, more), strict=True):
                     rows[c].append(v)
             yield to_batch(rows, FOUND)
 
@@ -359,24 +359,29 @@ def _documents(parts: int):
         for b in batches:
             ids = b.column(0).to_pylist()
             part = part_of(np.array([NO_ID if x is None else x for x in ids], np.int64), parts).tolist() if ids else []
-            yield to_batch({"part": part, "kind": [DOC] * len(ids), "doc_id": ids, "block": [zip_.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()]}, BLOCK)
+            yield to_batch({"part": part, "kind": [DOC] * len(ids), "doc_id": ids, "block": [zip_.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()], "more": b.column(2)}, BLOCK)
 
     return run
 
 
-def repeated_bytes(docs: DataFrame, length: int = 100, with_bytes: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes."""
+def repeated_bytes(docs: DataFrame, length: int = 100, with_bytes: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, if asked for the kept bytes, and the columns named in carry.
+
+    Those travel with their row, so null and repeated ids need no join afterwards.
+    """
     spark = prepare(docs.sparkSession)
     parts = partitions(spark)
-    docs = docs.select("doc_id", "text")
+    rest = docs.select(*carry).schema
+    docs = docs.select("doc_id", "text", (F.to_json(F.struct(*carry)) if carry else F.lit(None).cast("string")).alias("more"))
     at = lambda rows: rows.repartitionById(parts, F.col("part"))
     blocks_first = lambda rows: at(rows).sortWithinPartitions("kind")  # noqa: E731  blocks stand before documents
     packed_docs = docs.mapInArrow(_documents(parts), BLOCK_DDL)
-    met = written(at(docs.mapInArrow(_find(length, parts), BLOCK_DDL)).mapInArrow(_meet(parts), BLOCK_DDL), "segments")
+    met = written(at(docs.select("doc_id", "text").mapInArrow(_find(length, parts), BLOCK_DDL)).mapInArrow(_meet(parts), BLOCK_DDL), "segments")
     contexts = blocks_first(met.where(F.col("kind") == WANT).unionByName(packed_docs)).mapInArrow(_contexts(length, parts), BLOCK_DDL)
     built = at(contexts).mapInArrow(_build(length, parts), BLOCK_DDL)
     repeats = met.where(F.col("kind") == REPEATS).unionByName(built)
-    return blocks_first(repeats.unionByName(packed_docs)).mapInArrow(_cut(length, with_bytes), FOUND_DDL)
+    found = blocks_first(repeats.unionByName(packed_docs)).mapInArrow(_cut(length, with_bytes), FOUND_DDL)
+    return found.withColumn("more", F.from_json("more", rest)).select(*FOUND.names[:-1], "more.*") if carry else found.drop("more")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,3 +69,10 @@ def test_warc_edges(spark):
     assert kinds == [(-1, "revisit", 5, 9), (1, "revisit", 2, 0), (2, "response", 0, 0), (3, "revisit", 5, 9), (5, "response", 0, 9), (5, "response", 0, 9)]
     folder = shared_folder(spark, "warc")
     assert warc.read_warc(warc.write_warc(pages.limit(0), folder), folder).collect() == []
+
+
+def test_carried_columns_stay_with_their_row(docs):
+    rows = docs.selectExpr("doc_id", "text", "lang", "source", "7 as more", "8 as part")
+    out = suffix_dedup.repeated_bytes(rows, carry=("lang", "source", "more", "part")).collect()
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted([(r.doc_id, r.lang, r.source, r.more, r.part) for r in out], key=key) == sorted([(i, lang, source, 7, 8) for i, _, lang, source in ROWS], key=key)
