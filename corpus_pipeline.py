@@ -40,17 +40,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, near_duplicates(docs, percent=80, tables=10).where("not kept"))
 
 
-def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
-    for b in batches:
-        yield to_batch({"doc_id": b.column(0), "text": [x.decode("utf-8", "ignore") for x in b.column(1).to_pylist()]}, schema)
+def _decoded(schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = dict(zip(b.schema.names, b.columns, strict=True))
+            rows["text"] = [x.decode("utf-8", "ignore") for x in rows["text"].to_pylist()]
+            yield to_batch(rows, schema)
+
+    return run
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated strings go, the documents stay."""
-    cut = repeated_bytes(docs, with_bytes=True).select("doc_id", "kept").mapInArrow(_decoded, "doc_id long, text string")
-    rest = docs.select("doc_id", "lang", "source")
-    return cut.join(rest, "doc_id").select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
+    """Repeated strings go, the documents stay, with their row's other columns."""
+    cut = repeated_bytes(docs, with_bytes=True, carry=("lang", "source")).select("doc_id", F.col("kept").alias("text"), "lang", "source")
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string())])
+    return cut.mapInArrow(_decoded(schema), "doc_id long, text string, lang string, source string").withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
