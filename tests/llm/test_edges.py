@@ -76,3 +76,19 @@ def test_carried_columns_stay_with_their_row(docs):
     out = suffix_dedup.repeated_bytes(rows, carry=("lang", "source", "more", "part")).collect()
     key = lambda r: tuple(str(x) for x in r)
     assert sorted([(r.doc_id, r.lang, r.source, r.more, r.part) for r in out], key=key) == sorted([(i, lang, source, 7, 8) for i, _, lang, source in ROWS], key=key)
+
+
+def test_pipeline_stages_keep_null_and_repeated_ids(spark):
+    import corpus_pipeline as p
+
+    plain = [(i, f"Document {i} tells of {' '.join(f'w{i}x{k * k % 97 + k}' for k in range(40))} and ends here.") for i in range(6)]
+    rows = [(None if i == 5 else i, t, None if i == 1 else "en", None if i == 2 else "a", len(t)) for i, t in plain]
+    rows += [rows[3], (4, plain[4][1] + " With another end of its own.", "de", "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    key = lambda r: tuple(str(x) for x in r)
+    for _, stage in p.STAGES[:4]:
+        out = stage(spark, docs, "")
+        assert out.columns == list(p.COLUMNS)
+        assert sorted([(r.doc_id, r.lang, r.source) for r in out.collect()], key=key) == sorted([(i, lang, source) for i, _, lang, source, _ in rows], key=key)
+        docs = out
+    assert p.packing(spark, docs, "").count() == len(rows)
