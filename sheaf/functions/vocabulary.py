@@ -12,6 +12,104 @@ SUBJECT_TAGS = {
     "biology": "diversity-in-living-world plant-kingdom animal-kingdom morphology-of-flowering-plants anatomy-of-flowering-plants cell-biology biomolecules-biology plant-physiology human-physiology reproduction genetics evolution human-health-and-disease biotechnology ecology microbiology immunology bioinformatics".split(),
 }
 
+# The published topic aliases, each line a canonical topic and its aliases; the order is that of precedence.
+TOPIC_ALIASES = """\
+kinematics: kinematics|motion|motion in 1d|motion in 1-d|motion in straight line|motion along straight line|rectilinear motion
+newtons-laws: newtons laws|newton laws|newtons law|newton law|nlm|laws of motion|law of motion
+friction: friction
+work-energy-power: work energy power|work energy|work power energy|work, energy and power
+rotational-motion: rotational motion|rigid body dynamics|rotation|system of particles|system of particles and rotational motion
+gravitation: gravitation|gravity
+fluid-mechanics: fluid mechanics|fluids|mechanical properties of fluids
+properties-of-matter: properties of matter|elasticity
+thermal-physics: thermal physics
+thermodynamics: thermodynamics|heat|thermo
+kinetic-theory: kinetic theory|kinetic theory of gases|ktg
+oscillations: oscillations|shm|simple harmonic motion
+waves: waves|wave motion
+electrostatics: electrostatics|electrostatic|electric charges and fields
+capacitance: capacitance|capacitors
+current-electricity: current electricity|electric current
+magnetic-effects: magnetic effects|magnetism|moving charges and magnetism|magnetic effect of current
+electromagnetic-induction: electromagnetic induction|emi|induction
+alternating-current: alternating current|ac
+electromagnetic-waves: electromagnetic waves|em waves|emw
+ray-optics: ray optics|geometrical optics|reflection|refraction
+wave-optics: wave optics|physical optics|interference|diffraction|polarisation|polarization
+modern-physics: modern physics|dual nature|dual nature of matter|photoelectric effect|photoelectric
+atoms: atoms|atomic physics
+nuclei: nuclei|nuclear physics|radioactivity
+semiconductors: semiconductors|semiconductor devices|logic gates|electronic devices
+communication-systems: communication|communication systems
+mole-concept: mole concept|stoichiometry|basic concepts|some basic concepts of chemistry
+atomic-structure: atomic structure|structure of atom
+periodic-classification: classification of elements|periodic table|periodicity
+chemical-bonding: chemical bonding|bonding|molecular structure
+states-of-matter: states of matter|gaseous state|gases
+chemical-thermodynamics: thermodynamics chemistry|chemical thermodynamics|thermochemistry
+equilibrium: equilibrium|chemical equilibrium|ionic equilibrium
+redox-reactions: redox|redox reactions|oxidation reduction
+hydrogen: hydrogen
+s-block: s block|s-block elements|alkali metals|alkaline earth metals
+p-block: p block|p-block elements
+organic-chemistry: organic chemistry|organic
+hydrocarbons: hydrocarbons|alkanes|alkenes|alkynes
+environmental-chemistry: environmental chemistry
+solid-state: solid state|solids
+solutions: solutions
+electrochemistry: electrochemistry
+chemical-kinetics: chemical kinetics|kinetics
+surface-chemistry: surface chemistry|adsorption|colloids
+metallurgy: metallurgy|general principles of metallurgy
+d-block: d block|d-block elements
+coordination-compounds: coordination compounds
+halogen-derivatives: halogen derivatives|haloalkanes|haloarenes
+alcohols-phenols-ethers: alcohols|phenols|ethers
+aldehydes-ketones: aldehydes|ketones
+carboxylic-acids: carboxylic acids
+amines: amines
+biomolecules: biomolecules|carbohydrates|proteins
+polymers: polymers
+chemistry-in-everyday-life: chemistry in everyday life
+sets: sets
+relations-and-functions: relations|functions|relations and functions
+trigonometry: trigonometry|trigonometric functions|trigonometric equations
+inverse-trigonometry: inverse trigonometry|inverse trigonometric functions
+matrices: matrices
+determinants: determinants
+continuity-and-differentiability: continuity|differentiability|continuity and differentiability
+application-of-derivatives: application of derivatives|aod
+integrals: integrals|integration|indefinite integrals|definite integrals
+application-of-integrals: application of integrals|area under curve
+differential-equations: differential equations|de
+vector-algebra: vector algebra|vectors
+three-d-geometry: three dimensional geometry|3d geometry
+linear-programming: linear programming|lp
+probability: probability|bayes theorem
+binomial-theorem: binomial theorem|binomial
+sequences-and-series: sequence and series|ap gp|arithmetic progression|geometric progression
+complex-numbers: complex numbers
+quadratic-equations: quadratic equations
+permutations-and-combinations: permutations|combinations|permutations and combinations
+statistics: statistics|measures of dispersion
+mathematical-reasoning: mathematical reasoning
+limits: limit|limits
+diversity-in-living-world: diversity in living world|classification
+plant-kingdom: plant kingdom
+animal-kingdom: animal kingdom
+morphology-of-flowering-plants: morphology of flowering plants
+anatomy-of-flowering-plants: anatomy of flowering plants
+cell-biology: cell|cell biology|cell cycle|cell division
+biomolecules-biology: biomolecules biology|enzymes
+plant-physiology: plant physiology|photosynthesis|respiration in plants|plant growth
+human-physiology: human physiology|digestion|circulation|excretion|locomotion|neural control|chemical coordination
+reproduction: reproduction|reproduction in organisms|sexual reproduction
+genetics: genetics|mendelian genetics|molecular genetics|dna
+evolution: evolution
+human-health-and-disease: human health|diseases|immunity
+biotechnology: biotechnology|biotech|genetic engineering
+ecology: ecology|ecosystem|biodiversity|environment"""
+
 # Codes, ranks, expected sizes, domains.
 SUBJECT_CODES = {"physics": "ph", "chemistry": "ch", "mathematics": "ma", "biology": "bi"}
 PROVIDER_RANK = {"poolside": 7, "longcat-lite": 6, "nvidia-qwen": 5, "nvidia": 5, "zai": 4, "longcat": 4, "nvidia-mistral": 4, "longcat-chat": 3, "gemini": 2, "cerebras": 1, "vanchin": 0}
@@ -138,18 +236,13 @@ def tag_table(spark: SparkSession) -> DataFrame:
 
 
 def alias_rows() -> list[tuple[str, str, int]]:
-    """Aliases made by rule: each controlled tag as it is, and with spaces for hyphens."""
-    rows, n = [], 0
-    for tags in SUBJECT_TAGS.values():
-        for t in tags:
-            for alias in dict.fromkeys((t.replace("-", " "), t)):
-                rows.append((alias, t, n))
-                n += 1
-    return rows
+    """The published aliases, in their order."""
+    pairs = [(alias, t) for t, _, aliases in (line.partition(": ") for line in TOPIC_ALIASES.split("\n")) for alias in aliases.split("|")]
+    return [(alias, t, n) for n, (alias, t) in enumerate(pairs)]
 
 
 def alias_table(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """(alias, canonical, ord), in order of precedence: by rule, or from a CSV file of the user's with these columns."""
+    """(alias, canonical, ord), in order of precedence: the published table, or from a CSV file of the user's with these columns."""
     if path:
         return spark.read.schema("alias string, canonical string, ord int").option("header", True).csv(path)
     return spark.createDataFrame(alias_rows(), "alias string, canonical string, ord int")

@@ -36,7 +36,8 @@ def normalize_topics(questions: DataFrame, aliases: DataFrame, tags: DataFrame,
     """A `topic_norm` for each (topic, subject): alias, then near alias, then like words, then the subject's tags, then a default.
 
     Only distinct topics that no exact alias explains are compared with the alias table, which is of fixed size. Unless compat
-    is set, a topic that is one of its subject's tags stays, instead of being taken for a near alias of another.
+    is set, a topic that is one of its subject's tags stays, instead of being taken for a near alias of another, and of like
+    words a canonical name that the topic holds as a whole goes before names and aliases that it shares a part with.
     """
     key = F.lower(wide_trim("topic"))
     asked = questions.select("topic", "subject").distinct().withColumn("key", key)
@@ -48,14 +49,16 @@ def normalize_topics(questions: DataFrame, aliases: DataFrame, tags: DataFrame,
     d = F.levenshtein(F.col("key"), F.col("alias"), fuzzy)
     names = F.initcap(F.replace("canonical", F.lit("-"), F.lit(" ")))
     near = open_keys.join(F.broadcast(aliases)).withColumns({"d": d, "by_name": word_counts_cosine(F.col("key"), names), "by_alias": word_counts_cosine(F.col("key"), F.col("alias"))})
+    held = ~F.lit(compat) & (F.col("by_name") > least_cosine) & (F.size(F.array_except(words(names), words(F.col("key")))) == 0)
     near = near.groupBy("key").agg(
         F.min_by(F.when(F.col("d") >= 0, F.col("canonical")), F.when(F.col("d") >= 0, F.col("ord"))).alias("fuzzy"),
         F.max_by("canonical", F.struct("by_name", -F.col("ord"))).alias("like_name"),
         F.max("by_name").alias("name_score"),
         F.max_by("canonical", F.struct("by_alias", -F.col("ord"))).alias("like_alias"),
         F.max("by_alias").alias("alias_score"),
+        F.max_by(F.when(held, F.col("canonical")), F.when(held, F.struct("by_name", -F.col("ord")))).alias("held"),
     )
-    like = F.when(F.greatest("name_score", "alias_score") > least_cosine, F.when(F.col("name_score") >= F.col("alias_score"), F.col("like_name")).otherwise(F.col("like_alias")))
+    like = F.when(F.greatest("name_score", "alias_score") > least_cosine, F.coalesce("held", F.when(F.col("name_score") >= F.col("alias_score"), F.col("like_name")).otherwise(F.col("like_alias"))))
     found = tagged.join(near, "key", "left").withColumn("vocab", F.coalesce("exact", "fuzzy", like, "key"))
     near_tag = found.where(~blank & (F.col("vocab") == F.col("key"))).select("key", "subject").distinct()
     near_tag = near_tag.join(F.broadcast(tags.select(F.col("subject").alias("s"), F.col("tag").alias("t"), "ord")), F.col("subject") == F.col("s")).where(F.levenshtein(F.col("key"), F.col("t"), fuzzy) >= 0)

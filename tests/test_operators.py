@@ -1,5 +1,6 @@
 """Behaviour of the curation operators on small frames."""
 
+import hashlib
 import itertools
 import random
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheaf.functions import text as tx
-from sheaf.functions.vocabulary import SUBJECT_TAGS, alias_table, tag_table
+from sheaf.functions.vocabulary import SUBJECT_TAGS, alias_rows, alias_table, tag_table
 from sheaf.operators import browse, chunks, compare, consensus, diagrams, merge, normalize, rules, state
 from sheaf.sources import providers, readers
 
@@ -233,6 +234,18 @@ def test_topics(spark, topic, subject, expected):
     assert normalize.normalize_topics(rows, alias_table(spark), tag_table(spark)).first().topic_norm == expected
 
 
+def test_published_aliases_give_their_topics(spark):
+    rows = alias_rows()
+    assert len(rows) == 244 and [n for *_, n in rows] == list(range(244))
+    assert hashlib.sha256("\n".join(f"{a}={t}" for a, t, _ in rows).encode()).hexdigest() == "826444a1df2cbdefec4ee4e253d67ddc479b2bbc728c44922be3469194cfc063"  # as read from the published table
+    subject = {t: s for s, tags in SUBJECT_TAGS.items() for t in tags}
+    asked = spark.createDataFrame([(a, subject[t], t) for a, t, _ in rows] + [("Projectile gravity", "physics", "gravitation")], "topic string, subject string, expected string")
+    wrong = normalize.normalize_topics(asked, alias_table(spark), tag_table(spark)).where("not topic_norm <=> expected")
+    assert [tuple(r) for r in wrong.collect()] == []
+    laws = spark.createDataFrame([("laws of thermodynamics", "physics")], "topic string, subject string")
+    assert normalize.normalize_topics(laws, alias_table(spark), tag_table(spark), compat=True).first().topic_norm == "newtons-laws"
+
+
 def test_tags_have_no_duplicates_and_are_checked(spark):
     assert [len(v) for v in SUBJECT_TAGS.values()] == [32, 33, 29, 18]
     q = spark.createDataFrame([(1, "p", "x", "physics", ["Waves", "cooking"]), (2, "p", "y", "biology", ["waves"])], "pos int, paper string, id string, subject string, tags array<string>")
