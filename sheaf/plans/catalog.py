@@ -29,6 +29,18 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def candidates_query(sql: str) -> Callable[[Callable[[DataFrame], DataFrame]], Callable[[DataFrame], DataFrame]]:
+    """A query over v_candidates, whose SQL is fixed and cuts texts, and the same over all documents' whole texts as whole_..."""
+
+    def add(f: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        for prefix, name in (("", "v_candidates"), ("whole_", "v_whole_candidates")):
+            QUERIES[prefix + f.__name__] = lambda spark, sf, name=name: f(view(spark, sf, name))
+            ORACLES[prefix + f.__name__] = for_tables(sql.replace("{v_candidates}", "{" + name + "}"))
+        return f
+
+    return add
+
+
 def quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -52,35 +64,31 @@ voting as (select paper, number, text, options, answer, subject, best_provider,
 holes as (select paper, unnest(range(coalesce(before, 0) + 1, number)) as number from (select paper, number, lag(number) over (partition by paper order by number) as before from voting) as x)"""
 
 
-def _voted(spark: SparkSession, sf: str) -> DataFrame:
-    return consensus.consensus(view(spark, sf, "v_candidates"))
+@candidates_query(f"with {CONSENSUS} select * from voting")
+def consensus_vote(c):
+    return consensus.consensus(c)
 
 
-@query(f"with {CONSENSUS} select * from voting")
-def consensus_vote(spark, sf):
-    return _voted(spark, sf)
-
-
-@query(f"with {CONSENSUS} select paper, cast(number as bigint) as number, 'low_agreement' as reason from voting where (text_agreement < 2 and n_providers > 2) or (answer_agreement < 2 and n_answers > 2) union all select paper, number, 'missing_from_all' from holes")
-def consensus_conflicts(spark, sf):
-    out = consensus.conflicts(_voted(spark, sf))
+@candidates_query(f"with {CONSENSUS} select paper, cast(number as bigint) as number, 'low_agreement' as reason from voting where (text_agreement < 2 and n_providers > 2) or (answer_agreement < 2 and n_answers > 2) union all select paper, number, 'missing_from_all' from holes")
+def consensus_conflicts(c):
+    out = consensus.conflicts(consensus.consensus(c))
     return out.withColumn("number", F.col("number").cast("long"))
 
 
-@query(f"with {CONSENSUS} select paper, number from holes")
-def consensus_gaps(spark, sf):
-    return consensus.gaps(_voted(spark, sf))
+@candidates_query(f"with {CONSENSUS} select paper, number from holes")
+def consensus_gaps(c):
+    return consensus.gaps(consensus.consensus(c))
 
 
-@query(f"with {CONSENSUS} select confidence, count(*) as n, sum(case when answer = '' then 1 else 0 end)::bigint as blank from voting group by confidence")
-def consensus_confidence(spark, sf):
-    return _voted(spark, sf).groupBy("confidence").agg(F.count("*").alias("n"), F.count_if(F.col("answer") == "").alias("blank"))
+@candidates_query(f"with {CONSENSUS} select confidence, count(*) as n, sum(case when answer = '' then 1 else 0 end)::bigint as blank from voting group by confidence")
+def consensus_confidence(c):
+    return consensus.consensus(c).groupBy("confidence").agg(F.count("*").alias("n"), F.count_if(F.col("answer") == "").alias("blank"))
 
 
-@query("""with c as (select * from {v_candidates} as v) select a.provider as a, b.provider as b, count(*) as n, round(avg(case when a.text = b.text then 1.0 else 0 end), 6) as text_share, round(avg(case when a.answer = b.answer then 1.0 else 0 end), 6) as answer_share
+@candidates_query("""with c as (select * from {v_candidates} as v) select a.provider as a, b.provider as b, count(*) as n, round(avg(case when a.text = b.text then 1.0 else 0 end), 6) as text_share, round(avg(case when a.answer = b.answer then 1.0 else 0 end), 6) as answer_share
 from c as a join c as b on a.paper = b.paper and a.number = b.number and a.rank < b.rank group by 1, 2""")
-def provider_agreement(spark, sf):
-    return consensus.provider_agreement(view(spark, sf, "v_candidates"))
+def provider_agreement(c):
+    return consensus.provider_agreement(c)
 
 
 @query("select source as paper, cast(n_chars % 7 as bigint) as id, arg_min(text, doc_id) as text from documents group by 1, 2")
@@ -183,7 +191,7 @@ best as (select * from (select *, row_number() over (partition by paper, number
 
 def _chunk_rows(spark, sf):
     rows = _chunked(spark, sf).selectExpr(
-        "paper", "page as number", "chunk_index", "doc_id as pos", "'physics' as subject", "'mcq' as type", "substr(markdown, 1, 60) as text", "case when (doc_id + chunk_index) % 3 = 0 then '' else cast((doc_id + chunk_index) % 4 as string) end as answer",
+        "paper", "page as number", "chunk_index", "doc_id as pos", "'physics' as subject", "'mcq' as type", "markdown as text", "case when (doc_id + chunk_index) % 3 = 0 then '' else cast((doc_id + chunk_index) % 4 as string) end as answer",
         """case when doc_id % 7 = 0 then null when (doc_id + chunk_index) % 2 = 0 then '["A","B","C","D"]' else '["A","B","C","a longer one"]' end as options""", "case when doc_id % 4 = 0 then null else 'waves' end as topic", "case when doc_id % 6 = 0 then 'a' end as section",
         "case when (doc_id + chunk_index) % 5 = 0 then 0.0D else 4.0D end as marks", "chunk_index % 2 = 0 as answer_key_found",
     )
@@ -310,10 +318,16 @@ def export_shape(spark, sf):
 
 @query("select exam, year, shift, count(*) as total from {v_questions} as v group by 1, 2, 3")
 def paper_checksums(spark, sf):
-    """Totals are compared; the checksums themselves are tested for stability."""
+    """Totals only, as the SQL has it; paper_content_checksums has the checksums."""
     return normalize.content_checksum(questions(spark, sf)).select("exam", "year", "shift", "total")
 
 
+@query()
+def paper_content_checksums(spark, sf):
+    """The checksums themselves, over each paper's whole content; tested against hashes of the collected rows."""
+    return normalize.content_checksum(questions(spark, sf))
+
+
 # Validation
 
 
@@ -448,47 +462,47 @@ d as (select coalesce(a.paper, b.paper) as paper, coalesce(a.place, b.place) as
 case when a.paper is null or b.paper is null then '' else concat_ws(',', case when a.subject <> b.subject then 'subject' end, case when trim(a.text) <> trim(b.text) then 'text' end, case when a.answer <> b.answer then 'answer' end) end as fields from a full join b on a.paper = b.paper and a.place = b.place)"""
 
 
-def _sides(spark, sf):
-    c = view(spark, sf, "v_candidates").withColumnRenamed("number", "place")
+def _sides(c):
+    c = c.withColumnRenamed("number", "place")
     return c.where("rank = 0"), c.where("rank = 1")
 
 
-def _diff(spark, sf):
-    return compare.positional_diff(*_sides(spark, sf), fields=("subject", "text", "answer"))
+def _diff(c):
+    return compare.positional_diff(*_sides(c), fields=("subject", "text", "answer"))
 
 
-@query(f"with {SIDES} select * from d")
-def positional_diff(spark, sf):
-    return _diff(spark, sf)
+@candidates_query(f"with {SIDES} select * from d")
+def positional_diff(c):
+    return _diff(c)
 
 
-@query(f"with {SIDES} select paper, place, case when status = 'diff' and fields not like '%text%' then 'match' else status end as status from d")
-def passage_diff(spark, sf):
-    a, b = (x.select("paper", F.col("place").alias("id"), tx.wide_trim("text").alias("text")) for x in _sides(spark, sf))
+@candidates_query(f"with {SIDES} select paper, place, case when status = 'diff' and fields not like '%text%' then 'match' else status end as status from d")
+def passage_diff(c):
+    a, b = (x.select("paper", F.col("place").alias("id"), tx.wide_trim("text").alias("text")) for x in _sides(c))
     return compare.passage_diff(a, b).withColumnRenamed("id", "place")
 
 
-@query(f"with {SIDES}, n as (select paper, count(*) as total, sum((status = 'match')::int)::bigint as matched, sum((status = 'diff')::int)::bigint as differing, sum((status = 'missing-a')::int)::bigint as missing_a, sum((status = 'missing-b')::int)::bigint as missing_b from d group by paper) select *, matched = total as auto_acceptable, round(100 * matched / total, 1) as match_percent from n")
-def cross_validation_summary(spark, sf):
-    return compare.diff_summary(_diff(spark, sf))
+@candidates_query(f"with {SIDES}, n as (select paper, count(*) as total, sum((status = 'match')::int)::bigint as matched, sum((status = 'diff')::int)::bigint as differing, sum((status = 'missing-a')::int)::bigint as missing_a, sum((status = 'missing-b')::int)::bigint as missing_b from d group by paper) select *, matched = total as auto_acceptable, round(100 * matched / total, 1) as match_percent from n")
+def cross_validation_summary(c):
+    return compare.diff_summary(_diff(c))
 
 
-@query(f"with {SIDES} select coalesce(a.paper, b.paper) as paper, coalesce(a.place, b.place) as place, case when a.paper is null then b.text else a.text end as text, case when coalesce(a.place, b.place) % 10 = 0 then 'fixed' when a.paper is null then b.answer else a.answer end as answer from a full join b on a.paper = b.paper and a.place = b.place")
-def consensus_override(spark, sf):
-    a, b = _sides(spark, sf)
+@candidates_query(f"with {SIDES} select coalesce(a.paper, b.paper) as paper, coalesce(a.place, b.place) as place, case when a.paper is null then b.text else a.text end as text, case when coalesce(a.place, b.place) % 10 = 0 then 'fixed' when a.paper is null then b.answer else a.answer end as answer from a full join b on a.paper = b.paper and a.place = b.place")
+def consensus_override(c):
+    a, b = _sides(c)
     fixes = a.select("paper", "place").union(b.select("paper", "place")).distinct().where("place % 10 = 0").withColumn("answer", F.lit("fixed"))
     return compare.overridden(a, b, fixes)
 
 
-@query(f"with {SIDES} select paper, place, '<tr><td>' || cast(place as varchar) || '</td><td>' || status || '</td><td>' || fields || '</td></tr>' as html from d where status <> 'match'")
-def html_report_rows(spark, sf):
-    return compare.html_rows(_diff(spark, sf))
+@candidates_query(f"with {SIDES} select paper, place, '<tr><td>' || cast(place as varchar) || '</td><td>' || status || '</td><td>' || fields || '</td></tr>' as html from d where status <> 'match'")
+def html_report_rows(c):
+    return compare.html_rows(_diff(c))
 
 
-@query("""with a as (select * from {v_candidates} as v where rank = 0), b as (select * from {v_candidates} as v where rank = 1), j as (select b.paper, lower(trim(substr(a.text, 1, 100))) = lower(trim(substr(b.text, 1, 100))) as t, b.answer <> '' and b.answer = a.answer as n, lower(a.subject) = lower(b.subject) as s, a.options is not distinct from b.options as o from b join a on a.paper = b.paper and a.number = b.number)
+@candidates_query("""with a as (select * from {v_candidates} as v where rank = 0), b as (select * from {v_candidates} as v where rank = 1), j as (select b.paper, lower(trim(substr(a.text, 1, 100))) = lower(trim(substr(b.text, 1, 100))) as t, b.answer <> '' and b.answer = a.answer as n, lower(a.subject) = lower(b.subject) as s, a.options is not distinct from b.options as o from b join a on a.paper = b.paper and a.number = b.number)
 select paper, count(*) as checked, round(avg(t::int) * 100, 4) as text_accuracy, round(avg(n::int) * 100, 4) as answer_accuracy, round(avg(s::int) * 100, 4) as topic_accuracy, round(avg(o::int) * 100, 4) as options_accuracy from j group by paper""")
-def golden_metrics(spark, sf):
-    c = view(spark, sf, "v_candidates").withColumn("topic", F.col("subject"))
+def golden_metrics(c):
+    c = c.withColumn("topic", F.col("subject"))
     return compare.golden_metrics(c.where("rank = 0"), c.where("rank = 1")).drop("overall_accuracy")
 
 

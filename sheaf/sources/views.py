@@ -18,6 +18,11 @@ case when (doc_id + p) % 11 = 0 then '' when doc_id % 10 = 0 then cast((doc_id +
 case doc_id % 4 when 0 then 'physics' when 1 then 'chemistry' when 2 then 'mathematics' else 'biology' end as subject,
 case when doc_id % 9 = 0 then null else '["A' || cast(doc_id % 7 as string) || '","B","C' || case when p = 2 and doc_id % 6 = 0 then '?' else '' end || '","D"]' end as options
 from {v_pages} as pages, {v_providers} as providers where (doc_id * 3 + p) % 13 <> 0 and doc_id % 17 <> 5""",
+    "v_whole_candidates": """select paper, provider, p as rank, page + 2 * cast(floor(page / 3) as bigint) - case when p = 1 and page % 3 = 0 then 1 else 0 end as number, doc_id, markdown || case when doc_id % 10 = 0 then ' v' || cast(p as string) when (doc_id * 7 + p) % 5 = 0 then ' *' else '' end as text,
+case when (doc_id + p) % 11 = 0 then '' when doc_id % 10 = 0 then cast((doc_id + p) % 4 as string) else cast((doc_id + case when (doc_id + p) % 4 = 0 then p else 0 end) % 4 as string) end as answer,
+case doc_id % 4 when 0 then 'physics' when 1 then 'chemistry' when 2 then 'mathematics' else 'biology' end as subject,
+case when doc_id % 9 = 0 then null else '["A' || cast(doc_id % 7 as string) || '","B","C' || case when p = 2 and doc_id % 6 = 0 then '?' else '' end || '","D"]' end as options
+from {v_pages} as pages, {v_providers} as providers""",
     "v_questions": """select pos, paper, exam, year, shift, number, subject, type, topic,
 case when pos % 50 = 7 then null when pos % 50 = 9 then 'Bad ID' when pos % 50 = 11 then 'jeemain-2020-dup' else exam || '-' || cast(year as string) || '-' || shift || '-' || cast(number as string) end as id,
 case when pos % 37 = 5 then '  ' when pos % 29 = 4 then name || ' see [Image] here' when pos % 31 = 6 then name || ' <b>bold</b>' when pos % 43 = 8 then name || '�' when pos % 23 = 2 then 'The same long question text again' else name || ' of ' || kind end as text,
