@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheaf.functions.text import assign_section, normalize_answer, normalize_latex, question_id, wide_trim
+from sheaf.functions.text import assign_section, normalize_answer, normalize_latex, prefix_int, question_id, wide_trim
 
 
 def normalize_texts(questions: DataFrame, columns: tuple[str, ...] = ("text",), compat: bool = False) -> DataFrame:
@@ -13,7 +13,16 @@ def normalize_texts(questions: DataFrame, columns: tuple[str, ...] = ("text",),
 
 
 def normalize_answers(questions: DataFrame) -> DataFrame:
-    """Answers to indexes, sections by number. options: an array or null. Done once: a second time would shift answers again."""
+    """Answers to indexes, sections by number. options: an array or null. Done once: a second time would shift answers again.
+
+    A blank answer takes the first of `answers`, if there is such a column, which then is null; numbers in text become integers.
+    """
+    if "answers" in questions.columns:
+        moved = (F.coalesce("answer", F.lit("")) == "") & (F.coalesce(F.size("answers"), F.lit(0)) > 0)
+        first = F.get("answers", F.lit(0)).cast("string")
+        questions = questions.withColumns({"answer": F.when(moved, F.coalesce(first, F.lit(""))).otherwise(F.col("answer")), "answers": F.when(~moved, F.col("answers"))})
+    if dict(questions.dtypes)["number"] == "string":
+        questions = questions.withColumn("number", prefix_int("number"))
     n = F.when(F.col("options").isNotNull(), F.size("options"))
     out = questions.withColumns({"answer": normalize_answer("answer", n), "section": assign_section("section", "number")})
     return out.withColumn("options", F.when(F.col("type") == "assertion-reason", None).otherwise(F.col("options")))

@@ -246,6 +246,13 @@ def test_published_aliases_give_their_topics(spark):
     assert normalize.normalize_topics(laws, alias_table(spark), tag_table(spark), compat=True).first().topic_norm == "newtons-laws"
 
 
+def test_blank_answers_take_the_first_of_several(spark):
+    rows = [("7", "", ["b", "c"]), ("12.", None, ["4"]), ("101", "a", ["b"]), ("x", "", []), ("3", "", None)]
+    q = spark.createDataFrame([(*r, ["A", "B", "C", "D"], "msq", None) for r in rows], "number string, answer string, answers array<string>, options array<string>, type string, section string")
+    got = [(r.number, r.answer, r.answers, r.section) for r in normalize.normalize_answers(q).collect()]
+    assert got == [(7, "1", None, "a"), (12, "3", None, "a"), (101, "0", ["b"], "b"), (None, "", [], None), (3, "", None, "a")]
+
+
 def test_tags_have_no_duplicates_and_are_checked(spark):
     assert [len(v) for v in SUBJECT_TAGS.values()] == [32, 33, 29, 18]
     q = spark.createDataFrame([(1, "p", "x", "physics", ["Waves", "cooking"]), (2, "p", "y", "biology", ["waves"])], "pos int, paper string, id string, subject string, tags array<string>")
