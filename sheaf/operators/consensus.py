@@ -38,7 +38,7 @@ def consensus(candidates: DataFrame) -> DataFrame:
     first = F.filter("all", lambda c, i: ~F.exists(F.slice("all", 1, i), lambda d: d["provider"] == c["provider"]))
     groups = groups.select(*KEY, first.alias("c"))
     answers = F.filter(F.transform("c", lambda c: c["answer"]), lambda a: F.coalesce(a, F.lit("")) != "")
-    best = F.reduce(F.slice("c", 2, 1000), F.get("c", F.lit(0)), lambda a, b: F.when(b["trust"] > a["trust"], b).otherwise(a))
+    best = F.reduce(F.slice("c", 2, F.size("c")), F.get("c", F.lit(0)), lambda a, b: F.when(b["trust"] > a["trust"], b).otherwise(a))
     voted = groups.select(
         *KEY,
         "c",

@@ -36,7 +36,7 @@ def merge_chunks(rows: DataFrame) -> DataFrame:
     """One row for each (paper, number), folded in order of chunk and place. rows: candidates with `full` (completeness), chunk_index, pos. A number's candidates are as many as the chunks that hold its page."""
     order = F.struct("chunk_index", "pos", *[c for c in rows.columns if c not in ("paper", "number", "chunk_index", "pos")])
     grouped = rows.groupBy("paper", "number").agg(F.array_sort(F.collect_list(order)).alias("c"))
-    best = F.reduce(F.slice("c", 2, 100000), F.get("c", F.lit(0)), lambda kept, new: F.when(prefers_new(new, kept), new).otherwise(kept))
+    best = F.reduce(F.slice("c", 2, F.size("c")), F.get("c", F.lit(0)), lambda kept, new: F.when(prefers_new(new, kept), new).otherwise(kept))
     return grouped.withColumn("best", best).select("paper", "number", "best.*")
 
 

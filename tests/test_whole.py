@@ -4,6 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from sheaf.operators import consensus, merge
 from sheaf.plans import catalog
 from sheaf.sources.views import questions, view
 
@@ -37,3 +38,10 @@ def test_checksums_of_papers_are_returned(spark, sf):
     expected = {k: (len(v), hashlib.sha256("".join(sorted(v)).encode()).hexdigest()) for k, v in papers.items()}
     got = catalog.QUERIES["paper_content_checksums"](spark, sf).collect()
     assert {(r.exam, r.year, r.shift): (r.total, r.content_checksum) for r in got} == expected
+
+
+def test_folds_reach_the_last_candidate(spark):
+    rows = spark.range(100003, numPartitions=4).selectExpr("'p' as paper", "1 as number", "cast(id as int) as chunk_index", "0 as pos", "case when id = 100002 then 14 else 5 end as full", "'1' as answer", "'[]' as options", "'t' as topic")
+    assert merge.merge_chunks(rows).first().chunk_index == 100002
+    c = spark.range(1003, numPartitions=4).selectExpr("'p' as paper", "case when id = 1002 then 'poolside' else concat('other', id) end as provider", "cast(id as int) as rank", "1 as number", "'T' as text", "'[]' as options", "'1' as answer", "'physics' as subject")
+    assert consensus.consensus(c).first().best_provider == "poolside"
