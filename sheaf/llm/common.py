@@ -38,18 +38,37 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder that driver and executors share: under spark.checkpoint.dir, or a temporary one if that is unset."""
+    """A fresh folder that driver and executors share, under spark.checkpoint.dir.
+
+    If that is unset, a local session gets a temporary one; on a cluster there is no folder that could be guessed.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"file://{tempfile.gettempdir()}/sheaf-checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='sheaf-checkpoints-')}"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _folders.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+_folders: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes what this application has written to shared folders so far; to be called when the results that read it are stored. Returns how many folders."""
+    folders = _folders.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The rows written to a shared folder and read again: later stages don't recompute what an executor loses."""
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,10 +4,12 @@ Each language gets a codeword; each bit has a binary classifier over hashed byte
 with bit one and those with bit zero, every language weighing the same. A text's bits are decoded by the loss of each codeword,
 weighted by how well a bit separates the languages; the nearest codeword wins, and a small lead is flagged as ambiguous.
 
-Training uses all labelled rows outside the held-out fifth: n-gram counts are summed in each task, then over tasks by language, so
-the driver gets one bounded vector for each of at most `most_langs` languages.
+Training uses all labelled rows outside the held-out fifth: n-gram counts are summed in each task to one vector a language, cut into
+slices, and the slices are summed over tasks by language, so a hot language is spread over tasks too. Every language that has
+a training row can be predicted. The driver gets one vector of 16,384 counts for each language, 128 KB; up to 128 languages have codewords
+as long as their number, more have MANY_BITS bits.
 
-Defined results: a null text or one without letters is `und` with score 0; if nothing is labelled, all are `und`; with one
+Defined results: a null text or one without letters (Unicode category L; numerals are none) is `und` with score 0; if nothing is labelled, all are `und`; with one
 language, all texts with letters get it; a null id is hashed as an empty string; repeated rows are predicted each for itself;
 an empty table gives no rows; further columns are not looked at.
 """
@@ -15,17 +17,19 @@ an empty table gives no rows; further columns are not looked at.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import prepare, table, to_batch
+from sheaf.llm.common import partitions, prepare, table, to_batch
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 BITS = 14
 SIZE = 1 << BITS
 NOT_LETTERS = re.compile(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -48,12 +52,21 @@ def ngram_counts(text: str) -> np.ndarray:
     return out
 
 
+MANY, MANY_BITS = 128, 255
+
+
 def codewords(n: int) -> np.ndarray:
-    """n rows of -1 and 1: rows of a Hadamard matrix without its first column, so that any two differ in about half the bits."""
-    m = np.array([[1]])
-    while len(m) < max(n, 8):
-        m = np.block([[m, m], [m, -m]])
-    return m[:n, 1:]
+    """n rows of -1 and 1: rows of a Hadamard matrix without its first column, so that any two differ in about half the bits.
+
+    Of more than MANY rows only MANY_BITS columns are taken: those that number the rows, which keep them apart, and others at random.
+    """
+    bits = max(n - 1, 7).bit_length()
+    columns = np.arange(1, 1 << bits)
+    if n > MANY:
+        numbering = 1 << np.arange(bits)
+        others = np.setdiff1d(columns, numbering)
+        columns = np.concatenate([numbering, np.random.default_rng(7).permutation(others)[: MANY_BITS - bits]])
+    return 1 - 2 * (np.bitwise_count(np.arange(n)[:, None] & columns).astype(np.int64) & 1)
 
 
 @dataclass
@@ -77,41 +90,70 @@ class Model:
         return best, p[np.arange(len(p)), best], top[:, -1] - second < self.lead
 
 
-TRAIN = pa.schema([("lang", pa.string()), ("n_docs", pa.int64()), ("counts", pa.list_(pa.int64()))])
+TRAIN = pa.schema([("lang", pa.string()), ("slice", pa.int32()), ("counts", pa.binary())])
+TRAIN_DDL = "lang string, slice int, counts binary"
+SLICES = 16
+HELD = 256  # languages that a task sums before it sends their sums on
 
 
-def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sum_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of each language's counts in this task's texts."""
     sums: dict[str, np.ndarray] = {}
-    docs: dict[str, int] = {}
+
+    def out() -> pa.RecordBatch:
+        rows = [(k, i, zlib.compress(x.tobytes(), 1)) for k, v in sums.items() for i, x in enumerate(np.split(v, SLICES))]
+        sums.clear()
+        return to_batch(dict(zip(TRAIN.names, zip(*rows, strict=True), strict=True)), TRAIN)
+
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             if has_letter(text):
-                sums.setdefault(lang, np.zeros(SIZE, np.int64))
+                if lang not in sums:
+                    if len(sums) == HELD:
+                        yield out()
+                    sums[lang] = np.zeros(SIZE, np.int64)
                 sums[lang] += ngram_counts(text)
-                docs[lang] = docs.get(lang, 0) + 1
-    yield to_batch({"lang": list(sums), "n_docs": [docs[k] for k in sums], "counts": [v.tolist() for v in sums.values()]}, TRAIN)
+    if sums:
+        yield out()
 
 
-def train(rows: DataFrame, most_langs: int = 512) -> Model | None:
-    """A model from all rows of (lang, text). At most `most_langs` languages, those with the most documents."""
-    sums = rows.select("lang", "text").mapInArrow(_sum_counts, "lang string, n_docs long, counts array<long>")
-    cells = sums.select("lang", "n_docs", F.posexplode("counts").alias("k", "n"))
-    cells = cells.groupBy("lang", "k").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
-    vectors = cells.groupBy("lang").agg(F.max("n_docs").alias("n_docs"), F.sort_array(F.collect_list(F.struct("k", "n"))).alias("c")).orderBy(F.desc("n_docs"), "lang").limit(most_langs)
-    got = sorted(vectors.select("lang", F.col("c.n").alias("n")).collect(), key=lambda r: r["lang"])
+def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of neighbouring rows with one language and slice; one vector is held at a time."""
+    key, total = None, np.zeros(SIZE // SLICES, np.int64)
+    out = lambda: to_batch({"lang": [key[0]], "slice": [key[1]], "counts": [total.tobytes()]}, TRAIN)
+    for b in batches:
+        for lang, part, raw in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            if key != (lang, part):
+                if key is not None:
+                    yield out()
+                key, total = (lang, part), np.zeros(SIZE // SLICES, np.int64)
+            total += np.frombuffer(zlib.decompress(raw), np.int64)
+    if key is not None:
+        yield out()
+
+
+def train(rows: DataFrame) -> Model | None:
+    """A model from all rows of (lang, text)."""
+    parts = rows.select("lang", "text").mapInArrow(_sum_texts, TRAIN_DDL)
+    sums = parts.repartition(partitions(rows.sparkSession), "lang", "slice").sortWithinPartitions("lang", "slice").mapInArrow(_sum_slices, TRAIN_DDL)
+    vectors: dict[str, np.ndarray] = {}
+    for lang, part, raw in sums.collect():  # SLICES rows a language
+        width = SIZE // SLICES
+        vectors.setdefault(lang, np.zeros(SIZE))[part * width : (part + 1) * width] = np.frombuffer(raw, np.int64)
+    got = sorted(vectors)
     if not got:
         return None
-    counts = np.array([r["n"] for r in got], np.float64)
+    counts = np.array([vectors[k] for k in got])
     share = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
     code = codewords(len(got))
     one, zero = code > 0, code < 0
     use = one.any(axis=0) & zero.any(axis=0)
     code, one, zero = code[:, use], one[:, use], zero[:, use]
     if len(got) == 1:
-        return Model([got[0]["lang"]], np.ones((1, 1)), np.zeros((SIZE, 1)), np.ones(1))
+        return Model(got, np.ones((1, 1)), np.zeros((SIZE, 1)), np.ones(1))
     weights = np.log(share.T @ one / one.sum(axis=0)) - np.log(share.T @ zero / zero.sum(axis=0))
     spread = np.abs((share @ weights) * code).mean(axis=0)
-    return Model([r["lang"] for r in got], code, weights, spread / spread.sum() * len(spread))
+    return Model(got, code, weights, spread / spread.sum() * len(spread))
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
@@ -127,8 +169,9 @@ def predict(docs: DataFrame, model: Model | None, held_out: Column) -> DataFrame
             n = len(texts)
             there = [k for k, t in enumerate(texts) if m is not None and has_letter(t)]
             lang, score, unsure = ["und"] * n, [0.0] * n, [True] * n
-            for at in range(0, len(there), 64):
-                part = there[at : at + 64]
+            step = 64 if m is None else max(1, min(64, (1 << 22) // m.code.size))  # texts decoded at once
+            for at in range(0, len(there), step):
+                part = there[at : at + step]
                 for k, i, s, u in zip(part, *m.predict(np.stack([ngram_counts(texts[k]) for k in part]).astype(np.float64)), strict=True):
                     lang[k], score[k], unsure[k] = m.langs[i], float(s), bool(u)
             yield to_batch({"doc_id": b.column(0), "held_out": b.column(1), "lang_pred": lang, "score": score, "ambiguous": unsure}, OUT)

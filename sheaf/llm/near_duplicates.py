@@ -9,9 +9,12 @@ Only links that join components are returned.
 
 With 85 percent, 8 and 2: a linked pair shares no table with probability 2 * (1 - 0.85**2)**8 < 0.00008 at the limit, less above.
 
-Defined results: a document without words has an empty set, is its own component and is linked with nothing; equal ids count as
-one document; a null id is linked with nothing but equal sets; the smallest id of a component is kept, with all rows that
-carry it; an empty table gives no rows; further columns are not looked at.
+Classes have numbers of their own, so nothing is joined by document id: rows that share an id, or have none, are signed, linked and
+judged each by its own text.
+
+Defined results: a document without words has an empty set, is its own component, is linked with nothing and is kept; component_id is the
+smallest id among the rows of a component, null if none has an id; kept are all rows that carry it, and of components without any
+id the row that comes first in the written table of signatures; an empty table gives no rows; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -21,16 +24,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sheaf.llm.common import partitions, prepare, table, to_batch, written
 from sheaf.llm.components import components
 from sheaf.llm.rolling import mix, shingles
 
 U = np.uint64
-SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))])
-SIGNED_DDL = "doc_id long, n_shingles long, digest binary, left array<long>, right array<long>"
+SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64())), ("fetch", pa.int64()), ("row", pa.int64())])
+SIGNED_DDL = "doc_id long, n_shingles long, digest binary, left array<long>, right array<long>, fetch long, row long"
 
 
 def small_hashes(s: np.ndarray, tables: int, rows: int) -> np.ndarray:
@@ -45,34 +50,53 @@ def small_hashes(s: np.ndarray, tables: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def digest_of(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
 def _sign(width: int, tables: int, rows: int):
+    """Rows (doc_id, text, fetch, more columns) signed; the row's number is unique, and fixed once the result is written."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
-            out: dict[str, list] = {c: [] for c in SIGNED.names}
+            out: dict[str, list] = {c: [] for c in SIGNED.names[:5]}
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingles(text, width)
                 h = small_hashes(s, tables, rows) if len(s) else np.zeros(0, np.int64)
-                for c, v in zip(SIGNED.names, (doc_id, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), h[:tables].tolist(), h[tables:].tolist()), strict=True):
+                for c, v in zip(SIGNED.names, (doc_id, len(s), digest_of(s), h[:tables].tolist(), h[tables:].tolist())):
                     out[c].append(v)
-            yield to_batch(out, SIGNED)
+            signed = to_batch(out | {"fetch": b.column(2), "row": np.arange(row, row + b.num_rows)}, SIGNED)
+            row += b.num_rows
+            yield pa.RecordBatch.from_arrays([*signed.columns, *b.columns[3:]], names=[*SIGNED.names, *b.schema.names[3:]])
 
     return run
 
 
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 16, 1 << 26  # least and most bits of a filter, which is at most 8 MB
 
 
 class IdFilter:
-    """Which ids may be wanted: a bitmap of fixed size. It only spares the shuffle texts that surely aren't; a join decides."""
+    """Which ids may be wanted: a bitmap of eight bits an id. It only spares the shuffle texts that surely aren't; a join decides.
+
+    Where so many ids are wanted that the largest bitmap would be half full, nothing is filtered: the rows that a filter could
+    spare are then few beside the wanted ones.
+    """
 
     def __init__(self, ids: DataFrame, column: str):
-        bits = ids.select(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int").alias("bit"))
-        words = bits.select(F.shiftright("bit", 5).alias("w"), F.expr("shiftleft(1L, bit & 31)").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m"))
-        self.bits = np.zeros(FILTER_BITS // 32, np.uint32)
-        for w, m in words.collect():  # at most FILTER_BITS / 32 rows
-            self.bits[w] = m
+        least, most = FILTER_BITS
+        n = ids.count()
+        self.size = min(max(least, 1 << (8 * n).bit_length()), most)
+        self.bits = None
+        if n <= self.size // 2:
+            bits = ids.select(F.pmod(F.xxhash64(column), F.lit(self.size)).cast("int").alias("bit"))
+            words = bits.select(F.shiftright("bit", 5).alias("w"), F.expr("shiftleft(1L, bit & 31)").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+            self.bits = np.zeros(self.size // 32, np.uint32)
+            self.bits[words["w"].to_numpy()] = words["m"].to_numpy().astype(np.uint32)  # at most size / 32 rows
 
     def keep(self, rows: DataFrame, column: str) -> DataFrame:
+        if self.bits is None:
+            return rows
         shared = rows.sparkSession.sparkContext.broadcast(self.bits)
         names = rows.columns
 
@@ -81,16 +105,19 @@ class IdFilter:
                 bit = b.column(len(names)).to_numpy()
                 yield pa.RecordBatch.from_arrays(b.columns[: len(names)], names).filter(pa.array((shared.value[bit >> 5] >> (bit & 31).astype(np.uint32) & 1).astype(bool)))
 
-        return rows.withColumn("_bit", F.pmod(F.xxhash64(F.col(column)), F.lit(FILTER_BITS))).mapInArrow(run, rows.schema)
+        return rows.withColumn("_bit", F.pmod(F.xxhash64(F.col(column)), F.lit(self.size))).mapInArrow(run, rows.schema)
 
 
 SETS = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
 
 
 def _sets(width: int):
+    """Sets of the classes' texts. A text of another class that has the same fetch number is told by its digest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield to_batch({"id": b.column(0), "shingles": [shingles(t, width).tobytes() for t in b.column(1).to_pylist()]}, SETS)
+            found = [(i, s) for i, t, d in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True) if digest_of(s := shingles(t, width)) == d]
+            yield to_batch({"id": [i for i, _ in found], "shingles": [s.tobytes() for _, s in found]}, SETS)
 
     return run
 
@@ -266,13 +293,17 @@ def confirmed(groups: DataFrame, sets: Callable[[DataFrame], DataFrame], percent
     return links.union(compared(dealt, sets(members), percent).select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, tables: int = 10, rows: int = 2) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each row."""
+def judged(docs: DataFrame, percent: int, width: int, tables: int, rows: int, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The written signatures, with a struct `more` of the carried columns, and (row, doc_id, n_shingles, component_id, kept) of each row."""
     prepare(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    signed = written(docs.mapInArrow(_sign(width, tables, rows), SIGNED_DDL), "signed")
-    classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("left").alias("left"), F.first("right").alias("right"))
-    classes = written(classes.where("id is not null"), "classes")
+    fetch = F.xxhash64("text").alias("fetch")
+    schema, more = StructType.fromDDL(SIGNED_DDL), []
+    if carry:
+        more = [F.struct(*carry).alias("more")]
+        schema = schema.add(docs.select(*more).schema[0])
+    signed = written(docs.select("doc_id", "text", fetch, *more).mapInArrow(_sign(width, tables, rows), schema), "signed")
+    classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.min("fetch").alias("fetch"), F.first("left").alias("left"), F.first("right").alias("right"))
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # the numbers are fixed as they are written
 
     left = classes.select("id", "right", F.posexplode("left").alias("i", "x"))
     keys = left.select("id", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
@@ -281,17 +312,36 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, tables:
     groups = written(members, "groups")  # the bucket's smallest is among its members
 
     def sets(members: DataFrame) -> DataFrame:
-        """Sets of the members' texts."""
-        wanted = members.select("id").distinct()
-        texts = IdFilter(wanted, "id").keep(docs.withColumnRenamed("doc_id", "id"), "id").join(wanted, "id", "left_semi")
-        return texts.mapInArrow(_sets(width), "id long, shingles binary")
+        """Sets of the members' texts. Copies of a text are one before the shuffle."""
+        wanted = written(classes.select("id", "fetch", "digest").join(members.select("id").distinct(), "id"), "wanted")
+        texts = IdFilter(wanted, "fetch").keep(docs.select(fetch, "text"), "fetch")
+        texts = texts.groupBy("fetch").agg(F.collect_set("text").alias("texts")).join(wanted, "fetch")
+        return texts.select("id", F.explode("texts").alias("text"), "digest").mapInArrow(_sets(width), "id long, shingles binary")
 
     labels = components(confirmed(groups, sets, percent))
+    linked = labels.join(classes.select("id", "doc_id", "row"), F.col("node") == F.col("id")).select("node", "label", "doc_id", "row")
+    heads = linked.groupBy("label").agg(F.min("doc_id").alias("head"), F.min("row").alias("first"))
+    linked = linked.join(heads, "label").select("node", "head", "first")
+    by_class = classes.select("digest", "id", "doc_id", "row").join(linked, F.col("id") == F.col("node"), "left")
+    alone = F.col("node").isNull()
+    by_class = by_class.select(F.col("digest").alias("_digest"), F.when(alone, F.col("doc_id")).otherwise(F.col("head")).alias("head"), F.when(alone, F.col("row")).otherwise(F.col("first")).alias("first"))
+    out = signed.select("doc_id", "row", "n_shingles", "digest").join(by_class, (F.col("digest") == F.col("_digest")) & (F.col("n_shingles") > 0), "left")
+    empty = F.col("n_shingles") == 0
+    kept = empty | F.when(F.col("head").isNull(), F.col("row") == F.col("first")).otherwise(F.col("doc_id").eqNullSafe(F.col("head")))
+    component = F.when(empty, F.col("doc_id")).otherwise(F.col("head"))
+    return signed, out.select("row", "doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, tables: int = 10, rows: int = 2) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of each row."""
+    return judged(docs, percent, width, tables, rows)[1].drop("row")
+
 
-    by_class = classes.select("digest", "id").join(labels, F.col("id") == F.col("node"), "left").select(F.col("digest").alias("_digest"), F.coalesce("label", "id").alias("component_id"))
-    out = signed.join(by_class, (F.col("digest") == F.col("_digest")) & (F.col("n_shingles") > 0), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+def without_near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, tables: int = 10, rows: int = 2) -> DataFrame:
+    """The kept rows, with all their columns. Rows that go are taken out by their number: few of them are broadcast, as Spark knows their written size; more are joined by a shuffle."""
+    signed, verdicts = judged(docs, percent, width, tables, rows, tuple(docs.columns))
+    gone = written(verdicts.where("not kept").select("row"), "gone")
+    return signed.select("row", "more").join(gone, "row", "left_anti").select("more.*")
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

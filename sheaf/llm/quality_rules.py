@@ -1,10 +1,14 @@
 """Quality rules with host verdicts (operator 1).
 
 Each document is measured once; its rule failures are summed by host, each host's failure rate of each rule is shrunk
-with a beta prior fitted to all hosts, and the verdict goes back to the documents by a join.
+with a beta prior fitted to all hosts, and the verdict goes back to the documents by a join. The prior's weight comes from the
+spread between hosts that binomial noise doesn't explain (moments of the beta-binomial, hosts weighted by their size), so
+many small hosts with the same rate give a heavy prior and not a light one. A host is condemned by a rule if its rate is above
+the limit even when `caution` posterior deviations are taken off.
 
 Defined results: a null or empty text has no words and fails the base rules; a null host is a host of its own; repeated
-rows are measured separately; an empty table gives no rows; further columns are not looked at.
+rows are measured and judged each for itself, also if they share an id or have none; an empty table gives no rows; further
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sheaf.llm.common import prepare, table, to_batch, written
 
@@ -35,7 +40,8 @@ class Rules:
     dup_line_percent: int = 30
     min_mean_word: float = 2.0
     max_mean_word: float = 20.0
-    host_rate: float = 0.5  # shrunk failure rate from which a host is condemned by a rule
+    host_rate: float = 0.5  # shrunk failure rate above which a host is condemned by a rule
+    caution: float = 2.0  # posterior deviations that are taken off the rate before
 
 
 RULE_NAMES = ("few_words", "repeats", "symbols", "dup_lines", "word_length")
@@ -74,7 +80,8 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for b in batches:
         got = [measure(t) for t in b.column(2).to_pylist()]
         cols = list(zip(*got, strict=True)) or [()] * 6
-        yield to_batch({"doc_id": b.column(0), "host": b.column(1)} | dict(zip(MEASURES.names[2:], cols, strict=True)), MEASURES)
+        out = to_batch({"doc_id": b.column(0), "host": b.column(1)} | dict(zip(MEASURES.names[2:], cols, strict=True)), MEASURES)
+        yield pa.RecordBatch.from_arrays([*out.columns, *b.columns[3:]], names=[*out.schema.names, *b.schema.names[3:]])
 
 
 def failures(rules: Rules) -> dict[str, Column]:
@@ -90,46 +97,68 @@ def failures(rules: Rules) -> dict[str, Column]:
     return {k: v.cast("int") for k, v in bad.items()}
 
 
-def host_verdicts(measures: DataFrame, rules: Rules) -> DataFrame:
-    """A row for each host: documents, failures, shrunk rate and verdict for each rule.
+MIN_WEIGHT, MAX_WEIGHT = 1.0, 1000.0  # documents that the prior may weigh
 
-    The prior's moments over hosts are one row, so the join with it is of one row, not a product of tables.
-    """
+
+def host_verdicts(measures: DataFrame, rules: Rules) -> DataFrame:
+    """A row for each host: documents, failures, shrunk rate and verdict for each rule. The driver gets one row of moments."""
     hosts = measures.groupBy("host").agg(F.count("*").alias("n_docs"), *(F.sum(c).alias(f"bad_{k}") for k, c in failures(rules).items()))
     hosts = written(hosts, "hosts")
-    moments = hosts.agg(
-        *(F.avg(F.col(f"bad_{k}") / F.col("n_docs")).alias(f"m_{k}") for k in RULE_NAMES),
-        *(F.var_samp(F.col(f"bad_{k}") / F.col("n_docs")).alias(f"v_{k}") for k in RULE_NAMES),
-    ).first()
-
-    def prior(k: str) -> tuple[float, float]:
-        """Beta parameters by moments; with no spread between hosts the prior weighs a hundred documents."""
-        m = min(max(moments[f"m_{k}"] or 0.0, 1e-6), 1 - 1e-6)
-        v = moments[f"v_{k}"] or 0.0
-        weight = min(max(m * (1 - m) / v - 1, 1.0), 100.0) if v > 0 else 100.0
-        return m * weight, (1 - m) * weight
-
+    n = F.col("n_docs")
+    moments = hosts.agg(F.count("*").alias("hosts"), F.sum(n).alias("docs"), F.sum(n.cast("double") * n).alias("squares"), *(c for k in RULE_NAMES for c in (F.sum(f"bad_{k}").alias(f"x_{k}"), F.sum(F.col(f"bad_{k}") / n * F.col(f"bad_{k}")).alias(f"xx_{k}")))).first()
     for k in RULE_NAMES:
-        a, b = prior(k)
-        hosts = hosts.withColumn(f"rate_{k}", (F.col(f"bad_{k}") + F.lit(a)) / (F.col("n_docs") + F.lit(a + b)))
-        hosts = hosts.withColumn(f"condemned_{k}", F.col(f"rate_{k}") > rules.host_rate)
+        mean, weight = beta_prior(moments["hosts"], moments["docs"] or 0, moments["squares"] or 0.0, moments[f"x_{k}"] or 0, moments[f"xx_{k}"] or 0.0)
+        rate = (F.col(f"bad_{k}") + F.lit(mean * weight)) / (n + F.lit(weight))
+        hosts = hosts.withColumn(f"rate_{k}", rate)
+        hosts = hosts.withColumn(f"condemned_{k}", F.col(f"rate_{k}") - rules.caution * F.sqrt(F.col(f"rate_{k}") * (1 - F.col(f"rate_{k}")) / (n + weight + 1)) > rules.host_rate)
     return hosts
 
 
-def quality_rules(docs: DataFrame, rules: Rules = Rules(), host: Column | str = "source") -> DataFrame:
-    """Measures, base verdict and final verdict of each document. kept is false after a base failure, or if the document breaks a rule by which its host is condemned."""
+def beta_prior(hosts: int, docs: int, squares: float, failed: int, shares: float) -> tuple[float, float]:
+    """Mean and weight (in documents) of the beta prior, from the sums over hosts of 1, n, n**2, x and x**2 / n.
+
+    Between hosts of equal rates the weighted squares of their rates' deviations sum to m * (1 - m) * (hosts - 1); what is above
+    that is the spread of the rates themselves. No such spread, or no second host: the greatest weight.
+    """
+    if not docs:
+        return 0.0, MAX_WEIGHT
+    m = failed / docs
+    noise, spare = m * (1 - m), docs - squares / docs
+    if noise <= 0 or spare <= 0:
+        return m, MAX_WEIGHT
+    spread = (shares - failed * m - noise * (hosts - 1)) / spare
+    return m, min(max(noise / spread - 1, MIN_WEIGHT), MAX_WEIGHT) if spread > 0 else MAX_WEIGHT
+
+
+def judged(docs: DataFrame, rules: Rules, host: Column | str, carry: tuple[str, ...]) -> DataFrame:
+    """Measures, base verdict and final verdict of each row, with a struct `more` of the carried columns."""
     prepare(docs.sparkSession)
     host = F.col(host) if isinstance(host, str) else host
-    rows = docs.select("doc_id", host.cast("string").alias("host"), "text").mapInArrow(_measure_batches, MEASURES_DDL)
+    schema, more = StructType.fromDDL(MEASURES_DDL), []
+    if carry:
+        more = [F.struct(*carry).alias("more")]
+        schema = schema.add(docs.select(*more).schema[0])
+    rows = docs.select("doc_id", host.cast("string").alias("host"), "text", *more).mapInArrow(_measure_batches, schema)
     rows = written(rows, "measures")
-    verdicts = host_verdicts(rows, rules).select(F.col("host").alias("_host"), *(f"condemned_{k}" for k in RULE_NAMES), *(f"rate_{k}" for k in RULE_NAMES))
+    condemned = [f"condemned_{k}" for k in RULE_NAMES]
+    verdicts = host_verdicts(rows.drop("more"), rules).where(" or ".join(condemned)).select(F.col("host").alias("_host"), *condemned)
     joined = rows.join(verdicts, F.col("host").eqNullSafe(F.col("_host")), "left")
     bad = failures(rules)
     base = (bad["few_words"] == 1) | (bad["repeats"] == 1)
-    condemned = F.lit(False)
+    lost = F.lit(False)
     for k, c in bad.items():
-        condemned = condemned | ((c == 1) & F.coalesce(F.col(f"condemned_{k}"), F.lit(False)))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & ~condemned).alias("kept"))
+        lost = lost | ((c == 1) & F.coalesce(F.col(f"condemned_{k}"), F.lit(False)))
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & ~lost).alias("kept"), *(["more"] if carry else []))
+
+
+def quality_rules(docs: DataFrame, rules: Rules = Rules(), host: Column | str = "source") -> DataFrame:
+    """Measures, base verdict and final verdict of each document. kept is false after a base failure, or if the document breaks a rule by which its host is condemned."""
+    return judged(docs, rules, host, ())
+
+
+def without_rejected(docs: DataFrame, rules: Rules = Rules(), host: Column | str = "source") -> DataFrame:
+    """The rows that are kept, with all their columns: each row's own verdict decides, whatever id it has."""
+    return judged(docs, rules, host, tuple(docs.columns)).where("kept").select("more.*")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,8 +174,12 @@ def _oracle() -> str:
         "dup_lines": f"100 * n_dup_lines > {r.dup_line_percent} * n_lines",
         "word_length": f"word_chars < {r.min_mean_word} * n_words or word_chars > {r.max_mean_word} * n_words",
     }
-    m = lambda k: f"least(greatest(avg(bad_{k} / n_docs), 1e-6), 1 - 1e-6)"
-    prior = ", ".join(f"{m(k)} as m_{k}, coalesce(case when var_samp(bad_{k} / n_docs) > 0 then least(greatest({m(k)} * (1 - {m(k)}) / var_samp(bad_{k} / n_docs) - 1, 1.0), 100.0) end, 100.0) as w_{k}" for k in bad)
+    m = lambda k: f"(sum(bad_{k}) / sum(n_docs))"
+    noise = lambda k: f"({m(k)} * (1 - {m(k)}))"
+    spare = "(sum(n_docs) - sum(cast(n_docs as double) * n_docs) / sum(n_docs))"
+    spread = lambda k: f"((sum(bad_{k} / n_docs * bad_{k}) - sum(bad_{k}) * {m(k)} - {noise(k)} * (count(*) - 1)) / {spare})"
+    prior = ", ".join(f"{m(k)} as m_{k}, case when {noise(k)} > 0 and {spare} > 0 and {spread(k)} > 0 then least(greatest({noise(k)} / {spread(k)} - 1, {MIN_WEIGHT}), {MAX_WEIGHT}) else {MAX_WEIGHT} end as w_{k}" for k in bad)
+    shrunk = lambda k: f"((bad_{k} + m_{k} * w_{k}) / (n_docs + w_{k}))"
     return rf"""
 with base as (select doc_id, source as host, coalesce(text, '') as text from documents),
 words as (select doc_id, host, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from base),
@@ -159,7 +192,7 @@ f as (select m.doc_id, host, n_words, coalesce(wc, 0) as word_chars, n_symbols,
 flags as (select *, {", ".join(f"cast(({c}) as int) as f_{k}" for k, c in bad.items())} from f),
 hosts as (select host, count(*) as n_docs, {", ".join(f"sum(f_{k}) as bad_{k}" for k in bad)} from flags group by host),
 prior as (select {prior} from hosts),
-verdicts as (select host, {", ".join(f"(bad_{k} + m_{k} * w_{k}) / (n_docs + w_{k}) > {r.host_rate} as c_{k}" for k in bad)} from hosts, prior)
+verdicts as (select host, {", ".join(f"{shrunk(k)} - {r.caution} * sqrt({shrunk(k)} * (1 - {shrunk(k)}) / (n_docs + w_{k} + 1)) > {r.host_rate} as c_{k}" for k in bad)} from hosts, prior)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f_few_words = 1 or f_repeats = 1) as base_failed,
   not (f_few_words = 1 or f_repeats = 1) and not ({" or ".join(f"(f_{k} = 1 and c_{k})" for k in bad)}) as kept
 from flags left join verdicts on flags.host is not distinct from verdicts.host"""

@@ -1,8 +1,17 @@
 """Secret scans with structural confirmation (operator 6).
 
 Plain patterns give the base spans: assignments, access keys, long hex. Candidates in base64 or hex are then decoded and must
-prove a structure before they are reported: signed tokens whose header is JSON with an algorithm, PEM and DER keys whose nested
-lengths add up, and SSH key blobs whose length-prefixed fields fill them.
+prove a structure before they are reported:
+
+- jwt: three parts of which the first two are JSON objects, the header names its algorithm, and the signature isn't empty. It
+  begins where its run of base64 letters begins.
+- pem: armour of a private key, from the last BEGIN before an END of the same label, around a private key in DER, an OpenSSH or
+  OpenPGP secret key, or (with DEK-Info) whole cipher blocks.
+- der: base64 (one line, or neighbouring lines of one width; either alphabet) or hex of a private key in DER.
+- ssh: base64 of an OpenSSH private key container.
+
+Kinds of DER are told apart by their members: PKCS#1, DSA, SEC 1, PKCS#8 and encrypted PKCS#8 private keys count; public keys,
+certificates, signatures and other sequences don't. Every scan is linear in the text: runs, lines and armour are each looked at once.
 
 Defined results: a null or empty text has no spans; spans are in code points, end exclusive, by start, then by kind as in
 KINDS; spans of different kinds may overlap; repeated rows are scanned each for itself; an empty table gives no rows; further
@@ -30,11 +39,19 @@ ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY[A-Z ]*)-----(.*?)-----END \1-----", re.S)
-BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
+LEAST_HEADER = 15  # letters of the shortest header that names an algorithm, {"alg":"x"}
+TOKEN_RUN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+)++")
+ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]++)-----")
+ARMOUR_HEADER = re.compile(r"(?m)^([A-Za-z-]+): (.*)$")
+DEK_INFO = re.compile(r"[A-Z0-9-]+,[0-9A-F]{16,}")
+#: Base64 up to the end of a line, and what the following lines begin with.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}+={0,2}(?:\r?\n[A-Za-z0-9+/_-]++={0,2})*+")
+LINE = re.compile(r"[^\r\n=]+={0,2}")
 HEXES = re.compile(r"(?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,}")
-SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
+#: Object identifiers of password-based encryption begin so, in DER (PKCS#5 and PKCS#12).
+PASSWORD_BASED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+OPENSSH = b"openssh-key-v1\0"
+INTEGER, OCTETS, OID, SEQUENCE, PART_0, PART_1 = 0x02, 0x04, 0x06, 0x30, 0xA0, 0xA1
 
 
 def decode64(s: str) -> bytes | None:
@@ -61,50 +78,173 @@ def der_end(raw: bytes, at: int = 0) -> tuple[int, int, int] | None:
     return (raw[at], begin, begin + n) if begin + n <= len(raw) else None
 
 
-def is_der_key(raw: bytes | None) -> bool:
-    """A sequence that fills the bytes, whose members fill it in turn and hold an integer, a bit or an octet string."""
-    if not raw or raw[0] != 0x30 or (top := der_end(raw)) is None or top[2] != len(raw):
-        return False
-    at, tags = top[1], []
-    while at < top[2]:
-        part = der_end(raw[: top[2]], at)
-        if part is None or part[0] & 0x1F == 0x1F:
-            return False
-        if part[0] == 0x30:
-            inner = part[1]
-            while inner < part[2]:
-                deep = der_end(raw[: part[2]], inner)
-                if deep is None:
-                    return False
-                inner = deep[2]
-        tags.append(part[0])
-        at = part[2]
-    return len(tags) >= 2 and bool({0x02, 0x03, 0x04} & set(tags))
-
-
-def is_ssh_blob(raw: bytes | None) -> bool:
-    """Length-prefixed fields that fill the bytes, the first of them a key kind."""
-    if not raw or len(raw) < 20:
-        return False
-    if raw.startswith(b"openssh-key-v1\0"):
-        return True
-    at, fields = 0, []
-    while at + 4 <= len(raw):
-        n = int.from_bytes(raw[at : at + 4], "big")
-        if at + 4 + n > len(raw):
-            return False
-        fields.append(raw[at + 4 : at + 4 + n])
-        at += 4 + n
-    return at == len(raw) and len(fields) >= 2 and fields[0].startswith(SSH_KINDS)
-
-
-def is_signed_token(s: str) -> bool:
-    head = decode64(s.split(".")[0])
+def members(raw: bytes, begin: int, end: int) -> list[tuple[int, int, int]] | None:
+    """Tag, begin and end of each value between begin and end; None if they don't fill that place."""
+    out = []
+    while begin < end:
+        part = der_end(raw, begin)
+        if part is None or part[2] > end:
+            return None
+        out.append(part)
+        begin = part[2]
+    return out
+
+
+def der_key_end(raw: bytes | None) -> int | None:
+    """Where the private key in DER that the bytes begin with ends; None if they begin with none."""
+    if not raw or raw[0] != SEQUENCE or (top := der_end(raw)) is None or not (parts := members(raw, top[1], top[2])):
+        return None
+    tags = [t for t, _, _ in parts]
+    value = lambda k: raw[parts[k][1] : parts[k][2]]
+
+    def algorithm(k: int) -> bytes | None:
+        """The object identifier that the sequence at k begins with."""
+        inner = members(raw, parts[k][1], parts[k][2]) if tags[k] == SEQUENCE else None
+        return raw[inner[0][1] : inner[0][2]] if inner and inner[0][0] == OID else None
+
+    numbers = tags.count(INTEGER) == len(tags)
+    versioned = tags[0] == INTEGER and value(0) in (b"\0", b"\1")
+    rsa = versioned and tags[:9] == [INTEGER] * 9 and (len(tags) == 9 or tags[9:] == [SEQUENCE])
+    dsa = versioned and numbers and len(tags) == 6
+    elliptic = versioned and value(0) == b"\1" and tags[1:2] == [OCTETS] and set(tags[2:]) <= {PART_0, PART_1}
+    wrapped = versioned and len(tags) >= 3 and tags[2] == OCTETS and algorithm(1) is not None and set(tags[3:]) <= {PART_0, PART_1, 0x81}
+    encrypted = tags == [SEQUENCE, OCTETS] and (algorithm(0) or b"").startswith(PASSWORD_BASED)
+    return top[2] if rsa or dsa or elliptic or wrapped or encrypted else None
+
+
+def ssh_key_end(raw: bytes | None) -> int | None:
+    """Where the OpenSSH private key container that the bytes begin with ends: cipher, key derivation and its options, a count, so many public keys, the private part."""
+    if not raw or not raw.startswith(OPENSSH):
+        return None
+
+    def field(at: int) -> int | None:
+        end = at + 4 + int.from_bytes(raw[at : at + 4], "big")
+        return end if at + 4 <= len(raw) and end <= len(raw) else None
+
+    at: int | None = len(OPENSSH)
+    for _ in range(3):
+        if (at := field(at)) is None:
+            return None
+    count = int.from_bytes(raw[at : at + 4], "big")
+    if not 1 <= count <= len(raw):
+        return None
+    at += 4
+    for _ in range(count + 1):
+        if (at := field(at)) is None:
+            return None
+    return at
+
+
+def is_pgp_secret(raw: bytes | None) -> bool:
+    """A first OpenPGP packet that is a secret key: tag 5, in the old or the new format."""
+    return bool(raw) and len(raw) > 16 and (raw[0] & 0xFC == 0x94 or raw[0] == 0xC5)
+
+
+def json_object(s: str) -> dict | None:
     try:
-        fields = json.loads(head or b"")
+        got = json.loads(decode64(s) or b"")
     except (ValueError, RecursionError):
+        return None
+    return got if isinstance(got, dict) else None
+
+
+def tokens_of(run: str) -> Iterator[tuple[int, int]]:
+    """Begin and end of the signed tokens in a run of base64 letters and dots."""
+    parts, at, k = run.split("."), 0, 0
+    while k + 2 < len(parts):
+        size = len(parts[k])
+        if size >= LEAST_HEADER and parts[k].startswith("eyJ") and parts[k + 2] and isinstance((json_object(parts[k]) or {}).get("alg"), str) and json_object(parts[k + 1]) is not None and decode64(parts[k + 2]):
+            end = at + size + len(parts[k + 1]) + len(parts[k + 2]) + 2
+            yield at, end
+            at, k = end + 1, k + 3
+        else:
+            at, k = at + size + 1, k + 1
+
+
+def armoured(text: str) -> Iterator[tuple[int, int]]:
+    """Begin and end of confirmed private keys in armour. A BEGIN that another one follows before its END is no key's."""
+    begun: re.Match | None = None
+    for m in ARMOUR.finditer(text):
+        if m[1] == "BEGIN":
+            begun = m
+        elif begun is not None:
+            if begun[2] == m[2] and "PRIVATE KEY" in m[2] and is_private_armour(m[2], text[begun.end() : m.start()]):
+                yield begun.start(), m.end()
+            begun = None
+
+
+def is_private_armour(label: str, body: str) -> bool:
+    headers = dict(ARMOUR_HEADER.findall(body))
+    body = ARMOUR_HEADER.sub("", body)
+    if "PGP" in label:
+        return is_pgp_secret(decode64("\n".join(x for x in body.split("\n") if not x.startswith("="))))
+    raw = decode64(body)
+    if not raw:
         return False
-    return isinstance(fields, dict) and isinstance(fields.get("alg"), str)
+    if "DEK-Info" in headers:
+        return "ENCRYPTED" in headers.get("Proc-Type", "") and DEK_INFO.match(headers["DEK-Info"]) is not None and len(raw) >= 32 and len(raw) % 8 == 0
+    return len(raw) in (der_key_end(raw), ssh_key_end(raw))
+
+
+def key_in_lines(block: str, lines: list[tuple[int, int]]) -> tuple[str, int] | None:
+    """Kind and end of the private key that the lines of a block begin with, if it ends where one of them does.
+
+    Not more is decoded than the key's own length says (DER), or about twice the key (SSH).
+    """
+    first = decode64(block[lines[0][0] : lines[0][0] + 20]) or b""
+    if first == OPENSSH:
+        kind, want = "ssh", 256
+    elif first[:1] == b"0" and len(first) > 6:
+        k = first[1] & 0x7F if first[1] & 0x80 else 0
+        kind, want = "der", 2 + k + (int.from_bytes(first[2 : 2 + k], "big") if k else first[1])
+    else:
+        return None
+    plain = "".join(block[a:b].rstrip("=") for a, b in lines)
+    most = len(plain) * 3 // 4
+    if kind == "der" and want > most:
+        return None
+    while True:
+        part = plain[: -(-want * 4 // 3)]
+        raw = decode64(part[: len(part) - (len(part) % 4 == 1)])
+        size = ssh_key_end(raw) if kind == "ssh" else der_key_end(raw)
+        if size is not None or kind == "der" or want >= most:
+            break
+        want *= 2
+    if size is None:
+        return None
+    left = -(-size * 4 // 3)  # letters, to be counted off line by line
+    for a, b in lines:
+        here = len(block[a:b].rstrip("="))
+        if left <= here:
+            return (kind, b) if left == here else None
+        left -= here
+    return None
+
+
+def keys_in_block(block: str, inside: bool) -> Iterator[tuple[int, int, str]]:
+    """Private keys in neighbouring lines of base64.
+
+    A key begins with a line and goes over lines of one width; the last can be shorter, and so can the block's first if it begins inside
+    a line, after other text. Padding ends a key. Where none is found, its lines are not looked at again, but for those after such a first line.
+    """
+    lines = [m.span() for m in LINE.finditer(block)]
+    size = lambda k: lines[k][1] - lines[k][0]
+    k = 0
+    while k < len(lines):
+        last, width = k, None
+        while last + 1 < len(lines) and block[lines[last][1] - 1] != "=":
+            if width is None:
+                width = size(k + 1) if k == 0 and inside else size(k)
+            if (last > k and size(last) != width) or size(last + 1) > width:
+                break
+            last += 1
+        found = key_in_lines(block, lines[k : last + 1])
+        if found is None:
+            k = 1 if k == 0 and inside else last + 1
+        else:
+            yield lines[k][0], found[1], found[0]
+            while k < len(lines) and lines[k][0] < found[1]:
+                k += 1
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -120,24 +260,16 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     spans = []
     if "eyJ" in text:
-        spans += [(m.start(), m.end(), "jwt") for m in JWT.finditer(text) if is_signed_token(m[0])]
-    if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = re.sub(r"(?m)^[A-Za-z-]+: .*$", "", m[2])
-            raw = decode64(body)
-            if is_der_key(raw) or is_ssh_blob(raw) or (raw and "ENCRYPTED" in m[0]):
-                spans.append((m.start(), m.end(), "pem"))
+        for m in TOKEN_RUN.finditer(text):
+            if "eyJ" in m[0]:
+                spans += [(m.start() + a, m.start() + b, "jwt") for a, b in tokens_of(m[0])]
+    if "-----END " in text:
+        spans += [(a, b, "pem") for a, b in armoured(text)]
     for m in BASE64.finditer(text):
-        raw = decode64(m[0])
-        if raw and raw[0] == 0x30 and is_der_key(raw):
-            spans.append((m.start(), m.end(), "der"))
-        elif is_ssh_blob(raw):
-            spans.append((m.start(), m.end(), "ssh"))
+        spans += [(m.start() + a, m.start() + b, kind) for a, b, kind in keys_in_block(m[0], m.start() > 0 and text[m.start() - 1] != "\n")]
     for m in HEXES.finditer(text):
-        if m[0].startswith("30"):
-            raw = bytes.fromhex(m[0])
-            if is_der_key(raw):
-                spans.append((m.start(), m.end(), "der"))
+        if m[0].startswith("30") and der_key_end(raw := bytes.fromhex(m[0])) == len(raw):
+            spans.append((m.start(), m.end(), "der"))
     return spans
 
 

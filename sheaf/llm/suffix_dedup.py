@@ -16,13 +16,19 @@ same one. Four steps:
 Blocks of packed numbers travel instead of rows, each with the number of its partition; map tasks combine equal segments
 before, so a hot passage reaches step 2 once for each task.
 
-Defined results: a null text counts as empty; texts shorter than `length` stay whole; rows with equal ids count as one document,
-and what is a repeat in one of them goes from all at that place; a null id sorts first; an empty table gives no rows; further columns are not looked at.
+A document is an id and a text: `key`, a hash of both, tells texts apart that share an id or have none, and orders them. So ranges
+are found and applied by (id, key), never by the id alone. Anchors, segments and keys are compared by 64-bit hashes, the keys only
+among rows of one id; windows of what is left are compared byte by byte.
+
+Defined results: a null text counts as empty; texts shorter than `length` stay whole; a null id sorts before all others; of rows
+with one id, or without one, but different texts the one with the smaller key is earlier; rows with equal ids and equal texts are one
+document, which is treated alike in each of them; an empty table gives no rows; further columns are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import tempfile
 from collections.abc import Iterator
 
@@ -40,12 +46,13 @@ CHUNK = 1 << 20  # windows of a long text that are looked at together
 FLUSH = 400_000  # segments a map task combines at once
 LOW = U(0xFFFFFF)
 
-SEGMENT = np.dtype([("anchor", "<u8"), ("seg", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
-RANGE = np.dtype([("doc", "<i8"), ("start", "<u4"), ("n", "u1")])
-WANTED = np.dtype([("doc", "<i8"), ("anchor", "<u8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
+SEGMENT = np.dtype([("anchor", "<u8"), ("seg", "<u8"), ("doc", "<i8"), ("key", "<u8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
+RANGE = np.dtype([("doc", "<i8"), ("key", "<u8"), ("start", "<u4"), ("n", "u1")])
+WANTED = np.dtype([("doc", "<i8"), ("key", "<u8"), ("anchor", "<u8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
 
-BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("block", pa.binary()), ("more", pa.string())])
-BLOCK_DDL = "part int, kind int, doc_id long, block binary, more string"
+BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("block", pa.binary()), ("more", pa.string()), ("key", pa.int64())])
+BLOCK_DDL = "part int, kind int, doc_id long, block binary, more string, key long"
+KEY_MASK = (1 << 64) - 1  # keys travel as signed integers
 SEGMENTS, REPEATS, WANT, DOC, CONTEXTS = range(5)
 
 
@@ -69,7 +76,23 @@ def joined(blocks: list[bytes], dtype: np.dtype) -> np.ndarray:
 
 
 def part_of(numbers: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(numbers.astype(np.int64).view(np.uint64) if numbers.dtype != np.uint64 else numbers) % U(parts)).astype(np.int32)
+    return (mix(numbers) % U(parts)).astype(np.int32)
+
+
+NO_ID = -(2**63)  # stands for a null id
+
+
+def identity(doc_id: int | None, raw: bytes) -> tuple[int, int]:
+    """The id, or what stands for none, and the key of the document."""
+    doc = NO_ID if doc_id is None else doc_id
+    return doc, int.from_bytes(hashlib.blake2b(raw, digest_size=8, key=doc.to_bytes(8, "little", signed=True)).digest(), "little")
+
+
+def of_document(a: np.ndarray, doc: int, key: int) -> np.ndarray:
+    """The rows of one document, from rows sorted by key."""
+    lo, hi = np.searchsorted(a["key"], U(key), "left"), np.searchsorted(a["key"], U(key), "right")
+    mine = a[lo:hi]
+    return mine[mine["doc"] == doc]
 
 
 def blocks(a: np.ndarray, field: str, kind: int, parts: int) -> pa.RecordBatch:
@@ -80,10 +103,10 @@ def blocks(a: np.ndarray, field: str, kind: int, parts: int) -> pa.RecordBatch:
     cuts = np.flatnonzero(np.diff(part)) + 1
     pieces = [packed(x) for x in np.split(a, cuts)] if len(a) else []
     firsts = part[np.concatenate(([0], cuts))].tolist() if len(a) else []
-    return to_batch({"part": firsts, "kind": [kind] * len(firsts), "doc_id": [None] * len(firsts), "block": pieces, "more": [None] * len(firsts)}, BLOCK)
+    return to_batch({"part": firsts, "kind": [kind] * len(firsts), "doc_id": [None] * len(firsts), "block": pieces, "more": [None] * len(firsts), "key": [None] * len(firsts)}, BLOCK)
 
 
-def segments(doc: int, raw: bytes, length: int) -> Iterator[np.ndarray]:
+def segments(doc: int, raw: bytes, length: int, key: int = 0) -> Iterator[np.ndarray]:
     """The segments of a text, by chunks; a cut between chunks ends a segment early, which step 3 makes good."""
     b, width = np.frombuffer(raw, np.uint8), length - ANCHOR + 1
     for begin in range(0, len(b) - length + 1, CHUNK):
@@ -94,22 +117,19 @@ def segments(doc: int, raw: bytes, length: int) -> Iterator[np.ndarray]:
         s, e = np.concatenate(([0], cut)), np.concatenate((cut, [len(at)]))
         out = np.empty(len(s), SEGMENT)
         out["anchor"], out["seg"] = h[at[s]], substrings(prefix(c), s, e + length - 1)
-        out["doc"], out["start"], out["n"], out["off"] = doc, begin + s, e - s, at[s] - s
+        out["doc"], out["key"], out["start"], out["n"], out["off"] = doc, key, begin + s, e - s, at[s] - s
         yield out
 
 
 def split_repeats(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The earliest of each kind of segment, sorted by anchor; the others as ranges of repeats."""
-    a = a[np.lexsort((a["start"], a["doc"], a["n"], a["off"], a["seg"], a["anchor"]))]
+    a = a[np.lexsort((a["start"], a["key"], a["doc"], a["n"], a["off"], a["seg"], a["anchor"]))]
     if len(a):  # a row that is there twice is one document
         a = a[np.concatenate(([True], a[1:] != a[:-1]))]
     same = np.zeros(len(a), bool)
     if len(a):
         same[1:] = np.logical_and.reduce([a[f][1:] == a[f][:-1] for f in ("anchor", "seg", "off", "n")])
-    return a[~same], a[same][["doc", "start", "n"]].astype(RANGE)
-
-
-NO_ID = -(2**63)  # stands for a null id
+    return a[~same], a[same][["doc", "key", "start", "n"]].astype(RANGE)
 
 
 def _find(length: int, parts: int):
@@ -120,11 +140,13 @@ def _find(length: int, parts: int):
         def flush() -> Iterator[pa.RecordBatch]:
             first, repeats = split_repeats(np.concatenate(held))
             yield blocks(first, "anchor", SEGMENTS, parts)
-            yield blocks(repeats, "doc", REPEATS, parts)
+            yield blocks(repeats, "key", REPEATS, parts)
 
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for s in segments(NO_ID if doc is None else doc, (text or "").encode("utf-8", "surrogatepass"), length):
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                doc, key = identity(doc, raw)
+                for s in segments(doc, raw, length, key):
                     held.append(s)
                     count += len(s)
                 if count >= FLUSH:
@@ -151,39 +173,35 @@ def _meet(parts: int):
             new = np.concatenate(([True], first["anchor"][1:] != first["anchor"][:-1]))
             group = np.cumsum(new) - 1
             several = np.bincount(group)[group] > 1
-            yield blocks(repeats, "doc", REPEATS, parts)
-            yield blocks(first[several][["doc", "anchor", "start", "n", "off"]].astype(WANTED), "doc", WANT, parts)
+            yield blocks(repeats, "key", REPEATS, parts)
+            yield blocks(first[several][["doc", "key", "anchor", "start", "n", "off"]].astype(WANTED), "key", WANT, parts)
 
     return run
 
 
-CONTEXT = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
-
-
 def _contexts(length: int, parts: int):
     """Wanted segments of a partition's documents, as blocks: fields, then the segments' bytes, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, wanted = [], None
+        held, wanted, done = [], None, set()
         unzip, found, size = zstandard.ZstdDecompressor(), [], 0
         for b in batches:
-            for kind, doc, block in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            for kind, doc, block, key in zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 5)), strict=True):
                 if kind == WANT:
                     held.append(block)
                 elif kind == DOC:
                     if wanted is None:
                         wanted = joined(held, WANTED)
-                        wanted = wanted[np.argsort(wanted["doc"], kind="stable")]
-                    doc = NO_ID if doc is None else doc
-                    lo, hi = np.searchsorted(wanted["doc"], [doc, doc + 1])
-                    if lo < hi:
+                        wanted = wanted[np.argsort(wanted["key"], kind="stable")]
+                    doc, key = NO_ID if doc is None else doc, key & KEY_MASK
+                    mine = of_document(wanted, doc, key)
+                    if len(mine) and (doc, key) not in done:  # equal rows are one document
+                        done.add((doc, key))
                         raw = unzip.decompress(block)
-                        for w in wanted[lo:hi]:
+                        for w in mine:
                             begin = int(w["start"])
-                            s = raw[begin : begin + int(w["n"]) + length - 1]
-                            if len(s) == int(w["n"]) + length - 1:  # else of another row with this id
-                                found.append((w, s))
-                                size += len(s)
+                            found.append((w, raw[begin : begin + int(w["n"]) + length - 1]))
+                            size += len(found[-1][1])
                         if size > 1 << 23:
                             yield _context_blocks(found, parts)
                             found, size = [], 0
@@ -203,7 +221,7 @@ def _context_blocks(found: list, parts: int) -> pa.RecordBatch:
     for members in np.split(order, cuts):
         body = b"".join(found[k][1] for k in members)
         mine = a[members]
-        for c, v in zip(BLOCK.names, (int(part[members[0]]), CONTEXTS, len(members), zip_.compress(packed(mine) + body), None), strict=True):
+        for c, v in zip(BLOCK.names, (int(part[members[0]]), CONTEXTS, len(members), zip_.compress(packed(mine) + body), None, None), strict=True):
             rows[c].append(v)
     return to_batch(rows, BLOCK)
 
@@ -218,6 +236,11 @@ def alone(ranks: np.ndarray) -> np.ndarray:
     return np.bincount(ranks)[ranks] == 1
 
 
+def scratch_folder() -> str | None:
+    """Spark's own scratch disk of this task's executor: what is there is read by the same task only and made again if the task is."""
+    return os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
+
+
 def repeats_of(a: np.ndarray, text: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
     """Ranges of windows that are repeats, from segments (WANTED) whose bytes start in text at begin.
 
@@ -231,7 +254,7 @@ def repeats_of(a: np.ndarray, text: np.ndarray, begin: np.ndarray, length: int)
     ranks = ranks.astype(np.int32)
     most = int(a["off"].max())  # windows start up to so many bytes before their anchor
     out: list[np.ndarray] = []
-    with tempfile.TemporaryFile() as file:
+    with tempfile.TemporaryFile(dir=scratch_folder()) as file:
         right, live = ranks, np.arange(len(a))
         for column in range(length + 1):  # after the round: contexts of `column` symbols from the anchor on
             if column:
@@ -243,7 +266,7 @@ def repeats_of(a: np.ndarray, text: np.ndarray, begin: np.ndarray, length: int)
                     right[live] = new
             if column >= length - most:
                 file.write(right.tobytes())
-        left, order = ranks, np.lexsort((a["start"], a["doc"]))
+        left, order = ranks, np.lexsort((a["start"], a["key"], a["doc"]))
         earliest = np.empty(len(a), np.int64)
         earliest[order] = np.arange(len(a))
         for back in range(most + 1):  # windows that start `back` bytes before their anchor
@@ -259,7 +282,7 @@ def repeats_of(a: np.ndarray, text: np.ndarray, begin: np.ndarray, length: int)
                 o = np.lexsort((earliest[has], key))
                 later = has[o[1:][key[o[1:]] == key[o[:-1]]]]
                 r = np.empty(len(later), RANGE)
-                r["doc"], r["start"], r["n"] = a["doc"][later], a["start"][later] + first[later], 1
+                r["doc"], r["key"], r["start"], r["n"] = a["doc"][later], a["key"][later], a["start"][later] + first[later], 1
                 out.append(r)
     if not out:
         return np.empty(0, RANGE)
@@ -270,8 +293,8 @@ def compact(r: np.ndarray) -> np.ndarray:
     """Neighbouring ranges of one document joined, up to 255 windows each."""
     if not len(r):
         return r
-    r = r[np.lexsort((r["start"], r["doc"]))]
-    step = np.concatenate(([True], (r["doc"][1:] != r["doc"][:-1]) | (r["start"][1:] != r["start"][:-1] + 1)))
+    r = r[np.lexsort((r["start"], r["key"], r["doc"]))]
+    step = np.concatenate(([True], (r["doc"][1:] != r["doc"][:-1]) | (r["key"][1:] != r["key"][:-1]) | (r["start"][1:] != r["start"][:-1] + 1)))
     place = np.arange(len(r)) - np.maximum.accumulate(np.where(step, np.arange(len(r)), 0))
     head = np.flatnonzero(step | (place % 255 == 0))
     out = r[head].copy()
@@ -301,7 +324,7 @@ def _build(length: int, parts: int):
         while lo < len(a):  # whole anchors, about 50,000 segments
             k = np.searchsorted(new, lo + 50_000)
             hi = int(new[k]) if k < len(new) else len(a)
-            yield blocks(compact(repeats_of(a[lo:hi], text, begin[lo:hi], length)), "doc", REPEATS, parts)
+            yield blocks(compact(repeats_of(a[lo:hi], text, begin[lo:hi], length)), "key", REPEATS, parts)
             lo = hi
 
     return run
@@ -335,16 +358,15 @@ def _cut(length: int, with_bytes: bool):
         held, ranges, unzip = [], None, zstandard.ZstdDecompressor()
         for b in batches:
             rows: dict[str, list] = {c: [] for c in FOUND.names}
-            for kind, doc, block, more in zip(*(b.column(c).to_pylist() for c in range(1, 5)), strict=True):
+            for kind, doc, block, more, key in zip(*(b.column(c).to_pylist() for c in range(1, 6)), strict=True):
                 if kind == REPEATS:
                     held.append(block)
                     continue
                 if ranges is None:
                     ranges = joined(held, RANGE)
-                    ranges = ranges[np.argsort(ranges["doc"], kind="stable")]
+                    ranges = ranges[np.argsort(ranges["key"], kind="stable")]
                 raw = unzip.decompress(block)
-                lo, hi = np.searchsorted(ranges["doc"], [NO_ID if doc is None else doc, (NO_ID if doc is None else doc) + 1])
-                spans = spans_of(ranges[lo:hi], len(raw), length)
+                spans = spans_of(of_document(ranges, NO_ID if doc is None else doc, key & KEY_MASK), len(raw), length)
                 kept = kept_bytes(raw, spans)
                 for c, v in zip(FOUND.names, (doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if with_bytes else None, more), strict=True):
                     rows[c].append(v)
@@ -358,8 +380,9 @@ def _documents(parts: int):
         zip_ = zstandard.ZstdCompressor(level=1)
         for b in batches:
             ids = b.column(0).to_pylist()
-            part = part_of(np.array([NO_ID if x is None else x for x in ids], np.int64), parts).tolist() if ids else []
-            yield to_batch({"part": part, "kind": [DOC] * len(ids), "doc_id": ids, "block": [zip_.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()], "more": b.column(2)}, BLOCK)
+            raw = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
+            keys = np.array([identity(i, x)[1] for i, x in zip(ids, raw, strict=True)], np.uint64)
+            yield to_batch({"part": part_of(keys, parts), "kind": [DOC] * len(ids), "doc_id": ids, "block": [zip_.compress(x) for x in raw], "more": b.column(2), "key": keys.view(np.int64)}, BLOCK)
 
     return run
 

@@ -1,6 +1,7 @@
 """Token counts with a digest cache (operator 5).
 
-A document's key is the SHA-256 of its normalised content and of the tokenizer file. Counts already in the cache come by a
+A document's key is the SHA-256 of its normalised content beside that of the tokenizer file. Normalised means here: null is empty, and
+nothing else; any other change of the text could change its ids, and the counts must be those of the text itself. Counts already in the cache come by a
 join; of each missing key one text is encoded, and the new counts are appended to the cache before the join reads it.
 
 Defined results: a null text counts as empty (0 tokens); equal texts are encoded once; an empty table gives no rows;

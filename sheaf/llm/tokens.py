@@ -2,7 +2,7 @@
 
 Byte-level BPE files whose ids are the ranks of their merges are also run by tiktoken, which is built here from the same
 file and is about three times as fast. The two split alike where Unicode tables can't differ; texts with other characters,
-or with the string of a special token, go to the tokenizers library. The tests hold both against the library.
+with the string of a special token, or with very long white space go to the tokenizers library. The tests hold both against the library.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ import numpy as np
 
 #: Latin letters, ASCII controls but separators, and general punctuation: of settled category in every Unicode version.
 UNSETTLED = re.compile("[^\x00-\x1b\x20-ɏ‐-‧‰-⁞]")
+LONG_BLANK = 1 << 14  # white space in a row from which tiktoken's matcher is not used: its stack grows with it
+BLANKS = re.compile(r"\s{64,}+")
 #: Fixed value: the pre-tokenizer pattern that the byte-level kind stands for.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -51,6 +53,10 @@ def fast_encoding(spec: dict):
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def long_blank(text: str) -> bool:
+    return len(text) >= LONG_BLANK and any(m.end() - m.start() >= LONG_BLANK for m in BLANKS.finditer(text))
+
+
 class Encoder:
     """Texts to ids, as lists or arrays of unsigned 32-bit integers."""
 
@@ -71,7 +77,7 @@ class Encoder:
 
     def lists(self, texts: list[str]) -> Iterator[list[int]]:
         for t in texts:
-            if self.fast is None or UNSETTLED.search(t) or any(s in t for s in self.special):
+            if self.fast is None or UNSETTLED.search(t) or any(s in t for s in self.special) or long_blank(t):
                 yield self.library.encode(t, add_special_tokens=False).ids
             else:
                 yield self.fast.encode_ordinary(t)

@@ -1,7 +1,8 @@
 """WARC archives with an index written first (operator 4).
 
-Each task writes one archive of gzip members, a record each, and returns an index row for each record: file, offset, length,
-URL, digest. Only index rows of tasks that ended count, so what a lost executor began is never read. Reading takes the wanted
+Each task writes archives of gzip members, a record each, and returns an index row for each record: file, offset, length,
+URL, digest. An archive is closed at a gigabyte or 131,072 records. Only index rows of tasks that ended count, so what a lost
+executor began is never read. Reading takes the wanted
 index rows, sorts them by file and offset, joins neighbouring byte ranges into one read, and cuts the records out of it.
 
 Defined results: a null html is an empty payload; a null URL is written as an empty one; payloads under `least_bytes` are
@@ -65,35 +66,44 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, payload
 
 
-def _writer(folder: str):
+ROLL_BYTES, ROLL_RECORDS = 1 << 30, 1 << 17  # an archive is closed at the first that it reaches
+
+
+def _writer(folder: str, roll_bytes: int, roll_records: int):
+    """Writes a task's archives. The index rows of one go out when it is closed, so a task holds those of one archive only."""
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(folder)
-        out, at, name = None, 0, f"{base}/{TaskContext.get().partitionId():06d}-{TaskContext.get().taskAttemptId()}.warc.gz"
-        pending = []
+        task = f"{TaskContext.get().partitionId():06d}-{TaskContext.get().taskAttemptId()}"
+        out, at, name, archives = None, 0, "", 0
+        rows: dict[str, list] = {c: [] for c in INDEX.names}
         for b in batches:
-            rows: dict[str, list] = {c: [] for c in INDEX.names}
             for page_id, url, html, refers_to in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 payload = (html or "").encode("utf-8", "surrogatepass")
                 digest = digest_of(payload)
                 raw = gzip.compress(record_bytes(page_id, url or "", payload, digest, refers_to), 4, mtime=0)
                 if out is None:
                     store.create_dir(base, recursive=True)
+                    name, at, archives = f"{base}/{task}-{archives:04d}.warc.gz", 0, archives + 1
                     out = store.open_output_stream(name, compression=None)  # the members are compressed already
                 out.write(raw)
                 for c, v in zip(INDEX.names, (name, at, len(raw), url, digest, page_id), strict=True):
                     rows[c].append(v)
                 at += len(raw)
-            pending.append(to_batch(rows, INDEX))
+                if at >= roll_bytes or len(rows["file"]) >= roll_records:
+                    out.close()
+                    yield to_batch(rows, INDEX)
+                    out, rows = None, {c: [] for c in INDEX.names}
         if out is not None:
-            out.close()  # the index rows go out only when the archive is whole
-        yield from pending
+            out.close()
+            yield to_batch(rows, INDEX)
 
     return write
 
 
-def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
+def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0, roll_bytes: int = ROLL_BYTES, roll_records: int = ROLL_RECORDS) -> DataFrame:
     """Writes a record for each page and returns the index, itself written to the folder. Copies of a payload are revisits of the page with the largest id."""
     prepare(pages.sparkSession)
     html = F.coalesce("html", F.lit(""))
@@ -102,7 +112,7 @@ def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame
     groups = pages.where("_large").groupBy("_key").agg(F.max("page_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("_key", "_first")
     first = pages.join(groups, "_key", "left")
     refers_to = F.when(F.col("_large") & (F.col("_first") != F.coalesce("page_id", F.lit(-(2**63)))), F.col("_first"))
-    index = first.select("page_id", "url", "html", refers_to.alias("refers_to")).mapInArrow(_writer(folder), INDEX_DDL)
+    index = first.select("page_id", "url", "html", refers_to.alias("refers_to")).mapInArrow(_writer(folder, roll_bytes, roll_records), INDEX_DDL)
     index.write.parquet(f"{folder}/index")
     return pages.sparkSession.read.schema(INDEX_DDL).parquet(f"{folder}/index")
 
@@ -151,5 +161,3 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "warc")
     index = write_warc(table(spark, sf_dir, "pages"), folder)
     return read_warc(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-

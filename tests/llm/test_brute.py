@@ -362,10 +362,11 @@ def der(tag: int, body: bytes) -> bytes:
 
 
 def test_secret_structures():
-    key = der(0x30, der(2, b"\0") + der(2, bytes(range(1, 200))) + der(2, b"\1\0\1"))
-    ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", bytes(range(32))))
+    key = der(0x30, der(2, b"\0") + der(2, bytes(range(1, 200))) + der(2, b"\1\0\1") + der(2, bytes(range(1, 99))) * 6)
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(field(b"ssh-ed25519") + field(bytes(range(32)))) + field(bytes(96))
     jwt = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (json.dumps({"alg": "HS256", "typ": "JWT"}).encode(), b'{"sub":"1"}', b"signature"))
-    pem = f"-----BEGIN PRIVATE KEY-----\n{b64(key)}\n-----END PRIVATE KEY-----"
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{b64(key)}\n-----END RSA PRIVATE KEY-----"
     text = f"é {jwt} x\n{pem}\nssh {b64(ssh)} hex {key.hex()}"
     kinds = {text[a:b]: k for a, b, k in secrets.confirmed_spans(text)}
     assert kinds[jwt] == "jwt" and kinds[pem] == "pem" and kinds[b64(ssh)] == "ssh" and kinds[key.hex()] == "der" and kinds[b64(key)] == "der"
