@@ -2,7 +2,10 @@
 
 Quality rules reject documents; of near duplicates (five-word shingles, likeness of 0.8 or more) one of each group stays;
 repeated 100-byte strings are cut out of the texts; secrets are replaced by a mark; the last stage packs token sequences.
-Bytes of a character that was cut in part go with it. A text that is cut to nothing stays as an empty document.
+
+Every decision is taken for a row and applied to that row: no stage joins by doc_id, so rows that share an id or have none are
+neither lost nor spared for another's sake. Each stage states what it does with them; an empty table gives no rows in all of them, a
+null text counts as empty (and stays null until it is cut or packed), and columns other than those of documents are left out.
 """
 
 from __future__ import annotations
@@ -14,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.llm.common import prepare, table, to_batch, written
-from sheaf.llm.near_duplicates import near_duplicates
+from sheaf.llm.near_duplicates import without_near_duplicates
 from sheaf.llm.packing import pack
-from sheaf.llm.quality_rules import quality_rules
+from sheaf.llm.quality_rules import without_rejected
 from sheaf.llm.secrets import redact
 from sheaf.llm.suffix_dedup import repeated_bytes
 from sheaf.llm.tokens import tokenizer_path
@@ -24,20 +27,14 @@ from sheaf.llm.tokens import tokenizer_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Documents but for the rejected ids. These are written first, so Spark knows their size: few of them are broadcast, more are joined by a shuffle. A document without an id stays."""
-    rejected = written(rejected.select("doc_id").where("doc_id is not null").distinct(), "rejected")
-    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    return without(docs, quality_rules(docs).where("not kept"))
+    """Documents that the rules reject go: each row by its own text and host. Null and empty texts have too few words. A null source is a host."""
+    return without_rejected(docs.select(*COLUMNS))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return without(docs, near_duplicates(docs, percent=80, tables=10).where("not kept"))
+    """One document of each group of near duplicates stays: the smallest id, with all rows of the group that carry it; of groups without any id one row. Texts without words stay."""
+    return without_near_duplicates(docs.select(*COLUMNS), percent=80, tables=10)
 
 
 def _decoded(schema: pa.Schema):
@@ -51,7 +48,7 @@ def _decoded(schema: pa.Schema):
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated strings go, the documents stay, with their row's other columns."""
+    """Repeated strings go, all rows stay with their other columns; n_chars is counted anew. Bytes of a character that was cut in part go with it. A text that is cut to nothing stays as an empty one, and so does a null text. Rows with equal ids and texts are one document."""
     cut = repeated_bytes(docs, with_bytes=True, carry=("lang", "source")).select("doc_id", F.col("kept").alias("text"), "lang", "source")
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string())])
     return cut.mapInArrow(_decoded(schema), "doc_id long, text string, lang string, source string").withColumn("n_chars", F.char_length("text").cast("long"))
@@ -65,13 +62,14 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets give way to a mark, the documents stay."""
+    """Secrets give way to a mark; all rows stay, null texts as null, and n_chars is counted anew."""
     prepare(spark)
     clean = docs.select(*COLUMNS).mapInArrow(_redacted, docs.select(*COLUMNS).schema)
     return clean.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each row; an empty or null text is one piece, the end id."""
     return pack(docs, tokenizer_path())
 
 
