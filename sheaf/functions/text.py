@@ -48,6 +48,7 @@ def ocr_fixed(x: Column | str) -> Column:
     return x
 
 
+#: Fixed values.
 _GROUPS = ((r"\\frac\{([^}]+)\}\{([^}]+)\}", "$1/$2"), (r"\\sqrt\{([^}]+)\}", "√($1)"), (r"\^\{([^}]+)\}", "^($1)"))
 _PLAIN = tuple((rf"\\{name}\{{([^}}]+)\}}", "$1") for name in ("text", "mathrm", "textbf", "textit"))
 _BRACES = ((r"\{([^}]+)\}", "$1"),)
@@ -117,6 +118,7 @@ def described_options(x: Column | str) -> Column:
     return F.when(F.size(letters) == 4, letters).when(F.size(named) == 4, named)
 
 
+#: Fixed value.
 IMAGE = r"!\[([^\]]*)\]\(([^\)]+)\)"
 
 
@@ -134,6 +136,7 @@ def image_caption(x: Column | str, image: Column | str) -> Column:
     return F.get(good, F.lit(0))
 
 
+#: Fixed value.
 DIAGRAM_WORDS = r"(?i)(Figure|Fig\.?|Diagram|Graph|Circuit|shown\s+in|figure\s+\d|diagram\s+\d)"
 
 
@@ -219,3 +222,35 @@ def plain(x: Column | str, kind: str = "string") -> Column:
 
 def size_label(n: Column | str) -> Column:
     return F.when(_c(n) < 1024, F.concat(_c(n).cast("string"), F.lit(" B"))).when(_c(n) < 1048576, F.format_string("%.1f KB", _c(n) / 1024)).otherwise(F.format_string("%.1f MB", _c(n) / 1048576))
+
+
+def file_size_label(kb: Column | str) -> Column:
+    """Whole kilobytes, as megabytes beyond 1024."""
+    return F.when(_c(kb) > 1024, F.format_string("%.1f MB", _c(kb) / 1024)).otherwise(F.concat(_c(kb).cast("string"), F.lit(" KB")))
+
+
+def image_bytes(x: Column | str) -> Column:
+    """An image from base64, with or without a data URI before it; null if it isn't base64."""
+    return F.try_to_binary(F.regexp_replace(_c(x), r"^data:[^,]*,", ""), F.lit("base64"))
+
+
+#: Mathematics between double dollars is displayed, between single ones it stands in the line.
+DISPLAYED, INLINE = r"\$\$([^$]+)\$\$", r"\$([^$]+)\$"
+
+
+def math_spans(x: Column | str) -> Column:
+    """Array of (displayed, body) of a text's mathematics: displayed ones first, then those in lines, trimmed."""
+    rest = F.regexp_replace(_c(x), DISPLAYED, "")
+    spans = lambda c, p, shown: F.transform(F.regexp_extract_all(c, F.lit(p), F.lit(1)), lambda m: F.struct(F.lit(shown).alias("displayed"), wide_trim(m).alias("body")))
+    return F.concat(spans(_c(x), DISPLAYED, True), spans(rest, INLINE, False))
+
+
+#: What stands out in a log line.
+LOG_LEVEL, LOG_STEP, LOG_TIME = r"\[(ERROR|WARN|INFO|DEBUG)\]", r"Step (\d/\d):", r"(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}Z)"
+LOG_NUMBERS = r"\b(\d{1,3}/\d{1,3}|\d+ pages|\d+ chars|\d+ questions|\+[\d.]+s)\b"
+
+
+def log_tokens(x: Column | str) -> Column:
+    """(level, step, at, numbers) of a log line; null where a part is missing."""
+    part = lambda p: F.nullif(F.regexp_extract(_c(x), p, 1), F.lit(""))
+    return F.struct(part(LOG_LEVEL).alias("level"), part(LOG_STEP).alias("step"), part(LOG_TIME).alias("at"), F.regexp_extract_all(_c(x), F.lit(LOG_NUMBERS), F.lit(1)).alias("numbers"))

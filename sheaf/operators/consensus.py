@@ -77,12 +77,17 @@ def conflicts(voted: DataFrame) -> DataFrame:
 
 
 def gaps(voted: DataFrame) -> DataFrame:
-    """Missing numbers, each from the hole between two neighbours: no list of all numbers is made."""
+    """Missing numbers, each from the hole between two neighbours, in runs of at most GAP_RUN: no array grows with a hole, however wrong a number is read."""
     from pyspark.sql import Window
 
     before = F.coalesce(F.lag("number").over(Window.partitionBy("paper").orderBy("number")), F.lit(0))
     holes = voted.select("paper", F.col("number").cast("long").alias("number"), before.cast("long").alias("before")).where("number - before > 1")
-    return holes.select("paper", F.explode(F.sequence(F.col("before") + 1, F.col("number") - 1)).alias("number"))
+    runs = holes.select("paper", "number", F.explode(F.sequence(F.col("before") + 1, F.col("number") - 1, F.lit(GAP_RUN * GAP_RUN))).alias("far"))
+    runs = runs.select("paper", "number", F.explode(F.sequence("far", F.least(F.col("far") + GAP_RUN * GAP_RUN, F.col("number")) - 1, F.lit(GAP_RUN))).alias("near"))
+    return runs.select("paper", F.explode(F.sequence("near", F.least(F.col("near") + GAP_RUN, F.col("number")) - 1)).alias("number"))
+
+
+GAP_RUN = 4096
 
 
 def merged_passages(passages: DataFrame) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.text import word_set
+from sheaf.operators.stages import saved
+
+FREQUENT = 1000  # a word is frequent if more than one set in so many has it
+MOST_BROADCAST = 500_000  # frequent words: some ten megabytes
 
 
 def completeness(text: Column, subject: Column, kind: Column, answer: Column, n_options: Column, topic: Column, section: Column, marks: Column) -> Column:
@@ -66,14 +70,21 @@ def backfill(merged: DataFrame, key: DataFrame) -> DataFrame:
 def similar_pairs(rows: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(a, b, similarity) of texts whose word sets have a Jaccard similarity of at least the threshold; rows: (id, text).
 
-    Equal sets are one class, that of their smallest id. Exact by prefixes: two such sets share one of the rarest words of
-    each, so only those words are joined; each pair is then compared in full.
+    Equal sets are one class, that of their smallest id. Exact by prefixes: in any one order of all words, two such sets share one of the
+    first words of each, so only those are joined; each pair is then compared in full. The order puts words that many sets have last.
+    There are few of these (at most FREQUENT times the mean size of a set), so they are broadcast where their number allows, and the
+    sets' other words never travel by word.
     """
     sets = rows.select("id", F.array_sort(word_set("text")).alias("words")).where(F.size("words") > 0)
     sets = sets.groupBy(F.xxhash64("words").alias("h"), F.size("words").alias("n"), F.sha2(F.array_join("words", " "), 256).alias("s")).agg(F.min("id").alias("id"), F.first("words").alias("words")).select("id", "n", "words")
+    sets = saved(sets, "word-sets")
     tokens = sets.select("id", "n", F.explode("words").alias("w"))
-    ranked = tokens.join(tokens.groupBy("w").agg(F.count("*").alias("df")), "w").withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("df", "w")))
-    prefix = ranked.where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1).select("id", "n", "w")
+    frequent = saved(tokens.groupBy("w").agg(F.count("*").alias("df")).where(F.col("df") > max(sets.count() / FREQUENT, 2.0)), "frequent-words")
+    few = frequent.count() <= MOST_BROADCAST
+    placed = tokens.join(F.broadcast(frequent) if few else frequent, "w", "left").select("id", "n", F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.xxhash64("w").alias("h"), "w").alias("o"))
+    ranked = placed.groupBy("id", "n").agg(F.array_sort(F.collect_list("o")).alias("o"))
+    first = F.slice("o", 1, (F.col("n") - F.ceil(F.col("n") * threshold) + 1).cast("int"))
+    prefix = ranked.select("id", "n", F.explode(first).alias("o")).select("id", "n", "o.w")
     other = prefix.select(F.col("id").alias("b"), F.col("n").alias("m"), "w")
     pairs = prefix.withColumnRenamed("id", "a").join(other, "w").where((F.col("a") < F.col("b")) & (F.col("m") >= F.col("n") * threshold) & (F.col("n") >= F.col("m") * threshold)).select("a", "b").distinct()
     left, right = sets.select(F.col("id").alias("a"), F.col("words").alias("x")), sets.select(F.col("id").alias("b"), F.col("words").alias("y"))

@@ -28,6 +28,9 @@ def normalize_answers(questions: DataFrame) -> DataFrame:
     return out.withColumn("options", F.when(F.col("type") == "assertion-reason", None).otherwise(F.col("options")))
 
 
+MOST_BROADCAST = 100_000  # rows of an alias table: some megabytes
+
+
 def words(x: Column) -> Column:
     return F.filter(F.split(F.lower(x), "[^a-z0-9]+"), lambda w: w != "")
 
@@ -44,20 +47,22 @@ def word_counts_cosine(a: Column, b: Column) -> Column:
 def normalize_topics(questions: DataFrame, aliases: DataFrame, tags: DataFrame, fuzzy: int = 2, least_cosine: float = 0.3, compat: bool = False) -> DataFrame:
     """A `topic_norm` for each (topic, subject): alias, then near alias, then like words, then the subject's tags, then a default.
 
-    Only distinct topics that no exact alias explains are compared with the alias table, which is of fixed size. Unless compat
+    Only distinct topics that no exact alias explains are compared with the alias table, which is broadcast up to MOST_BROADCAST rows. Unless compat
     is set, a topic that is one of its subject's tags stays, instead of being taken for a near alias of another, and of like
     words a canonical name that the topic holds as a whole goes before names and aliases that it shares a part with.
     """
     key = F.lower(wide_trim("topic"))
+    few = aliases.count() <= MOST_BROADCAST
+    spread = F.broadcast if few else lambda d: d
     asked = questions.select("topic", "subject").distinct().withColumn("key", key)
     blank = F.coalesce("key", F.lit("")) == ""
     aliases = aliases.select(F.col("alias"), F.col("canonical"), F.col("ord"))
-    exact = asked.join(F.broadcast(aliases), F.col("key") == F.col("alias"), "left").select("topic", "subject", "key", F.col("canonical").alias("exact"))
+    exact = asked.join(spread(aliases), F.col("key") == F.col("alias"), "left").select("topic", "subject", "key", F.col("canonical").alias("exact"))
     tagged = exact.join(F.broadcast(tags.select(F.col("subject").alias("s"), "tag")), (F.col("subject") == F.col("s")) & (F.col("key") == F.col("tag")), "left").drop("s")
     open_keys = tagged.where(F.col("exact").isNull() & ~blank & (F.lit(compat) | F.col("tag").isNull())).select("key").distinct()
     d = F.levenshtein(F.col("key"), F.col("alias"), fuzzy)
     names = F.initcap(F.replace("canonical", F.lit("-"), F.lit(" ")))
-    near = open_keys.join(F.broadcast(aliases)).withColumns({"d": d, "by_name": word_counts_cosine(F.col("key"), names), "by_alias": word_counts_cosine(F.col("key"), F.col("alias"))})
+    near = open_keys.join(spread(aliases)).withColumns({"d": d, "by_name": word_counts_cosine(F.col("key"), names), "by_alias": word_counts_cosine(F.col("key"), F.col("alias"))})
     held = ~F.lit(compat) & (F.col("by_name") > least_cosine) & (F.size(F.array_except(words(names), words(F.col("key")))) == 0)
     near = near.groupBy("key").agg(
         F.min_by(F.when(F.col("d") >= 0, F.col("canonical")), F.when(F.col("d") >= 0, F.col("ord"))).alias("fuzzy"),

@@ -30,12 +30,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def candidates_query(sql: str) -> Callable[[Callable[[DataFrame], DataFrame]], Callable[[DataFrame], DataFrame]]:
-    """A query over v_candidates, whose SQL is fixed and cuts texts, and the same over all documents' whole texts as whole_..."""
+    """A query over the candidates of all documents, with their whole texts."""
 
     def add(f: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-        for prefix, name in (("", "v_candidates"), ("whole_", "v_whole_candidates")):
-            QUERIES[prefix + f.__name__] = lambda spark, sf, name=name: f(view(spark, sf, name))
-            ORACLES[prefix + f.__name__] = for_tables(sql.replace("{v_candidates}", "{" + name + "}"))
+        QUERIES[f.__name__] = lambda spark, sf: f(view(spark, sf, "v_candidates"))
+        ORACLES[f.__name__] = for_tables(sql)
         return f
 
     return add
@@ -183,7 +182,7 @@ def parse_responses(spark, sf):
     return readers.parse_responses(rows).select("key", "pos", "number", "text", "answer")
 
 
-CHUNK_ROWS = f"""{CHUNKED}, rows as (select paper, page as number, chunk_index, doc_id as pos, 'physics' as subject, 'mcq' as type, substr(markdown, 1, 60) as text, case when (doc_id + chunk_index) % 3 = 0 then '' else cast((doc_id + chunk_index) % 4 as varchar) end as answer,
+CHUNK_ROWS = f"""{CHUNKED}, rows as (select paper, page as number, chunk_index, doc_id as pos, 'physics' as subject, 'mcq' as type, markdown as text, case when (doc_id + chunk_index) % 3 = 0 then '' else cast((doc_id + chunk_index) % 4 as varchar) end as answer,
 case when doc_id % 7 = 0 then null when (doc_id + chunk_index) % 2 = 0 then '["A","B","C","D"]' else '["A","B","C","a longer one"]' end as options, case when doc_id % 4 = 0 then null else 'waves' end as topic, case when doc_id % 6 = 0 then 'a' end as section, case when (doc_id + chunk_index) % 5 = 0 then 0.0 else 4.0 end as marks, chunk_index % 2 = 0 as answer_key_found from chunked),
 scored as (select *, cast(case when coalesce(text, '') <> '' then 2 else 0 end + 4 + case when answer <> '' then 3 else 0 end + case when options is not null then 2 else 0 end + case when topic is not null then 1 else 0 end + case when section is not null then 1 else 0 end + case when marks > 0 then 1 else 0 end as int) as "full" from rows),
 best as (select * from (select *, row_number() over (partition by paper, number order by "full" desc, case when answer <> '' then 0 else 1 end, coalesce(length(options), 0) desc, case when topic is not null then 0 else 1 end, chunk_index, pos) as rn from scored) as x where rn = 1)"""
@@ -214,7 +213,7 @@ def merge_best_row(spark, sf):
 
 @query()
 def merge_fold(spark, sf):
-    """The exact fold; its order isn't transitive, which SQL can't say. Tested against a loop."""
+    """The exact fold, whose order isn't transitive."""
     return merge.merge_chunks(_chunk_rows(spark, sf)).select(*MERGED)
 
 
@@ -300,7 +299,7 @@ def topic_fuzzy(spark, sf):
 
 @query()
 def topic_normalize(spark, sf):
-    """The whole cascade; its parts are checked by topic_fuzzy and by tests."""
+    """The whole cascade."""
     rows = normalize.normalize_topics(questions(spark, sf), alias_table(spark), tag_table(spark))
     return rows.groupBy("topic", "subject", "topic_norm").agg(F.count("*").alias("n"))
 
@@ -593,13 +592,6 @@ def integrity_report(spark, sf):
 # Files and diagrams
 
 
-@query()
-def repair_options(spark, sf):
-    """Needs a lookahead, which the other engine's patterns lack; tested by examples."""
-    rows = spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", F.array(F.concat(F.lit("(1) "), "p_name", F.lit(" (2) "), "p_type"), F.lit("plain")).alias("o"))
-    return rows.select("p_partkey", F.array_join(tx.repair_options("o"), "|").alias("options"))
-
-
 @query("select p_partkey as id, 0 as place, case when p_partkey % 2 = 0 then null else 'Fig' end as label, 'img' || cast(p_size as varchar) || '.png' as filename, p_name || ' drawn' as caption from part")
 def image_references(spark, sf):
     rows = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("id"), F.expr("concat('See ![', case when p_partkey % 2 = 0 then '' else 'Fig' end, '](img', p_size, '.png)\\n', p_name, ' drawn\\nend')").alias("text"))
@@ -647,3 +639,6 @@ def event_dedup_stream(spark, sf):
 def event_sessions(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     return e.groupBy(F.session_window("ts", "30 minutes"), "user_id").agg(F.count("*").alias("c")).groupBy("user_id").agg(F.count("*").alias("sessions"), F.sum("c").alias("n"))
+
+
+import sheaf.plans.more  # noqa: E402, F401  the rest of the catalogue, which registers itself

@@ -11,14 +11,10 @@ KEY_LINE = " Answer Key 1(2) 2(4) 3(1) 4(3) 5(2) 6(1) 7(4) 8(3) 9(2) 10(1) 11(3)
 
 VIEWS = {
     "v_pages": f"""select paper, page, n_pages, doc_id, lang, case when n_pages - page < 2 and cast(substr(paper, 4) as int) % 2 = 0 then text || '{KEY_LINE}' else text end as markdown
-from (select source as paper, cast(row_number() over (partition by source order by doc_id) as bigint) as page, count(*) over (partition by source) as n_pages, doc_id, lang, text from {{documents}}) as d""",
+from (select d.source as paper, k.page, k.n_pages, d.doc_id, d.lang, d.text from {{documents}} as d join (select doc_id, source, cast(row_number() over (partition by source order by doc_id) as bigint) as page, count(*) over (partition by source) as n_pages from {{documents}}) as k
+on d.doc_id = k.doc_id and d.source is not distinct from k.source) as p""",
     "v_providers": "select 0 as p, 'poolside' as provider union all select 1, 'longcat-lite' union all select 2, 'nvidia-qwen'",
-    "v_candidates": """select paper, provider, p as rank, page as number, doc_id, substr(markdown, 1, 80) || case when doc_id % 10 = 0 then ' v' || cast(p as string) when (doc_id * 7 + p) % 5 = 0 then ' *' else '' end as text,
-case when (doc_id + p) % 11 = 0 then '' when doc_id % 10 = 0 then cast((doc_id + p) % 4 as string) else cast((doc_id + case when (doc_id + p) % 4 = 0 then p else 0 end) % 4 as string) end as answer,
-case doc_id % 4 when 0 then 'physics' when 1 then 'chemistry' when 2 then 'mathematics' else 'biology' end as subject,
-case when doc_id % 9 = 0 then null else '["A' || cast(doc_id % 7 as string) || '","B","C' || case when p = 2 and doc_id % 6 = 0 then '?' else '' end || '","D"]' end as options
-from {v_pages} as pages, {v_providers} as providers where (doc_id * 3 + p) % 13 <> 0 and doc_id % 17 <> 5""",
-    "v_whole_candidates": """select paper, provider, p as rank, page + 2 * cast(floor(page / 3) as bigint) - case when p = 1 and page % 3 = 0 then 1 else 0 end as number, doc_id, markdown || case when doc_id % 10 = 0 then ' v' || cast(p as string) when (doc_id * 7 + p) % 5 = 0 then ' *' else '' end as text,
+    "v_candidates": """select paper, provider, p as rank, page + 2 * cast(floor(page / 3) as bigint) - case when p = 1 and page % 3 = 0 then 1 else 0 end as number, doc_id, markdown || case when doc_id % 10 = 0 then ' v' || cast(p as string) when (doc_id * 7 + p) % 5 = 0 then ' *' else '' end as text,
 case when (doc_id + p) % 11 = 0 then '' when doc_id % 10 = 0 then cast((doc_id + p) % 4 as string) else cast((doc_id + case when (doc_id + p) % 4 = 0 then p else 0 end) % 4 as string) end as answer,
 case doc_id % 4 when 0 then 'physics' when 1 then 'chemistry' when 2 then 'mathematics' else 'biology' end as subject,
 case when doc_id % 9 = 0 then null else '["A' || cast(doc_id % 7 as string) || '","B","C' || case when p = 2 and doc_id % 6 = 0 then '?' else '' end || '","D"]' end as options

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession, label: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/sheaf-streams"
+    """A fresh folder under spark.checkpoint.dir, which executors share; only a local session gets a temporary one if that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.gettempdir()}/sheaf-streams"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -10,7 +10,7 @@ from sheaf.sources.views import questions, view
 
 
 def test_candidates_hold_every_document_and_its_whole_text(spark, sf):
-    c, pages = view(spark, sf, "v_whole_candidates"), view(spark, sf, "v_pages").select("doc_id", "markdown")
+    c, pages = view(spark, sf, "v_candidates"), view(spark, sf, "v_pages").select("doc_id", "markdown")
     assert c.count() == 3 * pages.count()
     assert pages.join(c.groupBy("doc_id").agg(F.count_distinct("provider").alias("n")), "doc_id", "left").where("not n <=> 3").count() == 0
     assert c.join(pages, "doc_id").where("not startswith(text, markdown) or length(text) > length(markdown) + 3").count() == 0
@@ -18,8 +18,8 @@ def test_candidates_hold_every_document_and_its_whole_text(spark, sf):
 
 
 def test_candidates_still_have_gaps_and_one_sided_numbers(spark, sf):
-    assert catalog.QUERIES["whole_consensus_gaps"](spark, sf).count() > 0
-    seen = {r.status for r in catalog.QUERIES["whole_positional_diff"](spark, sf).select("status").distinct().collect()}
+    assert catalog.QUERIES["consensus_gaps"](spark, sf).count() > 0
+    seen = {r.status for r in catalog.QUERIES["positional_diff"](spark, sf).select("status").distinct().collect()}
     assert seen == {"match", "diff", "missing-a", "missing-b"}
 
 
