@@ -6,14 +6,14 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheaf.functions.text import repair_options
+from sheaf.functions.text import has_answer_key, repair_options
 from sheaf.functions.vocabulary import EXPECTED_COUNTS
-from sheaf.operators import consensus, listing, normalize, rules
+from sheaf.operators import chunks, consensus, listing, merge, normalize, rules
 from sheaf.operators.stages import saved
-from sheaf.sources import readers
+from sheaf.sources import providers, readers
 
 COUNT_TOLERANCE = 5
 
@@ -131,8 +131,13 @@ def paper_documents(questions: DataFrame, headers: DataFrame, passages: DataFram
 
 
 def write_documents(documents: DataFrame, folder: str) -> DataFrame:
-    """Each document as a file of its own at folder/path; returns (path, bytes). A task that runs again writes the same files."""
-    body = documents.select("path", F.to_json(F.struct(*[c for c in documents.columns if c not in ("path", "document")])).alias("body"))
+    """Each document as a JSON file of its own at folder/path; returns (path, bytes)."""
+    body = F.to_json(F.struct(*[c for c in documents.columns if c not in ("path", "document")]))
+    return write_files(documents.select("path", body.cast("binary").alias("content")), folder)
+
+
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """(path, content): a file for each row at folder/path; returns (path, bytes). A task that runs again writes the same files."""
     schema = pa.schema([("path", pa.string()), ("bytes", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,15 +146,48 @@ def write_documents(documents: DataFrame, folder: str) -> DataFrame:
         store, base = fs.FileSystem.from_uri(folder)
         for b in batches:
             sizes = []
-            for path, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                raw = text.encode()
+            for path, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 store.create_dir(f"{base}/{path.rpartition('/')[0]}", recursive=True)
                 with store.open_output_stream(f"{base}/{path}") as f:
                     f.write(raw)
                 sizes.append(len(raw))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64())], schema=schema)
 
-    return body.mapInArrow(write, "path string, bytes long")
+    return files.select("path", F.col("content").cast("binary")).mapInArrow(write, "path string, bytes long")
+
+
+def reports(html_rows: DataFrame) -> DataFrame:
+    """(path, content) of one HTML page for each paper from compare.html_rows (paper, place, html)."""
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "html"))), lambda r: r["html"]), "\n")
+    page = F.concat(F.lit("<!doctype html>\n<meta charset='utf-8'>\n<table>\n"), body, F.lit("\n</table>\n"))
+    return html_rows.groupBy("paper").agg(page.alias("page")).select(F.concat("paper", F.lit("/report.html")).alias("path"), F.col("page").cast("binary").alias("content"))
+
+
+def hashed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, computed) of every file below a folder: the SHA-256 of what is in it, for state.integrity."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select("path", F.sha2("content", 256).alias("computed"))
+
+
+CANDIDATE_TEXTS = ("text", "answer", "topic", "subject", "type")
+
+
+def distributed_extraction(pages: DataFrame, recording: DataFrame, names: list[str]) -> DataFrame:
+    """Questions of papers whose chunks are dealt out to several extractors: (paper, page, n_pages, markdown) by recorded answers.
+
+    Each chunk goes to one extractor; what they say about the pages that chunks share is folded by number, without a vote, and blank
+    answers are filled from chunks in which an answer key was found.
+    """
+    texts = chunks.chunk_markdown(chunks.page_chunks(pages)).select("paper", "chunk_index", "markdown")
+    dealt = chunks.round_robin(texts, names)
+    prompts = dealt.select(F.struct("paper", "chunk_index", has_answer_key("markdown").alias("key_found")).alias("key"), "provider", F.col("markdown").alias("prompt"))
+    got = providers.Recorded(recording).answers(prompts).where("ok")
+    rows = readers.parse_responses(got.withColumn("key_found", F.col("key.key_found")))
+    rows = rows.select("key.paper", "key.chunk_index", "pos", "number", *CANDIDATE_TEXTS, F.to_json("options").alias("options"), F.lit(None).cast("string").alias("section"), "marks", F.col("key_found").alias("answer_key_found"))
+    n = F.size(F.from_json("options", "array<string>"))
+    full = merge.completeness(F.col("text"), F.col("subject"), F.col("type"), F.col("answer"), F.when(F.col("options").isNotNull(), n), F.col("topic"), F.col("section"), F.col("marks"))
+    rows = saved(rows.withColumn("full", full), "candidates")
+    return merge.backfill(merge.merge_chunks(rows), merge.answer_key(rows))
 
 
 def curate(raw: DataFrame, headers: DataFrame, aliases: DataFrame, tags: DataFrame, key_answers: DataFrame | None = None, again: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -49,6 +49,15 @@ def subjects(rows: DataFrame) -> DataFrame:
     return placed(rows, F.when(known > 0, known).otherwise(len(SUBJECTS_FIRST) + 1), F.asc_nulls_last("subject"))
 
 
+def cascade(papers: DataFrame) -> DataFrame:
+    """(exam, year, shift): the places in three menus, exams by name, an exam's years from the latest, a year's shifts by name."""
+    menu = lambda d, within, order: d.withColumn("place", F.dense_rank().over(Window.partitionBy(*within).orderBy(order)))
+    out = papers.select("exam", "year", "shift").distinct()
+    for name, within, order in (("exam_place", (), F.asc("exam")), ("year_place", ("exam",), F.desc("year")), ("shift_place", ("exam", "year"), F.asc("shift"))):
+        out = menu(out, within, order).withColumnRenamed("place", name)
+    return out
+
+
 def first_errors(errors: DataFrame, n: int = 5) -> DataFrame:
     """The first n errors of each paper, by number and kind; those of the whole paper first. The limit is the feature."""
     return placed(errors, F.asc_nulls_first("number"), F.asc("error"), within=("paper",)).where(F.col("place") <= n)

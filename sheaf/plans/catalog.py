@@ -358,13 +358,6 @@ def duplicate_flags(spark, sf):
     return rules.duplicate_flags(questions(spark, sf)).select("pos", "rule")
 
 
-@query("select pos, passage_id from {v_questions} as v where passage_id is not null and passage_id not in ('p0', 'p2')")
-def orphan_passages(spark, sf):
-    q = questions(spark, sf)
-    known = q.select("paper").distinct().select("paper", F.explode(F.array(F.lit("p0"), F.lit("p2"))).alias("id"))
-    return rules.passage_flags(q, known).join(q.select("pos", "passage_id"), "pos").select("pos", "passage_id")
-
-
 @query(f"with {Q}, tags_of(subject, tag) as (values {_TAGS}), t as (select pos, subject, unnest(tags) as t from q where tags is not null) select pos, 'Tag not in vocabulary: ' || t as message from t where not exists (select 1 from tags_of as o where o.subject = t.subject and o.tag = lower(t.t))")
 def bad_tags(spark, sf):
     return rules.tag_flags(questions(spark, sf), tag_table(spark)).select("pos", "message")
@@ -627,14 +620,6 @@ def event_tumbling_stream(spark, sf):
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query("select user_id, event_type, min(event_id) as event_id from events group by 1, 2")
-def event_dedup_stream(spark, sf):
-    """Deduplicated by a key that the table's order makes unique: the first event of each user and type."""
-    stream = ev.deduplicated(ev.event_stream(spark, f"{sf}/events.parquet"), ["event_id"], "60 days")
-    rows = ev.run_to_end(stream.select("event_id", "user_id", "event_type", "ts"), "append", "dedup")
-    return rows.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
-
-
 @query("""with g as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) < interval 30 minutes then 0 else 1 end as new from events), s as (select user_id, sum(new) over (partition by user_id order by ts rows unbounded preceding) as k from g) select user_id, cast(count(distinct k) as bigint) as sessions, count(*) as n from s group by 1""")
 def event_sessions(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheaf.functions import text as tx
-from sheaf.functions.vocabulary import EXPECTED_COUNTS, SUBJECT_TAGS, alias_rows, alias_table, tag_table
-from sheaf.operators import compare, consensus, curate, diagrams, listing, normalize, rules, similar, state
+from sheaf.functions.vocabulary import ANSWER_KEY_PATTERNS, EXPECTED_COUNTS, SUBJECT_TAGS, alias_rows, alias_table, tag_table
+from sheaf.operators import chunks, consensus, curate, diagrams, listing, normalize, rules, similar, state
 from sheaf.operators.stages import StageCache
-from sheaf.plans.catalog import ORACLES, Q, QUERIES, quoted, query
+from sheaf.plans.catalog import CHUNK_ROWS, CHUNKED, ORACLES, Q, query, quoted
 from sheaf.sources import providers, readers
 from sheaf.sources.views import for_tables, questions, view
 from sheaf.streaming import events as ev
@@ -161,8 +161,6 @@ when coalesce(n.topic, '') <> '' and coalesce(k.topic, '') = '' then true when c
 
 
 def _fold_sql() -> str:
-    from sheaf.plans.catalog import CHUNK_ROWS
-
     pack = """{'chunk_index': chunk_index, 'full': "full", 'answer': answer, 'options': options, 'topic': topic}"""
     fold = f"list_reduce(list({pack} order by chunk_index, pos), lambda k, n: case when {_FULLER} then n else k end)"
     return f'with {CHUNK_ROWS}, folded as (select paper, number, {fold} as f from scored group by paper, number) select paper, number, f.chunk_index as chunk_index, f."full" as "full", f.answer as answer, f.options as options from folded'
@@ -192,6 +190,35 @@ select f.topic, f.subject, case when coalesce(f.key, '') = '' then 'general-' ||
 ORACLES["topic_normalize"] = for_tables(TOPICS)
 
 
+# Extraction dealt out to several extractors
+
+_EXTRACTED = """with c as ({chunked}), marks as (select paper, chunk_index, bool_or({key}) as key_found from c group by 1, 2),
+rows as (select c.paper, page as number, c.chunk_index, case when key_found and (page + c.chunk_index) % 3 <> 0 then cast((page + c.chunk_index) % 4 as varchar) else '' end as answer, key_found, case when page % 5 = 0 then null else 'waves' end as topic, case when (page + c.chunk_index) % 2 = 0 then '["A","B","C","D"]' else '["A","B","C","a longer one"]' end as options from c join marks as m on m.paper = c.paper and m.chunk_index = c.chunk_index where c.chunk_index % 7 <> 5),
+scored as (select *, cast(8 + case when answer <> '' then 3 else 0 end + case when topic is not null then 1 else 0 end + 1 as int) as "full" from rows),
+folded as (select paper, number, list_reduce(list({{'chunk_index': chunk_index, 'full': "full", 'answer': answer, 'options': options, 'topic': topic}} order by chunk_index), lambda k, n: case when {fuller} then n else k end) as f from scored group by paper, number),
+keys as (select paper, number, arg_max(answer, chunk_index) as k from rows where key_found and answer <> '' group by 1, 2)
+select f.paper, f.number, f.f.chunk_index as chunk_index, f.f."full" as "full", case when f.f.answer = '' then coalesce(k.k, f.f.answer) else f.f.answer end as answer, f.f.options as options from folded as f left join keys as k on k.paper = f.paper and k.number = f.number"""
+
+
+def _extracted_sql() -> str:
+    key = " or ".join(f"regexp_matches(markdown, {quoted(p)})" for p in ANSWER_KEY_PATTERNS)
+    return _EXTRACTED.format(chunked=f"with {CHUNKED} select * from chunked", key=key, fuller=_FULLER)
+
+
+@query(_extracted_sql())
+def distributed_extraction(spark, sf):
+    """Chunks of all documents' whole texts, each read by one of three extractors (recorded); every seventh chunk fails."""
+    names = ["poolside", "longcat-lite", "nvidia-qwen"]
+    pages = view(spark, sf, "v_pages")
+    chunked = chunks.page_chunks(pages)
+    item = F.expr("""concat('{"number":', page, ',"text":"Page ', page, '","subject":"physics","type":"mcq","marks":4.0', case when page % 5 = 0 then '' else ',"topic":"waves"' end, ',"answer":"', case when (page + chunk_index) % 3 = 0 then '' else cast((page + chunk_index) % 4 as string) end, '","options":["A","B","C","', case when (page + chunk_index) % 2 = 0 then 'D' else 'a longer one' end, '"]}')""")
+    bodies = chunked.groupBy("paper", "chunk_index").agg(F.concat(F.lit('{"questions":['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", item.alias("q")))), lambda r: r["q"]), ","), F.lit("]}")).alias("raw"))
+    prompts = chunks.round_robin(chunks.chunk_markdown(chunked).select("paper", "chunk_index", F.sha2("markdown", 256).alias("prompt_sha")), names)
+    recording = prompts.join(bodies, ["paper", "chunk_index"]).where("chunk_index % 7 <> 5").select("provider", "prompt_sha", "raw")
+    out = curate.distributed_extraction(pages.select("paper", "page", "n_pages", "markdown"), recording, names)
+    return out.select("paper", F.col("number").cast("long").alias("number"), "chunk_index", "full", "answer", "options")
+
+
 # Listings
 
 @query("select p_brand as exam, cast(p_size as bigint) as year, p_container as shift, cast(row_number() over (order by p_brand, p_size desc, p_container) as int) as place from (select distinct p_brand, p_size, p_type as p_container from part) as x")
@@ -218,6 +245,11 @@ def subject_listing(spark, sf):
     return listing.subjects(questions(spark, sf).groupBy("subject").agg(F.count("*").alias("n")))
 
 
+@query("select exam, year, shift, cast(dense_rank() over (order by exam) as int) as exam_place, cast(dense_rank() over (partition by exam order by year desc) as int) as year_place, cast(dense_rank() over (partition by exam, year order by shift) as int) as shift_place from (select distinct exam, year, shift from {v_questions} as v) as x")
+def paper_cascade(spark, sf):
+    return listing.cascade(questions(spark, sf))
+
+
 @query(f"""with {Q}, e as (select paper, number, e as error from (select paper, number, 'missing_answer' as e from q where coalesce(answer, '') = '' union all select paper, number, 'invalid_option_count' from q where type = 'mcq' and (options is null or len(options) < 3 or len(options) > 5) union all select paper, number, 'missing_field' from q where trim(coalesce(text, '')) = '') as x
 union all select paper, null, 'wrong_question_count' from q group by paper having abs(count(*) - 90) > 5) select * from (select paper, number, error, cast(row_number() over (partition by paper order by number nulls first, error) as int) as place from e) as y where place <= 5""")
 def first_errors(spark, sf):
@@ -467,7 +499,7 @@ def answer_key_seen(spark, sf):
 
 
 @query("select pos, v.paper, passage_id from {v_questions} as v where passage_id in ('p1', 'p3') union all select pos, paper, passage_id from {v_questions} as v where passage_id = 'p0' and year % 2 = 1")
-def lost_passages(spark, sf):
+def orphan_passages(spark, sf):
     """Passages that a paper's questions name and that it hasn't got."""
     q = questions(spark, sf)
     known = q.select("paper", "year").distinct().select("paper", F.explode(F.when(F.col("year") % 2 == 1, F.array(F.lit("p2"))).otherwise(F.array(F.lit("p0"), F.lit("p2")))).alias("id"))
@@ -477,7 +509,7 @@ def lost_passages(spark, sf):
 # Streams
 
 @query("select user_id, count(*) as events, min(event_id) as first_id from (select user_id, event_type, cast(ts as date) as day, min(event_id) as event_id from events group by 1, 2, 3) as x group by 1")
-def event_repeats_stream(spark, sf):
+def event_dedup_stream(spark, sf):
     """Events of one user, type and day count once: of 200 events a user a share goes."""
     e = ev.event_stream(spark, f"{sf}/events.parquet").withColumn("day", F.col("ts").cast("date"))
     kept = ev.run_to_end(ev.deduplicated(e, ["user_id", "event_type", "day"], "400 days").select("user_id", "event_type", "day"), "append", "repeats")
@@ -512,19 +544,16 @@ def event_upsert_stream(spark, sf):
     return current()
 
 
-# Whole results of queries that show a part of theirs elsewhere
+# Parts of results that other queries leave out
 
-@query("select paper, 'a' as a, 'b' as b from {v_questions} as v where false union all select paper, cast(n_physics as varchar), cast(n_chemistry as varchar) from (select paper, count(*) filter (subject = 'physics') as n_physics, count(*) filter (subject = 'chemistry') as n_chemistry from {v_questions} as v group by 1) as x")
+@query("select paper, count(*) filter (subject = 'physics') as n_physics, count(*) filter (subject = 'chemistry') as n_chemistry, count(*) filter (subject = 'mathematics') as n_mathematics, count(*) filter (subject = 'biology') as n_biology from {v_questions} as v group by 1")
 def subject_counts(spark, sf):
     q = questions(spark, sf)
     out = rules.file_checks(q, q.groupBy("paper").agg(F.max("number").alias("total")))
-    return out.select("paper", F.col("n_physics").cast("string").alias("a"), F.col("n_chemistry").cast("string").alias("b"))
+    return out.select("paper", "n_physics", "n_chemistry", "n_mathematics", "n_biology")
 
 
 @query("""select paper, count(*) filter (action = 'flag') as flagged, count(*) as reviewed from (select * from (select conv_id as paper, turn as number, case when turn % 5 = 3 then 'flag' else 'accept' end as action from conversations) as y) as x group by 1""")
 def review_flags(spark, sf):
     log = read(spark, sf, "conversations").selectExpr("conv_id as paper", "turn as number", "conv_id * 1000 + turn as seq", "case when turn % 5 = 3 then 'flag' else 'accept' end as action")
     return state.review_state(log).select("paper", "flagged", "reviewed")
-
-
-__all__ = ["QUERIES", "compare"]

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheaf.operators.chunks import pages_from_content
+
 
 class Provider(Protocol):
     """Answers one prompt. An exception is a failed attempt, which becomes a row."""
@@ -50,6 +52,15 @@ def answers(prompts: DataFrame, provider: Provider, attempts: int = 3, tasks: in
     return prompts.select(F.col("key").cast("string").alias("key"), "prompt").repartition(tasks).mapInPandas(run, "key string, provider string, raw string, ok boolean, error string, attempt int")
 
 
+def pages_by(provider: str, recording: DataFrame) -> DataFrame:
+    """Pages (paper, page, markdown) from a named OCR service's recording: rows of pages, or items of content lists."""
+    if provider == "mistral":
+        return ocr_pages(recording)
+    if provider == "mineru":
+        return pages_from_content(recording).select("paper", (F.col("page_idx") + 1).alias("page"), "markdown")
+    raise ValueError(f"no such OCR service: {provider}")
+
+
 def ocr_pages(recording: DataFrame) -> DataFrame:
     """Recorded OCR rows (paper, index, markdown) to pages, numbered from 1."""
     return recording.select("paper", (F.col("index") + 1).alias("page"), "markdown")

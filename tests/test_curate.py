@@ -1,5 +1,6 @@
 """Topics by the published cases, repair, review edits, documents, listings, stage tables, similarity by vectors."""
 
+import hashlib
 import json
 import random
 from pathlib import Path
@@ -12,7 +13,7 @@ from sheaf.functions import text as tx
 from sheaf.functions.vocabulary import alias_table, tag_table
 from sheaf.operators import consensus, curate, listing, merge, normalize, rules, similar
 from sheaf.operators.stages import Metrics, StageCache, saved
-from sheaf.sources import readers
+from sheaf.sources import providers, readers
 
 TOPICS = [
     ("kinematics", "physics", "kinematics"), ("motion", "physics", "kinematics"), ("organic chemistry", "chemistry", "organic-chemistry"), ("nlm", "physics", "newtons-laws"), ("Kinematics", "physics", "kinematics"),
@@ -230,3 +231,24 @@ def test_chosen_names_and_kinds(spark):
 
 def test_rules_messages_are_given(spark):
     assert all(r.message for r in rules.RULES) and spark.range(1).select(tx.image_bytes(F.lit("data:image/png;base64,aGk=")).alias("b")).first().b == b"hi"
+
+
+def test_files_reports_and_hashes(spark, tmp_path):
+    rows = spark.createDataFrame([("p", 2, "<tr>2</tr>"), ("p", 1, "<tr>1</tr>")], "paper string, place int, html string")
+    folder = f"file://{tmp_path}/out"
+    assert [r.path for r in curate.write_files(curate.reports(rows), folder).collect()] == ["p/report.html"]
+    text = (tmp_path / "out" / "p" / "report.html").read_text()
+    assert text.index("<tr>1") < text.index("<tr>2") and text.startswith("<!doctype html>")
+    images = spark.createDataFrame([("physics/q001-a.png", bytearray(b"\x89PNG"))], "path string, content binary")
+    assert [(r.path, r.bytes) for r in curate.write_files(images, folder).collect()] == [("physics/q001-a.png", 4)]
+    hashes = {Path(r.path).name: r.computed for r in curate.hashed_files(spark, folder).collect()}
+    assert hashes["q001-a.png"] == hashlib.sha256(b"\x89PNG").hexdigest() and len(hashes) == 2
+
+
+def test_ocr_by_service_name(spark):
+    pages = spark.createDataFrame([("a", 0, "x")], "paper string, index int, markdown string")
+    items = spark.createDataFrame([("a", 0, 0, "text", "x", 0, None, None, None)], "paper string, page_idx int, pos int, type string, text string, text_level int, img_path string, caption string, table_body string")
+    for name, rows in (("mistral", pages), ("mineru", items)):
+        assert [tuple(r) for r in providers.pages_by(name, rows).collect()] == [("a", 1, "x")]
+    with pytest.raises(ValueError, match="service"):
+        providers.pages_by("other", pages)
