@@ -13,6 +13,11 @@ same one. Four steps:
    A window is a left context and a right context, so windows are equal if both ranks are.
 4. The repeats found in 2 and 3 are brought to the documents.
 
+Hot anchors take another way. A passage that many documents hold, each after another text, gives an anchor as many kinds of segments as
+there are documents. An anchor with HOT kinds or more in one map task's batch is reported, and no segment of it is compared by anchor: its
+windows are hashed one by one (128 bits), the earliest of equal ones goes on from each batch, and they meet by hash. So the passage's own windows
+are combined before they travel, and those with other text spread over all partitions. What meets by anchor is thus less than HOT kinds a batch.
+
 Blocks of packed numbers travel instead of rows, each with the number of its partition; map tasks combine equal segments
 before, so a hot passage reaches step 2 once for each task.
 
@@ -44,16 +49,20 @@ from sheaf.llm.rolling import U, grams, mix, prefix, sliding_min, substrings
 ANCHOR = 24  # bytes of an anchor
 CHUNK = 1 << 20  # windows of a long text that are looked at together
 FLUSH = 400_000  # segments a map task combines at once
+HOT = 16  # kinds of segments in one such batch from which an anchor is hot
 LOW = U(0xFFFFFF)
 
 SEGMENT = np.dtype([("anchor", "<u8"), ("seg", "<u8"), ("doc", "<i8"), ("key", "<u8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
 RANGE = np.dtype([("doc", "<i8"), ("key", "<u8"), ("start", "<u4"), ("n", "u1")])
+WINDOW = np.dtype([("hash", "<u8"), ("other", "<u8"), ("doc", "<i8"), ("key", "<u8"), ("start", "<u4")])
+ANCHOR_NUMBER = np.dtype([("anchor", "<u8")])
 WANTED = np.dtype([("doc", "<i8"), ("key", "<u8"), ("anchor", "<u8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
 
 BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("block", pa.binary()), ("more", pa.string()), ("key", pa.int64())])
 BLOCK_DDL = "part int, kind int, doc_id long, block binary, more string, key long"
 KEY_MASK = (1 << 64) - 1  # keys travel as signed integers
-SEGMENTS, REPEATS, WANT, DOC, CONTEXTS = range(5)
+#: Kinds of blocks; those that a document needs come before it.
+SEGMENTS, HOT_ANCHORS, REPEATS, WANT, DEFERRED, DOC, CONTEXTS, WINDOWS = range(8)
 
 
 def packed(a: np.ndarray) -> bytes:
@@ -132,14 +141,51 @@ def split_repeats(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[~same], a[same][["doc", "key", "start", "n"]].astype(RANGE)
 
 
-def _find(length: int, parts: int):
+WANTED_FIELDS = ["doc", "key", "anchor", "start", "n", "off"]
+
+
+def kinds_of_anchors(a: np.ndarray) -> np.ndarray:
+    """For each segment, sorted by anchor, how many there are of its anchor."""
+    new = np.concatenate(([True], a["anchor"][1:] != a["anchor"][:-1])) if len(a) else np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    return np.bincount(group)[group] if len(a) else np.zeros(0, np.int64)
+
+
+def windows(segments: np.ndarray, raw: bytes, length: int) -> np.ndarray:
+    """All windows of one document's segments, with two hashes: of their bytes, and of these in reverse."""
+    b = np.frombuffer(raw, np.uint8)
+    start = np.concatenate([np.arange(int(w["start"]), int(w["start"]) + int(w["n"])) for w in segments])
+    out = np.empty(len(start), WINDOW)
+    lo, hi = int(start.min()), int(start.max()) + length
+    part = b[lo:hi]
+    out["hash"] = substrings(prefix(part), start - lo, start - lo + length)
+    out["other"] = substrings(prefix(part[::-1]), hi - start - length, hi - start)
+    out["doc"], out["key"], out["start"] = segments["doc"][0], segments["key"][0], start
+    return out
+
+
+def split_windows(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest of equal windows; the others as ranges of repeats."""
+    a = a[np.lexsort((a["start"], a["key"], a["doc"], a["other"], a["hash"]))]
+    same = np.zeros(len(a), bool)
+    same[1:] = (a["hash"][1:] == a["hash"][:-1]) & (a["other"][1:] == a["other"][:-1])
+    later = a[same]
+    ranges = np.empty(len(later), RANGE)
+    ranges["doc"], ranges["key"], ranges["start"], ranges["n"] = later["doc"], later["key"], later["start"], 1
+    return a[~same], compact(ranges)
+
+
+def _find(length: int, parts: int, hot: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         count = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             first, repeats = split_repeats(np.concatenate(held))
-            yield blocks(first, "anchor", SEGMENTS, parts)
+            many = kinds_of_anchors(first) >= hot
+            yield blocks(first[~many], "anchor", SEGMENTS, parts)
+            yield blocks(first[many][WANTED_FIELDS].astype(WANTED), "key", DEFERRED, parts)
+            yield blocks(np.unique(first["anchor"][many]).astype(ANCHOR_NUMBER), "anchor", HOT_ANCHORS, parts)
             yield blocks(repeats, "key", REPEATS, parts)
 
         for b in batches:
@@ -159,45 +205,62 @@ def _find(length: int, parts: int):
 
 
 def _meet(parts: int):
-    """Step 2 on one partition's blocks. Blocks of repeats pass through on their way to the documents."""
+    """Step 2 on one partition's blocks. Blocks of repeats and of hot anchors' segments pass through on their way to the documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held: dict[int, list[bytes]] = {SEGMENTS: [], HOT_ANCHORS: []}
         for b in batches:
-            mine = [k == SEGMENTS for k in b.column(1).to_pylist()]
-            held += b.filter(pa.array(mine, pa.bool_())).column(3).to_pylist()
-            yield b.filter(pa.array([not x for x in mine], pa.bool_()))
-        a = joined(held, SEGMENT)
+            kinds = b.column(1).to_pylist()
+            for k, block in zip(kinds, b.column(3).to_pylist(), strict=True):
+                if k in held:
+                    held[k].append(block)
+            yield b.filter(pa.array([k not in held for k in kinds], pa.bool_()))
+        a = joined(held[SEGMENTS], SEGMENT)
         if len(a):
-            first, repeats = split_repeats(a)
-            new = np.concatenate(([True], first["anchor"][1:] != first["anchor"][:-1]))
-            group = np.cumsum(new) - 1
-            several = np.bincount(group)[group] > 1
+            many = np.isin(a["anchor"], joined(held[HOT_ANCHORS], ANCHOR_NUMBER)["anchor"])
+            yield blocks(a[many][WANTED_FIELDS].astype(WANTED), "key", DEFERRED, parts)
+            first, repeats = split_repeats(a[~many])
+            several = kinds_of_anchors(first) > 1
             yield blocks(repeats, "key", REPEATS, parts)
-            yield blocks(first[several][["doc", "key", "anchor", "start", "n", "off"]].astype(WANTED), "key", WANT, parts)
+            yield blocks(first[several][WANTED_FIELDS].astype(WANTED), "key", WANT, parts)
 
     return run
 
 
 def _contexts(length: int, parts: int):
-    """Wanted segments of a partition's documents, as blocks: fields, then the segments' bytes, compressed."""
+    """Wanted segments of a partition's documents, as blocks: fields, then the segments' bytes, compressed. Of deferred ones the windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, wanted, done = [], None, set()
+        held: dict[int, list[bytes]] = {WANT: [], DEFERRED: []}
+        wanted, deferred, done = None, None, set()
         unzip, found, size = zstandard.ZstdDecompressor(), [], 0
+        hashed: list[np.ndarray] = []
+        n_hashed = 0
+
+        def window_blocks() -> Iterator[pa.RecordBatch]:
+            first, repeats = split_windows(np.concatenate(hashed))
+            yield blocks(first, "hash", WINDOWS, parts)
+            yield blocks(repeats, "key", REPEATS, parts)
+
         for b in batches:
             for kind, doc, block, key in zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 5)), strict=True):
-                if kind == WANT:
-                    held.append(block)
+                if kind in held:
+                    held[kind].append(block)
                 elif kind == DOC:
                     if wanted is None:
-                        wanted = joined(held, WANTED)
-                        wanted = wanted[np.argsort(wanted["key"], kind="stable")]
+                        wanted, deferred = (x[np.argsort(x["key"], kind="stable")] for x in (joined(held[k], WANTED) for k in (WANT, DEFERRED)))
+                        held = {WANT: [], DEFERRED: []}
                     doc, key = NO_ID if doc is None else doc, key & KEY_MASK
-                    mine = of_document(wanted, doc, key)
-                    if len(mine) and (doc, key) not in done:  # equal rows are one document
+                    mine, hot = of_document(wanted, doc, key), of_document(deferred, doc, key)
+                    if (len(mine) or len(hot)) and (doc, key) not in done:  # equal rows are one document
                         done.add((doc, key))
                         raw = unzip.decompress(block)
+                        if len(hot):
+                            hashed.append(windows(hot, raw, length))
+                            n_hashed += len(hashed[-1])
+                            if n_hashed >= FLUSH:
+                                yield from window_blocks()
+                                hashed, n_hashed = [], 0
                         for w in mine:
                             begin = int(w["start"])
                             found.append((w, raw[begin : begin + int(w["n"]) + length - 1]))
@@ -207,6 +270,8 @@ def _contexts(length: int, parts: int):
                             found, size = [], 0
         if found:
             yield _context_blocks(found, parts)
+        if hashed:
+            yield from window_blocks()
 
     return run
 
@@ -303,15 +368,22 @@ def compact(r: np.ndarray) -> np.ndarray:
 
 
 def _build(length: int, parts: int):
-    """Step 3 on one partition's contexts, some megabytes of whole anchors at a time."""
+    """Step 3 on one partition's contexts, some megabytes of whole anchors at a time, and hot anchors' windows. Blocks of repeats pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields, bodies, unzip = [], [], zstandard.ZstdDecompressor()
+        fields, bodies, hashed, unzip = [], [], [], zstandard.ZstdDecompressor()
         for b in batches:
-            for n, block in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                raw = unzip.decompress(block)
-                fields.append(unpacked(raw[: n * WANTED.itemsize], WANTED))
-                bodies.append(np.frombuffer(raw, np.uint8, offset=n * WANTED.itemsize))
+            kinds = b.column(1).to_pylist()
+            for kind, n, block in zip(kinds, b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                if kind == WINDOWS:
+                    hashed.append(block)
+                elif kind == CONTEXTS:
+                    raw = unzip.decompress(block)
+                    fields.append(unpacked(raw[: n * WANTED.itemsize], WANTED))
+                    bodies.append(np.frombuffer(raw, np.uint8, offset=n * WANTED.itemsize))
+            yield b.filter(pa.array([k == REPEATS for k in kinds], pa.bool_()))
+        if hashed:
+            yield blocks(split_windows(joined(hashed, WINDOW))[1], "key", REPEATS, parts)
         if not fields:
             return
         a, text = np.concatenate(fields), np.concatenate(bodies)
@@ -387,7 +459,7 @@ def _documents(parts: int):
     return run
 
 
-def repeated_bytes(docs: DataFrame, length: int = 100, with_bytes: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = 100, with_bytes: bool = False, carry: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, if asked for the kept bytes, and the columns named in carry.
 
     Those travel with their row, so null and repeated ids need no join afterwards.
@@ -399,8 +471,8 @@ def repeated_bytes(docs: DataFrame, length: int = 100, with_bytes: bool = False,
     at = lambda rows: rows.repartitionById(parts, F.col("part"))
     blocks_first = lambda rows: at(rows).sortWithinPartitions("kind")  # noqa: E731  blocks stand before documents
     packed_docs = docs.mapInArrow(_documents(parts), BLOCK_DDL)
-    met = written(at(docs.select("doc_id", "text").mapInArrow(_find(length, parts), BLOCK_DDL)).mapInArrow(_meet(parts), BLOCK_DDL), "segments")
-    contexts = blocks_first(met.where(F.col("kind") == WANT).unionByName(packed_docs)).mapInArrow(_contexts(length, parts), BLOCK_DDL)
+    met = written(at(docs.select("doc_id", "text").mapInArrow(_find(length, parts, hot), BLOCK_DDL)).mapInArrow(_meet(parts), BLOCK_DDL), "segments")
+    contexts = blocks_first(met.where(F.col("kind").isin(WANT, DEFERRED)).unionByName(packed_docs)).mapInArrow(_contexts(length, parts), BLOCK_DDL)
     built = at(contexts).mapInArrow(_build(length, parts), BLOCK_DDL)
     repeats = met.where(F.col("kind") == REPEATS).unionByName(built)
     found = blocks_first(repeats.unionByName(packed_docs)).mapInArrow(_cut(length, with_bytes), FOUND_DDL)
