@@ -65,6 +65,9 @@ def release(spark: SparkSession) -> int:
     return len(folders)
 
 
+TEXTS = "zstd"  # compression of tables that hold whole texts
+
+
 def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The rows written to a shared folder and read again: later stages don't recompute what an executor loses."""
     path = shared_folder(df.sparkSession, label)

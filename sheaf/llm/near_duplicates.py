@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sheaf.llm.common import partitions, prepare, table, to_batch, written
+from sheaf.llm.common import TEXTS, partitions, prepare, table, to_batch, written
 from sheaf.llm.components import components
 from sheaf.llm.rolling import mix, shingles
 
@@ -54,21 +54,21 @@ def digest_of(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _sign(width: int, tables: int, rows: int):
-    """Rows (doc_id, text, fetch, more columns) signed; the row's number is unique, and fixed once the result is written."""
+def _sign(width: int, tables: int, rows: int, carried: bool):
+    """Rows (doc_id, fetch, more) signed by the text in `more`, which goes on if it is carried; the row's number is unique, and fixed once the result is written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for b in batches:
             out: dict[str, list] = {c: [] for c in SIGNED.names[:5]}
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(2).field("text").to_pylist(), strict=True):
                 s = shingles(text, width)
                 h = small_hashes(s, tables, rows) if len(s) else np.zeros(0, np.int64)
                 for c, v in zip(SIGNED.names, (doc_id, len(s), digest_of(s), h[:tables].tolist(), h[tables:].tolist())):
                     out[c].append(v)
-            signed = to_batch(out | {"fetch": b.column(2), "row": np.arange(row, row + b.num_rows)}, SIGNED)
+            signed = to_batch(out | {"fetch": b.column(1), "row": np.arange(row, row + b.num_rows)}, SIGNED)
             row += b.num_rows
-            yield pa.RecordBatch.from_arrays([*signed.columns, *b.columns[3:]], names=[*SIGNED.names, *b.schema.names[3:]])
+            yield pa.RecordBatch.from_arrays([*signed.columns, b.column(2)], names=[*SIGNED.names, "more"]) if carried else signed
 
     return run
 
@@ -294,14 +294,14 @@ def confirmed(groups: DataFrame, sets: Callable[[DataFrame], DataFrame], percent
 
 
 def judged(docs: DataFrame, percent: int, width: int, tables: int, rows: int, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """The written signatures, with a struct `more` of the carried columns, and (row, doc_id, n_shingles, component_id, kept) of each row."""
+    """The written signatures, with a struct `more` of the carried columns (text among them), and (row, doc_id, n_shingles, component_id, kept) of each row."""
     prepare(docs.sparkSession)
     fetch = F.xxhash64("text").alias("fetch")
-    schema, more = StructType.fromDDL(SIGNED_DDL), []
+    schema, more = StructType.fromDDL(SIGNED_DDL), F.struct(*(carry or ("text",))).alias("more")
     if carry:
-        more = [F.struct(*carry).alias("more")]
-        schema = schema.add(docs.select(*more).schema[0])
-    signed = written(docs.select("doc_id", "text", fetch, *more).mapInArrow(_sign(width, tables, rows), schema), "signed")
+        schema = schema.add(docs.select(more).schema[0])
+    signed = docs.select("doc_id", fetch, more).mapInArrow(_sign(width, tables, rows, bool(carry)), schema)
+    signed = written(signed, "signed", compression=TEXTS if carry else None)
     classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.min("fetch").alias("fetch"), F.first("left").alias("left"), F.first("right").alias("right"))
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # the numbers are fixed as they are written
 

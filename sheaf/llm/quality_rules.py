@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sheaf.llm.common import prepare, table, to_batch, written
+from sheaf.llm.common import TEXTS, prepare, table, to_batch, written
 
 SYMBOLS = "#*$%&|<>"
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -76,12 +76,17 @@ def measure(text: str | None) -> tuple[int, int, int, int, int, int]:
     return len(words), n_chars - blanks, sum(raw.count(c.encode()) for c in SYMBOLS), len(lines), len(lines) - len(set(lines)), repeat_words(words)
 
 
-def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        got = [measure(t) for t in b.column(2).to_pylist()]
-        cols = list(zip(*got, strict=True)) or [()] * 6
-        out = to_batch({"doc_id": b.column(0), "host": b.column(1)} | dict(zip(MEASURES.names[2:], cols, strict=True)), MEASURES)
-        yield pa.RecordBatch.from_arrays([*out.columns, *b.columns[3:]], names=[*out.schema.names, *b.schema.names[3:]])
+def _measured(carried: bool):
+    """Rows (doc_id, host, more) measured by the text in `more`, which goes on if it is carried."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [measure(t) for t in b.column(2).field("text").to_pylist()]
+            cols = list(zip(*got, strict=True)) or [()] * 6
+            out = to_batch({"doc_id": b.column(0), "host": b.column(1)} | dict(zip(MEASURES.names[2:], cols, strict=True)), MEASURES)
+            yield pa.RecordBatch.from_arrays([*out.columns, b.column(2)], names=[*out.schema.names, "more"]) if carried else out
+
+    return run
 
 
 def failures(rules: Rules) -> dict[str, Column]:
@@ -131,15 +136,14 @@ def beta_prior(hosts: int, docs: int, squares: float, failed: int, shares: float
 
 
 def judged(docs: DataFrame, rules: Rules, host: Column | str, carry: tuple[str, ...]) -> DataFrame:
-    """Measures, base verdict and final verdict of each row, with a struct `more` of the carried columns."""
+    """Measures, base verdict and final verdict of each row, with a struct `more` of the carried columns, text among them."""
     prepare(docs.sparkSession)
     host = F.col(host) if isinstance(host, str) else host
-    schema, more = StructType.fromDDL(MEASURES_DDL), []
+    schema, more = StructType.fromDDL(MEASURES_DDL), F.struct(*(carry or ("text",))).alias("more")
     if carry:
-        more = [F.struct(*carry).alias("more")]
-        schema = schema.add(docs.select(*more).schema[0])
-    rows = docs.select("doc_id", host.cast("string").alias("host"), "text", *more).mapInArrow(_measure_batches, schema)
-    rows = written(rows, "measures")
+        schema = schema.add(docs.select(more).schema[0])
+    rows = docs.select("doc_id", host.cast("string").alias("host"), more).mapInArrow(_measured(bool(carry)), schema)
+    rows = written(rows, "measures", compression=TEXTS if carry else None)
     condemned = [f"condemned_{k}" for k in RULE_NAMES]
     verdicts = host_verdicts(rows.drop("more"), rules).where(" or ".join(condemned)).select(F.col("host").alias("_host"), *condemned)
     joined = rows.join(verdicts, F.col("host").eqNullSafe(F.col("_host")), "left")
