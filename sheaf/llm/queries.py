@@ -16,7 +16,9 @@ from sheaf.llm.runs import op12_periodic_runs
 from sheaf.llm.secrets import op6_secret_scans
 from sheaf.llm.suffix_dedup import op8_suffix_dedup
 from sheaf.llm.token_counts import op5_token_counts
+from sheaf.llm.vector_codes import ORACLES as CODE_ORACLES
+from sheaf.llm.vector_codes import op13_vector_codes
 from sheaf.llm.warc import op4_warc
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op3_fingerprints, op4_warc, op5_token_counts, op6_secret_scans, op7_sentencepiece, op8_suffix_dedup, op9_near_duplicates, op10_language_id, op11_quality_classifier, op12_periodic_runs)}
-ORACLES = QUALITY_ORACLES | MORE_ORACLES | RUN_ORACLES
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op3_fingerprints, op4_warc, op5_token_counts, op6_secret_scans, op7_sentencepiece, op8_suffix_dedup, op9_near_duplicates, op10_language_id, op11_quality_classifier, op12_periodic_runs, op13_vector_codes)}
+ORACLES = QUALITY_ORACLES | MORE_ORACLES | RUN_ORACLES | CODE_ORACLES
