@@ -7,9 +7,9 @@ the word, so that stuttering is one feature and not one for each word; each text
 
 Training takes a bounded sample of labelled rows: `Training.most_rows`, those with the smallest hashes of id and text. Their features are
 sparse counts in a written table, dealt into `Training.shards` parts. In each round a task runs the descent over each part from the same
-model, one document after another, and the driver averages the parts' models (iterative parameter mixing). The result depends on the data
-and the parameters only, not on the number of partitions; a lost executor costs one part of one round; the driver holds a few models of
-BUCKETS x DIM floats. Scoring needs only one number for each bucket (its vector through the output difference), which is broadcast.
+model, one document after another, and the parts' models are averaged, slice by slice (iterative parameter mixing). The result depends on the data
+and the parameters only, not on the number of partitions; a lost executor costs one part of one round; the driver gets one model of
+BUCKETS x DIM floats a round. Scoring needs only one number for each bucket (its vector through the output difference), which is broadcast.
 
 Defined results: a null or empty text has only the end mark and is scored by it; without any labelled row, or with one class only, all
 scores are 1, 0 or, without a row, one half (to within 1e-26); null labels and labels of null ids are left out; of several
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from sheaf.llm.common import prepare, table, to_batch, written
 
-BITS = 17
+BITS = 16
 BUCKETS = 1 << BITS
 DIM = 8
 NGRAMS = (3, 4, 5)
@@ -144,6 +144,14 @@ class Model:
         rng = np.random.default_rng(seed)
         return Model((rng.random((BUCKETS, DIM), np.float32) - 0.5) / DIM, (rng.random((DIM, 2), np.float32) - 0.5) / DIM, np.zeros(2, np.float32))
 
+    def numbers(self) -> np.ndarray:
+        return np.concatenate([self.vectors.ravel(), self.outputs.ravel(), self.bias])
+
+    @staticmethod
+    def of(numbers: np.ndarray) -> Model:
+        vectors, outputs, bias = np.split(numbers.copy(), [BUCKETS * DIM, BUCKETS * DIM + 2 * DIM])
+        return Model(vectors.reshape(BUCKETS, DIM), outputs.reshape(DIM, 2), bias)
+
     def learn(self, ids: np.ndarray, shares: np.ndarray, label: int, rate: float) -> None:
         """One step of the descent on the cross entropy of one document."""
         own = self.vectors[ids]
@@ -190,7 +198,9 @@ COUNTED = pa.schema([("shard", pa.int32()), ("key", pa.int64()), ("doc_id", pa.i
 COUNTED_DDL = "shard int, key long, doc_id long, label int, ids binary, shares binary"
 SHARD = pa.schema([("shard", pa.int32()), ("labels", pa.list_(pa.int32())), ("ids", pa.list_(pa.binary())), ("shares", pa.list_(pa.binary()))])
 SHARD_DDL = "shard int, labels array<int>, ids array<binary>, shares array<binary>"
-MODEL = pa.schema([("n", pa.int64()), ("vectors", pa.binary()), ("outputs", pa.binary()), ("bias", pa.binary())])
+SLICE = pa.schema([("slice", pa.int32()), ("shard", pa.int32()), ("n", pa.int64()), ("numbers", pa.binary())])
+SLICE_DDL = "slice int, shard int, n long, numbers binary"
+SLICES = 8
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,35 +253,49 @@ def train(docs: DataFrame, labels: DataFrame, training: Training, folds: int) ->
     model = Model.fresh(training.seed)
     for k in range(training.rounds):
         rate = training.rate * (1 - 0.9 * k / max(1, training.rounds - 1))
-        shared = spark.sparkContext.broadcast((model.vectors, model.outputs, model.bias))
-        model = average(shards.mapInArrow(_learned(shared, rate, passes), "n long, vectors binary, outputs binary, bias binary"))
+        shared = spark.sparkContext.broadcast(model.numbers())
+        model = averaged(shards.mapInArrow(_learned(shared, rate, passes), SLICE_DDL), training.shards)
+        shared.destroy()  # the round is over: its job has ended
     return model.weights()
 
 
 def _learned(shared, rate: float, passes: int):
-    """The model after some passes over each shard."""
+    """The model after some passes over each shard, in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
                 rows = list(zip(*(b.column(i)[k].as_py() for i in (1, 2, 3)), strict=True))
-                own = Model(*(x.copy() for x in shared.value))
+                own = Model.of(shared.value)
                 for _ in range(passes):
                     for label, ids, shares in rows:
                         own.learn(*unpacked(ids, shares), label, rate)
-                yield to_batch({"n": [len(rows)], "vectors": [own.vectors.tobytes()], "outputs": [own.outputs.tobytes()], "bias": [own.bias.tobytes()]}, MODEL)
+                cut = np.array_split(own.numbers(), SLICES)
+                yield to_batch({"slice": range(SLICES), "shard": [b.column(0)[k].as_py()] * SLICES, "n": [len(rows)] * SLICES, "numbers": [x.tobytes() for x in cut]}, SLICE)
 
     return run
 
 
-def average(models: DataFrame) -> Model:
-    """The mean of the shards' models, weighted by their rows."""
-    total, sums = 0, [np.zeros((BUCKETS, DIM)), np.zeros((DIM, 2)), np.zeros(2)]
-    for r in sorted(models.collect(), key=lambda r: (r["n"], r["vectors"])):  # a row for each shard
-        total += r["n"]
-        for s, raw in zip(sums, (r["vectors"], r["outputs"], r["bias"]), strict=True):
-            s += r["n"] * np.frombuffer(raw, np.float32).reshape(s.shape)
-    return Model(*((s / total).astype(np.float32) for s in sums))
+def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean of each slice over the shards, weighted by their rows; neighbouring rows have one slice."""
+    at, n, total = None, 0, np.zeros(0)
+    out = lambda: to_batch({"slice": [at], "shard": [0], "n": [n], "numbers": [(total / n).astype(np.float32).tobytes()]}, SLICE)
+    for b in batches:
+        for k, m, raw in zip(*(b.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+            x = np.frombuffer(raw, np.float32).astype(np.float64) * m
+            if k != at:
+                if at is not None:
+                    yield out()
+                at, n, total = k, 0, np.zeros(len(x))
+            n, total = n + m, total + x
+    if at is not None:
+        yield out()
+
+
+def averaged(models: DataFrame, shards: int) -> Model:
+    """The mean of the shards' models; the driver gets one model."""
+    means = models.repartition(shards, "slice").sortWithinPartitions("slice", "shard").mapInArrow(_mean, SLICE_DDL)
+    return Model.of(np.concatenate([np.frombuffer(r["numbers"], np.float32) for r in sorted(means.collect(), key=lambda r: r["slice"])]))
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
