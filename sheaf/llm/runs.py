@@ -1,9 +1,9 @@
 """Periodic run detection (operator 12).
 
 A run is a stretch of words with smallest period q and at least max(min_length, exponent * q) words that no neighbour extends. Two places a
-period apart agree over all of a run but its first q words, so they agree over k words in a row at least, where k is the least
-max(min_length, exponent * q) - q of any q (5 here): each k words in a row inside a run occur a second time in the document. Words outside
-such repeated k-grams are masked; what survives are stretches of neighbouring repeated k-grams, and a run lies within one.
+period apart agree over all of a run but its first q words, so a run without its first q words overlaps itself without its last q in k words at least, where
+k is the least max(min_length, exponent * q) - q of any q (5 here): each word of a run is in k words in a row that the document has a second time. Words
+outside such repeated k-grams are masked; what survives are stretches of words, and a run lies within one.
 
 Main and Lorentz's search goes over the surviving segments only: a segment is halved again and again, and of each block all runs across its middle
 are found from how far the words match forwards and backwards between the middle and the place one period before or after
@@ -62,7 +62,7 @@ def overlap(min_length: int, exponent: int) -> int:
 
 
 def surviving(words: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the stretches of neighbouring k-grams that their document has twice or more. A collision of hashes makes a stretch longer, never shorter."""
+    """Begin and end of the stretches of words inside k-grams that their document has twice or more. A collision of hashes makes a stretch longer, never shorter."""
     m = len(words) - k + 1
     if m < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -71,13 +71,17 @@ def surviving(words: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, n
         h = (h ^ (h >> np.uint64(29))) * MIX + words[j : j + m].astype(np.uint64) + np.uint64(1)
     order = np.argsort(h)
     same = h[order[1:]] == h[order[:-1]]
-    twice = np.zeros(m + 2, bool)
-    twice[1 + order[1:][same]] = True
-    twice[1 + order[:-1][same]] = True
-    twice[1 : m + 1] &= doc[:m] == doc[k - 1 :]
-    # neighbours of two documents are no stretch: between them lie k - 1 places whose grams cross the border
-    edge = np.flatnonzero(twice[1:] != twice[:-1])
-    return edge[::2], edge[1::2] + k - 1
+    twice = np.zeros(m, bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    at = np.flatnonzero(twice & (doc[:m] == doc[k - 1 :]))
+    cover = np.bincount(at, minlength=len(words) + 1) - np.bincount(at + k, minlength=len(words) + 1)
+    left = np.cumsum(cover[:-1]) > 0
+    border = np.ones(len(words) + 1, bool)
+    border[1:-1] = doc[1:] != doc[:-1]
+    begin = left & (border[:-1] | np.concatenate([[True], ~left[:-1]]))
+    end = left & (border[1:] | np.concatenate([~left[1:], [True]]))
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
 
 
 class Matches:
