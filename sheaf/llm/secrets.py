@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -106,7 +107,7 @@ def der_key_end(raw: bytes | None) -> int | None:
     versioned = tags[0] == INTEGER and value(0) in (b"\0", b"\1")
     rsa = versioned and tags[:9] == [INTEGER] * 9 and (len(tags) == 9 or tags[9:] == [SEQUENCE])
     dsa = versioned and numbers and len(tags) == 6
-    elliptic = versioned and value(0) == b"\1" and tags[1:2] == [OCTETS] and set(tags[2:]) <= {PART_0, PART_1}
+    elliptic = versioned and value(0) == b"\1" and tags[1:2] == [OCTETS] and 20 <= len(value(1)) <= 66 and set(tags[2:]) <= {PART_0, PART_1}
     wrapped = versioned and len(tags) >= 3 and tags[2] == OCTETS and algorithm(1) is not None and set(tags[3:]) <= {PART_0, PART_1, 0x81}
     encrypted = tags == [SEQUENCE, OCTETS] and (algorithm(0) or b"").startswith(PASSWORD_BASED)
     return top[2] if rsa or dsa or elliptic or wrapped or encrypted else None
@@ -186,65 +187,87 @@ def is_private_armour(label: str, body: str) -> bool:
     return len(raw) in (der_key_end(raw), ssh_key_end(raw))
 
 
-def key_in_lines(block: str, lines: list[tuple[int, int]]) -> tuple[str, int] | None:
-    """Kind and end of the private key that the lines of a block begin with, if it ends where one of them does.
+class Lines:
+    """Neighbouring lines of base64: spans, letters before each (padding not counted), and how far a key that begins with each can go.
 
-    Not more is decoded than the key's own length says (DER), or about twice the key (SSH).
+    A key goes over lines of one width; the last can be shorter. Padding ends a key. Only the block's first line can begin inside a line, after
+    other text (`inside`); then the second line gives the width.
     """
-    first = decode64(block[lines[0][0] : lines[0][0] + 20]) or b""
-    if first == OPENSSH:
-        kind, want = "ssh", 256
-    elif first[:1] == b"0" and len(first) > 6:
-        k = first[1] & 0x7F if first[1] & 0x80 else 0
-        kind, want = "der", 2 + k + (int.from_bytes(first[2 : 2 + k], "big") if k else first[1])
-    else:
-        return None
-    plain = "".join(block[a:b].rstrip("=") for a, b in lines)
-    most = len(plain) * 3 // 4
-    if kind == "der" and want > most:
-        return None
-    while True:
-        part = plain[: -(-want * 4 // 3)]
-        raw = decode64(part[: len(part) - (len(part) % 4 == 1)])
-        size = ssh_key_end(raw) if kind == "ssh" else der_key_end(raw)
-        if size is not None or kind == "der" or want >= most:
-            break
-        want *= 2
-    if size is None:
-        return None
-    left = -(-size * 4 // 3)  # letters, to be counted off line by line
-    for a, b in lines:
-        here = len(block[a:b].rstrip("="))
-        if left <= here:
-            return (kind, b) if left == here else None
-        left -= here
-    return None
+
+    def __init__(self, block: str, inside: bool):
+        self.block = block
+        self.spans = [m.span() for m in LINE.finditer(block)]
+        padded = [block[b - 1] == "=" for _, b in self.spans]
+        self.before = [0]
+        for (a, b), pad in zip(self.spans, padded, strict=True):
+            self.before.append(self.before[-1] + (len(block[a:b].rstrip("=")) if pad else b - a))
+        n = len(self.spans)
+        width = [b - a for a, b in self.spans]
+        self.reach = list(range(n))
+        for k in reversed(range(n - 1)):
+            if padded[k]:
+                continue
+            if width[k + 1] == width[k] or (k == 0 and inside):
+                self.reach[k] = self.reach[k + 1]
+            elif width[k + 1] < width[k]:
+                self.reach[k] = k + 1
+
+    def letters(self, first: int, last: int, most: int) -> str:
+        """The letters from line `first` to line `last`, `most` of them at most."""
+        out, at = [], first
+        while at <= last and self.before[at] - self.before[first] < most:
+            a, _ = self.spans[at]
+            out.append(self.block[a : a + self.before[at + 1] - self.before[at]])
+            at += 1
+        return "".join(out)[:most]
+
+    def key_at(self, k: int) -> tuple[str, int] | None:
+        """Kind and last line of the private key that begins with line k, if it ends where a line does.
+
+        Not more is decoded than the key's own length says (DER), or about twice the key (SSH).
+        """
+        last = self.reach[k]
+        a, b = self.spans[k]
+        first = decode64(self.block[a : min(b, a + 20)]) or b""
+        if first == OPENSSH:
+            kind, want = "ssh", 256
+        elif first[:1] == b"0" and len(first) > 6:
+            n = first[1] & 0x7F if first[1] & 0x80 else 0
+            kind, want = "der", 2 + n + (int.from_bytes(first[2 : 2 + n], "big") if n else first[1])
+        else:
+            return None
+        most = (self.before[last + 1] - self.before[k]) * 3 // 4
+        if kind == "der" and want > most:
+            return None
+        while True:
+            part = self.letters(k, last, -(-want * 4 // 3))
+            raw = decode64(part[: len(part) - (len(part) % 4 == 1)])
+            size = ssh_key_end(raw) if kind == "ssh" else der_key_end(raw)
+            if size is not None or kind == "der" or want >= most:
+                break
+            want *= 2
+        if size is None:
+            return None
+        end = self.before[k] + -(-size * 4 // 3)
+        at = bisect.bisect_left(self.before, end, k + 1, last + 2)
+        return (kind, at - 1) if at <= last + 1 and self.before[at] == end else None
 
 
 def keys_in_block(block: str, inside: bool) -> Iterator[tuple[int, int, str]]:
-    """Private keys in neighbouring lines of base64.
+    """Private keys in neighbouring lines of base64: after a key the search goes on behind it.
 
-    A key begins with a line and goes over lines of one width; the last can be shorter, and so can the block's first if it begins inside
-    a line, after other text. Padding ends a key. Where none is found, its lines are not looked at again, but for those after such a first line.
+    Where a line begins no key, the lines that it could have gone over are not looked at again, but for those after a first line
+    inside other text. So each line is decoded twice at most, whatever keys there are.
     """
-    lines = [m.span() for m in LINE.finditer(block)]
-    size = lambda k: lines[k][1] - lines[k][0]
+    lines = Lines(block, inside)
     k = 0
-    while k < len(lines):
-        last, width = k, None
-        while last + 1 < len(lines) and block[lines[last][1] - 1] != "=":
-            if width is None:
-                width = size(k + 1) if k == 0 and inside else size(k)
-            if (last > k and size(last) != width) or size(last + 1) > width:
-                break
-            last += 1
-        found = key_in_lines(block, lines[k : last + 1])
+    while k < len(lines.spans):
+        found = lines.key_at(k)
         if found is None:
-            k = 1 if k == 0 and inside else last + 1
+            k = 1 if k == 0 and inside else lines.reach[k] + 1
         else:
-            yield lines[k][0], found[1], found[0]
-            while k < len(lines) and lines[k][0] < found[1]:
-                k += 1
+            yield lines.spans[k][0], lines.spans[found[1]][1], found[0]
+            k = found[1] + 1
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
