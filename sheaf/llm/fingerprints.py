@@ -12,7 +12,7 @@ error of about 1 / sqrt(CELLS) = 0.06; texts without words are like none but equ
 
 Defined results: a null text counts as empty; equal texts, and texts with the same lines in another order, have equal
 fingerprints; the document after the last one is the first; a single document follows itself; an empty table gives no rows;
-null ids come last. Of equal ids the order is any. Further columns are not looked at.
+null ids come last. Rows of one id, or of none, follow by their texts' hashes, then by their texts, so rows that differ have one order. Further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -182,8 +182,9 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document and of its edited text, whose second half comes from the next document in descending id order."""
     spark = prepare(docs.sparkSession)
-    order = F.col("doc_id").desc_nulls_last()
-    ranges = docs.select("doc_id", "text").repartitionByRange(partitions(spark), order).sortWithinPartitions(order)
+    # a total order up to equal rows: what follows a row doesn't depend on how the table was read, and one id can lie in several ranges
+    order = F.col("doc_id").desc_nulls_last(), F.col("_hash"), F.col("text")
+    ranges = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash")).repartitionByRange(partitions(spark), *order[:2]).sortWithinPartitions(*order)
     rows = written(ranges.mapInArrow(_in_order, STEP_DDL), "fingerprints", compression="zstd")  # hex halves
     # A row for each partition that has documents; the next such partition's number, from the last one the first.
     heads = rows.where("kind = 'head'").select(F.col("task").alias("head_task"), F.col("text").alias("head"))
