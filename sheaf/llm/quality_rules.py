@@ -4,7 +4,8 @@ Each document is measured once; its rule failures are summed by host, each host'
 with a beta prior fitted to all hosts, and the verdict goes back to the documents by a join. The prior's weight comes from the
 spread between hosts that binomial noise doesn't explain (moments of the beta-binomial, hosts weighted by their size), so
 many small hosts with the same rate give a heavy prior and not a light one. A host is condemned by a rule if its rate is above
-the limit even when `caution` posterior deviations are taken off.
+the limit even when `caution` posterior deviations are taken off. The documents of a condemned host are held to that rule's stricter
+limit (`STRICT`): what would pass elsewhere, as it is only near the limit, goes, and what is far from it stays.
 
 Defined results: a null or empty text has no words and fails the base rules; a null host is a host of its own; repeated
 rows are measured and judged each for itself, also if they share an id or have none; an empty table gives no rows; further
@@ -32,7 +33,7 @@ MEASURES_DDL = "doc_id long, host string, n_words long, word_chars long, n_symbo
 
 @dataclass(frozen=True)
 class Rules:
-    """Soft rules: a document breaks one beyond its limit; on a condemned host it also loses its place for that."""
+    """Limits of the rules: few_words and repeats are base rules, which no document may break; the others count for the host."""
 
     min_words: int = 10
     repeat_percent: int = 20
@@ -44,6 +45,8 @@ class Rules:
     caution: float = 2.0  # posterior deviations that are taken off the rate before
 
 
+#: What a document of a host that is condemned by a rule has to keep of that rule.
+STRICT = Rules(min_words=20, repeat_percent=10, symbol_percent=15, dup_line_percent=15, min_mean_word=3.0, max_mean_word=15.0)
 RULE_NAMES = ("few_words", "repeats", "symbols", "dup_lines", "word_length")
 
 
@@ -135,7 +138,7 @@ def beta_prior(hosts: int, docs: int, squares: float, failed: int, shares: float
     return m, min(max(noise / spread - 1, MIN_WEIGHT), MAX_WEIGHT) if spread > 0 else MAX_WEIGHT
 
 
-def judged(docs: DataFrame, rules: Rules, host: Column | str, carry: tuple[str, ...]) -> DataFrame:
+def judged(docs: DataFrame, rules: Rules, strict: Rules, host: Column | str, carry: tuple[str, ...]) -> DataFrame:
     """Measures, base verdict and final verdict of each row, with a struct `more` of the carried columns, text among them."""
     prepare(docs.sparkSession)
     host = F.col(host) if isinstance(host, str) else host
@@ -150,19 +153,19 @@ def judged(docs: DataFrame, rules: Rules, host: Column | str, carry: tuple[str,
     bad = failures(rules)
     base = (bad["few_words"] == 1) | (bad["repeats"] == 1)
     lost = F.lit(False)
-    for k, c in bad.items():
+    for k, c in failures(strict).items():
         lost = lost | ((c == 1) & F.coalesce(F.col(f"condemned_{k}"), F.lit(False)))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & ~lost).alias("kept"), *(["more"] if carry else []))
 
 
-def quality_rules(docs: DataFrame, rules: Rules = Rules(), host: Column | str = "source") -> DataFrame:
-    """Measures, base verdict and final verdict of each document. kept is false after a base failure, or if the document breaks a rule by which its host is condemned."""
-    return judged(docs, rules, host, ())
+def quality_rules(docs: DataFrame, rules: Rules = Rules(), strict: Rules = STRICT, host: Column | str = "source") -> DataFrame:
+    """Measures, base verdict and final verdict of each document. kept is false after a base failure, or if the document breaks the stricter limit of a rule by which its host is condemned."""
+    return judged(docs, rules, strict, host, ())
 
 
-def without_rejected(docs: DataFrame, rules: Rules = Rules(), host: Column | str = "source") -> DataFrame:
+def without_rejected(docs: DataFrame, rules: Rules = Rules(), strict: Rules = STRICT, host: Column | str = "source") -> DataFrame:
     """The rows that are kept, with all their columns: each row's own verdict decides, whatever id it has."""
-    return judged(docs, rules, host, tuple(docs.columns)).where("kept").select("more.*")
+    return judged(docs, rules, strict, host, tuple(docs.columns)).where("kept").select("more.*")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,13 +174,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     r = Rules()
-    bad = {
-        "few_words": f"n_words < {r.min_words}",
-        "repeats": f"100 * n_repeat_words > {r.repeat_percent} * n_words",
-        "symbols": f"100 * n_symbols > {r.symbol_percent} * n_words",
-        "dup_lines": f"100 * n_dup_lines > {r.dup_line_percent} * n_lines",
-        "word_length": f"word_chars < {r.min_mean_word} * n_words or word_chars > {r.max_mean_word} * n_words",
-    }
+
+    def broken(r: Rules) -> dict[str, str]:
+        return {
+            "few_words": f"n_words < {r.min_words}",
+            "repeats": f"100 * n_repeat_words > {r.repeat_percent} * n_words",
+            "symbols": f"100 * n_symbols > {r.symbol_percent} * n_words",
+            "dup_lines": f"100 * n_dup_lines > {r.dup_line_percent} * n_lines",
+            "word_length": f"word_chars < {r.min_mean_word} * n_words or word_chars > {r.max_mean_word} * n_words",
+        }
+
+    bad, near = broken(r), broken(STRICT)
     m = lambda k: f"(sum(bad_{k}) / sum(n_docs))"
     noise = lambda k: f"({m(k)} * (1 - {m(k)}))"
     spare = "(sum(n_docs) - sum(cast(n_docs as double) * n_docs) / sum(n_docs))"
@@ -198,7 +205,7 @@ hosts as (select host, count(*) as n_docs, {", ".join(f"sum(f_{k}) as bad_{k}" f
 prior as (select {prior} from hosts),
 verdicts as (select host, {", ".join(f"{shrunk(k)} - {r.caution} * sqrt({shrunk(k)} * (1 - {shrunk(k)}) / (n_docs + w_{k} + 1)) > {r.host_rate} as c_{k}" for k in bad)} from hosts, prior)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f_few_words = 1 or f_repeats = 1) as base_failed,
-  not (f_few_words = 1 or f_repeats = 1) and not ({" or ".join(f"(f_{k} = 1 and c_{k})" for k in bad)}) as kept
+  not (f_few_words = 1 or f_repeats = 1) and not ({" or ".join(f"(({near[k]}) and c_{k})" for k in bad)}) as kept
 from flags left join verdicts on flags.host is not distinct from verdicts.host"""
 
 
