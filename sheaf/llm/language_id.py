@@ -6,8 +6,9 @@ weighted by how well a bit separates the languages; the nearest codeword wins, a
 
 Training uses all labelled rows outside the held-out fifth: n-gram counts are summed in each task to one vector a language, cut into
 slices, and the slices are summed over tasks by language, so a hot language is spread over tasks too. Every language that has
-a training row can be predicted. The driver gets one vector of 16,384 counts for each language, 128 KB; up to 128 languages have codewords
-as long as their number, more have MANY_BITS bits.
+a training row can be predicted. The bits are trained from sums over the languages on either side, which are made where the languages' counts
+lie. The driver gets the languages' names and totals and one matrix of n-grams by bits (33 MB at most), no counts of any language; up to
+128 languages have codewords as long as their number, more have MANY_BITS bits.
 
 Defined results: a null text or one without letters (Unicode category L; numerals are none) is `und` with score 0; if nothing is labelled, all are `und`; with one
 language, all texts with letters get it; a null id is hashed as an empty string; repeated rows are predicted each for itself;
@@ -27,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import partitions, prepare, table, to_batch
+from sheaf.llm.common import partitions, prepare, table, to_batch, written
 
 LETTER = regex.compile(r"\p{L}")
 BITS = 14
@@ -53,6 +54,7 @@ def ngram_counts(text: str) -> np.ndarray:
 
 
 MANY, MANY_BITS = 128, 255
+LANGS = 4096  # codewords that are handled at once
 
 
 def codewords(n: int) -> np.ndarray:
@@ -66,7 +68,8 @@ def codewords(n: int) -> np.ndarray:
         numbering = 1 << np.arange(bits)
         others = np.setdiff1d(columns, numbering)
         columns = np.concatenate([numbering, np.random.default_rng(7).permutation(others)[: MANY_BITS - bits]])
-    return 1 - 2 * (np.bitwise_count(np.arange(n)[:, None] & columns).astype(np.int64) & 1)
+    rows = (np.bitwise_count(np.arange(at, min(at + LANGS, n))[:, None] & columns) & 1 for at in range(0, n, LANGS))
+    return np.concatenate([1 - 2 * x.astype(np.int8) for x in rows])
 
 
 @dataclass
@@ -80,18 +83,18 @@ class Model:
     def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language number, score and ambiguity of each row of counts."""
         total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-        margin = (counts @ self.weights) / np.sqrt(total)  # grows with the evidence, slower than the text
-        loss = np.logaddexp(0.0, -np.clip(margin[:, None, :] * self.code[None], -30, 30)) @ self.bit_weight
+        margin = np.clip((counts @ self.weights) / np.sqrt(total), -30, 30)  # grows with the evidence, slower than the text
+        # a codeword's loss is sum of w * log(1 + exp(-c * m)); half of the two signs' sum is the same for all, half of their difference is w * m
+        loss = np.concatenate([self.code[at : at + LANGS].astype(np.float64) @ (margin * self.bit_weight).T for at in range(0, len(self.langs), LANGS)]).T / -2
         p = np.exp(-(loss - loss.min(axis=1, keepdims=True)))
         p /= p.sum(axis=1, keepdims=True)
         best = loss.argmin(axis=1)
-        top = np.sort(p, axis=1)
-        second = top[:, -2] if p.shape[1] > 1 else np.zeros(len(p))
-        return best, p[np.arange(len(p)), best], top[:, -1] - second < self.lead
+        top = np.partition(p, -2, axis=1)[:, -2:] if p.shape[1] > 1 else np.pad(p, ((0, 0), (1, 0)))
+        return best, p[np.arange(len(p)), best], top[:, 1] - top[:, 0] < self.lead
 
 
-TRAIN = pa.schema([("lang", pa.string()), ("slice", pa.int32()), ("counts", pa.binary())])
-TRAIN_DDL = "lang string, slice int, counts binary"
+TRAIN = pa.schema([("lang", pa.string()), ("slice", pa.int32()), ("counts", pa.binary()), ("total", pa.int64())])
+TRAIN_DDL = "lang string, slice int, counts binary, total long"
 SLICES = 16
 HELD = 256  # languages that a task sums before it sends their sums on
 
@@ -101,7 +104,7 @@ def _sum_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
 
     def out() -> pa.RecordBatch:
-        rows = [(k, i, zlib.compress(x.tobytes(), 1)) for k, v in sums.items() for i, x in enumerate(np.split(v, SLICES))]
+        rows = [(k, i, zlib.compress(x.tobytes(), 1), int(x.sum())) for k, v in sums.items() for i, x in enumerate(np.split(v, SLICES))]
         sums.clear()
         return to_batch(dict(zip(TRAIN.names, zip(*rows, strict=True), strict=True)), TRAIN)
 
@@ -120,7 +123,7 @@ def _sum_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of neighbouring rows with one language and slice; one vector is held at a time."""
     key, total = None, np.zeros(SIZE // SLICES, np.int64)
-    out = lambda: to_batch({"lang": [key[0]], "slice": [key[1]], "counts": [total.tobytes()]}, TRAIN)
+    out = lambda: to_batch({"lang": [key[0]], "slice": [key[1]], "counts": [zlib.compress(total.tobytes(), 1)], "total": [int(total.sum())]}, TRAIN)
     for b in batches:
         for lang, part, raw in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
             if key != (lang, part):
@@ -132,28 +135,92 @@ def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+BIT_SUMS = pa.schema([("slice", pa.int32()), ("sums", pa.binary())])
+BIT_SUMS_DDL = "slice int, sums binary"
+
+
+def _share(raw: bytes, total: int) -> np.ndarray:
+    """What the n-grams of a slice are of all that the language has, none of them never."""
+    return (np.frombuffer(zlib.decompress(raw), np.int64) + 0.5) / (total + 0.5 * SIZE)
+
+
+def _bit_sums(known):
+    """Sums of the shares of the languages with bit one and of all, for each n-gram of each slice, in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, code = known.value
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for lang, part, raw in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                number, total = totals[lang]
+                share = _share(raw, total)
+                if part not in held:
+                    held[part] = np.zeros((SIZE // SLICES, code.shape[1] + 1))
+                held[part][:, :-1] += share[:, None] * (code[number] > 0)
+                held[part][:, -1] += share
+        for part, sums in held.items():
+            yield to_batch({"slice": [part], "sums": [sums.tobytes()]}, BIT_SUMS)
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of neighbouring rows of one slice."""
+    at, total = None, np.zeros(0)
+    for b in batches:
+        for part, raw in zip(*(b.column(k).to_pylist() for k in range(2)), strict=True):
+            x = np.frombuffer(raw)
+            if part != at:
+                if at is not None:
+                    yield to_batch({"slice": [at], "sums": [total.tobytes()]}, BIT_SUMS)
+                at, total = part, np.zeros(len(x))
+            total = total + x
+    if at is not None:
+        yield to_batch({"slice": [at], "sums": [total.tobytes()]}, BIT_SUMS)
+
+
+def _spread(known, weights):
+    """For each bit, the sum over this task's languages of how far their own margins are on either side; the slices of a language are neighbours."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, _ = known.value
+        w = weights.value
+        width = SIZE // SLICES
+        lang, margin, total = None, np.zeros(w.shape[1]), np.zeros(w.shape[1])
+        for b in batches:
+            for name, part, raw in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                if name != lang:
+                    total += np.abs(margin)
+                    lang, margin = name, np.zeros(w.shape[1])
+                margin += _share(raw, totals[name][1]) @ w[part * width : (part + 1) * width]
+        yield to_batch({"slice": [0], "sums": [(total + np.abs(margin)).tobytes()]}, BIT_SUMS)
+
+    return run
+
+
 def train(rows: DataFrame) -> Model | None:
     """A model from all rows of (lang, text)."""
+    spark = rows.sparkSession
+    n = partitions(spark)
     parts = rows.select("lang", "text").mapInArrow(_sum_texts, TRAIN_DDL)
-    sums = parts.repartition(partitions(rows.sparkSession), "lang", "slice").sortWithinPartitions("lang", "slice").mapInArrow(_sum_slices, TRAIN_DDL)
-    vectors: dict[str, np.ndarray] = {}
-    for lang, part, raw in sums.collect():  # SLICES rows a language
-        width = SIZE // SLICES
-        vectors.setdefault(lang, np.zeros(SIZE))[part * width : (part + 1) * width] = np.frombuffer(raw, np.int64)
-    got = sorted(vectors)
-    if not got:
+    sums = written(parts.repartition(n, "lang", "slice").sortWithinPartitions("lang", "slice").mapInArrow(_sum_slices, TRAIN_DDL), "language-counts")
+    totals = dict(sorted((r["lang"], r["total"]) for r in sums.groupBy("lang").agg(F.sum("total").alias("total")).collect()))  # names and totals
+    langs = list(totals)
+    if not langs:
         return None
-    counts = np.array([vectors[k] for k in got])
-    share = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
-    code = codewords(len(got))
-    one, zero = code > 0, code < 0
-    use = one.any(axis=0) & zero.any(axis=0)
-    code, one, zero = code[:, use], one[:, use], zero[:, use]
-    if len(got) == 1:
-        return Model(got, np.ones((1, 1)), np.zeros((SIZE, 1)), np.ones(1))
-    weights = np.log(share.T @ one / one.sum(axis=0)) - np.log(share.T @ zero / zero.sum(axis=0))
-    spread = np.abs((share @ weights) * code).mean(axis=0)
-    return Model(got, code, weights, spread / spread.sum() * len(spread))
+    if len(langs) == 1:
+        return Model(langs, np.ones((1, 1), np.int8), np.zeros((SIZE, 1)), np.ones(1))
+    code = codewords(len(langs))
+    ones = (code > 0).sum(axis=0)
+    code, ones = code[:, (ones > 0) & (ones < len(langs))], ones[(ones > 0) & (ones < len(langs))]
+    known = spark.sparkContext.broadcast(({lang: (k, totals[lang]) for k, lang in enumerate(langs)}, code))
+    by_slice = sums.mapInArrow(_bit_sums(known), BIT_SUMS_DDL).repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(_added, BIT_SUMS_DDL)
+    share = np.concatenate([np.frombuffer(r["sums"]).reshape(-1, len(ones) + 1) for r in sorted(by_slice.collect(), key=lambda r: r["slice"])])  # SLICES rows
+    weights = np.log(share[:, :-1] / ones) - np.log((share[:, -1:] - share[:, :-1]) / (len(langs) - ones))
+    sent = spark.sparkContext.broadcast(weights)
+    apart = sums.repartition(n, "lang").sortWithinPartitions("lang").mapInArrow(_spread(known, sent), BIT_SUMS_DDL).collect()  # a row of bits for each task
+    spread = sum(np.frombuffer(r["sums"]) for r in apart)
+    return Model(langs, code, weights, spread / spread.sum() * len(spread))
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
