@@ -221,18 +221,18 @@ def distributed_extraction(spark, sf):
 
 # Listings
 
-@query("select p_brand as exam, cast(p_size as bigint) as year, p_container as shift, cast(row_number() over (order by p_brand, p_size desc, p_container) as int) as place from (select distinct p_brand, p_size, p_type as p_container from part) as x")
+@query("select p_brand as exam, cast(p_size as bigint) as year, p_container as shift, cast(row_number() over (order by p_brand, p_size desc, p_container) as bigint) as place from (select distinct p_brand, p_size, p_type as p_container from part) as x")
 def checkpoint_listing(spark, sf):
     rows = part_rows(spark, sf, "p_brand as exam", "cast(p_size as bigint) as year", "p_type as shift").distinct()
     return listing.checkpoints(rows)
 
 
-@query("select value, n, cast(row_number() over (order by n desc, first) as int) as place from (select p_type as value, count(*) as n, min(p_partkey) as first from part group by 1) as x")
+@query("select value, n, cast(row_number() over (order by n desc, first) as bigint) as place from (select p_type as value, count(*) as n, min(p_partkey) as first from part group by 1) as x")
 def count_listing(spark, sf):
     return listing.counts(read(spark, sf, "part"), "p_type", "p_partkey")
 
 
-@query("select name, size, direction, cast(place as int) as place from (select p_brand || p_partkey as name, p_size as size, 'desc' as direction, row_number() over (order by p_size desc, p_brand || p_partkey) as place from part union all select p_brand || p_partkey, p_size, 'name', row_number() over (order by p_brand || p_partkey) from part) as x")
+@query("select name, size, direction, cast(place as bigint) as place from (select p_brand || p_partkey as name, p_size as size, 'desc' as direction, row_number() over (order by p_size desc, p_brand || p_partkey) as place from part union all select p_brand || p_partkey, p_size, 'name', row_number() over (order by p_brand || p_partkey) from part) as x")
 def file_listing(spark, sf):
     rows = part_rows(spark, sf, "concat(p_brand, p_partkey) as name", "p_size as size")
     orders = {"desc": ("size", "desc"), "name": listing.next_order("size", "asc")}
@@ -240,12 +240,12 @@ def file_listing(spark, sf):
     return by[0].unionByName(by[1])
 
 
-@query("select subject, n, cast(row_number() over (order by case subject when 'physics' then 1 when 'chemistry' then 2 when 'biology' then 3 else 4 end, subject) as int) as place from (select subject, count(*) as n from {v_questions} as v group by 1) as x")
+@query("select subject, n, cast(row_number() over (order by case subject when 'physics' then 1 when 'chemistry' then 2 when 'biology' then 3 else 4 end, subject) as bigint) as place from (select subject, count(*) as n from {v_questions} as v group by 1) as x")
 def subject_listing(spark, sf):
     return listing.subjects(questions(spark, sf).groupBy("subject").agg(F.count("*").alias("n")))
 
 
-@query("select exam, year, shift, cast(dense_rank() over (order by exam) as int) as exam_place, cast(dense_rank() over (partition by exam order by year desc) as int) as year_place, cast(dense_rank() over (partition by exam, year order by shift) as int) as shift_place from (select distinct exam, year, shift from {v_questions} as v) as x")
+@query("select exam, year, shift, cast(dense_rank() over (order by exam) as bigint) as exam_place, cast(dense_rank() over (partition by exam order by year desc) as bigint) as year_place, cast(dense_rank() over (partition by exam, year order by shift) as bigint) as shift_place from (select distinct exam, year, shift from {v_questions} as v) as x")
 def paper_cascade(spark, sf):
     return listing.cascade(questions(spark, sf))
 
