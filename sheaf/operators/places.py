@@ -20,18 +20,26 @@ from sheaf.operators.stages import saved
 IN_RANGE = (1 << 33) - 1  # bits of Spark's increasing ids that number the rows of a partition
 
 
-def numbered(rows: DataFrame, *order: Column, within: tuple[str, ...] = (), name: str = "place") -> DataFrame:
-    """Each row with its place from 1 by the order, or within its group; of rows that are equal by it, those with the smaller hash go first.
+def ranged(rows: DataFrame, *order: Column) -> DataFrame:
+    """The rows dealt into ranges of the order: `_range`, ascending with it, and `_nth`, from 0 in the range. Rows that are equal by the order follow by their hash.
 
-    Orders are columns or sort orders (F.asc, F.desc). The ranges are written before they are counted, so a lost executor can't deal them anew. The
-    driver gets one number for each range. Nulls in a group's columns are a group. An empty table stays empty.
+    The ranges are written, so whoever counts or reads them sees the same ones, also after an executor is lost.
     """
     columns = [F.col(f"`{c}`") for c in rows.columns]
     hashed = [F.col(f"`{f.name}`") for f in rows.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    by = [F.asc_nulls_first(f"`{c}`") for c in within] + list(order) + [F.xxhash64(*hashed)]
+    by = [*order, F.xxhash64(*hashed)]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, *by).sortWithinPartitions(*by).select(*columns, F.monotonically_increasing_id().alias("_id"))
-    dealt = saved(dealt.select(*columns, F.shiftright("_id", 33).cast("int").alias("_range"), F.col("_id").bitwiseAND(IN_RANGE).alias("_nth")), "ranges")
+    return saved(dealt.select(*columns, F.shiftright("_id", 33).cast("int").alias("_range"), F.col("_id").bitwiseAND(IN_RANGE).alias("_nth")), "ranges")
+
+
+def numbered(rows: DataFrame, *order: Column, within: tuple[str, ...] = (), name: str = "place") -> DataFrame:
+    """Each row with its place from 1 by the order, or within its group; of rows that are equal by it, those with the smaller hash go first.
+
+    Orders are columns or sort orders (F.asc, F.desc). The driver gets one number for each range. Nulls in a group's columns are a group. An empty table stays empty.
+    """
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    dealt = ranged(rows, *[F.asc_nulls_first(f"`{c}`") for c in within], *order)
     sizes = sorted((r["_range"], r["n"]) for r in dealt.groupBy("_range").agg(F.count("*").alias("n")).collect())  # a row for each range
     begins = list(zip([r for r, _ in sizes], accumulate([0, *(c for _, c in sizes)]), strict=False))
     starts = rows.sparkSession.createDataFrame(begins, "_r int, _begin long")

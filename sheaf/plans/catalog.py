@@ -627,3 +627,4 @@ def event_sessions(spark, sf):
 
 
 import sheaf.plans.more  # noqa: E402, F401  the rest of the catalogue, which registers itself
+import sheaf.plans.structures  # noqa: E402, F401

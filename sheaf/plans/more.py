@@ -517,33 +517,6 @@ def event_dedup_stream(spark, sf):
     return kept.join(first, ["user_id", "event_type", "day"]).groupBy("user_id").agg(F.count("*").alias("events"), F.min("event_id").alias("first_id"))
 
 
-@query("""with e as (select user_id, ts from events union all select -1, max(ts) + interval 400 days from events), g as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) < interval 30 minutes then 0 else 1 end as new from e), s as (select user_id, ts, sum(new) over (partition by user_id order by ts rows unbounded preceding) as k from g)
-select user_id, min(ts) as start, count(*) as n from s where user_id >= 0 group by user_id, k""")
-def event_sessions_stream(spark, sf):
-    """Sessions of a stream, each given out once it is closed."""
-    out = ev.run_to_end(ev.sessions(ev.event_stream(spark, f"{sf}/events.parquet")), "complete", "sessions")
-    return out.select("user_id", F.col("session_window.start").cast("timestamp_ntz").alias("start"), "n")
-
-
-@query("select user_id, arg_max(event_id, event_id) as event_id, arg_max(event_type, event_id) as event_type, arg_max(value, event_id) as value from events group by 1")
-def event_upsert_stream(spark, sf):
-    """A table of the latest event of each user, kept by a stream."""
-    schema = "user_id long, event_id long, event_type string, value double"
-    state_ = {"path": None}
-
-    def current():
-        return spark.read.schema(schema).parquet(state_["path"]) if state_["path"] else spark.createDataFrame([], schema)
-
-    def replace(rows):
-        path = ev.folder(spark, "upsert")
-        rows.select("user_id", "event_id", "event_type", "value").write.parquet(path)
-        state_["path"] = path
-
-    stream = ev.event_stream(spark, f"{sf}/events.parquet").select("user_id", "event_id", "event_type", "value")
-    ev.upsert_batches(stream, ["user_id"], ["event_id"], current, replace).option("checkpointLocation", ev.folder(spark, "upsert-state")).trigger(availableNow=True).start().awaitTermination()
-    return current()
-
-
 # Parts of results that other queries leave out
 
 @query("select paper, count(*) filter (subject = 'physics') as n_physics, count(*) filter (subject = 'chemistry') as n_chemistry, count(*) filter (subject = 'mathematics') as n_mathematics, count(*) filter (subject = 'biology') as n_biology from {v_questions} as v group by 1")

@@ -1,10 +1,9 @@
-"""Event streams: tumbling counts, deduplication, keyed upserts."""
+"""Event streams: tumbling counts, sessions, deduplication."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,13 +54,3 @@ def run_to_end(stream: DataFrame, mode: str, label: str) -> DataFrame:
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", folder(spark, f"{label}-state")).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
     return spark.read.schema(schema).parquet(out)
-
-
-def upsert_batches(stream: DataFrame, keys: list[str], order: list[str], read: Callable[[], DataFrame], replace: Callable[[DataFrame], None]):
-    """Keeps a table of the latest row of each key: each batch is reduced to one row a key and put in place of the old ones."""
-    from sheaf.operators.state import latest, upsert
-
-    def merge(batch: DataFrame, _: int) -> None:
-        replace(upsert(read(), latest(batch, keys, order), keys))
-
-    return stream.writeStream.foreachBatch(merge)

@@ -53,3 +53,186 @@ def test_listings_have_no_task_for_all_rows(spark):
     for df in (listing.files(rows), listing.checkpoints(rows), listing.counts(rows, "size", "pos"), listing.cascade(rows)):
         assert not re.search(r"SinglePartition(?!, ENSURE_REQUIREMENTS, \[plan_id=\d+\]\s*\n.*Aggregate)", plan_of(df)), plan_of(df)
     assert [r.place for r in listing.files(rows).orderBy("place").limit(3).collect()] == [1, 2, 3]
+
+
+# review sessions
+
+
+def plain_replay(rows):
+    """A loop over each reviewer's events; what it says of each."""
+    out, sessions = [], {}
+    for who, seq, kind, total in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2] is not None, r[2] or "", r[3] is not None, r[3] or 0)):
+        s = sessions.get(who)  # [questions, cursor, active]
+        action = refused = question = None
+        if kind == "start":
+            if total is None:
+                refused = "paper not found"
+            else:
+                s = sessions[who] = [total, 0, True]
+        elif kind == "cancel":
+            s = sessions[who] = None
+        elif kind == "current":
+            refused = None if s and s[2] else "no active review session"
+        else:
+            action = kind if kind and kind.strip() else "accept"
+            if not s or not s[2]:
+                refused = "no active review session"
+            elif s[1] >= s[0]:
+                s[2] = False
+            else:
+                question = s[1]
+                s[1] += 1
+                s[2] = s[1] < s[0]
+        state = "none" if not s else "active" if s[2] else "done"
+        progress = None if not s or not s[0] else math.floor(100 * s[1] / s[0] + 0.5)
+        out.append((who, seq, kind, total, action, refused, question, s[1] if s else None, s[0] if s else None, state, progress))
+    return out
+
+
+def review_log(n, reviewers):
+    rng = random.Random(n)
+    kinds = ["start", "accept", "edit", "skip", "flag", "", None, "current", "cancel"]
+    return [(rng.choice(reviewers), k, rng.choices(kinds, [1, 8, 4, 3, 2, 1, 1, 3, 0.3])[0], rng.choice([None, 0, 1, 4, 30, 3000])) for k in range(n)]
+
+
+KEY = lambda r: tuple(str(x) for x in r)
+
+
+@pytest.mark.parametrize("reviewers", [["a", "b", None, "c"], ["one"]])
+def test_review_sessions_equal_a_loop(spark, reviewers):
+    from sheaf.operators import review
+
+    rows = review_log(2500, reviewers)
+    got = review.replayed(spark.createDataFrame(rows, "reviewer string, seq long, kind string, total long").repartition(6))
+    want = plain_replay(rows)
+    assert got.columns == ["reviewer", "seq", "kind", "total", "action", "refused", "question", "position", "of", "state", "progress"]
+    assert sorted((tuple(r) for r in got.collect()), key=KEY) == sorted(want, key=KEY)
+    last = {r.reviewer: r for r in review.sessions(got).collect()}
+    for who in reviewers:
+        own = [w for w in want if w[0] == who]
+        assert (last[who].state, last[who].position, last[who].of) == (own[-1][9], own[-1][7], own[-1][8])
+        assert last[who].n_edit == sum(w[4] == "edit" and w[6] is not None for w in own) and last[who].n_refused == sum(w[5] is not None for w in own)
+
+
+def test_a_session_runs_over_many_ranges(spark):
+    """One reviewer, one start at the beginning: every range but the first gets its state from those before it."""
+    from sheaf.operators import review
+
+    rows = [("one", 0, "start", 5000)] + [("one", k, "accept", None) for k in range(1, 4001)]
+    log = spark.createDataFrame(rows, "reviewer string, seq long, kind string, total long")
+    assert places.ranged(log, F.col("reviewer"), F.col("seq")).select("_range").distinct().count() > 1
+    got = review.replayed(log)
+    assert {r.seq: r.question for r in got.collect()} == {0: None, **{k: k - 1 for k in range(1, 4001)}}
+    edits = spark.createDataFrame([("one", 7, "text", "new"), ("one", 4000, "text", "x"), ("other", 8, "text", "y"), ("one", 9999, "text", "z")], "reviewer string, seq long, field string, value string")
+    assert review.recorded_edits(got, edits).collect() == [] and review.replayed(spark.createDataFrame([], "reviewer string, seq long, kind string, total long")).collect() == []
+
+
+def test_recorded_edits_go_into_the_questions(spark):
+    from sheaf.operators import curate, review
+
+    log = [("p", 1, "start", 2), ("p", 2, "edit", None), ("p", 3, "skip", None), ("p", 4, "edit", None)]
+    edits = [("p", 2, "text", "mended"), ("p", 4, "text", "too late"), ("p", 3, "text", "not an edit")]
+    took = review.recorded_edits(review.replayed(spark.createDataFrame(log, "reviewer string, seq long, kind string, total long")), spark.createDataFrame(edits, "reviewer string, seq long, field string, value string"))
+    questions = spark.createDataFrame([("p", 0, "first"), ("p", 1, "second")], "paper string, number long, text string")
+    assert sorted(tuple(r) for r in curate.applied_edits(questions, took).collect()) == [("p", 0, "mended"), ("p", 1, "second")]
+
+
+# keyed state in streams
+
+
+EVENTS = "path string, at timestamp, nth long, what string"
+
+
+def stamped(seconds):
+    import datetime
+
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=seconds)
+
+
+def test_upserts_go_on_after_a_restart_and_ignore_older_rows(spark):
+    from sheaf.streaming import keyed
+
+    batches = [[("a", 1), ("b", 5), ("a", 3)], [("a", 2), ("b", 5), (None, 1)], [("c", 1), ("b", 6)], []]
+    rows = [spark.createDataFrame([(p, stamped(n), n, f"{p}{n}{k}") for p, n in batch], EVENTS) for k, batch in enumerate(batches)]
+    fed = keyed.Fed(spark, "test-upsert", rows[0].schema)
+    table = {}
+    for k, part in enumerate(rows):
+        fed.feed(part, k)
+        fed.run(lambda s: keyed.upserts(s, ["path"], ["nth"]), "update")
+        for p, n in batches[k]:
+            if p not in table or n > table[p][0]:
+                table[p] = (n, f"{p}{n}{k}")
+        assert {r.path: (r.nth, r.what) for r in keyed.table_of(fed.log(), ["path"]).collect()} == table
+    # a batch gives out its own changes only, however large the table is
+    assert {r.batch: r["count"] for r in fed.log().groupBy("batch").count().collect()} == {0: 2, 1: 1, 2: 2}
+
+
+def test_a_batch_that_is_run_again_is_written_once(spark):
+    from sheaf.streaming import keyed
+
+    rows = spark.createDataFrame([("a", stamped(1), 1, "x")], EVENTS)
+    fed = keyed.Fed(spark, "test-again", rows.schema)
+    fed.feed(rows, 0)
+    tries = []
+
+    def fails_once(batch, number):
+        tries.append(number)
+        if len(tries) == 1:
+            raise RuntimeError("stopped here")
+
+    with pytest.raises(Exception, match="stopped here"):
+        fed.run(lambda s: keyed.upserts(s, ["path"], ["nth"]), "update", fails_once)
+    fed.run(lambda s: keyed.upserts(s, ["path"], ["nth"]), "update", fails_once)
+    assert tries == [0, 0] and [(r.path, r.nth, r.batch) for r in fed.log().collect()] == [("a", 1, 0)]
+
+
+def plain_debounce(rows, gap):
+    out = []
+    for p in {r[0] for r in rows}:
+        own = sorted(r for r in rows if r[0] == p)
+        out += [a for a, b in zip(own, [*own[1:], None], strict=True) if b is None or b[1] - a[1] >= gap]
+    return sorted(out)
+
+
+def test_debounced_changes_over_batches(spark):
+    from sheaf.streaming import keyed
+
+    rng = random.Random(9)
+    rows = sorted({(rng.choice("abcd"), rng.randrange(2000), k) for k in range(160)}, key=lambda r: r[1])
+    frames = [spark.createDataFrame([(p, stamped(t), k, str(k)) for p, t, k in rows if lo <= t < lo + 500], EVENTS).repartition(3) for lo in range(0, 2000, 500)]
+    frames.append(spark.createDataFrame([("end", stamped(10_000), 0, "")], EVENTS))
+    fed = keyed.Fed(spark, "test-debounce", frames[0].schema)
+    for k, part in enumerate(frames):
+        fed.feed(part, k)
+        fed.run(lambda s: keyed.debounced(s, ["path"], "at", ["nth"], 60_000), "append")
+    got = sorted((r.path, int((r.at - stamped(0)).total_seconds()), r.nth) for r in fed.log().collect() if r.path != "end")
+    assert got == plain_debounce(rows, 60)
+
+
+def test_stretches_join_in_any_order():
+    from sheaf.streaming import keyed
+
+    rng = random.Random(2)
+    for _ in range(200):
+        points = sorted({rng.randrange(300) for _ in range(rng.randrange(1, 40))})
+        frames = [[] for _ in range(3)]
+        for t in points:
+            rng.choice(frames).append((t, t, (t,), (t,)))
+        held = []
+        for f in frames:
+            held = keyed.joined(held, f, 10)
+        want = [t for t, u in zip(points, [*points[1:], None], strict=True) if u is None or u - t >= 10]
+        assert [s[3][0] for s in held] == want
+
+
+def test_history_keeps_the_newest(spark):
+    from sheaf.streaming import keyed
+    from sheaf.streaming.events import folder
+
+    rows = spark.createDataFrame([("a", stamped(k), k, str(k)) for k in range(90)], EVENTS)
+    kept = keyed.History(folder(spark, "test-history"), rows.schema, ["at", "nth"], most=25)
+    assert kept.read(spark) is None
+    for k, lo in enumerate((0, 60, 30)):
+        kept.add(rows.where(F.col("nth").between(lo, lo + 29)), k)
+    kept.add(rows.where(F.col("nth").between(30, 59)), 2)  # the last batch once more
+    assert sorted(r.nth for r in kept.read(spark).collect()) == list(range(65, 90))
