@@ -1,12 +1,16 @@
-"""Similarity by embeddings: a cache of vectors by text, and pairs of questions that are alike."""
+"""Similarity by embeddings: a cache of vectors by text, and an exact join of vectors that are alike."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from collections.abc import Iterator
 
-from sheaf.functions.text import cosine, wide_trim
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from sheaf.functions.text import wide_trim
+from sheaf.operators.stages import saved
 
 def cache_key(column: str = "text"):
     """Texts that differ in case or outer spaces only share a vector."""
@@ -20,21 +24,157 @@ def embedded(rows: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
     return keyed.join(cache, "key"), missing
 
 
-def similar_questions(rows: DataFrame, threshold: float = 0.8, planes: int = 12, tables: int = 0) -> DataFrame:
-    """(a, b, similarity) of a paper's questions (paper, number, id, embedding) with different numbers whose vectors' cosine is at least the threshold.
+def cached(rows: DataFrame, cache: DataFrame, embed) -> tuple[DataFrame, DataFrame]:
+    """rows (id, text) with their vectors, and the cache with those that it lacked appended: `embed` makes (key, embedding) of (key, text).
+
+    Each key that is missing is embedded once, whatever the rows that share it; a key that the embedder gives nothing for stays out of both.
+    """
+    _, missing = embedded(rows, cache)
+    made = saved(embed(missing).select("key", "embedding").where("embedding is not null").dropDuplicates(["key"]), "embedded")
+    whole = cache.select("key", "embedding").unionByName(made)
+    return embedded(rows, whole)[0], whole
+
+
+BLOCK = 512  # vectors that one task compares with others at once
+MOST_PIVOTS = 1024
+SLACK = 1e-9  # more than rounding can take from a bound
+
+HOMED = pa.schema([("g", pa.string()), ("id", pa.int64()), ("size", pa.int32()), ("home", pa.int32()), ("cells", pa.list_(pa.int32())), ("embedding", pa.list_(pa.float64()))])
+HOMED_DDL = "g string, id long, size int, home int, cells array<int>, embedding array<double>"
+PAIRS = pa.schema([("g", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+PAIRS_DDL = "g string, a long, b long, similarity double"
+
+
+def cells_of(x: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivot of each unit vector, and which pivots' cells can hold a vector within reach.
+
+    A vector of another cell lies beyond the plane halfway between the two pivots; the way to that plane is at least
+    (d(x, other) ** 2 - d(x, own) ** 2) / (2 * d(own, other)), and no vector beyond it is nearer.
+    """
+    square = np.maximum(2 - 2 * x @ pivots.T, 0)
+    home = square.argmin(axis=1)
+    between = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))[home]
+    away = square - square[np.arange(len(x)), home][:, None]
+    near = away <= 2 * between * (reach + SLACK) + SLACK
+    near[np.arange(len(x)), home] = True
+    return home, near
+
+
+def _homed(shared, reach: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = b.column(2).to_pylist()
+            sizes = [len(v) for v in raw]
+            home, cells = np.zeros(len(raw), np.int32), [[0]] * len(raw)
+            for size in set(sizes):
+                at = [k for k, n in enumerate(sizes) if n == size]
+                x = np.array([raw[k] for k in at], np.float64)
+                own, near = cells_of(x / np.linalg.norm(x, axis=1, keepdims=True), shared.value[size], reach)
+                for k, h, row in zip(at, own.tolist(), near, strict=True):
+                    # a pair is found in the cell with the smaller number of its two
+                    home[k], cells[k] = h, [c for c in np.flatnonzero(row).tolist() if c <= h]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((b.column(0), b.column(1), sizes, home, cells, b.column(2)), HOMED, strict=True)], schema=HOMED)
+
+    return run
+
+
+def _compared(threshold: float):
+    """Rows (g, size, cell, chunk, guest, id, home, embedding) by chunk, those at home first: each guest with all that are at home."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, vectors, unit = None, [], [], None
+        for b in batches:
+            rows = list(zip(*(b.column(k).to_pylist() for k in range(8)), strict=True))
+            at = 0
+            while at < len(rows):
+                end = at
+                while end < len(rows) and rows[end][:5] == rows[at][:5]:
+                    end += 1
+                part, at = rows[at:end], end
+                *place, guest = part[0][:5]
+                if place != key:
+                    key, ids, vectors, unit = place, [], [], None
+                if not guest:
+                    ids += [r[5] for r in part]
+                    vectors += [r[7] for r in part]
+                    continue
+                if not ids:
+                    continue
+                if unit is None:
+                    held = np.array(vectors, np.float64)
+                    norms = np.sqrt((held * held).sum(axis=1))
+                    unit, number = held / norms[:, None], np.array(ids)
+                x = np.array([r[7] for r in part], np.float64)
+                lengths = np.sqrt((x * x).sum(axis=1))
+                who, homes = np.array([r[5] for r in part]), np.array([r[6] for r in part])
+                like = (x / lengths[:, None]) @ unit.T >= threshold - SLACK
+                like &= (homes[:, None] != place[2]) | (who[:, None] < number[None])
+                i, j = np.nonzero(like)
+                exact = (x[i] * held[j]).sum(axis=1) / (lengths[i] * norms[j])
+                i, j, exact = i[exact >= threshold], j[exact >= threshold], exact[exact >= threshold]
+                if len(i):
+                    two = np.sort(np.stack([who[i], number[j]]), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array([place[0]] * len(i), pa.string()), pa.array(two[0]), pa.array(two[1]), pa.array(exact)], schema=PAIRS)
+
+    return run
+
+
+def similar_vectors(rows: DataFrame, threshold: float, group: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Members (group, id, class_id) and pairs (group, a, b, similarity) of rows (id, embedding): all classes whose cosine is at least the threshold.
+
+    Rows with one vector (and group) are a class, named by its smallest id; pairs are between classes, a < b, so copies aren't expanded. Only
+    vectors of one length, and of one group if `group` names a column, meet. Null, empty and zero vectors, those with components that aren't finite,
+    and null ids are in no class; rows with equal ids are in the classes of their vectors. The threshold must be above 0.
+
+    Exact: unit vectors meet if they are within sqrt(2 - 2 * threshold) of each other. Each is at home with its nearest pivot and is a guest in the cells that can hold
+    such a neighbour. A cell's members are dealt into chunks of about BLOCK, and each chunk is a key of its own, so a cell that holds most
+    vectors is many tasks. With a pivot for every BLOCK vectors a vector is copied to twice as many chunks as there are blocks at worst,
+    when no bound prunes, and to a few where vectors form clusters. The driver holds MOST_PIVOTS vectors of each length at most.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("a threshold above 0, and 1 at most")
+    spark = rows.sparkSession
+    g = F.lit("") if group is None else F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    good = rows.select(g.alias("g"), F.col("id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("embedding")).where("id is not null and size(embedding) > 0").where(F.coalesce(finite, F.lit(False)))
+    good = good.where(F.exists("embedding", lambda x: x != 0)).withColumn("embedding", F.transform("embedding", lambda x: F.when(x == 0, 0.0).otherwise(x)))
+    named = saved(good.groupBy("g", "embedding").agg(F.min("id").alias("id")), "classes")
+    members = good.join(named.withColumnRenamed("id", "class_id"), ["g", "embedding"]).select(_group(group), "id", "class_id")
+    size = F.size("embedding")
+    lengths = {r["n"]: r["count"] for r in named.groupBy(size.alias("n")).count().collect()}  # a row for each length
+    pivots = {}
+    for n, count in lengths.items():
+        k = max(1, min(MOST_PIVOTS, count // BLOCK))
+        chosen = named.where(size == n).orderBy(F.xxhash64("embedding"), "embedding").select("embedding").limit(k).collect()
+        x = np.array([r["embedding"] for r in chosen])
+        pivots[n] = x / np.linalg.norm(x, axis=1, keepdims=True)
+    reach = float(np.sqrt(2 - 2 * threshold))
+    homed = saved(named.select("g", "id", "embedding").mapInArrow(_homed(spark.sparkContext.broadcast(pivots), reach), HOMED_DDL), "homed")
+    chunks = homed.groupBy("g", "size", F.col("home").alias("cell")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+    at_home = homed.withColumn("cell", F.col("home")).join(chunks, ["g", "size", "cell"])
+    at_home = at_home.select("g", "size", "cell", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("guest"), "id", "home", "embedding")
+    guests = homed.withColumn("cell", F.explode("cells")).join(chunks, ["g", "size", "cell"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    every = at_home.unionByName(guests.select("g", "size", "cell", "chunk", F.lit(True).alias("guest"), "id", "home", "embedding"))
+    key = ["g", "size", "cell", "chunk"]
+    pairs = every.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key).sortWithinPartitions(*key, "guest").mapInArrow(_compared(threshold), PAIRS_DDL)
+    return members, pairs.select(_group(group), "a", "b", "similarity")
+
+
+def _group(group: str | None):
+    return F.when(F.col("g") != "", F.substring("g", 2, 1 << 30)).alias(group or "group")
+
+
+def similar_questions(rows: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(paper, a, b, similarity) of a paper's questions (paper, number, id, embedding) with different numbers whose vectors' cosine is at least the threshold.
 
-    Exact within a paper, whose questions are as many as an exam has: all vectors of a paper meet, in blocks of BLOCK by BLOCK, so
-    that one large paper is many tasks.
+    Classes are joined, then written out as pairs of questions, as a paper's report lists them.
     """
-    nth = rows.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("paper").orderBy("id")) - 1) / BLOCK).cast("int"))
-    sizes = nth.groupBy("paper").agg((F.max("block") + 1).alias("blocks"))
-    spread = nth.join(sizes, "paper").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("paper", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "number", "id", "embedding")
-    left = spread.where("block = one").select("paper", "one", "two", F.col("id").alias("a"), F.col("number").alias("number_a"), F.col("embedding").alias("x"))
-    right = spread.where("block = two").select("paper", "one", "two", F.col("id").alias("b"), F.col("number").alias("number_b"), F.col("embedding").alias("y"))
-    pairs = left.join(right, ["paper", "one", "two"]).where("a < b and number_a <> number_b or one <> two and a > b and number_a <> number_b")
-    out = pairs.select("paper", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), cosine("x", "y").alias("similarity"))
-    return out.where(F.col("similarity") >= threshold).distinct()
-
-
-BLOCK = 256
+    own = rows.withColumn("_paper", F.to_json(F.struct("paper")))
+    members, pairs = similar_vectors(own.select("_paper", "id", "embedding"), threshold, "_paper")
+    told = rows.select(F.to_json(F.struct("paper")).alias("_paper"), "paper", "id", "number").dropDuplicates(["_paper", "id"])
+    each = members.join(told, ["_paper", "id"]).select("paper", "_paper", "class_id", "id", "number")
+    same = members.select("_paper", F.col("class_id").alias("a"), F.col("class_id").alias("b"), F.lit(1.0).alias("similarity")).groupBy("_paper", "a", "b", "similarity").count().where("count > 1").drop("count")
+    left = each.select("paper", "_paper", F.col("class_id").alias("a"), F.col("id").alias("x"), F.col("number").alias("number_x"))
+    right = each.select("_paper", F.col("class_id").alias("b"), F.col("id").alias("y"), F.col("number").alias("number_y"))
+    found = pairs.unionByName(same).join(left, ["_paper", "a"]).join(right, ["_paper", "b"]).where("number_x <> number_y and (a <> b or x < y)")
+    return found.select("paper", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")

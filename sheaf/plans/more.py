@@ -470,10 +470,10 @@ def topic_flags(spark, sf):
 _VECTORS = "v as (select vec_id, label as paper, cast(vec_id % 7 as bigint) as number, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings)"
 
 
-@query(f"with {_VECTORS}, p as (select a.paper, a.vec_id as a, b.vec_id as b, list_cosine_similarity(a.e, b.e) as s from v as a join v as b on a.paper = b.paper and a.vec_id < b.vec_id and a.number <> b.number) select paper, a, b from p where s >= 0.45")
+@query(f"with {_VECTORS}, p as (select a.paper, a.vec_id as a, b.vec_id as b, list_cosine_similarity(a.e, b.e) as s from v as a join v as b on a.paper = b.paper and a.vec_id < b.vec_id and a.number <> b.number) select paper, a, b from p where s >= 0.25")
 def similar_questions(spark, sf):
     e = read(spark, sf, "embeddings").select(F.col("label").alias("paper"), F.col("vec_id").alias("id"), (F.col("vec_id") % 7).alias("number"), "embedding")
-    return similar.similar_questions(e, 0.45).select("paper", "a", "b")
+    return similar.similar_questions(e, 0.25).select("paper", "a", "b")
 
 
 @query("select lower(trim(text)) as key, min(text) as text from documents where lower(trim(text)) not in (select lower(trim(text)) from documents where doc_id % 3 = 0 and text is not null) and text is not null group by 1")

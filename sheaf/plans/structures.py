@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheaf.operators import review
+from sheaf.operators import review, similar
 from sheaf.plans.catalog import query
 from sheaf.streaming import events as ev
 from sheaf.streaming import keyed
@@ -107,3 +107,25 @@ def review_replay(spark, sf):
 {", ".join(f"count(*) filter (action = '{k}' and question is not null) as n_{k}" for k in ("accept", "edit", "skip", "flag"))}, count(refused) as n_refused from ({REPLAY}) as r group by 1""".replace("arg_max(position, seq) filter (true)", "arg_max(struct_pack(x := position), seq).x"))
 def review_sessions(spark, sf):
     return review.sessions(_replay(spark, sf))
+
+
+# Vectors that are alike
+
+
+@query("""with v as (select min(vec_id) as id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings where embedding is not null group by embedding), p as (select a.id as a, b.id as b, list_cosine_similarity(a.e, b.e) as s from v as a join v as b on a.id < b.id)
+select a, b, round(s, 6) as similarity from p where s >= 0.33""")
+def similar_vectors(spark, sf):
+    """All pairs of different vectors that are alike, over the whole table."""
+    rows = read(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return similar.similar_vectors(rows, 0.33)[1].select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
+@query("""with t as (select doc_id, lower(trim(text)) as key from documents where text is not null), k as (select key, bool_or(doc_id % 3 = 0) as held, count(*) as n from t group by 1)
+select key, case when held then 1.0 else cast(length(key) as double) end as first, n from k""")
+def embedding_cache(spark, sf):
+    """Texts of all documents with their vectors: those that the cache has, and those that it gets."""
+    d = read(spark, sf, "documents").where("text is not null").select(F.col("doc_id").alias("id"), "text")
+    cache = d.where("id % 3 = 0").select(similar.cache_key().alias("key"), F.array(F.lit(1.0)).alias("embedding")).distinct()
+    found, whole = similar.cached(d, cache, lambda m: m.select("key", F.array(F.char_length("key").cast("double")).alias("embedding")))
+    counts = found.groupBy("key").agg(F.count("*").alias("n"))
+    return counts.join(whole, "key").select("key", F.col("embedding")[0].alias("first"), "n")

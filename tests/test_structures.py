@@ -236,3 +236,82 @@ def test_history_keeps_the_newest(spark):
         kept.add(rows.where(F.col("nth").between(lo, lo + 29)), k)
     kept.add(rows.where(F.col("nth").between(30, 59)), 2)  # the last batch once more
     assert sorted(r.nth for r in kept.read(spark).collect()) == list(range(65, 90))
+
+
+# vectors that are alike
+
+
+def clustered(seed, n, dim, clusters, spread):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dim))
+    return (centres[rng.integers(clusters, size=n)] + spread * rng.normal(size=(n, dim))).tolist()
+
+
+def plain_pairs(rows, threshold):
+    import numpy as np
+
+    classes = {}
+    for i, v in rows:
+        classes[tuple(v)] = min(i, classes.get(tuple(v), i))
+    ids, x = list(classes.values()), np.array(list(classes))
+    s = x @ x.T / np.sqrt(np.outer((x * x).sum(1), (x * x).sum(1)))
+    return {(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in np.argwhere(np.triu(s >= threshold, 1)).tolist()}
+
+
+@pytest.mark.parametrize("case", [(1, 1500, 8, 20, 0.1, 0.95), (2, 900, 3, 1, 1.0, 0.97), (3, 700, 24, 5, 2.0, 0.5)])
+def test_similar_vectors_equal_brute_force(spark, monkeypatch, case):
+    from sheaf.operators import similar
+
+    monkeypatch.setattr(similar, "BLOCK", 40)
+    seed, n, dim, clusters, spread, threshold = case
+    rows = list(enumerate(clustered(seed, n, dim, clusters, spread)))
+    rows += [(n + k, rows[3][1]) for k in range(50)] + [(-1, rows[9][1])]
+    frame = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(5)
+    members, pairs = similar.similar_vectors(frame, threshold)
+    got = [(r.a, r.b) for r in pairs.collect()]
+    want = plain_pairs(rows, threshold)
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    named = {r.id: r.class_id for r in members.collect()}
+    assert len(named) == len(rows) and named[3] == named[n + 7] == 3 and named[9] == named[-1] == -1
+
+
+def test_bounds_spare_far_cells():
+    import numpy as np
+
+    from sheaf.operators import similar
+
+    x = np.array(clustered(4, 3000, 16, 30, 0.05))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    reach = math.sqrt(2 - 2 * 0.95)
+    home, near = similar.cells_of(x, x[:50], reach)
+    assert near.mean() < 0.25
+    close = x @ x.T >= 0.95
+    for a, b in np.argwhere(close)[::97].tolist():
+        assert near[a, home[b]] and near[b, home[a]]
+
+
+def test_vectors_that_are_none(spark):
+    from sheaf.operators import similar
+
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, []), (5, [math.nan, 1.0]), (6, [math.inf, 1.0]), (7, [2.0, 0.0]), (None, [1.0, 0.0]), (8, [1.0, 0.0, 0.0]), (9, [None, 1.0]), (7, [0.0, 3.0]), (10, [-0.0, 1.0]), (11, [0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "id long, embedding array<double>").withColumn("g", F.lit("clash")).withColumn("home", F.lit(3))
+    members, pairs = similar.similar_vectors(frame, 0.9)
+    assert sorted((r.id, r.class_id) for r in members.collect()) == [(1, 1), (7, 7), (7, 7), (8, 8), (10, 10), (11, 10)]
+    assert sorted((r.a, r.b) for r in pairs.collect()) == [(1, 7), (7, 10)]
+    assert [d.collect() for d in similar.similar_vectors(frame.limit(0), 0.9)] == [[], []]
+    with pytest.raises(ValueError):
+        similar.similar_vectors(frame, 0)
+
+
+def test_one_group_of_copies_and_one_hot_cell_are_many_tasks(spark, monkeypatch):
+    """A third of the rows are copies, and most others lie in one cell: copies are one class, the cell is dealt into chunks."""
+    from sheaf.operators import similar
+
+    monkeypatch.setattr(similar, "BLOCK", 50)
+    near = clustered(6, 1000, 6, 1, 0.01)
+    rows = [(k, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for k in range(500)] + [(500 + k, v) for k, v in enumerate(near)]
+    members, pairs = similar.similar_vectors(spark.createDataFrame(rows, "id long, embedding array<double>"), 0.99999)
+    assert members.where("class_id = 0").count() == 500
+    assert {(r.a, r.b) for r in pairs.collect()} == plain_pairs(rows, 0.99999)
