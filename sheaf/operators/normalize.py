@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheaf.functions.text import assign_section, normalize_answer, normalize_latex, prefix_int, question_id, wide_trim
+from sheaf.operators.stages import saved
 
 
 def normalize_texts(questions: DataFrame, columns: tuple[str, ...] = ("text",), compat: bool = False) -> DataFrame:
@@ -44,15 +45,44 @@ def word_counts_cosine(a: Column, b: Column) -> Column:
     return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(dot / F.sqrt((square(x) * square(y)).cast("double")))
 
 
+def deletions(x: Column, most: int) -> Column:
+    """The text and all that is left of it when up to `most` letters are taken out, each once."""
+    shorter = lambda t: F.when(
+        F.char_length(t) > 0, F.transform(F.sequence(F.lit(1), F.char_length(t)), lambda i: F.concat(F.substring(t, 1, i - 1), F.substring(t, i + 1, F.char_length(t))))
+    ).otherwise(F.array().cast("array<string>"))
+    out = level = F.array(x)
+    for _ in range(most):
+        level = F.array_distinct(F.flatten(F.transform(level, shorter)))
+        out = F.array_union(out, level)
+    return out
+
+
+def near_strings(left: DataFrame, right: DataFrame, a: str, b: str, most: int) -> DataFrame:
+    """(a, b, d) of the distinct strings of two columns that are at most `most` edits apart.
+
+    Strings that near have a neighbour in common that both become by taking out up to `most` letters: these are the join's key, and the distance is verified
+    after. A string of n letters has about n ** most / most! of them, so those too long for any partner are left out before. Nulls are near nothing.
+    """
+    x, y = left.select(a).where(F.col(a).isNotNull()).distinct(), right.select(b).where(F.col(b).isNotNull()).distinct()
+    longest = y.agg(F.max(F.char_length(b))).first()[0]
+    if longest is None:
+        return x.crossJoin(y).select(a, b, F.lit(0).alias("d")).limit(0)
+    x = x.where(F.char_length(a) <= longest + most)
+    keyed = lambda d, c: d.select(c, F.explode(deletions(F.col(c), most)).alias("_v"))
+    met = keyed(x, a).join(keyed(y, b), "_v").select(a, b).distinct()
+    return met.withColumn("d", F.levenshtein(a, b, most)).where("d >= 0")
+
+
 def normalize_topics(questions: DataFrame, aliases: DataFrame, tags: DataFrame, fuzzy: int = 2, least_cosine: float = 0.3, compat: bool = False) -> DataFrame:
     """A `topic_norm` for each (topic, subject): alias, then near alias, then like words, then the subject's tags, then a default.
 
-    Only distinct topics that no exact alias explains are compared with the alias table, which is broadcast up to MOST_BROADCAST rows. Unless compat
+    Only distinct topics that no exact alias explains are looked up among the aliases: near ones by what is left of both without a few letters, like ones
+    by the words that both have. No topic is compared with all aliases, so the table can be long; up to MOST_BROADCAST rows it is broadcast. Unless compat
     is set, a topic that is one of its subject's tags stays, instead of being taken for a near alias of another, and of like
     words a canonical name that the topic holds as a whole goes before names and aliases that it shares a part with.
     """
     key = F.lower(wide_trim("topic"))
-    few = aliases.count() <= MOST_BROADCAST
+    few = aliases.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     spread = F.broadcast if few else lambda d: d
     asked = questions.select("topic", "subject").distinct().withColumn("key", key)
     blank = F.coalesce("key", F.lit("")) == ""
@@ -60,9 +90,14 @@ def normalize_topics(questions: DataFrame, aliases: DataFrame, tags: DataFrame,
     exact = asked.join(spread(aliases), F.col("key") == F.col("alias"), "left").select("topic", "subject", "key", F.col("canonical").alias("exact"))
     tagged = exact.join(F.broadcast(tags.select(F.col("subject").alias("s"), "tag")), (F.col("subject") == F.col("s")) & (F.col("key") == F.col("tag")), "left").drop("s")
     open_keys = tagged.where(F.col("exact").isNull() & ~blank & (F.lit(compat) | F.col("tag").isNull())).select("key").distinct()
-    d = F.levenshtein(F.col("key"), F.col("alias"), fuzzy)
     names = F.initcap(F.replace("canonical", F.lit("-"), F.lit(" ")))
-    near = open_keys.join(spread(aliases)).withColumns({"d": d, "by_name": word_counts_cosine(F.col("key"), names), "by_alias": word_counts_cosine(F.col("key"), F.col("alias"))})
+    open_keys = saved(open_keys, "open-topics")
+    close = near_strings(open_keys, aliases, "key", "alias", fuzzy).join(spread(aliases), "alias").select("key", "ord", "d")
+    asked_words = open_keys.select("key", F.explode(F.array_distinct(words(F.col("key")))).alias("_w"))
+    known_words = aliases.select("ord", F.explode(F.array_union(words(names), words(F.col("alias")))).alias("_w"))
+    alike = asked_words.join(known_words, "_w").select("key", "ord").distinct()
+    near = close.join(alike, ["key", "ord"], "full").join(spread(aliases), "ord")
+    near = near.withColumns({"d": F.coalesce("d", F.lit(-1)), "by_name": word_counts_cosine(F.col("key"), names), "by_alias": word_counts_cosine(F.col("key"), F.col("alias"))})
     held = ~F.lit(compat) & (F.col("by_name") > least_cosine) & (F.size(F.array_except(words(names), words(F.col("key")))) == 0)
     near = near.groupBy("key").agg(
         F.min_by(F.when(F.col("d") >= 0, F.col("canonical")), F.when(F.col("d") >= 0, F.col("ord"))).alias("fuzzy"),

@@ -315,3 +315,44 @@ def test_one_group_of_copies_and_one_hot_cell_are_many_tasks(spark, monkeypatch)
     members, pairs = similar.similar_vectors(spark.createDataFrame(rows, "id long, embedding array<double>"), 0.99999)
     assert members.where("class_id = 0").count() == 500
     assert {(r.a, r.b) for r in pairs.collect()} == plain_pairs(rows, 0.99999)
+
+
+# aliases
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 3])
+def test_near_strings_equal_brute_force(spark, most):
+    from sheaf.operators import normalize
+
+    rng = random.Random(most)
+    word = lambda: "".join(rng.choice("abñ") for _ in range(rng.randrange(0, 8)))
+    xs, ys = {word() for _ in range(60)} | {"a" * 300}, {word() for _ in range(60)}
+    frame = lambda values, c: spark.createDataFrame([(v,) for v in [*values, *values, None]], f"{c} string")
+    got = normalize.near_strings(frame(xs, "x"), frame(ys, "y"), "x", "y", most).collect()
+    want = {(x, y, distance(x, y)) for x in xs for y in ys if distance(x, y) <= most}
+    assert len(got) == len(want) and {(r.x, r.y, r.d) for r in got} == want
+    assert normalize.near_strings(frame(xs, "x"), frame([], "y").limit(0), "x", "y", most).collect() == []
+
+
+def test_a_long_alias_table_is_looked_up_by_keys(spark):
+    from sheaf.functions.vocabulary import tag_table
+    from sheaf.operators import normalize
+
+    n = normalize.MOST_BROADCAST + 1
+    million = spark.range(1_000_000).selectExpr("concat('alias of ', id) as alias", "concat('name-', id) as canonical", "cast(id as int) as ord")
+    rows = spark.createDataFrame([("alias of 12x", "physics"), ("alias of 77", "physics"), ("Name 99", "physics"), ("zzzz", "physics"), (None, "physics")], "topic string, subject string")
+    plan = plan_of(normalize.normalize_topics(rows, million, tag_table(spark)))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    few = million.where(F.col("ord") < 200)
+    got = {r.topic: r.topic_norm for r in normalize.normalize_topics(rows, few, tag_table(spark)).collect()}
+    assert got == {"alias of 12x": "name-1", "alias of 77": "name-77", "Name 99": "name-99", "zzzz": "general-physics", None: "general-physics"}
+    assert n > 200
