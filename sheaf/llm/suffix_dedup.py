@@ -459,13 +459,22 @@ def _documents(parts: int):
     return run
 
 
+PARTITION_BYTES = 64 << 20  # text whose segments one worker holds
+
+
+def partitions_for(docs: DataFrame) -> int:
+    """Partitions of the segments: a worker holds a whole partition's, about as many bytes as their texts have, so their number follows from the texts' bytes."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(partitions(docs.sparkSession), -(-size // PARTITION_BYTES))
+
+
 def repeated_bytes(docs: DataFrame, length: int = 100, with_bytes: bool = False, carry: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, if asked for the kept bytes, and the columns named in carry.
 
     Those travel with their row, so null and repeated ids need no join afterwards.
     """
     spark = prepare(docs.sparkSession)
-    parts = partitions(spark)
+    parts = partitions_for(docs)
     rest = docs.select(*carry).schema
     docs = docs.select("doc_id", "text", (F.to_json(F.struct(*carry)) if carry else F.lit(None).cast("string")).alias("more"))
     at = lambda rows: rows.repartitionById(parts, F.col("part"))
