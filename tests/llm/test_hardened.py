@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sheaf.llm import fingerprints, language_id, quality_rules, secrets
+from sheaf.llm import fingerprints, language_id, quality_rules, secrets, suffix_dedup
 
 rng = random.Random(4)
 
@@ -149,3 +149,14 @@ def test_thousands_of_labels(spark):
     out = language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)).collect()
     known = [r for r in out if not r.held_out]
     assert sum(r.lang_pred == f"lang{r.doc_id % labels}" for r in known) > 0.95 * len(known)
+
+
+def test_segments_are_dealt_by_bytes(spark, monkeypatch):
+    """More text, more partitions, and the same result with one as with many."""
+    rows = [(k, " ".join(random.Random(k % 7).choice(["alpha", "beta", "gamma", "delta", "epsilon"]) for _ in range(120))) for k in range(60)] + [(99, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(tuple(r) for r in suffix_dedup.repeated_bytes(docs).collect())
+    assert suffix_dedup.partitions_for(docs) == 8 and suffix_dedup.partitions_for(docs.limit(0)) == 8
+    monkeypatch.setattr(suffix_dedup, "PARTITION_BYTES", 1000)
+    assert suffix_dedup.partitions_for(docs) == -(-sum(len(t or "") for _, t in rows) // 1000) > 30
+    assert sorted(tuple(r) for r in suffix_dedup.repeated_bytes(docs).collect()) == want and sum(r[2] for r in want) > 0
