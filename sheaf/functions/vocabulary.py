@@ -6,109 +6,284 @@ from pyspark.sql import DataFrame, SparkSession
 
 # The controlled tags of each subject.
 SUBJECT_TAGS = {
-    "physics": "kinematics newtons-laws friction work-energy-power rotational-motion gravitation fluid-mechanics properties-of-matter thermal-physics thermodynamics kinetic-theory oscillations waves electrostatics capacitance current-electricity magnetic-effects electromagnetic-induction alternating-current electromagnetic-waves ray-optics wave-optics modern-physics atoms nuclei semiconductors communication-systems experimental-physics units-and-dimensions vectors error-analysis measurement".split(),
-    "chemistry": "mole-concept atomic-structure periodic-classification chemical-bonding states-of-matter chemical-thermodynamics equilibrium redox-reactions hydrogen s-block p-block organic-chemistry hydrocarbons environmental-chemistry solid-state solutions electrochemistry chemical-kinetics surface-chemistry metallurgy d-block coordination-compounds halogen-derivatives alcohols-phenols-ethers aldehydes-ketones carboxylic-acids amines biomolecules polymers chemistry-in-everyday-life analytical-chemistry nuclear-chemistry green-chemistry".split(),
-    "mathematics": "sets relations-and-functions trigonometry inverse-trigonometry matrices determinants continuity-and-differentiability application-of-derivatives integrals application-of-integrals differential-equations vector-algebra three-d-geometry linear-programming probability binomial-theorem sequences-and-series complex-numbers quadratic-equations permutations-and-combinations statistics mathematical-reasoning limits number-theory graph-theory inequalities logarithms modulus-function greatest-integer-function".split(),
-    "biology": "diversity-in-living-world plant-kingdom animal-kingdom morphology-of-flowering-plants anatomy-of-flowering-plants cell-biology biomolecules-biology plant-physiology human-physiology reproduction genetics evolution human-health-and-disease biotechnology ecology microbiology immunology bioinformatics".split(),
+    "physics": [
+        "kinematics", "newtons-laws", "friction", "work-energy-power", "rotational-motion", "gravitation", "fluid-mechanics",
+        "properties-of-matter", "thermal-physics", "thermodynamics", "kinetic-theory", "oscillations", "waves", "electrostatics",
+        "capacitance", "current-electricity", "magnetic-effects", "electromagnetic-induction", "alternating-current",
+        "electromagnetic-waves", "ray-optics", "wave-optics", "modern-physics", "atoms", "nuclei", "semiconductors",
+        "communication-systems", "experimental-physics", "units-and-dimensions", "vectors", "error-analysis", "measurement",
+    ],
+    "chemistry": [
+        "mole-concept", "atomic-structure", "periodic-classification", "chemical-bonding", "states-of-matter",
+        "chemical-thermodynamics", "equilibrium", "redox-reactions", "hydrogen", "s-block", "p-block", "organic-chemistry",
+        "hydrocarbons", "environmental-chemistry", "solid-state", "solutions", "electrochemistry", "chemical-kinetics",
+        "surface-chemistry", "metallurgy", "d-block", "coordination-compounds", "halogen-derivatives", "alcohols-phenols-ethers",
+        "aldehydes-ketones", "carboxylic-acids", "amines", "biomolecules", "polymers", "chemistry-in-everyday-life",
+        "analytical-chemistry", "nuclear-chemistry", "green-chemistry",
+    ],
+    "mathematics": [
+        "sets", "relations-and-functions", "trigonometry", "inverse-trigonometry", "matrices", "determinants",
+        "continuity-and-differentiability", "application-of-derivatives", "integrals", "application-of-integrals",
+        "differential-equations", "vector-algebra", "three-d-geometry", "linear-programming", "probability", "binomial-theorem",
+        "sequences-and-series", "complex-numbers", "quadratic-equations", "permutations-and-combinations", "statistics",
+        "mathematical-reasoning", "limits", "number-theory", "graph-theory", "inequalities", "logarithms", "modulus-function",
+        "greatest-integer-function",
+    ],
+    "biology": [
+        "diversity-in-living-world", "plant-kingdom", "animal-kingdom", "morphology-of-flowering-plants",
+        "anatomy-of-flowering-plants", "cell-biology", "biomolecules-biology", "plant-physiology", "human-physiology",
+        "reproduction", "genetics", "evolution", "human-health-and-disease", "biotechnology", "ecology", "microbiology",
+        "immunology", "bioinformatics",
+    ],
 }
 
-# The published topic aliases, each line a canonical topic and its aliases; the order is that of precedence.
-TOPIC_ALIASES = """\
-kinematics: kinematics|motion|motion in 1d|motion in 1-d|motion in straight line|motion along straight line|rectilinear motion
-newtons-laws: newtons laws|newton laws|newtons law|newton law|nlm|laws of motion|law of motion
-friction: friction
-work-energy-power: work energy power|work energy|work power energy|work, energy and power
-rotational-motion: rotational motion|rigid body dynamics|rotation|system of particles|system of particles and rotational motion
-gravitation: gravitation|gravity
-fluid-mechanics: fluid mechanics|fluids|mechanical properties of fluids
-properties-of-matter: properties of matter|elasticity
-thermal-physics: thermal physics
-thermodynamics: thermodynamics|heat|thermo
-kinetic-theory: kinetic theory|kinetic theory of gases|ktg
-oscillations: oscillations|shm|simple harmonic motion
-waves: waves|wave motion
-electrostatics: electrostatics|electrostatic|electric charges and fields
-capacitance: capacitance|capacitors
-current-electricity: current electricity|electric current
-magnetic-effects: magnetic effects|magnetism|moving charges and magnetism|magnetic effect of current
-electromagnetic-induction: electromagnetic induction|emi|induction
-alternating-current: alternating current|ac
-electromagnetic-waves: electromagnetic waves|em waves|emw
-ray-optics: ray optics|geometrical optics|reflection|refraction
-wave-optics: wave optics|physical optics|interference|diffraction|polarisation|polarization
-modern-physics: modern physics|dual nature|dual nature of matter|photoelectric effect|photoelectric
-atoms: atoms|atomic physics
-nuclei: nuclei|nuclear physics|radioactivity
-semiconductors: semiconductors|semiconductor devices|logic gates|electronic devices
-communication-systems: communication|communication systems
-mole-concept: mole concept|stoichiometry|basic concepts|some basic concepts of chemistry
-atomic-structure: atomic structure|structure of atom
-periodic-classification: classification of elements|periodic table|periodicity
-chemical-bonding: chemical bonding|bonding|molecular structure
-states-of-matter: states of matter|gaseous state|gases
-chemical-thermodynamics: thermodynamics chemistry|chemical thermodynamics|thermochemistry
-equilibrium: equilibrium|chemical equilibrium|ionic equilibrium
-redox-reactions: redox|redox reactions|oxidation reduction
-hydrogen: hydrogen
-s-block: s block|s-block elements|alkali metals|alkaline earth metals
-p-block: p block|p-block elements
-organic-chemistry: organic chemistry|organic
-hydrocarbons: hydrocarbons|alkanes|alkenes|alkynes
-environmental-chemistry: environmental chemistry
-solid-state: solid state|solids
-solutions: solutions
-electrochemistry: electrochemistry
-chemical-kinetics: chemical kinetics|kinetics
-surface-chemistry: surface chemistry|adsorption|colloids
-metallurgy: metallurgy|general principles of metallurgy
-d-block: d block|d-block elements
-coordination-compounds: coordination compounds
-halogen-derivatives: halogen derivatives|haloalkanes|haloarenes
-alcohols-phenols-ethers: alcohols|phenols|ethers
-aldehydes-ketones: aldehydes|ketones
-carboxylic-acids: carboxylic acids
-amines: amines
-biomolecules: biomolecules|carbohydrates|proteins
-polymers: polymers
-chemistry-in-everyday-life: chemistry in everyday life
-sets: sets
-relations-and-functions: relations|functions|relations and functions
-trigonometry: trigonometry|trigonometric functions|trigonometric equations
-inverse-trigonometry: inverse trigonometry|inverse trigonometric functions
-matrices: matrices
-determinants: determinants
-continuity-and-differentiability: continuity|differentiability|continuity and differentiability
-application-of-derivatives: application of derivatives|aod
-integrals: integrals|integration|indefinite integrals|definite integrals
-application-of-integrals: application of integrals|area under curve
-differential-equations: differential equations|de
-vector-algebra: vector algebra|vectors
-three-d-geometry: three dimensional geometry|3d geometry
-linear-programming: linear programming|lp
-probability: probability|bayes theorem
-binomial-theorem: binomial theorem|binomial
-sequences-and-series: sequence and series|ap gp|arithmetic progression|geometric progression
-complex-numbers: complex numbers
-quadratic-equations: quadratic equations
-permutations-and-combinations: permutations|combinations|permutations and combinations
-statistics: statistics|measures of dispersion
-mathematical-reasoning: mathematical reasoning
-limits: limit|limits
-diversity-in-living-world: diversity in living world|classification
-plant-kingdom: plant kingdom
-animal-kingdom: animal kingdom
-morphology-of-flowering-plants: morphology of flowering plants
-anatomy-of-flowering-plants: anatomy of flowering plants
-cell-biology: cell|cell biology|cell cycle|cell division
-biomolecules-biology: biomolecules biology|enzymes
-plant-physiology: plant physiology|photosynthesis|respiration in plants|plant growth
-human-physiology: human physiology|digestion|circulation|excretion|locomotion|neural control|chemical coordination
-reproduction: reproduction|reproduction in organisms|sexual reproduction
-genetics: genetics|mendelian genetics|molecular genetics|dna
-evolution: evolution
-human-health-and-disease: human health|diseases|immunity
-biotechnology: biotechnology|biotech|genetic engineering
-ecology: ecology|ecosystem|biodiversity|environment"""
+# The published topic aliases and their canonical topics; the order is that of precedence.
+TOPIC_ALIASES = {
+    "kinematics": "kinematics",
+    "motion": "kinematics",
+    "motion in 1d": "kinematics",
+    "motion in 1-d": "kinematics",
+    "motion in straight line": "kinematics",
+    "motion along straight line": "kinematics",
+    "rectilinear motion": "kinematics",
+    "newtons laws": "newtons-laws",
+    "newton laws": "newtons-laws",
+    "newtons law": "newtons-laws",
+    "newton law": "newtons-laws",
+    "nlm": "newtons-laws",
+    "laws of motion": "newtons-laws",
+    "law of motion": "newtons-laws",
+    "friction": "friction",
+    "work energy power": "work-energy-power",
+    "work energy": "work-energy-power",
+    "work power energy": "work-energy-power",
+    "work, energy and power": "work-energy-power",
+    "rotational motion": "rotational-motion",
+    "rigid body dynamics": "rotational-motion",
+    "rotation": "rotational-motion",
+    "system of particles": "rotational-motion",
+    "system of particles and rotational motion": "rotational-motion",
+    "gravitation": "gravitation",
+    "gravity": "gravitation",
+    "fluid mechanics": "fluid-mechanics",
+    "fluids": "fluid-mechanics",
+    "mechanical properties of fluids": "fluid-mechanics",
+    "properties of matter": "properties-of-matter",
+    "elasticity": "properties-of-matter",
+    "thermal physics": "thermal-physics",
+    "thermodynamics": "thermodynamics",
+    "heat": "thermodynamics",
+    "thermo": "thermodynamics",
+    "kinetic theory": "kinetic-theory",
+    "kinetic theory of gases": "kinetic-theory",
+    "ktg": "kinetic-theory",
+    "oscillations": "oscillations",
+    "shm": "oscillations",
+    "simple harmonic motion": "oscillations",
+    "waves": "waves",
+    "wave motion": "waves",
+    "electrostatics": "electrostatics",
+    "electrostatic": "electrostatics",
+    "electric charges and fields": "electrostatics",
+    "capacitance": "capacitance",
+    "capacitors": "capacitance",
+    "current electricity": "current-electricity",
+    "electric current": "current-electricity",
+    "magnetic effects": "magnetic-effects",
+    "magnetism": "magnetic-effects",
+    "moving charges and magnetism": "magnetic-effects",
+    "magnetic effect of current": "magnetic-effects",
+    "electromagnetic induction": "electromagnetic-induction",
+    "emi": "electromagnetic-induction",
+    "induction": "electromagnetic-induction",
+    "alternating current": "alternating-current",
+    "ac": "alternating-current",
+    "electromagnetic waves": "electromagnetic-waves",
+    "em waves": "electromagnetic-waves",
+    "emw": "electromagnetic-waves",
+    "ray optics": "ray-optics",
+    "geometrical optics": "ray-optics",
+    "reflection": "ray-optics",
+    "refraction": "ray-optics",
+    "wave optics": "wave-optics",
+    "physical optics": "wave-optics",
+    "interference": "wave-optics",
+    "diffraction": "wave-optics",
+    "polarisation": "wave-optics",
+    "polarization": "wave-optics",
+    "modern physics": "modern-physics",
+    "dual nature": "modern-physics",
+    "dual nature of matter": "modern-physics",
+    "photoelectric effect": "modern-physics",
+    "photoelectric": "modern-physics",
+    "atoms": "atoms",
+    "atomic physics": "atoms",
+    "nuclei": "nuclei",
+    "nuclear physics": "nuclei",
+    "radioactivity": "nuclei",
+    "semiconductors": "semiconductors",
+    "semiconductor devices": "semiconductors",
+    "logic gates": "semiconductors",
+    "electronic devices": "semiconductors",
+    "communication": "communication-systems",
+    "communication systems": "communication-systems",
+    "mole concept": "mole-concept",
+    "stoichiometry": "mole-concept",
+    "basic concepts": "mole-concept",
+    "some basic concepts of chemistry": "mole-concept",
+    "atomic structure": "atomic-structure",
+    "structure of atom": "atomic-structure",
+    "classification of elements": "periodic-classification",
+    "periodic table": "periodic-classification",
+    "periodicity": "periodic-classification",
+    "chemical bonding": "chemical-bonding",
+    "bonding": "chemical-bonding",
+    "molecular structure": "chemical-bonding",
+    "states of matter": "states-of-matter",
+    "gaseous state": "states-of-matter",
+    "gases": "states-of-matter",
+    "thermodynamics chemistry": "chemical-thermodynamics",
+    "chemical thermodynamics": "chemical-thermodynamics",
+    "thermochemistry": "chemical-thermodynamics",
+    "equilibrium": "equilibrium",
+    "chemical equilibrium": "equilibrium",
+    "ionic equilibrium": "equilibrium",
+    "redox": "redox-reactions",
+    "redox reactions": "redox-reactions",
+    "oxidation reduction": "redox-reactions",
+    "hydrogen": "hydrogen",
+    "s block": "s-block",
+    "s-block elements": "s-block",
+    "alkali metals": "s-block",
+    "alkaline earth metals": "s-block",
+    "p block": "p-block",
+    "p-block elements": "p-block",
+    "organic chemistry": "organic-chemistry",
+    "organic": "organic-chemistry",
+    "hydrocarbons": "hydrocarbons",
+    "alkanes": "hydrocarbons",
+    "alkenes": "hydrocarbons",
+    "alkynes": "hydrocarbons",
+    "environmental chemistry": "environmental-chemistry",
+    "solid state": "solid-state",
+    "solids": "solid-state",
+    "solutions": "solutions",
+    "electrochemistry": "electrochemistry",
+    "chemical kinetics": "chemical-kinetics",
+    "kinetics": "chemical-kinetics",
+    "surface chemistry": "surface-chemistry",
+    "adsorption": "surface-chemistry",
+    "colloids": "surface-chemistry",
+    "metallurgy": "metallurgy",
+    "general principles of metallurgy": "metallurgy",
+    "d block": "d-block",
+    "d-block elements": "d-block",
+    "coordination compounds": "coordination-compounds",
+    "halogen derivatives": "halogen-derivatives",
+    "haloalkanes": "halogen-derivatives",
+    "haloarenes": "halogen-derivatives",
+    "alcohols": "alcohols-phenols-ethers",
+    "phenols": "alcohols-phenols-ethers",
+    "ethers": "alcohols-phenols-ethers",
+    "aldehydes": "aldehydes-ketones",
+    "ketones": "aldehydes-ketones",
+    "carboxylic acids": "carboxylic-acids",
+    "amines": "amines",
+    "biomolecules": "biomolecules",
+    "carbohydrates": "biomolecules",
+    "proteins": "biomolecules",
+    "polymers": "polymers",
+    "chemistry in everyday life": "chemistry-in-everyday-life",
+    "sets": "sets",
+    "relations": "relations-and-functions",
+    "functions": "relations-and-functions",
+    "relations and functions": "relations-and-functions",
+    "trigonometry": "trigonometry",
+    "trigonometric functions": "trigonometry",
+    "trigonometric equations": "trigonometry",
+    "inverse trigonometry": "inverse-trigonometry",
+    "inverse trigonometric functions": "inverse-trigonometry",
+    "matrices": "matrices",
+    "determinants": "determinants",
+    "continuity": "continuity-and-differentiability",
+    "differentiability": "continuity-and-differentiability",
+    "continuity and differentiability": "continuity-and-differentiability",
+    "application of derivatives": "application-of-derivatives",
+    "aod": "application-of-derivatives",
+    "integrals": "integrals",
+    "integration": "integrals",
+    "indefinite integrals": "integrals",
+    "definite integrals": "integrals",
+    "application of integrals": "application-of-integrals",
+    "area under curve": "application-of-integrals",
+    "differential equations": "differential-equations",
+    "de": "differential-equations",
+    "vector algebra": "vector-algebra",
+    "vectors": "vector-algebra",
+    "three dimensional geometry": "three-d-geometry",
+    "3d geometry": "three-d-geometry",
+    "linear programming": "linear-programming",
+    "lp": "linear-programming",
+    "probability": "probability",
+    "bayes theorem": "probability",
+    "binomial theorem": "binomial-theorem",
+    "binomial": "binomial-theorem",
+    "sequence and series": "sequences-and-series",
+    "ap gp": "sequences-and-series",
+    "arithmetic progression": "sequences-and-series",
+    "geometric progression": "sequences-and-series",
+    "complex numbers": "complex-numbers",
+    "quadratic equations": "quadratic-equations",
+    "permutations": "permutations-and-combinations",
+    "combinations": "permutations-and-combinations",
+    "permutations and combinations": "permutations-and-combinations",
+    "statistics": "statistics",
+    "measures of dispersion": "statistics",
+    "mathematical reasoning": "mathematical-reasoning",
+    "limit": "limits",
+    "limits": "limits",
+    "diversity in living world": "diversity-in-living-world",
+    "classification": "diversity-in-living-world",
+    "plant kingdom": "plant-kingdom",
+    "animal kingdom": "animal-kingdom",
+    "morphology of flowering plants": "morphology-of-flowering-plants",
+    "anatomy of flowering plants": "anatomy-of-flowering-plants",
+    "cell": "cell-biology",
+    "cell biology": "cell-biology",
+    "cell cycle": "cell-biology",
+    "cell division": "cell-biology",
+    "biomolecules biology": "biomolecules-biology",
+    "enzymes": "biomolecules-biology",
+    "plant physiology": "plant-physiology",
+    "photosynthesis": "plant-physiology",
+    "respiration in plants": "plant-physiology",
+    "plant growth": "plant-physiology",
+    "human physiology": "human-physiology",
+    "digestion": "human-physiology",
+    "circulation": "human-physiology",
+    "excretion": "human-physiology",
+    "locomotion": "human-physiology",
+    "neural control": "human-physiology",
+    "chemical coordination": "human-physiology",
+    "reproduction": "reproduction",
+    "reproduction in organisms": "reproduction",
+    "sexual reproduction": "reproduction",
+    "genetics": "genetics",
+    "mendelian genetics": "genetics",
+    "molecular genetics": "genetics",
+    "dna": "genetics",
+    "evolution": "evolution",
+    "human health": "human-health-and-disease",
+    "diseases": "human-health-and-disease",
+    "immunity": "human-health-and-disease",
+    "biotechnology": "biotechnology",
+    "biotech": "biotechnology",
+    "genetic engineering": "biotechnology",
+    "ecology": "ecology",
+    "ecosystem": "ecology",
+    "biodiversity": "ecology",
+    "environment": "ecology",
+}
 
 # Codes, ranks, expected sizes, domains.
 SUBJECT_CODES = {"physics": "ph", "chemistry": "ch", "mathematics": "ma", "biology": "bi"}
@@ -125,76 +300,75 @@ LETTER_ANSWERS = {"a": "0", "b": "1", "c": "2", "d": "3", "e": "4"}
 PLACEHOLDERS = ("[image]", "[figure]", "[diagram]", "[table]", "figure not found")
 
 # LaTeX commands and the characters they stand for.
-LATEX = dict(
-    line.split(" ", 1)
-    for line in r"""\alpha α
-\beta β
-\gamma γ
-\delta δ
-\epsilon ε
-\zeta ζ
-\eta η
-\theta θ
-\iota ι
-\kappa κ
-\lambda λ
-\mu μ
-\nu ν
-\xi ξ
-\omicron ο
-\pi π
-\rho ρ
-\sigma σ
-\tau τ
-\upsilon υ
-\phi φ
-\chi χ
-\psi ψ
-\omega ω
-\Delta Δ
-\Theta Θ
-\Lambda Λ
-\Pi Π
-\Sigma Σ
-\Phi Φ
-\Omega Ω
-\rightarrow →
-\leftarrow ←
-\Rightarrow ⇒
-\Leftarrow ⇐
-\infty ∞
-\partial ∂
-\nabla ∇
-\sqrt √
-\int ∫
-\sum ∑
-\prod ∏
-\times ×
-\div ÷
-\pm ±
-\mp ∓
-\cdot ·
-\neq ≠
-\leq ≤
-\geq ≥
-\approx ≈
-\equiv ≡
-\propto ∝
-\emptyset ∅
-\subset ⊂
-\supset ⊃
-\subseteq ⊆
-\supseteq ⊇
-\cup ∪
-\cap ∩
-\in ∈
-\notin ∉
-\angle ∠
-\perp ⊥
-\degree °
-\^ ^
-\_ _""".split("\n")
-)
+LATEX = {
+    r"\alpha": "α",
+    r"\beta": "β",
+    r"\gamma": "γ",
+    r"\delta": "δ",
+    r"\epsilon": "ε",
+    r"\zeta": "ζ",
+    r"\eta": "η",
+    r"\theta": "θ",
+    r"\iota": "ι",
+    r"\kappa": "κ",
+    r"\lambda": "λ",
+    r"\mu": "μ",
+    r"\nu": "ν",
+    r"\xi": "ξ",
+    r"\omicron": "ο",
+    r"\pi": "π",
+    r"\rho": "ρ",
+    r"\sigma": "σ",
+    r"\tau": "τ",
+    r"\upsilon": "υ",
+    r"\phi": "φ",
+    r"\chi": "χ",
+    r"\psi": "ψ",
+    r"\omega": "ω",
+    r"\Delta": "Δ",
+    r"\Theta": "Θ",
+    r"\Lambda": "Λ",
+    r"\Pi": "Π",
+    r"\Sigma": "Σ",
+    r"\Phi": "Φ",
+    r"\Omega": "Ω",
+    r"\rightarrow": "→",
+    r"\leftarrow": "←",
+    r"\Rightarrow": "⇒",
+    r"\Leftarrow": "⇐",
+    r"\infty": "∞",
+    r"\partial": "∂",
+    r"\nabla": "∇",
+    r"\sqrt": "√",
+    r"\int": "∫",
+    r"\sum": "∑",
+    r"\prod": "∏",
+    r"\times": "×",
+    r"\div": "÷",
+    r"\pm": "±",
+    r"\mp": "∓",
+    r"\cdot": "·",
+    r"\neq": "≠",
+    r"\leq": "≤",
+    r"\geq": "≥",
+    r"\approx": "≈",
+    r"\equiv": "≡",
+    r"\propto": "∝",
+    r"\emptyset": "∅",
+    r"\subset": "⊂",
+    r"\supset": "⊃",
+    r"\subseteq": "⊆",
+    r"\supseteq": "⊇",
+    r"\cup": "∪",
+    r"\cap": "∩",
+    r"\in": "∈",
+    r"\notin": "∉",
+    r"\angle": "∠",
+    r"\perp": "⊥",
+    r"\degree": "°",
+    r"\^": "^",
+    r"\_": "_",
+}
 
 # What OCR gets wrong.
 OCR_LITERALS = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "—": " - ", "–": "-"}
@@ -237,8 +411,7 @@ def tag_table(spark: SparkSession) -> DataFrame:
 
 def alias_rows() -> list[tuple[str, str, int]]:
     """The published aliases, in their order."""
-    pairs = [(alias, t) for t, _, aliases in (line.partition(": ") for line in TOPIC_ALIASES.split("\n")) for alias in aliases.split("|")]
-    return [(alias, t, n) for n, (alias, t) in enumerate(pairs)]
+    return [(alias, topic, n) for n, (alias, topic) in enumerate(TOPIC_ALIASES.items())]
 
 
 def alias_table(spark: SparkSession, path: str | None = None) -> DataFrame:
