@@ -92,7 +92,8 @@ GAP_RUN = 4096
 
 def merged_passages(passages: DataFrame) -> DataFrame:
     """(paper, id, text, rank): the first provider's passage of each id."""
-    return passages.groupBy("paper", "id").agg(F.min_by("text", "rank").alias("text"))
+    inner = [c for c in passages.columns if c not in ("paper", "id", "rank")]
+    return passages.groupBy("paper", "id").agg(F.min_by(F.struct(*inner), "rank").alias("p")).select("paper", "id", "p.*")
 
 
 def answer_key_found(flags: DataFrame) -> DataFrame:

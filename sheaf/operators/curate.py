@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.text import has_answer_key, repair_options
 from sheaf.functions.vocabulary import EXPECTED_COUNTS
-from sheaf.operators import chunks, consensus, listing, merge, normalize, rules
+from sheaf.operators import chunks, consensus, diagrams, listing, merge, normalize, rules
 from sheaf.operators.stages import saved
 from sheaf.sources import providers, readers
 
@@ -190,29 +190,48 @@ def distributed_extraction(pages: DataFrame, recording: DataFrame, names: list[s
     return merge.backfill(merge.merge_chunks(rows), merge.answer_key(rows))
 
 
-def curate(raw: DataFrame, headers: DataFrame, aliases: DataFrame, tags: DataFrame, key_answers: DataFrame | None = None, again: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+DETAILS = ("answers", "tags", "solution", "solution_format", "difficulty", "number_label", "passage_id", "has_diagram", "section")
+
+
+def curate(
+    raw: DataFrame,
+    headers: DataFrame,
+    aliases: DataFrame,
+    tags: DataFrame,
+    key_answers: DataFrame | None = None,
+    again: DataFrame | None = None,
+    images: DataFrame | None = None,
+    annotations: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """From extractors' raw answers to papers: documents, flags of the validation rules, errors that are left.
 
-    raw: (key, provider, rank, raw, key_found), key being a paper as exam/year/shift; headers: (exam, year, shift, answer_key_found, ...).
-    Answers are parsed, voted on by number, repaired, normalised, given topics, sections and ids, validated, and nested.
+    raw: (key, provider, rank, raw, key_found), key being a paper as exam/year/shift; headers: (exam, year, shift, answer_key_found, ...); images: (paper, image_id, page);
+    annotations: as in diagrams.attached. Answers are parsed, voted on by number, repaired, normalised, given topics, sections and ids, their
+    diagrams and passages, validated, and nested. What isn't voted on comes from the first provider that has the question, a passage from the first that has it.
     """
-    parsed = readers.parse_responses(raw.withColumn("key", F.struct("key", "provider", "rank")))
+    named = raw.withColumn("key", F.struct("key", "provider", "rank"))
+    parsed = readers.parse_responses(named)
     votes = parsed.select(F.col("key.key").alias("paper"), F.col("key.provider").alias("provider"), F.col("key.rank").alias("rank"), "number", "text", F.to_json("options").alias("options"), "answer", "subject")
     voted = consensus.consensus(votes).select("paper", "number", "text", F.from_json("options", "array<string>").alias("options"), "answer", "subject", F.when(F.col("confidence") == "high", F.lit(None)).otherwise(F.col("confidence")).alias("confidence"))
-    more = first_seen(parsed.select(F.col("key.key").alias("paper"), F.col("key.rank").alias("rank"), "pos", "number", "type", "topic", "marks"), ["paper", "number"], ["rank", "pos"]).select("paper", "number", "type", "topic", "marks")
+    more = first_seen(parsed.select(F.col("key.key").alias("paper"), F.col("key.rank").alias("rank"), "pos", "number", "type", "topic", "marks", *DETAILS), ["paper", "number"], ["rank", "pos"]).drop("rank", "pos")
     part = lambda k: F.nullif(F.get(F.split("paper", "/"), F.lit(k)), F.lit(""))
-    rows = voted.join(more, ["paper", "number"], "left").withColumns({"exam": part(0), "year": part(1).try_cast("int"), "shift": part(2), "pos": F.col("number"), "type": F.coalesce("type", F.lit("mcq")), "section": F.lit(None).cast("string")})
+    rows = voted.join(more, ["paper", "number"], "left").withColumns({"exam": part(0), "year": part(1).try_cast("int"), "shift": part(2), "pos": F.col("number"), "type": F.coalesce("type", F.lit("mcq"))})
     empty = lambda d: d.limit(0)
-    asked = ["paper", "exam", "year", "shift", "pos", "number", "subject", "topic", "section", "type", "text", "options", "answer", "marks", "confidence"]
+    asked = ["paper", "exam", "year", "shift", "pos", "number", "subject", "topic", "type", "text", "options", "answer", "marks", "confidence", *DETAILS]
     rows = saved(rows.select(*asked), "voted")  # used by each repair
-    repaired, left = auto_repair(rows, key_answers if key_answers is not None else empty(rows.select("paper", "pos", "number", "answer")), again if again is not None else empty(rows))
+    again = empty(rows) if again is None else again.select(*again.columns, *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in asked if c not in again.columns])
+    repaired, left = auto_repair(rows, key_answers if key_answers is not None else empty(rows.select("paper", "pos", "number", "answer")), again)
     normal = saved(normalize.normalize_answers(normalize.normalize_texts(repaired.drop("options_repaired", "answer_restored"))), "normalised")
     topics = normalize.normalize_topics(normal, aliases, tags).withColumn("topic", F.col("topic_norm")).drop("topic_norm")
-    ready = normalize.assign_ids(topics).drop("subject_number")
-    ready = ready.withColumns({"negative_marks": F.when(F.col("type") == "nat", 0.0).otherwise(-1.0), "revision": F.lit(1), "source": F.lit("official-pdf"), "has_diagram": F.lit(False)})
-    ready = reduce(lambda d, c: d.withColumn(c, F.lit(None).cast("string")), ("diagram_file", "difficulty", "solution", "solution_format", "number_label", "precision_type"), ready).withColumns({"answers": F.lit(None).cast("array<string>"), "tags": F.array().cast("array<string>")})
-    flags = rules.row_flags(ready).unionByName(rules.duplicate_flags(ready))
-    return paper_documents(ready.drop("paper"), headers), flags, left
+    shown = diagrams.attached(topics, images if images is not None else empty(topics.select("paper", F.lit("").alias("image_id"), F.col("pos").alias("page"))), annotations)
+    ready = normalize.assign_ids(shown).drop("subject_number")
+    fixed = {"negative_marks": F.when(F.col("type") == "nat", 0.0).otherwise(-1.0), "revision": F.lit(1), "source": F.lit("official-pdf"), "precision_type": F.lit(None).cast("string"), "tags": F.coalesce("tags", F.array().cast("array<string>"))}
+    ready = saved(ready.withColumns(fixed), "ready")  # validated and nested
+    held = consensus.merged_passages(readers.parse_passages(named).where("id is not null").select(F.col("key.key").alias("paper"), "id", F.struct("key.rank", "pos").alias("rank"), "text", "text_hi", "questions"))
+    held = saved(held, "passages")
+    flags = [rules.row_flags(ready), rules.duplicate_flags(ready), rules.passage_flags(ready, held), rules.tag_flags(ready, tags)]
+    placed = held.withColumns({"exam": part(0), "year": part(1).try_cast("int"), "shift": part(2)}).drop("paper")
+    return paper_documents(ready.drop("paper"), headers, placed), reduce(DataFrame.unionByName, flags), left
 
 
 def dataset_scan(papers: DataFrame, metadata: DataFrame, flags: DataFrame) -> DataFrame:

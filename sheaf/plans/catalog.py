@@ -358,7 +358,7 @@ def duplicate_flags(spark, sf):
     return rules.duplicate_flags(questions(spark, sf)).select("pos", "rule")
 
 
-@query(f"with {Q}, tags_of(subject, tag) as (values {_TAGS}), t as (select pos, subject, unnest(tags) as t from q where tags is not null) select pos, 'Tag not in vocabulary: ' || t as message from t where not exists (select 1 from tags_of as o where o.subject = t.subject and o.tag = lower(t.t))")
+@query(f"with {Q}, tags_of(subject, tag) as (values {_TAGS}), t as (select pos, subject, unnest(tags) as t from q where tags is not null) select pos, 'no tag of this subject: ' || t as message from t where not exists (select 1 from tags_of as o where o.subject = t.subject and o.tag = lower(t.t))")
 def bad_tags(spark, sf):
     return rules.tag_flags(questions(spark, sf), tag_table(spark)).select("pos", "message")
 

@@ -8,7 +8,7 @@ from sheaf.functions import text as tx
 from sheaf.functions.vocabulary import ANSWER_KEY_PATTERNS, EXPECTED_COUNTS, SUBJECT_TAGS, alias_rows, alias_table, tag_table
 from sheaf.operators import chunks, consensus, curate, diagrams, listing, normalize, rules, similar, state
 from sheaf.operators.stages import StageCache
-from sheaf.plans.catalog import CHUNK_ROWS, CHUNKED, ORACLES, Q, query, quoted
+from sheaf.plans.catalog import CHUNK_ROWS, CHUNKED, ORACLES, Q, _duck, query, quoted
 from sheaf.sources import providers, readers
 from sheaf.sources.views import for_tables, questions, view
 from sheaf.streaming import events as ev
@@ -124,6 +124,13 @@ w as (select *, row_number() over (partition by paper, subject order by number)
 i as (select *, 'jeeadv-' || cast(year as varchar) || '-s' || substr(shift, 2) || '-' || case subject when 'physics' then 'ph' else 'ch' end || '-' || lpad(cast(k as varchar), cast(greatest(3, length(cast(k as varchar))) as int), '0') as id from w)"""
 
 
+#: What the run's raw answers say beside what is voted on, the same in every extractor's answer.
+_DETAILS = {
+    "tags": "case pos % 5 when 0 then array('Oscillations', 'cooking') when 1 then array('hydrocarbons') end", "difficulty": "case pos % 7 when 0 then 'extreme' when 1 then 'easy' end", "solution": "case when pos % 4 = 0 then 'because' end",
+    "solutionFormat": "case when pos % 8 = 0 then 'rtf' end", "passageId": "case pos % 9 when 0 then 'g1' when 1 then 'g2' end", "hasDiagram": "pos % 6 = 0", "numberLabel": "case when pos % 10 = 0 then '12x3' end",
+}
+
+
 def _run(spark, sf):
     part = read(spark, sf, "part")
     sql = "select p_partkey as pos, concat('jeeadv/', 2020 + p_partkey % 3, '/p', substr(p_brand, 7)) as paper, p_name as name, row_number() over (partition by p_partkey % 3, p_brand order by p_partkey) as number from {p}"
@@ -131,12 +138,14 @@ def _run(spark, sf):
     each = q.withColumn("p", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     off = "case when p = 2 and pos % 5 = 0 then 1 else 0 end"
     letter = F.expr(f"case when pos % 11 = 0 then '' else concat('(', char(65 + (pos + {off}) % 4), ')') end")
-    row = F.struct(F.col("number").cast("int").alias("number"), F.concat(F.lit("What  of "), "name", F.when(F.expr("p = 2 and pos % 3 = 0"), "!").otherwise("?")).alias("text"), F.array(*[F.lit(o) for o in ("first", "second", "third", "fourth")]).alias("options"), letter.alias("answer"), F.expr("case when number % 3 = 0 then 'chemistry' else 'physics' end").alias("subject"), F.lit("mcq").alias("type"), F.lit(4.0).alias("marks"), F.expr("case when number % 3 = 0 then 'orgnic' else 'shm' end").alias("topic"))
+    row = F.struct(F.col("number").cast("int").alias("number"), F.concat(F.lit("What  of "), "name", F.when(F.expr("p = 2 and pos % 3 = 0"), "!").otherwise("?")).alias("text"), F.array(*[F.lit(o) for o in ("first", "second", "third", "fourth")]).alias("options"), letter.alias("answer"), F.expr("case when number % 3 = 0 then 'chemistry' else 'physics' end").alias("subject"), F.lit("mcq").alias("type"), F.lit(4.0).alias("marks"), F.expr("case when number % 3 = 0 then 'orgnic' else 'shm' end").alias("topic"), *[F.expr(v).alias(k) for k, v in _DETAILS.items()])
     body = F.to_json(F.array_sort(F.collect_list(row)))
-    raw = each.groupBy(F.col("paper").alias("key"), F.col("p").alias("rank")).agg(body.alias("b")).selectExpr("key", "rank", "element_at(array('poolside', 'longcat-lite', 'nvidia-qwen'), rank + 1) as provider", "case rank when 0 then concat('```json\\n', b, '\\n```') when 1 then b else concat('{\"questions\":', b, '}') end as raw", "true as key_found")
+    raw = each.groupBy(F.col("paper").alias("key"), F.col("p").alias("rank")).agg(body.alias("b")).selectExpr("key", "rank", "element_at(array('poolside', 'longcat-lite', 'nvidia-qwen'), rank + 1) as provider", "case rank when 0 then concat('```json\\n', b, '\\n```') when 1 then b else concat('{\"questions\":', b, ',\"passages\":[{\"id\":\"g1\",\"text\":\"Read this.\",\"questions\":[\"3\"]}]}') end as raw", "true as key_found")
     headers = q.select(F.lit("jeeadv").alias("exam"), F.split("paper", "/")[1].cast("int").alias("year"), F.split("paper", "/")[2].alias("shift"), F.lit(True).alias("answer_key_found")).distinct()
     key = q.where("pos % 11 = 0 and pos % 2 = 1").select("paper", "pos", F.col("number").cast("int").alias("number"), F.expr("char(65 + pos % 4)").alias("answer"))
-    return curate.curate(raw, headers, alias_table(spark), tag_table(spark), key)
+    images = q.where("pos % 12 <> 6").select("paper", F.concat(F.lit("img"), "pos").alias("image_id"), F.col("number").alias("page"))
+    notes = q.where("pos % 2 = 0").select("paper", F.col("number").alias("place"), F.concat(F.lit("img"), "pos").alias("image_id"), F.expr("case when pos % 18 = 0 then 'table' else 'figure' end").alias("type"), F.expr("case when pos % 24 = 0 then 'a drawing' end").alias("description"), F.col("number").cast("int").alias("relates_to"))
+    return curate.curate(raw, headers, alias_table(spark), tag_table(spark), key, images=images, annotations=notes)
 
 
 @query(f"""{RUN} select 'jeeadv/' || cast(year as varchar) || '/' || shift || '/' || 'paper' || '.json' as path, cast(count(*) as int) as total, sum((answer = '')::int)::bigint as unanswered, string_agg(id || '=' || answer || '=' || case subject when 'physics' then 'oscillations' else 'organic-chemistry' end, ',' order by number) as answers, min('What of ' || name || '?') as first_text from i group by year, shift""")
@@ -153,6 +162,40 @@ def curation_errors(spark, sf):
     return _run(spark, sf)[2]
 
 
+_TAGS = ", ".join(f"({quoted(s)}, {quoted(t)}, {i})" for s, tags in SUBJECT_TAGS.items() for i, t in enumerate(tags))
+
+#: The run's questions as they are validated.
+READY = f"""{RUN}, q2 as (select i.*, 'jeeadv' as exam, subject, case when number % 3 = 0 then 'organic-chemistry' else 'oscillations' end as topic, 'mcq' as type, 'What of ' || name || '?' as text, ['first', 'second', 'third', 'fourth'] as options, null::varchar[] as answers, 4.0::double as marks, -1.0::double as negative_marks,
+case pos % 5 when 0 then ['Oscillations', 'cooking'] when 1 then ['hydrocarbons'] else [] end as tags, case pos % 7 when 0 then 'extreme' when 1 then 'easy' end as difficulty, case when pos % 4 = 0 then 'because' end as solution, case when pos % 8 = 0 then 'rtf' end as solution_format,
+case pos % 9 when 0 then 'g1' when 1 then 'g2' end as passage_id, case when pos % 10 = 0 then '12x3' end as number_label, pos % 6 = 0 or regexp_matches('What of ' || name || '?', '(?i)(Figure|Fig\\.?|Diagram|Graph|Circuit|shown\\s+in)') as has_diagram,
+case when pos % 6 = 0 and pos % 12 <> 6 and pos % 18 <> 0 then 'diagrams/' || subject || '/q' || lpad(cast(number as varchar), cast(greatest(3, length(cast(number as varchar))) as int), '0') || '-img' || pos end as diagram_file, case when pos % 24 = 0 then 'a drawing' end as described, 1 as revision, 'official-pdf' as source, case when pos % 3 = 0 and (pos % 5 = 0 or pos % 11 = 0) then 'medium' end as confidence, null::varchar as precision_type from i)"""
+
+
+@query(f"""{READY} select paper, cast(number as int) as number, has_diagram, diagram_file, case when diagram_file is not null then coalesce(described, 'fig. 1') end as label, array_to_string(tags, ',') as tags, difficulty, solution, solution_format, number_label, passage_id, case when count(*) over (partition by paper) > 0 then 'g1=Read this.' end as passages from q2""")
+def curation_details(spark, sf):
+    """The questions of the run's papers: diagrams, tags, solutions, passages."""
+    docs, _, _ = _run(spark, sf)
+    q = docs.where("document = 'paper'").select(F.concat_ws("/", "exam", F.col("year").cast("string"), "shift").alias("paper"), F.explode("questions").alias("q"), F.array_join(F.transform("passages", lambda p: F.concat(p["id"], F.lit("="), p["text"])), ",").alias("passages"))
+    return q.select("paper", "q.number", "q.has_diagram", "q.diagram_file", F.get("q.diagrams", F.lit(0))["label"].alias("label"), F.array_join("q.tags", ",").alias("tags"), "q.difficulty", "q.solution", "q.solution_format", "q.number_label", "q.passage_id", "passages")
+
+
+def _run_flags() -> str:
+    row = " union all ".join(f"select paper, number, {quoted(r.rule)} as rule from f where {_duck(r.broken)}" for r in rules.RULES)
+    return f"""{READY}, f as (select * from q2), flags as ({row} union all select paper, number, '29' from (select paper, number, row_number() over (partition by paper, lower(substr(text, 1, 100)) order by number) as n from f where length(substr(text, 1, 100)) > 20) as d where n > 1
+union all select paper, number, '30' from f where passage_id = 'g2' union all select f.paper, f.number, '22' from f, unnest(f.tags) as u(t) where not exists (select 1 from (values {_TAGS}) as o(s, t, k) where o.s = f.subject and o.t = lower(u.t)))
+select paper, rule, count(*) as n, min(cast(number as int)) as first from flags group by 1, 2"""
+
+
+ORACLES["curation_flags"] = for_tables(_run_flags())
+
+
+@query()
+def curation_flags(spark, sf):
+    """How often each rule is broken in each of the run's papers."""
+    flags = _run(spark, sf)[1]
+    return flags.groupBy("paper", "rule").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
+
+
 # Merging with an order that isn't transitive: a fold over each key's candidates
 
 _FULLER = """case when n."full" > k."full" + 1 then true when k."full" > n."full" + 1 then false when n.answer <> '' and k.answer = '' then true when n.answer = '' and k.answer <> '' then false
@@ -172,7 +215,6 @@ ORACLES["merge_fold"] = for_tables(_fold_sql())
 # Topics: the whole cascade
 
 _ALIASES = ", ".join(f"({quoted(a)}, {quoted(c)}, {i})" for a, c, i in alias_rows())
-_TAGS = ", ".join(f"({quoted(s)}, {quoted(t)}, {i})" for s, tags in SUBJECT_TAGS.items() for i, t in enumerate(tags))
 _WORDS = lambda x: f"list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda w: w <> '')"
 _TIMES = lambda ws: f"len(list_filter({ws}, lambda v: v = w))"
 _NORM = lambda ws: f"list_sum(list_transform(list_distinct({ws}), lambda w: {_TIMES(ws)} * {_TIMES(ws)}))"

@@ -256,7 +256,7 @@ def test_blank_answers_take_the_first_of_several(spark):
 def test_tags_have_no_duplicates_and_are_checked(spark):
     assert [len(v) for v in SUBJECT_TAGS.values()] == [32, 33, 29, 18]
     q = spark.createDataFrame([(1, "p", "x", "physics", ["Waves", "cooking"]), (2, "p", "y", "biology", ["waves"])], "pos int, paper string, id string, subject string, tags array<string>")
-    assert sorted(r.message for r in rules.tag_flags(q, tag_table(spark)).collect()) == ["Tag not in vocabulary: cooking", "Tag not in vocabulary: waves"]
+    assert sorted(r.message for r in rules.tag_flags(q, tag_table(spark)).collect()) == ["no tag of this subject: cooking", "no tag of this subject: waves"]
 
 
 def test_latex(spark):

@@ -356,3 +356,34 @@ def test_a_long_alias_table_is_looked_up_by_keys(spark):
     got = {r.topic: r.topic_norm for r in normalize.normalize_topics(rows, few, tag_table(spark)).collect()}
     assert got == {"alias of 12x": "name-1", "alias of 77": "name-77", "Name 99": "name-99", "zzzz": "general-physics", None: "general-physics"}
     assert n > 200
+
+
+# diagrams of a paper's questions
+
+
+def test_diagrams_by_annotation_reference_and_rank(spark):
+    from sheaf.operators import diagrams
+
+    rows = [
+        ("p", 1, 1, "physics", "plain", ["a"], True),
+        ("p", 2, 2, "physics", "Figure 7 is\n![x](i2.png)\nThe caption line", [], None),
+        ("p", 3, 3, None, "![](gone.png) ![two](i3.png)", ["a"], True),
+        ("p", 4, 4, "physics", "no picture", ["a"], False),
+        ("p", 0, 0, "physics", "a Diagram", ["a"], True),
+        ("q", 1, 1000, "biology", "shown in", [], None),
+    ]
+    q = spark.createDataFrame(rows, "paper string, pos int, number int, subject string, text string, options array<string>, has_diagram boolean")
+    images = spark.createDataFrame([("p", "i1.png", 2), ("p", "i2.png", 1), ("p", "i3.png", 3), ("q", "b.png", 1)], "paper string, image_id string, page int")
+    options = "A) red one; B) green one; C) blue one; D) grey one"
+    notes = [("p", 2, "i1.png", "diagram", "drawn", 1), ("p", 1, "i3.png", "figure", "", 1), ("p", 3, "lost.png", "figure", "x", 1), ("p", 4, "i2.png", "table", None, 1), ("q", 1, "b.png", "figure", options, 1000)]
+    notes = spark.createDataFrame(notes, "paper string, place int, image_id string, type string, description string, relates_to int")
+    got = {(r.paper, r.pos): r for r in diagrams.attached(q, images, notes).collect()}
+    shown = lambda key: [tuple(d) for d in got[key].diagrams or []]
+    assert shown(("p", 1)) == [("diagrams/physics/q001-i3.png", "fig. 1", None), ("diagrams/physics/q001-i1.png", "drawn", "drawn")]
+    assert shown(("p", 2)) == [("diagrams/physics/q002-i2.png", "Figure 7 is\n![x](i2.png)", "The caption line")] and got["p", 2].has_diagram
+    assert shown(("p", 3)) == [("diagrams/unknown/q003-i3.png", "two", None)]
+    assert shown(("p", 4)) == shown(("p", 0)) == [] and not got["p", 4].has_diagram and got["p", 0].diagram_file is None
+    assert shown(("q", 1)) == [("diagrams/biology/q1000-b.png", options, options)] and got["q", 1].options == ["red one", "green one", "blue one", "grey one"]
+    assert got["p", 2].options == [] and got["p", 1].diagram_file == "diagrams/physics/q001-i3.png"
+    old = {(r.paper, r.pos): r.diagram_file for r in diagrams.attached(q, images).collect()}
+    assert old == {("p", 1): "diagrams/physics/q001-fig1.png", ("p", 2): "diagrams/physics/q002-fig1.png", ("p", 3): "diagrams/unknown/q003-fig1.png", ("p", 4): None, ("p", 0): None, ("q", 1): "diagrams/biology/q1000-fig1.png"}
