@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sheaf.functions.text import has_answer_key, repair_options
 from sheaf.functions.vocabulary import EXPECTED_COUNTS
 from sheaf.operators import chunks, consensus, diagrams, listing, merge, normalize, rules
-from sheaf.operators.stages import saved
+from sheaf.operators.stages import keep_all, saved
 from sheaf.sources import providers, readers
 
 COUNT_TOLERANCE = 5
@@ -202,12 +202,15 @@ def curate(
     again: DataFrame | None = None,
     images: DataFrame | None = None,
     annotations: DataFrame | None = None,
+    keep: Callable[[str, Callable[[], DataFrame]], DataFrame] = keep_all,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """From extractors' raw answers to papers: documents, flags of the validation rules, errors that are left.
 
     raw: (key, provider, rank, raw, key_found), key being a paper as exam/year/shift; headers: (exam, year, shift, answer_key_found, ...); images: (paper, image_id, page);
     annotations: as in diagrams.attached. Answers are parsed, voted on by number, repaired, normalised, given topics, sections and ids, their
     diagrams and passages, validated, and nested. What isn't voted on comes from the first provider that has the question, a passage from the first that has it.
+
+    `keep` takes each stage's name and how to make its rows. With StageCache.stage a run that was stopped goes on at the stage that it had not finished.
     """
     named = raw.withColumn("key", F.struct("key", "provider", "rank"))
     parsed = readers.parse_responses(named)
@@ -218,20 +221,26 @@ def curate(
     rows = voted.join(more, ["paper", "number"], "left").withColumns({"exam": part(0), "year": part(1).try_cast("int"), "shift": part(2), "pos": F.col("number"), "type": F.coalesce("type", F.lit("mcq"))})
     empty = lambda d: d.limit(0)
     asked = ["paper", "exam", "year", "shift", "pos", "number", "subject", "topic", "type", "text", "options", "answer", "marks", "confidence", *DETAILS]
-    rows = saved(rows.select(*asked), "voted")  # used by each repair
+    rows_asked = rows.select(*asked)
+    rows = keep("voted", lambda: rows_asked)  # used by each repair
     again = empty(rows) if again is None else again.select(*again.columns, *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in asked if c not in again.columns])
-    repaired, left = auto_repair(rows, key_answers if key_answers is not None else empty(rows.select("paper", "pos", "number", "answer")), again)
-    normal = saved(normalize.normalize_answers(normalize.normalize_texts(repaired.drop("options_repaired", "answer_restored"))), "normalised")
-    topics = normalize.normalize_topics(normal, aliases, tags).withColumn("topic", F.col("topic_norm")).drop("topic_norm")
-    shown = diagrams.attached(topics, images if images is not None else empty(topics.select("paper", F.lit("").alias("image_id"), F.col("pos").alias("page"))), annotations)
-    ready = normalize.assign_ids(shown).drop("subject_number")
+    repaired, left_errors = auto_repair(rows, key_answers if key_answers is not None else empty(rows.select("paper", "pos", "number", "answer")), again)
+    left = keep("left", lambda: left_errors)
+    normal = keep("normalised", lambda: normalize.normalize_answers(normalize.normalize_texts(repaired.drop("options_repaired", "answer_restored"))))
+
+    def made_ready() -> DataFrame:
+        topics = normalize.normalize_topics(normal, aliases, tags).withColumn("topic", F.col("topic_norm")).drop("topic_norm")
+        shown = diagrams.attached(topics, images if images is not None else empty(topics.select("paper", F.lit("").alias("image_id"), F.col("pos").alias("page"))), annotations)
+        return normalize.assign_ids(shown).drop("subject_number").withColumns(fixed)
+
     fixed = {"negative_marks": F.when(F.col("type") == "nat", 0.0).otherwise(-1.0), "revision": F.lit(1), "source": F.lit("official-pdf"), "precision_type": F.lit(None).cast("string"), "tags": F.coalesce("tags", F.array().cast("array<string>"))}
-    ready = saved(ready.withColumns(fixed), "ready")  # validated and nested
-    held = consensus.merged_passages(readers.parse_passages(named).where("id is not null").select(F.col("key.key").alias("paper"), "id", F.struct("key.rank", "pos").alias("rank"), "text", "text_hi", "questions"))
-    held = saved(held, "passages")
+    ready = keep("ready", made_ready)  # validated and nested
+    merged = lambda: consensus.merged_passages(readers.parse_passages(named).where("id is not null").select(F.col("key.key").alias("paper"), "id", F.struct("key.rank", "pos").alias("rank"), "text", "text_hi", "questions"))
+    held = keep("passages", merged)
     flags = [rules.row_flags(ready), rules.duplicate_flags(ready), rules.passage_flags(ready, held), rules.tag_flags(ready, tags)]
     placed = held.withColumns({"exam": part(0), "year": part(1).try_cast("int"), "shift": part(2)}).drop("paper")
-    return paper_documents(ready.drop("paper"), headers, placed), reduce(DataFrame.unionByName, flags), left
+    documents = keep("documents", lambda: paper_documents(ready.drop("paper"), headers, placed))
+    return documents, keep("flags", lambda: reduce(DataFrame.unionByName, flags)), left
 
 
 def dataset_scan(papers: DataFrame, metadata: DataFrame, flags: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ _DETAILS = {
 }
 
 
-def _run(spark, sf):
+def _run(spark, sf, **more):
     part = read(spark, sf, "part")
     sql = "select p_partkey as pos, concat('jeeadv/', 2020 + p_partkey % 3, '/p', substr(p_brand, 7)) as paper, p_name as name, row_number() over (partition by p_partkey % 3, p_brand order by p_partkey) as number from {p}"
     q = spark.sql(sql, p=part)
@@ -145,7 +145,7 @@ def _run(spark, sf):
     key = q.where("pos % 11 = 0 and pos % 2 = 1").select("paper", "pos", F.col("number").cast("int").alias("number"), F.expr("char(65 + pos % 4)").alias("answer"))
     images = q.where("pos % 12 <> 6").select("paper", F.concat(F.lit("img"), "pos").alias("image_id"), F.col("number").alias("page"))
     notes = q.where("pos % 2 = 0").select("paper", F.col("number").alias("place"), F.concat(F.lit("img"), "pos").alias("image_id"), F.expr("case when pos % 18 = 0 then 'table' else 'figure' end").alias("type"), F.expr("case when pos % 24 = 0 then 'a drawing' end").alias("description"), F.col("number").cast("int").alias("relates_to"))
-    return curate.curate(raw, headers, alias_table(spark), tag_table(spark), key, images=images, annotations=notes)
+    return curate.curate(raw, headers, alias_table(spark), tag_table(spark), key, images=images, annotations=notes, **more)
 
 
 @query(f"""{RUN} select 'jeeadv/' || cast(year as varchar) || '/' || shift || '/' || 'paper' || '.json' as path, cast(count(*) as int) as total, sum((answer = '')::int)::bigint as unanswered, string_agg(id || '=' || answer || '=' || case subject when 'physics' then 'oscillations' else 'organic-chemistry' end, ',' order by number) as answers, min('What of ' || name || '?') as first_text from i group by year, shift""")
@@ -196,6 +196,39 @@ def curation_flags(spark, sf):
     return flags.groupBy("paper", "rule").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
 
 
+STAGES_OF_RUN = ("voted", "left", "normalised", "ready", "passages", "documents", "flags")
+
+
+@query(f"""{READY}, n(stage, rows) as (select 'voted', count(*) from q union all select 'normalised', count(*) from q union all select 'ready', count(*) from q union all select 'passages', count(distinct paper) from q union all select 'documents', count(distinct paper) + count(distinct paper || '/' || subject) from r)
+select attempt, stage, attempt = 1 and stage = 'voted' or attempt = 2 and stage <> 'voted' as ran, rows from n, (values (1), (2), (3)) as a(attempt) where attempt > 1 or stage = 'voted'""")
+def curation_resume(spark, sf):
+    """A run that is stopped after its votes, one that goes on from there, and one that finds all done: the stages that each ran, and their rows."""
+    cache, out = StageCache(spark, ev.folder(spark, "curation")), []
+
+    class Stopped(Exception):
+        pass
+
+    def until(attempt, last):
+        inner, before = cache.stage("run", sf), len(cache.ran)
+
+        def keep(name, make):
+            rows = inner(name, make)
+            out.append((attempt, name, name in cache.ran[before:], rows.count()))
+            if name == last:
+                raise Stopped
+            return rows
+
+        return keep
+
+    try:
+        _run(spark, sf, keep=until(1, "voted"))
+    except Stopped:
+        pass
+    _run(spark, sf, keep=until(2, None))
+    _run(spark, sf, keep=until(3, None))
+    return spark.createDataFrame([r for r in out if r[1] not in ("left", "flags")], "attempt int, stage string, ran boolean, rows long")
+
+
 # Merging with an order that isn't transitive: a fold over each key's candidates
 
 _FULLER = """case when n."full" > k."full" + 1 then true when k."full" > n."full" + 1 then false when n.answer <> '' and k.answer = '' then true when n.answer = '' and k.answer <> '' then false

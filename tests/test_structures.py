@@ -387,3 +387,75 @@ def test_diagrams_by_annotation_reference_and_rank(spark):
     assert got["p", 2].options == [] and got["p", 1].diagram_file == "diagrams/physics/q001-i3.png"
     old = {(r.paper, r.pos): r.diagram_file for r in diagrams.attached(q, images).collect()}
     assert old == {("p", 1): "diagrams/physics/q001-fig1.png", ("p", 2): "diagrams/physics/q002-fig1.png", ("p", 3): "diagrams/unknown/q003-fig1.png", ("p", 4): None, ("p", 0): None, ("q", 1): "diagrams/biology/q1000-fig1.png"}
+
+
+# stages that survive a crash
+
+
+def test_a_result_takes_the_old_ones_place_as_one_step(spark, tmp_path, monkeypatch):
+    from sheaf.operators import stages
+
+    cache = stages.StageCache(spark, f"file://{tmp_path}/cache")
+    cache.save("a/1", "ocr", spark.range(3))
+    cache.save("a/1", "extract", spark.range(5))
+    # written, but not put in place
+    change = stages.Manifests.change
+    monkeypatch.setattr(stages.Manifests, "change", lambda self, f: (_ for _ in ()).throw(RuntimeError("crashed")))
+    with pytest.raises(RuntimeError):
+        cache.save("a/1", "ocr", spark.range(9))
+    monkeypatch.setattr(stages.Manifests, "change", change)
+    again = stages.StageCache(spark, f"file://{tmp_path}/cache")
+    assert again.load("a/1", "ocr").count() == 3 and again.load("a_1", "ocr") is None
+    # a manifest that was cut short counts for nothing, and the next writer takes the number after it
+    folder = tmp_path / "cache" / "a%2F1" / "manifests"
+    (folder / "manifest-0000000003").write_text('{"ocr": ')
+    assert again.load("a/1", "ocr").count() == 3
+    again.save("a/1", "ocr", again.load("a/1", "ocr").where("id > 0"))
+    assert again.load("a/1", "ocr").count() == 2 and again.load("a/1", "extract").count() == 5
+    assert again.clean("a/1") == 2 and again.load("a/1", "ocr").count() == 2 and again.load("a/1", "extract").count() == 5
+
+
+def test_two_writers_keep_both_changes(spark, tmp_path):
+    from sheaf.operators import stages
+
+    one, two = (stages.Manifests(spark, f"file://{tmp_path}/m") for _ in range(2))
+
+    def late(old):
+        if "two" not in old:
+            two.change(lambda o: o | {"two": 2})  # comes between reading and writing
+        return old | {"one": 1}
+
+    assert one.change(late) == {"one": 1, "two": 2} == two.newest()
+
+
+def test_a_run_goes_on_after_each_stage(spark, tmp_path):
+    from sheaf.operators import stages
+
+    def run(keep):
+        a = keep("a", lambda: spark.range(10))
+        b = keep("b", lambda: a.where("id % 2 = 0"))
+        return keep("c", lambda: b.selectExpr("id * 10 as id"))
+
+    class Stop(Exception):
+        pass
+
+    for stop in ("a", "b", "c"):
+        first = stages.StageCache(spark, f"file://{tmp_path}/{stop}")
+        inner = first.stage("k", "v1")
+
+        def until(name, make, inner=inner, stop=stop):
+            rows = inner(name, make)
+            if name == stop:
+                raise Stop
+            return rows
+
+        with pytest.raises(Stop):
+            run(until)
+        second = stages.StageCache(spark, f"file://{tmp_path}/{stop}")
+        assert sorted(r.id for r in run(second.stage("k", "v1")).collect()) == [0, 20, 40, 60, 80]
+        assert first.ran + second.ran == ["a", "b", "c"]
+        third = stages.StageCache(spark, f"file://{tmp_path}/{stop}")
+        run(third.stage("k", "v1"))
+        assert third.ran == []
+        run(third.stage("k", "v2"))  # other inputs: all anew
+        assert third.ran == ["a", "b", "c"]
