@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheaf.operators import review, similar
+from sheaf.operators import digests, review, similar
 from sheaf.plans.catalog import query
+from sheaf.sources.views import questions
 from sheaf.streaming import events as ev
 from sheaf.streaming import keyed
 
@@ -129,3 +130,47 @@ def embedding_cache(spark, sf):
     found, whole = similar.cached(d, cache, lambda m: m.select("key", F.array(F.char_length("key").cast("double")).alias("embedding")))
     counts = found.groupBy("key").agg(F.count("*").alias("n"))
     return counts.join(whole, "key").select("key", F.col("embedding")[0].alias("first"), "n")
+
+
+# Catalogues compared by their digest trees
+
+_VERSIONS = """v as (select lang as exam, cast(2020 + doc_id % 5 as varchar) as year, source as shift, cast(doc_id as varchar) as file, doc_id, sha256(coalesce(text, '')) as a, sha256(coalesce(text, '') || '!') as b, doc_id % 5 = 2 and lang = 'en' as touched from documents),
+c as (select *, case when not touched then 'same' when doc_id % 3 = 0 then 'changed' when doc_id % 7 = 0 then 'added' when doc_id % 11 = 0 then 'removed' else 'same' end as change from v)"""
+
+
+def _versions(spark, sf):
+    d = read(spark, sf, "documents").select(F.col("lang").alias("exam"), (F.col("doc_id") % 5 + 2020).cast("string").alias("year"), F.col("source").alias("shift"), F.col("doc_id").cast("string").alias("file"), "doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    touched = F.expr("coalesce(doc_id % 5 = 2 and exam = 'en', false)")
+    changed = touched & F.expr("doc_id % 3 = 0")
+    added, removed = touched & F.expr("doc_id % 3 <> 0 and doc_id % 7 = 0"), touched & F.expr("doc_id % 3 <> 0 and doc_id % 7 <> 0 and doc_id % 11 = 0")
+    old = d.where(~added).select("exam", "year", "shift", "file", F.sha2(text, 256).alias("digest"))
+    new = d.where(~removed).select("exam", "year", "shift", "file", F.sha2(F.concat(text, F.when(changed, "!").otherwise("")), 256).alias("digest"))
+    return [digests.Catalogue.write(v, ev.folder(spark, "catalogue")) for v in (old, new)]
+
+
+@query(f"with {_VERSIONS} select exam, year, shift, file, change from c where change <> 'same'")
+def catalogue_differences(spark, sf):
+    """Files of two versions of a catalogue that differ, found from the root down."""
+    return digests.differences(*_versions(spark, sf))
+
+
+@query(f"with {_VERSIONS}, t as (select * from c where change <> 'same') select 0 as level, 1 as branches where exists (select 1 from t) union all select 1, count(distinct exam) from t union all select 2, count(distinct exam || '/' || year) from t union all select 3, count(distinct exam || '/' || year || '/' || coalesce(shift, '?')) from t")
+def catalogue_branches(spark, sf):
+    """How many branches differ on each level: below those that agree nothing is read."""
+    levels = digests.changed_branches(*_versions(spark, sf))
+    counts = [d.agg(F.lit(k).alias("level"), F.count("*").alias("branches")) for k, d in enumerate(levels)]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@query("select exam || '/' || cast(year as varchar) || '/' || shift as key, count(*) as total, array_to_string(list_sort(list_distinct(list(subject))), ',') as subjects, count(*) as files from {v_questions} as v group by exam, year, shift")
+def catalogue_index(spark, sf):
+    """The catalogue's index, made anew from the questions; a paper's checksum is its branch's digest, and two orders of the rows give the same one."""
+    q = questions(spark, sf).select("exam", F.col("year").cast("string").alias("year"), "shift", "subject", F.col("pos").cast("string").alias("file"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    one, two = digests.index(q, q), digests.index(q.repartition(5, "digest"), q)
+    agreed = one.join(two.select(F.col("key").alias("k"), F.col("checksum").alias("c")), (F.col("key") == F.col("k")) & (F.col("checksum") == F.col("c")))
+    sizes = digests.tree(q).where("level = 3").select(F.concat_ws("/", "exam.name", "year.name", "shift.name").alias("key"), "files")
+    return agreed.join(sizes, "key").select("key", "total", F.array_join("subjects", ",").alias("subjects"), "files")

@@ -459,3 +459,37 @@ def test_a_run_goes_on_after_each_stage(spark, tmp_path):
         assert third.ran == []
         run(third.stage("k", "v2"))  # other inputs: all anew
         assert third.ran == ["a", "b", "c"]
+
+
+# catalogues as digest trees
+
+
+def test_catalogues_differ_where_files_do(spark, tmp_path):
+    from sheaf.operators import digests
+
+    rng = random.Random(3)
+    names = lambda: (rng.choice(["a", "b", None]), rng.choice(["1", "2"]), rng.choice(["s", None]))
+    old = {(*names(), f"f{k}"): f"d{k}" for k in range(200)}
+    new = dict(old)
+    for k, key in enumerate(list(old)):
+        if key[:2] == ("a", "1"):
+            if k % 3 == 0:
+                del new[key]
+            elif k % 3 == 1:
+                new[key] = "other" if k % 2 else None
+    new["b", "9", "s", "fresh"] = "d"
+    schema = "exam string, year string, shift string, file string, digest string"
+    frames = [spark.createDataFrame([(*k, v) for k, v in d.items()], schema).repartition(n) for d, n in ((old, 3), (new, 5))]
+    a, b = (digests.Catalogue.write(f, f"file://{tmp_path}/{k}") for k, f in enumerate(frames))
+    got = {(r.exam, r.year, r.shift, r.file): r.change for r in digests.differences(a, b).collect()}
+    want = {k: "removed" if k not in new else "added" if k not in old else "changed" for k in old.keys() | new.keys() if k not in new or k not in old or old[k] != new[k]}
+    assert got == want and {"added", "removed", "changed"} == set(want.values())
+    levels = digests.changed_branches(a, b)
+    assert [r.change for r in levels[0].collect()] == ["changed"] and {r.exam["name"] for r in levels[1].collect()} == {"a", "b"}
+    # a branch that agrees isn't read: its files can be gone
+    plan = plan_of(digests.differences(a, b))
+    assert "dynamicpruning" in plan.lower() or "PartitionFilters" in plan
+    c = digests.Catalogue.write(frames[0].repartition(7, "digest"), f"file://{tmp_path}/c")
+    assert digests.differences(a, c).collect() == [] and len(digests.changed_branches(a, c)) == 1
+    twice = digests.Catalogue.write(frames[0].unionByName(frames[0].limit(1)), f"file://{tmp_path}/t")
+    assert [r.change for r in digests.differences(a, twice).collect()] == ["changed"]
