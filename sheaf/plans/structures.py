@@ -1,11 +1,16 @@
-"""Queries of the operators that need a structure of their own: keyed stream state, review sessions, alias neighbourhoods, vector joins."""
+"""Queries of the operators that need a structure of their own: keyed stream state, review sessions, vector joins, digest trees, archives."""
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sheaf.operators import digests, review, similar
+from sheaf.operators import curate, digests, review, similar
 from sheaf.plans.catalog import query
+from sheaf.sources import readers
 from sheaf.sources.views import questions
 from sheaf.streaming import events as ev
 from sheaf.streaming import keyed
@@ -174,3 +179,45 @@ def catalogue_index(spark, sf):
     agreed = one.join(two.select(F.col("key").alias("k"), F.col("checksum").alias("c")), (F.col("key") == F.col("k")) & (F.col("checksum") == F.col("c")))
     sizes = digests.tree(q).where("level = 3").select(F.concat_ws("/", "exam.name", "year.name", "shift.name").alias("key"), "files")
     return agreed.join(sizes, "key").select("key", "total", F.array_join("subjects", ",").alias("subjects"), "files")
+
+
+# Archives read by ranges
+
+IN_ARCHIVE = 40  # pages that are zipped together
+
+
+def _zipped(spark, sf):
+    """Archives of the pages' html, IN_ARCHIVE to one, written to a shared folder; every seventh is cut off in its middle. (path)"""
+    root = ev.folder(spark, "archives")
+    pages = read(spark, sf, "pages").select(F.floor(F.col("page_id") / IN_ARCHIVE).alias("archive"), "page_id", F.coalesce("html", F.lit("")).alias("html"))
+
+    def pack(held, number):
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w") as z:
+            for k, (page, html) in enumerate(held):
+                z.writestr(f"pages/{page}.html", html, zipfile.ZIP_DEFLATED if k % 2 else zipfile.ZIP_STORED)
+        return raw.getvalue()[: raw.tell() // 2 if number % 7 == 3 else None]
+
+    def run(batches):
+        at, held = None, []
+        for b in batches:
+            for archive, page, html in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                if archive != at and held:
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{at}.zip"]), pa.array([pack(held, at)], pa.binary())], names=["path", "content"])
+                    held = []
+                at = archive
+                held.append((page, html))
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([f"{at}.zip"]), pa.array([pack(held, at)], pa.binary())], names=["path", "content"])
+
+    made = pages.repartition("archive").sortWithinPartitions("archive", "page_id").mapInArrow(run, "path string, content binary")
+    curate.write_files(made, root).select(F.sum("bytes")).collect()
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+
+
+@query(f"""with p as (select page_id // {IN_ARCHIVE} as archive, page_id, coalesce(html, '') as html from pages)
+select archive || '.zip' as archive, 'pages/' || page_id || '.html' as name, sha256(html) as digest, true as good from p where archive % 7 <> 3 union all select distinct archive || '.zip', null, null, false from p where archive % 7 = 3""")
+def archive_members(spark, sf):
+    """Members of zip archives, each read by its own range; an archive that was cut off is a row without a name."""
+    out = readers.unzipped(_zipped(spark, sf))
+    return out.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "name", F.sha2("content", 256).alias("digest"), F.col("error").isNull().alias("good"))

@@ -493,3 +493,78 @@ def test_catalogues_differ_where_files_do(spark, tmp_path):
     assert digests.differences(a, c).collect() == [] and len(digests.changed_branches(a, c)) == 1
     twice = digests.Catalogue.write(frames[0].unionByName(frames[0].limit(1)), f"file://{tmp_path}/t")
     assert [r.change for r in digests.differences(a, twice).collect()] == ["changed"]
+
+
+# archives by ranges
+
+
+def test_archives_member_by_member(spark, tmp_path):
+    import zipfile
+
+    from sheaf.sources import archives
+
+    rng = random.Random(4)
+    folder = tmp_path / "zips"
+    folder.mkdir()
+    inside = {"a.txt": b"plain", "dir/b.bin": rng.randbytes(70_000), "é.txt": "ß".encode(), "empty": b"", "long": b"x" * 3_000_000}
+    with zipfile.ZipFile(folder / "good.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.mkdir("dir")
+        for name, content in inside.items():
+            z.writestr(zipfile.ZipInfo(name), content, zipfile.ZIP_STORED if name == "a.txt" else zipfile.ZIP_DEFLATED)
+        z.comment = b"a comment with PK\x05\x06 in it"
+    good = (folder / "good.zip").read_bytes()
+    with zipfile.ZipFile(folder / "empty.zip", "w"):
+        pass
+    (folder / "before.zip").write_bytes(b"some bytes before" + good)
+    (folder / "cut.zip").write_bytes(good[: len(good) // 2])
+    (folder / "none.zip").write_bytes(b"")
+    (folder / "text.zip").write_bytes(b"no archive at all " * 9)
+    at = good.index(b"plain")
+    (folder / "spoiled.zip").write_bytes(good[:at] + b"PLAIN" + good[at + 5 :])
+    with zipfile.ZipFile(folder / "packed.zip", "w", zipfile.ZIP_LZMA) as z:
+        z.writestr("c", b"other method")
+    paths = spark.createDataFrame([(f"file://{p}",) for p in sorted(folder.iterdir())] + [(f"file://{folder}/missing.zip",)], "path string")
+    listed = archives.members(paths)
+    got = {}
+    for r in archives.contents(listed).collect():
+        got.setdefault(r.path.rsplit("/", 1)[1], {})[r.name] = (None if r.content is None else bytes(r.content), r.error)
+    want = {name: (content, None) for name, content in inside.items()}
+    assert got["good.zip"] == want and got["before.zip"] == want and "empty.zip" not in got
+    assert got["spoiled.zip"].pop("a.txt") == (None, "other content than the directory says") and got["spoiled.zip"] == {k: v for k, v in want.items() if k != "a.txt"}
+    assert got["packed.zip"] == {"c": (None, "packed by method 14")}
+    for name in ("cut.zip", "none.zip", "text.zip", "missing.zip"):
+        assert list(got[name]) == [None] and got[name][None][0] is None and got[name][None][1], name
+    assert archives.contents(listed.limit(0)).collect() == []
+
+
+def test_wide_archives(spark, tmp_path):
+    """Sizes and places of 64 bits, as writers of streams give them."""
+    import zipfile
+
+    from sheaf.sources import archives
+
+    path = tmp_path / "wide.zip"
+    limit = zipfile.ZIP64_LIMIT, zipfile.ZIP_FILECOUNT_LIMIT
+    zipfile.ZIP64_LIMIT, zipfile.ZIP_FILECOUNT_LIMIT = 100, 2
+    try:
+        with zipfile.ZipFile(path, "w") as z:
+            for k in range(5):
+                z.writestr(f"m{k}", bytes([k]) * 300)
+    finally:
+        zipfile.ZIP64_LIMIT, zipfile.ZIP_FILECOUNT_LIMIT = limit
+    rows = archives.contents(archives.members(spark.createDataFrame([(f"file://{path}",)], "path string"))).collect()
+    assert sorted((r.name, bytes(r.content), r.error) for r in rows) == [(f"m{k}", bytes([k]) * 300, None) for k in range(5)]
+
+
+def test_a_large_archive_is_read_by_many_tasks(spark, tmp_path):
+    import zipfile
+
+    from sheaf.sources import archives
+
+    with zipfile.ZipFile(tmp_path / "large.zip", "w") as z:
+        for k in range(2000):
+            z.writestr(f"m{k:05d}", f"content {k}")
+    listed = archives.members(spark.createDataFrame([(f"file://{tmp_path}/large.zip",)], "path string"))
+    out = archives.contents(listed)
+    tasks = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 1000 and sum(r["count"] for r in tasks) == 2000
