@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sheaf.operators import curate, digests, review, similar
 from sheaf.plans.catalog import query
-from sheaf.sources import readers
+from sheaf.sources import readers, recorded
 from sheaf.sources.views import questions
 from sheaf.streaming import events as ev
 from sheaf.streaming import keyed
@@ -221,3 +221,37 @@ def archive_members(spark, sf):
     """Members of zip archives, each read by its own range; an archive that was cut off is a row without a name."""
     out = readers.unzipped(_zipped(spark, sf))
     return out.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "name", F.sha2("content", 256).alias("digest"), F.col("error").isNull().alias("good"))
+
+
+# Recorded services
+
+_RECORDED = """r as (select page_id, case page_id % 3 when 0 then 'ocr' when 1 then 'annotate' else 'extract' end as service, page_id % 10 <> 4 as ok, case when page_id % 10 <> 4 then html end as answer, case when page_id % 10 = 4 then 'HTTP 500' end as error, cast(1 + page_id % 4 as bigint) as turn from pages)"""
+
+
+def _recordings(spark, sf):
+    """What three services answered on each page, in four turns; one turn at a time."""
+    rows = spark.sql(f"with {_RECORDED.replace('from pages', 'from {p}')} select service, cast(page_id as string) as request, ok, answer, error, turn from r", p=read(spark, sf, "pages"))
+    root = ev.folder(spark, "recordings")
+    for turn in range(1, 5):
+        recorded.record(rows.where(F.col("turn") == turn), root, turn)
+        yield root
+
+
+@query(f"with {_RECORDED} select service, cast(page_id as varchar) as request, sha256(coalesce(answer, '')) as answer, turn from r where service in ('ocr', 'extract') and ok")
+def recorded_answers(spark, sf):
+    """Good answers of two services; the source opens no file of the third."""
+    *_, root = _recordings(spark, sf)
+    rows = recorded.read(spark, root, ["ocr", "extract"], ok=True)
+    return rows.select("service", "request", F.sha2(F.coalesce("answer", F.lit("")), 256).alias("answer"), "turn")
+
+
+@query(f"with {_RECORDED} select service, turn, count(*) as n, count(*) filter (not ok) as failed, sum(strlen(coalesce(answer, ''))) as bytes from r group by 1, 2")
+def recorded_stream(spark, sf):
+    """The same as a stream that is stopped after each turn and goes on with the next one."""
+    out, state = ev.folder(spark, "recorded-out"), ev.folder(spark, "recorded-state")
+    for root in _recordings(spark, sf):
+        rows = recorded.register(spark).readStream.format("recorded").load(root)
+        ended = rows.writeStream.option("checkpointLocation", state).trigger(once=True).foreachBatch(lambda b, k: b.write.mode("overwrite").parquet(f"{out}/batch={k}")).start()
+        ended.awaitTermination()
+    seen = spark.read.parquet(out)
+    return seen.groupBy("service", "turn").agg(F.count("*").alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.sum(F.octet_length(F.coalesce("answer", F.lit("")))).alias("bytes"))

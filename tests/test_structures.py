@@ -568,3 +568,37 @@ def test_a_large_archive_is_read_by_many_tasks(spark, tmp_path):
     out = archives.contents(listed)
     tasks = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(tasks) > 4 and max(r["count"] for r in tasks) < 1000 and sum(r["count"] for r in tasks) == 2000
+
+
+# recorded services
+
+
+def test_services_are_selected_in_the_source(spark, tmp_path):
+    from sheaf.sources import recorded
+
+    root = f"file://{tmp_path}/rec"
+    rows = spark.createDataFrame([(f"s{k % 3}" if k % 7 else None, str(k), k % 2 == 0, "a" * k, None) for k in range(60)], "service string, request string, ok boolean, answer string, error string")
+    recorded.record(rows, root, 1)
+    recorded.record(rows.limit(0), root, 2)
+    every, one = recorded.read(spark, root), recorded.read(spark, root, ["s1"], True)
+    assert every.count() == 60 and every.where("service = ''").count() == 9 and every.count() == 60
+    assert sorted(int(r.request) for r in one.where("length(answer) > 10").collect()) == [k for k in range(60) if k % 7 and k % 3 == 1 and k % 2 == 0 and k > 10]
+    assert one.rdd.getNumPartitions() < every.rdd.getNumPartitions()
+    assert {p.service for p in recorded.RecordedReader(root, {"s1"}, None).partitions()} == {"s1"}
+    assert recorded.read(spark, root, ["none"]).collect() == recorded.read(spark, root, []).collect() == []
+    assert recorded.read(spark, root, ok=False).count() == 30
+
+
+def test_half_a_turn_is_not_read(spark, tmp_path):
+    from sheaf.sources import recorded
+
+    root = f"file://{tmp_path}/rec"
+    assert recorded.turns(root) == [] and recorded.RecordedStream(root).latestOffset() == {"turns": 0}
+    rows = spark.createDataFrame([("s", "1", True, "a", None)], "service string, request string, ok boolean, answer string, error string")
+    for turn in (1, 2, 3):
+        recorded.record(rows, root, turn)
+    (tmp_path / "rec" / "turn=0000000002" / "_SUCCESS").unlink()
+    assert recorded.turns(root) == [1, 3] and recorded.RecordedStream(root).latestOffset() == {"turns": 1}
+    recorded.record(rows, root, 2)
+    stream = recorded.RecordedStream(root)
+    assert stream.latestOffset() == {"turns": 3} and {p.turn for p in stream.partitions({"turns": 1}, {"turns": 3})} == {2, 3}
