@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheaf.functions.text import escape_html, plain
@@ -10,22 +10,45 @@ from sheaf.functions.text import escape_html, plain
 FIELDS = ("type", "subject", "number", "text", "options", "answer", "answers", "marks", "negative_marks", "topic", "section", "passage_id", "tags")
 
 
-def positional_diff(a: DataFrame, b: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """A full outer join by (paper, place): match, diff, missing-a or missing-b, and the fields that differ, comma-joined."""
-    kind = dict(a.dtypes)
-    shape = lambda d, side: d.select("paper", "place", F.struct(*[plain(f, "array" if kind[f].startswith("array") else "string").alias(f) for f in fields]).alias(side))
-    both = shape(a, "a").join(shape(b, "b"), ["paper", "place"], "full_outer")
+def told_apart(x: Column) -> Column:
+    """A value that stands for a text where only equality counts: the text itself up to 64 bytes, else its digest, which is one byte longer."""
+    return F.when(F.octet_length(x) <= 64, x).otherwise(F.concat(F.lit("\x01"), F.sha2(x, 256)))
+
+
+def sided(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two versions as one table, `is_a` telling whose row it is. Both from one source are better marked where they are read, in one pass."""
+    return a.withColumn("is_a", F.lit(True)).unionByName(b.withColumn("is_a", F.lit(False)))
+
+
+def paired_diff(rows: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """(paper, place) of rows of two versions: match, diff, missing-a or missing-b, and the fields that differ, comma-joined.
+
+    One grouping brings a place's two rows together, and only short values or digests of long ones travel. A version has a place once; of
+    several rows the greatest counts.
+    """
+    kind = dict(rows.dtypes)
+    shape = F.struct(*[told_apart(plain(f, "array" if kind[f].startswith("array") else "string")).alias(f) for f in fields])
+    side = F.col("is_a")
+    both = rows.select("paper", "place", side, shape.alias("v")).groupBy("paper", "place").agg(F.max(F.when(side, F.col("v"))).alias("a"), F.max(F.when(~side, F.col("v"))).alias("b"))
     differs = F.array_compact(F.array(*[F.when(F.col(f"a.{f}") != F.col(f"b.{f}"), F.lit(f)) for f in fields]))
     status = F.when(F.col("a").isNull(), "missing-a").when(F.col("b").isNull(), "missing-b").when(F.size(differs) == 0, "match").otherwise("diff")
     fields_of = F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.array_join(differs, ",")).otherwise("")
     return both.select("paper", "place", status.alias("status"), fields_of.alias("fields"))
 
 
+def positional_diff(a: DataFrame, b: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """Two versions (paper, place, ...) place by place; see paired_diff."""
+    keep = ("paper", "place", *fields)
+    return paired_diff(sided(a.select(*keep), b.select(*keep)), fields)
+
+
 def passage_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """By (paper, id); texts compared as they are."""
-    one, two = a.select("paper", "id", F.col("text").alias("a"), F.lit(1).alias("in_a")), b.select("paper", "id", F.col("text").alias("b"), F.lit(1).alias("in_b"))
-    both = one.join(two, ["paper", "id"], "full_outer")
-    return both.select("paper", "id", F.when(F.col("in_a").isNull(), "missing-a").when(F.col("in_b").isNull(), "missing-b").when(F.col("a").eqNullSafe(F.col("b")), "match").otherwise("diff").alias("status"))
+    """By (paper, id); texts compared as they are, a null one only with a null one."""
+    text = F.struct(told_apart(F.col("text")).alias("t"))
+    rows = sided(a.select("paper", "id", "text"), b.select("paper", "id", "text")).select("paper", "id", "is_a", text.alias("v"))
+    both = rows.groupBy("paper", "id").agg(F.max(F.when(F.col("is_a"), F.col("v"))).alias("a"), F.max(F.when(~F.col("is_a"), F.col("v"))).alias("b"))
+    same = F.col("a.t").eqNullSafe(F.col("b.t"))
+    return both.select("paper", "id", F.when(F.col("a").isNull(), "missing-a").when(F.col("b").isNull(), "missing-b").when(same, "match").otherwise("diff").alias("status"))
 
 
 def diff_summary(diff: DataFrame) -> DataFrame:

@@ -310,9 +310,9 @@ def assign_ids(spark, sf):
     return normalize.assign_ids(questions(spark, sf)).select("pos", "id", "subject_number")
 
 
-@query("""select pos, coalesce(topic, 'unknown') as topic, cast(row_number() over (partition by exam, year, shift, subject order by pos) as int) as subject_number from {v_questions} as v""")
+@query("""select pos, exam, year, shift, subject, number, coalesce(topic, 'unknown') as topic, coalesce(answer, '') as answer, text, marks, cast(row_number() over (partition by exam, year, shift, subject order by pos) as int) as subject_number from {v_questions} as v""")
 def export_shape(spark, sf):
-    return normalize.export_shape(questions(spark, sf)).select("pos", "topic", "subject_number")
+    return normalize.export_shape(questions(spark, sf)).select("pos", "exam", "year", "shift", "subject", "number", "topic", "answer", "text", "marks", "subject_number")
 
 
 @query("select exam, year, shift, count(*) as total from {v_questions} as v group by 1, 2, 3")
@@ -460,7 +460,8 @@ def _sides(c):
 
 
 def _diff(c):
-    return compare.positional_diff(*_sides(c), fields=("subject", "text", "answer"))
+    rows = c.withColumnRenamed("number", "place").where("rank < 2").withColumn("is_a", F.col("rank") == 0)
+    return compare.paired_diff(rows, fields=("subject", "text", "answer"))
 
 
 @candidates_query(f"with {SIDES} select * from d")
@@ -492,10 +493,10 @@ def html_report_rows(c):
 
 
 @candidates_query("""with a as (select * from {v_candidates} as v where rank = 0), b as (select * from {v_candidates} as v where rank = 1), j as (select b.paper, lower(trim(substr(a.text, 1, 100))) = lower(trim(substr(b.text, 1, 100))) as t, b.answer <> '' and b.answer = a.answer as n, lower(a.subject) = lower(b.subject) as s, a.options is not distinct from b.options as o from b join a on a.paper = b.paper and a.number = b.number)
-select paper, count(*) as checked, round(avg(t::int) * 100, 4) as text_accuracy, round(avg(n::int) * 100, 4) as answer_accuracy, round(avg(s::int) * 100, 4) as topic_accuracy, round(avg(o::int) * 100, 4) as options_accuracy from j group by paper""")
+select paper, count(*) as checked, round(avg(t::int) * 100, 4) as text_accuracy, round(avg(n::int) * 100, 4) as answer_accuracy, round(avg(s::int) * 100, 4) as topic_accuracy, round(avg(o::int) * 100, 4) as options_accuracy, round((round(avg(t::int) * 100, 4) + round(avg(n::int) * 100, 4) + round(avg(s::int) * 100, 4) + round(avg(o::int) * 100, 4)) / 4, 4) as overall_accuracy from j group by paper""")
 def golden_metrics(c):
     c = c.withColumn("topic", F.col("subject"))
-    return compare.golden_metrics(c.where("rank = 0"), c.where("rank = 1")).drop("overall_accuracy")
+    return compare.golden_metrics(c.where("rank = 0"), c.where("rank = 1"))
 
 
 @query("select event_type as key, count(*) as runs, round(arg_max(value, event_id), 4) as latest, round(avg(value), 4) as average from events group by 1")
@@ -605,10 +606,17 @@ def filename_parse(spark, sf):
     return spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", meta["exam"].alias("exam"), meta["year"].alias("year"), meta["shift"].alias("shift"))
 
 
-@query("""select 'neet-2024-imported-' || substr(s, 1, 2) || '-' || lpad(cast(p_partkey as varchar), cast(greatest(3, length(cast(p_partkey as varchar))) as int), '0') as id, s as subject, case when p_size % 3 = 0 then 'nat' else 'mcq' end as type, 'a,b' as options, cast(case when p_size % 3 = 0 then 0 else -1 end as double) as negative_marks from (select *, case when p_size % 2 = 0 then 'biology' else 'physics' end as s from part) as x""")
+@query("""select 'neet-2024-imported-' || substr(s, 1, 2) || '-' || lpad(cast(p_partkey as varchar), cast(greatest(3, length(cast(p_partkey as varchar))) as int), '0') as id, cast(p_partkey as int) as number, s as subject, case when p_size % 4 = 0 then 'unknown' else p_container end as topic, case when p_size % 3 = 0 then 'nat' else 'mcq' end as type, p_name as text, 'a,b' as options,
+case when p_size % 5 = 0 then '' else cast(p_size % 4 as varchar) end as answer, case when p_size % 6 = 0 then 4.0 when p_size % 6 = 1 then 4.0 else 2.5 end::double as marks, cast(case when p_size % 3 = 0 then 0 else -1 end as double) as negative_marks, case when p_size % 7 = 0 then 'hard' end as difficulty, case when p_size % 2 = 0 then 'waves,optics' end as tags, 'imported-kaggle' as source, 'low' as confidence
+from (select *, p_type as p_container, case when p_size % 2 = 0 then 'biology' else 'physics' end as s from part) as x""")
 def import_flat(spark, sf):
-    rows = spark.read.parquet(f"{sf}/part.parquet").selectExpr("p_partkey as row", "p_name as question", "case when p_size % 2 = 0 then ' Biology' else 'Other' end as subject", "case when p_size % 3 = 0 then 'Numerical' else 'single' end as type", "' a || b|' as options")
-    return readers.import_flat(rows, "neet", 2024).select("id", "subject", "type", F.array_join("options", ",").alias("options"), F.col("negative_marks"))
+    rows = spark.read.parquet(f"{sf}/part.parquet").selectExpr(
+        "p_partkey as row", "p_name as question", "case when p_size % 2 = 0 then ' Biology' else 'Other' end as subject", "case when p_size % 3 = 0 then 'Numerical' else 'single' end as type", "' a || b|' as options",
+        "case when p_size % 4 = 0 then null else p_type end as topic", "case when p_size % 5 = 0 then null else cast(p_size % 4 as string) end as answer", "case when p_size % 6 = 0 then null when p_size % 6 = 1 then 'four' else '2.5' end as marks",
+        "case when p_size % 7 = 0 then 'hard' end as difficulty", "case when p_size % 2 = 0 then 'waves| |optics' end as tags",
+    )
+    out = readers.import_flat(rows, "neet", 2024)
+    return out.withColumns({c: F.array_join(c, ",") for c in ("options", "tags")})
 
 
 # Streams

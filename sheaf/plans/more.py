@@ -8,7 +8,7 @@ from sheaf.functions import text as tx
 from sheaf.functions.vocabulary import ANSWER_KEY_PATTERNS, EXPECTED_COUNTS, SUBJECT_TAGS, alias_rows, alias_table, tag_table
 from sheaf.operators import chunks, consensus, curate, diagrams, listing, normalize, rules, similar, state
 from sheaf.operators.stages import StageCache
-from sheaf.plans.catalog import CHUNK_ROWS, CHUNKED, ORACLES, Q, _duck, query, quoted
+from sheaf.plans.catalog import CHUNK_ROWS, CHUNKED, FLAGS, ORACLES, Q, _duck, query, quoted
 from sheaf.sources import providers, readers
 from sheaf.sources.views import for_tables, questions, view
 from sheaf.streaming import events as ev
@@ -443,13 +443,14 @@ def metadata_status(spark, sf):
     return curate.with_status(papers.drop("k"), meta)
 
 
-@query("""with q as (select exam, year, shift, paper, pos, marks, revision from {v_questions} as v), e as (select paper, sum((marks is null or marks <= 0)::int + (revision is null or revision < 1)::int)::bigint as errors from q group by 1)
-select q.exam, q.year, q.shift, q.paper, count(*) as total, 'unverified' as status, any_value(errors) as errors from q join e on q.paper = e.paper group by 1, 2, 3, 4""")
+@query(f"""with {Q}, {FLAGS}, e as (select paper, count(*) as errors from flags where severity = 'error' group by 1), p as (select exam, year, shift, paper, count(*) as total, min(pos) as k from q group by 1, 2, 3, 4)
+select exam, year, shift, p.paper, total, case when k % 3 = 0 then 'verified' when k % 3 = 1 then 'needs-review' else 'unverified' end as status, coalesce(errors, 0) as errors from p left join e on e.paper = p.paper""")
 def dataset_scan(spark, sf):
+    """Each paper with its status by metadata and its errors by all row rules."""
     q = questions(spark, sf)
-    papers = q.groupBy("exam", "year", "shift", "paper").agg(F.count("*").alias("total"))
-    flags = rules.row_flags(q, [r for r in rules.RULES if r.rule in ("12", "20")])
-    return curate.dataset_scan(papers, papers.selectExpr("exam", "'none' as shift_key", "'verified' as status").distinct(), flags)
+    papers = q.groupBy("exam", "year", "shift", "paper").agg(F.count("*").alias("total"), F.min("pos").alias("k"))
+    meta = papers.where("k % 3 <> 2").selectExpr("exam", "concat(year, '-', shift) as shift_key", "case when k % 3 = 0 then 'verified' else 'needs-review' end as status")
+    return curate.dataset_scan(papers.drop("k"), meta, rules.row_flags(q))
 
 
 @query("""with a as (select distinct p_brand as exam, cast(2020 + p_size % 4 as bigint) as year, cast(p_size % 3 as varchar) as shift from part), f as (select p_partkey as pos, p_brand as exam, cast(2020 + p_size % 4 as bigint) as year, '0' || cast(p_partkey % 5 as varchar) || '-s' as file_shift, p_name as path from part)
@@ -473,10 +474,15 @@ def log_lines(spark, sf):
     return read(spark, sf, "events").select("event_id", t["level"].alias("level"), t["step"].alias("step"), F.array_join(t["numbers"], "|").alias("numbers"))
 
 
-@query("select p_partkey, case when p_partkey > 1024 then null else cast(p_partkey as varchar) || ' KB' end as kb, case when p_partkey < 1024 then cast(p_partkey as varchar) || ' B' end as b from part")
+_TENTH = lambda x: f"printf('%.1f', floor({x} * 10 + 0.5) / 10)"  # noqa: E731  halves go up
+
+
+@query(f"""with n as (select p_partkey, p_partkey * p_partkey * 37 as n from part)
+select p_partkey, case when n > 1024 then {_TENTH("n / 1024.0::double")} || ' MB' else cast(n as varchar) || ' KB' end as kb, case when n < 1024 then cast(n as varchar) || ' B' when n < 1048576 then {_TENTH("n / 1024.0::double")} || ' KB' else {_TENTH("n / 1048576.0::double")} || ' MB' end as b from n""")
 def size_labels(spark, sf):
-    kb, b = tx.file_size_label("p_partkey"), tx.size_label("p_partkey")
-    return read(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") <= 1024, kb).alias("kb"), F.when(F.col("p_partkey") < 1024, b).alias("b"))
+    """Sizes from bytes to hundreds of megabytes."""
+    n = F.col("p_partkey") * F.col("p_partkey") * 37
+    return read(spark, sf, "part").select("p_partkey", tx.file_size_label(n).alias("kb"), tx.size_label(n).alias("b"))
 
 
 @query("select p_partkey, cast(case p_partkey % 4 when 0 then p_size when 1 then -p_size end as int) as i, case p_partkey % 4 when 0 then p_size + 0.5 when 1 then cast(-p_size as double) when 2 then 0.25 end as d from part")
@@ -532,12 +538,21 @@ def diagram_paths(spark, sf):
     return q.select("pos", diagrams.file_name("subject", "number", "image").alias("path"))
 
 
-@query("with q as (select pos, topic, case when topic in ('Kinematics', 'kineamtics') and subject = 'physics' then 'kinematics' when topic = 'orgnic chemistry' and subject = 'chemistry' then 'organic-chemistry' end as good from {v_questions} as v) select pos, good as expected from q where good is not null and topic <> good")
+@query(f"select pos, topic_norm as expected from {{v_questions}} as v join ({TOPICS}) as t on v.topic = t.topic and v.subject is not distinct from t.subject where v.topic <> t.topic_norm")
 def topic_flags(spark, sf):
-    q = questions(spark, sf)
-    flags = rules.topic_flags(normalize.normalize_topics(q, alias_table(spark), tag_table(spark)))
-    known = q.where("topic in ('Kinematics', 'kineamtics') and subject = 'physics' or topic = 'orgnic chemistry' and subject = 'chemistry'").select("pos")
-    return flags.join(known, "pos", "left_semi").select("pos", F.regexp_extract("message", "([a-z-]+)$", 1).alias("expected"))
+    flags = rules.topic_flags(normalize.normalize_topics(questions(spark, sf), alias_table(spark), tag_table(spark)))
+    return flags.select("pos", F.regexp_extract("message", "([^ ]+)$", 1).alias("expected"))
+
+
+#: The published cascade: a topic's own subject's tag is not kept before near aliases, and no name that it holds as a whole goes first.
+COMPAT_TOPICS = TOPICS.replace("from e where exact is null and tag is null and coalesce", "from e where exact is null and coalesce").replace("coalesce(held, case when name_score", "coalesce(null, case when name_score")
+
+
+@query(f"select topic, subject, topic_norm, n from ({COMPAT_TOPICS}) as c")
+def topic_published(spark, sf):
+    """The cascade as published: each topic of each subject with what it becomes."""
+    q = normalize.normalize_topics(questions(spark, sf), alias_table(spark), tag_table(spark), compat=True)
+    return q.groupBy("topic", "subject", "topic_norm").agg(F.count("*").alias("n"))
 
 
 # Similarity by vectors
