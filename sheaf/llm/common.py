@@ -56,13 +56,20 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 _folders: dict[str, list[str]] = {}
 
 
-def release(spark: SparkSession) -> int:
-    """Deletes what this application has written to shared folders so far; to be called when the results that read it are stored. Returns how many folders."""
-    folders = _folders.pop(spark.sparkContext.applicationId, [])
-    for folder in folders:
+def mark(spark: SparkSession) -> int:
+    """How many shared folders this application has so far, for a later release of those that come after."""
+    return len(_folders.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Deletes what this application has written to shared folders since a mark, but for the last `keep` of them; to be called when the results that read it are stored. Returns how many folders."""
+    folders = _folders.get(spark.sparkContext.applicationId, [])
+    gone = folders[since : len(folders) - keep]
+    for folder in gone:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return len(folders)
+        folders.remove(folder)
+    return len(gone)
 
 
 TEXTS = "zstd"  # compression of tables that hold whole texts

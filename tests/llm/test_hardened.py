@@ -160,3 +160,15 @@ def test_segments_are_dealt_by_bytes(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PARTITION_BYTES", 1000)
     assert suffix_dedup.partitions_for(docs) == -(-sum(len(t or "") for _, t in rows) // 1000) > 30
     assert sorted(tuple(r) for r in suffix_dedup.repeated_bytes(docs).collect()) == want and sum(r[2] for r in want) > 0
+
+
+def test_the_pipeline_deletes_what_later_stages_do_not_read(spark, sf):
+    import corpus_pipeline
+    from sheaf.llm import common
+
+    other = common.written(spark.range(3), "other")
+    before = common.mark(spark)
+    out = corpus_pipeline.run(spark, sf)
+    packing = common.mark(spark) - before  # the last stage's input, and what that stage wrote for its own result
+    assert out.count() > 0 and other.count() == 3 and 1 <= packing <= 6
+    assert common.release(spark, since=before) == packing and other.count() == 3
