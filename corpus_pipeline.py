@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import prepare, table, to_batch, written
+from sheaf.llm.common import mark, prepare, release, table, to_batch, written
 from sheaf.llm.near_duplicates import without_near_duplicates
 from sheaf.llm.packing import pack
 from sheaf.llm.quality_rules import without_rejected
@@ -80,8 +80,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents; each result is written and read again, and what was written before it is deleted then."""
+    docs, before = table(spark, sf_dir, "documents"), mark(spark)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        release(spark, since=before, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)
