@@ -10,32 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheaf.functions.text import has_answer_key, repair_options
-from sheaf.functions.vocabulary import EXPECTED_COUNTS
 from sheaf.operators import chunks, consensus, diagrams, listing, merge, normalize, rules
 from sheaf.operators.stages import keep_all, saved
 from sheaf.sources import providers, readers
 
-COUNT_TOLERANCE = 5
-
-
-def expected_count(exam: Column | str) -> Column:
-    """Questions that a paper of this exam has; 0 if that isn't known."""
-    known = F.create_map(*[F.lit(v) for kv in EXPECTED_COUNTS.items() for v in kv])
-    return F.coalesce(known[F.col(exam) if isinstance(exam, str) else exam], F.lit(0))
-
-
-def extraction_errors(questions: DataFrame) -> DataFrame:
-    """(paper, number, error) of questions (paper, exam, pos, number, type, text, options, answer); errors of a whole paper have no number."""
-    found = F.array(
-        F.when(F.coalesce("answer", F.lit("")) == "", "missing_answer"),
-        F.when((F.col("type") == "mcq") & ~F.coalesce(F.size("options").between(3, 5), F.lit(False)), "invalid_option_count"),
-        F.when(F.trim(F.coalesce("text", F.lit(""))) == "", "missing_field"),
-    )
-    rows = questions.select("paper", "number", F.explode(F.array_compact(found)).alias("error"))
-    sizes = questions.groupBy("paper").agg(F.count("*").alias("n"), F.first("exam").alias("exam")).withColumn("expected", expected_count("exam"))
-    wrong = sizes.where((F.col("expected") > 0) & (F.abs(F.col("n") - F.col("expected")) > COUNT_TOLERANCE))
-    return rows.unionByName(wrong.select("paper", F.lit(None).cast(questions.schema["number"].dataType).alias("number"), F.lit("wrong_question_count").alias("error")))
-
 
 def auto_repair(questions: DataFrame, key_answers: DataFrame, again: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Questions after one round of repairs, and the errors that are left.
@@ -45,7 +23,7 @@ def auto_repair(questions: DataFrame, key_answers: DataFrame, again: DataFrame)
     answers read again go in, each to the first question of its number. A wrong number of options is repaired by splitting.
     What could not be tried or didn't help stays an error; a missing answer counts as tried if anything was read again.
     """
-    errors = saved(extraction_errors(questions), "errors")
+    errors = saved(rules.extraction_errors(questions), "errors")
     marks = errors.groupBy("paper").agg(F.bool_or(F.col("error") == "wrong_question_count").alias("miscounted"), F.bool_or(F.col("error") == "missing_answer").alias("unanswered"))
     longer = again.groupBy("paper").agg(F.count("*").alias("n_again")).join(questions.groupBy("paper").agg(F.count("*").alias("n")), "paper").where("n_again > n").join(marks.where("miscounted"), "paper", "left_semi").select("paper")
     working = questions.join(longer, "paper", "left_anti").unionByName(again.join(longer, "paper", "left_semi"))

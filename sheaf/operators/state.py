@@ -75,12 +75,6 @@ def failover(attempts: DataFrame) -> DataFrame:
     return attempts.where("ok").groupBy("chunk").agg(F.min_by("provider", "attempt").alias("provider"), F.min("attempt").alias("attempt"))
 
 
-def first_seen(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The first row of each key across chunks."""
-    names = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.min_by(F.struct(*names), order).alias("r")).select(*keys, "r.*")
-
-
 def integrity(files: DataFrame) -> DataFrame:
     """(path, stated, computed): ok, mismatch, or missing for files without a checksum; metadata files are left out."""
     rows = files.where(~F.col("path").endswith("metadata.json"))

@@ -37,7 +37,7 @@ _SPARK_RAW = RAW_QUESTIONS.replace("array_of(", "array(")
 _DUCK_RAW = for_tables(RAW_QUESTIONS).replace("array_of(", "list_value(")
 _EXPECTED = " ".join(f"when '{k}' then {n}" for k, n in EXPECTED_COUNTS.items())
 _REPAIR = f"""with q as ({_DUCK_RAW}), size as (select paper, count(*) as n, count(*) filter (pos % 7 <> 3) as m, case any_value(exam) {_EXPECTED} else 0 end as expected from q group by paper),
-miss as (select paper, abs(n - expected) > {curate.COUNT_TOLERANCE} and expected > 0 as miscounted from size), none as (select distinct paper from q where answer = ''),
+miss as (select paper, abs(n - expected) > {rules.COUNT_TOLERANCE} and expected > 0 as miscounted from size), none as (select distinct paper from q where answer = ''),
 again as (select pos, paper, exam, number, type, text, 'z' as answer, options from q union all select pos + 1000000, paper, exam, number + 1000, type, text, '', options from q where substr(paper, 7) = '13'),
 longer as (select paper from miss where miscounted and substr(paper, 7) = '13'),
 working as (select * from q where paper not in (select paper from longer) union all select * from again where paper in (select paper from longer)),
@@ -157,7 +157,7 @@ def curation_run(spark, sf):
     return papers.select("path", "total", F.size(F.filter("questions", lambda q: q["answer"] == "")).cast("long").alias("unanswered"), listed.alias("answers"), F.array_min(F.transform("questions", lambda q: q["text"])).alias("first_text"))
 
 
-@query(f"""{RUN} select paper, cast(number as int) as number, 'missing_answer' as error from q where pos % 11 = 0 and paper not in (select paper from q where pos % 11 = 0 and pos % 2 = 1) union all select paper, null, 'wrong_question_count' from q group by paper having abs(count(*) - {EXPECTED_COUNTS["jeeadv"]}) > {curate.COUNT_TOLERANCE}""")
+@query(f"""{RUN} select paper, cast(number as int) as number, 'missing_answer' as error from q where pos % 11 = 0 and paper not in (select paper from q where pos % 11 = 0 and pos % 2 = 1) union all select paper, null, 'wrong_question_count' from q group by paper having abs(count(*) - {EXPECTED_COUNTS["jeeadv"]}) > {rules.COUNT_TOLERANCE}""")
 def curation_errors(spark, sf):
     return _run(spark, sf)[2]
 
