@@ -364,23 +364,24 @@ def pdf_kinds(spark, sf):
     return read(spark, sf, "part").select("p_partkey", readers.pdf_kind(F.expr(name)).alias("kind"))
 
 
-_DAYS = """select y, d from (values (2020), (2022), (2024), (2025)) as y(y), unnest(case when y >= 2024 then ['22jan','23jan','24jan','25jan','27jan','28jan','29jan','30jan','31jan','01apr','02apr','03apr','04apr','05apr','06apr','08apr','09apr','10apr','11apr','12apr'] when y < 2021 then list_transform(range(1, 13), lambda i: lpad(cast(i as varchar), 2, '0') || 'jan') else list_transform(range(1, 13), lambda i: lpad(cast(i as varchar), 2, '0') || 'jan') || list_transform(range(1, 13), lambda i: lpad(cast(i as varchar), 2, '0') || 'apr') end) as u(d)"""
+_DAYS = """select y, d from (select distinct year as y from {v_questions} as v), unnest(case when y >= 2024 then ['22jan','23jan','24jan','25jan','27jan','28jan','29jan','30jan','31jan','01apr','02apr','03apr','04apr','05apr','06apr','08apr','09apr','10apr','11apr','12apr'] when y < 2021 then list_transform(range(1, 13), lambda i: lpad(cast(i as varchar), 2, '0') || 'jan') else list_transform(range(1, 13), lambda i: lpad(cast(i as varchar), 2, '0') || 'jan') || list_transform(range(1, 13), lambda i: lpad(cast(i as varchar), 2, '0') || 'apr') end) as u(d)"""
 
 
-@query(f"""with days as ({_DAYS}) select d as date, 'shift' || cast(s as varchar) as shift, 'https://jeemain.nta.nic.in/paper/' || cast(y as varchar) || '/' || d || cast(s as varchar) || 'paper.pdf' as url from days, range(1, 3) as r(s)
-union all select d, d, 'https://neet.nta.nic.in/questionpaper/' || cast(y as varchar) || '/' || d || 'paper.pdf' from (values (2020, '07may'), (2022, '07may'), (2024, '05may'), (2024, '07may'), (2025, '04may'), (2025, '05may')) as n(y, d)""")
+@query(f"""with days as ({_DAYS}), p as (select exam, cast(year as bigint) as year, count(*) as questions from {{v_questions}} as v group by 1, 2)
+select exam, year, questions, d as date, 'shift' || cast(s as varchar) as shift, 'https://jeemain.nta.nic.in/paper/' || cast(y as varchar) || '/' || d || cast(s as varchar) || 'paper.pdf' as url from p join days on y = year, range(1, 3) as r(s) where exam = 'jeemain'
+union all select exam, year, questions, d, d, 'https://neet.nta.nic.in/questionpaper/' || cast(year as varchar) || '/' || d || 'paper.pdf' from p, unnest(case year when 2024 then ['05may', '07may'] when 2025 then ['04may', '05may'] else ['07may'] end) as u(d) where exam = 'neet'""")
 def paper_addresses(spark, sf):
-    out = None
-    for exam in ("jeemain", "neet"):
-        for year in (2020, 2022, 2024, 2025):
-            rows = readers.paper_urls(spark, exam, year)
-            out = rows if out is None else out.unionByName(rows)
-    return out
+    """Where the papers of each exam and year that the questions are of may be found."""
+    papers = questions(spark, sf).groupBy("exam", F.col("year").cast("long").alias("year")).agg(F.count("*").alias("questions"))
+    return readers.paper_addresses(papers)
 
 
-@query("select 'class-' || cast(c as varchar) || '-' || l as shift, 'https://ncert.nic.in/textbook/pdf/' || case c when 11 then 'ke' else 'le' end || b || '1.pdf' as url from (values (11), (12)) as x(c), (values ('ph2phy', 'physics-part-1'), ('ph3phy', 'physics-part-2'), ('ch2che', 'chemistry-part-1'), ('ch3che', 'chemistry-part-2'), ('mh2math', 'mathematics'), ('bo2bio', 'biology')) as y(b, l)")
+@query("""with p as (select cast(11 + pos % 2 as int) as class_number, subject, count(*) as questions from {v_questions} as v group by 1, 2), b(s, code, l) as (values ('physics', 'ph2phy', 'physics-part-1'), ('physics', 'ph3phy', 'physics-part-2'), ('chemistry', 'ch2che', 'chemistry-part-1'), ('chemistry', 'ch3che', 'chemistry-part-2'), ('mathematics', 'mh2math', 'mathematics'), ('biology', 'bo2bio', 'biology'))
+select class_number, subject, questions, 'class-' || cast(class_number as varchar) || '-' || l as shift, 'https://ncert.nic.in/textbook/pdf/' || case class_number when 11 then 'ke' else 'le' end || code || '1.pdf' as url from p left join b on s = subject""")
 def book_addresses(spark, sf):
-    return readers.book_urls(spark, 11).unionByName(readers.book_urls(spark, 12))
+    """The exemplar books for the classes and subjects that the questions are of."""
+    rows = questions(spark, sf).groupBy((F.col("pos") % 2 + 11).cast("int").alias("class_number"), "subject").agg(F.count("*").alias("questions"))
+    return readers.book_addresses(rows)
 
 
 @query(r"""select page_id, case when page_id % 3 = 0 then lpad(cast(page_id % 28 + 1 as varchar), 2, '0') || '-jan-2024' when page_id % 3 = 1 then 'p' || cast(page_id as varchar) else 'unknown' end as shift from pages""")
