@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheaf.functions.vocabulary import ANSWER_KEY_PATTERNS, LATEX, LETTER_ANSWERS, OCR_LITERALS, PAGE_ANSWERS, PAGE_SIGNS, SUBJECT_CODES
+from sheaf.functions.vocabulary import ANSWER_KEY_NEEDS, ANSWER_KEY_PATTERNS, DIGIT, LATEX, LETTER_ANSWERS, OCR_LITERALS, PAGE_ANSWERS, PAGE_SIGNS, SUBJECT_CODES
 
 SPACES = r"[\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 
@@ -65,7 +65,11 @@ def normalize_latex(x: Column | str, compat: bool = False) -> Column:
 
 
 def has_answer_key(x: Column | str, patterns: list[str] = ANSWER_KEY_PATTERNS) -> Column:
-    return reduce(lambda a, b: a | b, [F.coalesce(_c(x).rlike(p), F.lit(False)) for p in patterns])
+    """Whether any pattern occurs. A pattern is looked for only in texts that hold what it needs, which is a plain search."""
+    low = F.lower(_c(x))
+    needs = dict(zip(ANSWER_KEY_PATTERNS, ANSWER_KEY_NEEDS, strict=True))
+    holds = lambda p: F.lit(True) if p not in needs else _c(x).rlike("[0-9]") if needs[p] == DIGIT else low.contains(needs[p])
+    return reduce(lambda a, b: a | b, [F.coalesce(holds(p) & _c(x).rlike(p), F.lit(False)) for p in patterns])
 
 
 def answer_count(x: Column | str) -> Column:

@@ -398,6 +398,9 @@ ANSWER_KEY_PATTERNS = [
     r"(?i)\\correct\b",
     r"(?i)\\key\b",
 ]
+#: What a text in lower case must hold for each of them to match; DIGIT stands for any digit.
+DIGIT = "0-9"
+ANSWER_KEY_NEEDS = ["answer", "answer", "ans", "correct", "question", "q", "answer", "key", "solution", "ans", "ans", "ans", "|", "|", DIGIT, "ans", DIGIT, DIGIT, DIGIT, "\\answer{", "\\correct", "\\key"]
 CONSENSUS_KEY_PATTERNS = [ANSWER_KEY_PATTERNS[k] for k in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 18)]
 # The score of a page that may be an answer key.
 PAGE_SIGNS = ((r"answer\s*key", 5), (r"\|\s*q\s*\|\s*ans\s*\|", 5), (r"question\s*no", 3))

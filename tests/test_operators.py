@@ -474,3 +474,22 @@ def test_the_package_stands_without_the_corpus_operators():
     for f in root.rglob("*.py"):
         if "llm" not in f.parts:
             assert "sheaf.llm" not in f.read_text()
+
+
+def test_gates_of_answer_key_patterns_lose_nothing(spark):
+    """What a pattern needs is in every text that it matches: with and without the gates the same texts have a key."""
+    from sheaf.functions.vocabulary import ANSWER_KEY_NEEDS, ANSWER_KEY_PATTERNS
+
+    rng = random.Random(11)
+    bits = ["answer", "ANS", "Ans.", "key", "KEY", "correct", "question", "Q", "q.", "no", "table", "to", "s", "solution", ":", " ", "|", "\n", "1", "12", "a", "B", "-", "–", "(", ")", ".", "[", "]", "\\", "{", "}", "K", "ſ", "٣"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 14))) for _ in range(6000)]
+    whole = ["|q||ans|", "Q no | x | ANS", "q.|a|ans", r"\Answer{", r"\correct ", r"x \KEY.", "\n 12 b\n", "1. A 2. B", "3-d", "4 ( 2 )", "ans 7 )", "[ans.] : 4", "(answer) - 3", "answer table", "key to questions", "solution  key", "question no", "correct answer"]
+    texts += [a + w + b for w in whole for a in ("", "x", "K ") for b in ("", "y", " 5")]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "t string")
+    for patterns in (ANSWER_KEY_PATTERNS, *[[p] for p in ANSWER_KEY_PATTERNS]):
+        plain = F.lit(False)
+        for p in patterns:
+            plain = plain | F.coalesce(F.col("t").rlike(p), F.lit(False))
+        n, wrong = rows.select(F.count_if(plain), F.count_if(plain != tx.has_answer_key("t", patterns))).first()
+        assert wrong == 0 and n > 0, patterns
+    assert len(ANSWER_KEY_NEEDS) == len(ANSWER_KEY_PATTERNS)
