@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.vocabulary import ANSWER_KEY_NEEDS, ANSWER_KEY_PATTERNS, DIGIT, LATEX, LETTER_ANSWERS, OCR_LITERALS, PAGE_ANSWERS, PAGE_SIGNS, SUBJECT_CODES
 
-SPACES = r"[\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+#: Fixed value: what counts as space at either end: tab to return, space, and Unicode's spaces and line ends.
+SPACE_LETTERS = "\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def _c(x: Column | str) -> Column:
@@ -23,8 +24,8 @@ def literal(pattern: str) -> str:
 
 
 def wide_trim(x: Column | str) -> Column:
-    """Trims all Unicode spaces, not only U+0020."""
-    return F.regexp_replace(_c(x), f"^{SPACES}+|{SPACES}+$", "")
+    """Trims all Unicode spaces and line ends, not only U+0020. A plain trim by a set: it looks at the ends only, where a pattern would go through the text."""
+    return F.btrim(_c(x), F.lit(SPACE_LETTERS))
 
 
 def is_blank(x: Column | str) -> Column:

@@ -493,3 +493,10 @@ def test_gates_of_answer_key_patterns_lose_nothing(spark):
         n, wrong = rows.select(F.count_if(plain), F.count_if(plain != tx.has_answer_key("t", patterns))).first()
         assert wrong == 0 and n > 0, patterns
     assert len(ANSWER_KEY_NEEDS) == len(ANSWER_KEY_PATTERNS)
+
+
+def test_trimming_takes_all_spaces_and_no_others(spark):
+    spaces = "\t\n\x0b\x0c\r \u00a0\u1680\u2003\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+    rows = [(f"{c}{d}a{c}b{d}{c}", f"a{c}b") for c in spaces for d in spaces] + [(f"{c}a{c}", f"{c}a{c}") for c in "\u0085\u200b\u180e\x00"] + [("a \x85", "a \x85"), (spaces, ""), ("", ""), (None, None)]
+    got = spark.createDataFrame(rows, "t string, want string").where(~tx.wide_trim("t").eqNullSafe(F.col("want"))).collect()
+    assert got == []
