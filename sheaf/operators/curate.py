@@ -15,19 +15,20 @@ from sheaf.operators.stages import keep_all, saved
 from sheaf.sources import providers, readers
 
 
-def auto_repair(questions: DataFrame, key_answers: DataFrame, again: DataFrame) -> tuple[DataFrame, DataFrame]:
+def auto_repair(questions: DataFrame, key_answers: DataFrame, again: DataFrame, each: bool = False) -> tuple[DataFrame, DataFrame]:
     """Questions after one round of repairs, and the errors that are left.
 
     key_answers: (paper, pos, number, answer) read again from each paper's last pages; again: questions of a second extraction, with the same
     columns. A paper with too few or too many questions takes the second extraction if it has more. If an answer is missing, all
     answers read again go in, each to the first question of its number. A wrong number of options is repaired by splitting.
+    With `each` both reach every question of the number, and a split helps all numbers that stand at the split question's place.
     What could not be tried or didn't help stays an error; a missing answer counts as tried if anything was read again.
     """
     errors = saved(rules.extraction_errors(questions), "errors")
     marks = errors.groupBy("paper").agg(F.bool_or(F.col("error") == "wrong_question_count").alias("miscounted"), F.bool_or(F.col("error") == "missing_answer").alias("unanswered"))
     longer = again.groupBy("paper").agg(F.count("*").alias("n_again")).join(questions.groupBy("paper").agg(F.count("*").alias("n")), "paper").where("n_again > n").join(marks.where("miscounted"), "paper", "left_semi").select("paper")
     working = questions.join(longer, "paper", "left_anti").unionByName(again.join(longer, "paper", "left_semi"))
-    nth = F.row_number().over(Window.partitionBy("paper", "number").orderBy("pos"))
+    nth = F.lit(1) if each else F.row_number().over(Window.partitionBy("paper", "number").orderBy("pos"))
     good = key_answers.where(F.coalesce("answer", F.lit("")) != "").groupBy("paper", "number").agg(F.max_by("answer", "pos").alias("key_answer"))
     split = errors.where("error = 'invalid_option_count'").select("paper", "number", F.lit(True).alias("split")).distinct()
     working = working.withColumn("nth", nth).join(good, ["paper", "number"], "left").join(split, ["paper", "number"], "left").join(marks.select("paper", "unanswered"), "paper", "left")
@@ -38,7 +39,10 @@ def auto_repair(questions: DataFrame, key_answers: DataFrame, again: DataFrame)
     working = working.withColumns({"options": F.when(F.col("options_repaired"), fixed).otherwise(F.col("options")), "answer": F.when(F.col("answer_restored"), F.col("key_answer")).otherwise(F.col("answer"))})
     tried = key_answers.select("paper").distinct().withColumn("done", F.lit("missing_answer")).unionByName(longer.withColumn("done", F.lit("wrong_question_count")))
     left = errors.join(tried, (errors["paper"] == tried["paper"]) & (F.col("error") == F.col("done")), "left_anti")
-    helped = working.where("options_repaired").select("paper", "number", F.lit("invalid_option_count").alias("error")).distinct()
+    helped = working.where("options_repaired")
+    if each:
+        helped = working.join(helped.select("paper", "pos").distinct(), ["paper", "pos"], "left_semi")
+    helped = helped.select("paper", "number", F.lit("invalid_option_count").alias("error")).distinct()
     return working.select(*questions.columns, "options_repaired", "answer_restored"), left.join(helped, ["paper", "number", "error"], "left_anti")
 
 

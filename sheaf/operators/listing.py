@@ -39,12 +39,12 @@ def next_order(field: str, direction: str) -> tuple[str, str]:
     return FILE_ORDERS[(k + 1) % len(FILE_ORDERS)]
 
 
-def files(rows: DataFrame, field: str = "size", direction: str = "desc") -> DataFrame:
-    """(name, size): by one of FILE_ORDERS; of equal sizes by name."""
+def files(rows: DataFrame, field: str = "size", direction: str = "desc", *then: Column) -> DataFrame:
+    """(name, size, ...): by one of FILE_ORDERS; of equal sizes by name, of equal names by `then`. Rows without a size or a name come last."""
     if (field, direction) not in FILE_ORDERS:
         raise ValueError(f"no such order: {field} {direction}")
-    by = F.desc(field) if direction == "desc" else F.asc(field)
-    return numbered(rows, by, F.asc("name"))
+    by = F.desc_nulls_last(field) if direction == "desc" else F.asc_nulls_last(field)
+    return numbered(rows, by, F.asc_nulls_last("name"), *then)
 
 
 def subjects(rows: DataFrame) -> DataFrame:

@@ -252,3 +252,14 @@ def test_ocr_by_service_name(spark):
         assert [tuple(r) for r in providers.pages_by(name, rows).collect()] == [("a", 1, "x")]
     with pytest.raises(ValueError, match="service"):
         providers.pages_by("other", pages)
+
+
+def test_repair_reaches_each_question_of_a_number(spark):
+    """Answers and splits for two questions that share a number; a third row stands at the place of one that was split."""
+    rows = [question(1, "", ("(1) red one (2) blue one", "(1) x"), "text", "mcq", "p", "jeeadv", 0), question(1, "", ("(1) red one (2) blue one", "(1) y"), "text", "mcq", "p", "jeeadv", 1), question(2, "", None, "text", "mcq", "p", "jeeadv", 1)]
+    frame = spark.createDataFrame(rows, QUESTION)
+    key = spark.createDataFrame([("p", 0, 1, "k")], "paper string, pos int, number int, answer string")
+    for each, restored, errors in ((False, 1, {2}), (True, 2, set())):
+        out, left = curate.auto_repair(frame, key, frame.limit(0), each=each)
+        assert out.where("answer_restored and options_repaired and answer = 'k' and size(options) = 3").count() == restored and out.count() == 3
+        assert {r.number for r in left.where("error = 'invalid_option_count'").collect()} == errors
