@@ -49,7 +49,7 @@ GAP = "6 hours"
 
 @query(f"select user_id, event_id, event_type, value from (select *, lead(ts) over (partition by user_id order by ts, event_id) as following from events) as e where following is null or following - ts >= interval {GAP}")
 def event_debounce_stream(spark, sf):
-    """Of each user's events the last one before each quiet gap, given out by event-time timers over three slices."""
+    """Of each user's events the last one before each quiet gap, given out when the watermark has passed the gap, over three slices."""
     rows = _events(spark, sf)
     fed = keyed.Fed(spark, "debounce", rows.schema)
     closing = _closing(spark, rows)

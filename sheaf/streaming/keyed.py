@@ -7,12 +7,10 @@ stream goes on from its checkpoint and nothing is lost or doubled.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
 from sheaf.streaming.events import folder
@@ -26,50 +24,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _row(frame: pd.DataFrame, k: int) -> tuple:
-    """A row in Python's own types; missing numbers and times are None."""
-    out = []
-    for c in frame.columns:
-        v = frame[c].iloc[k]
-        missing = not isinstance(v, (list, dict)) and not hasattr(v, "shape") and pd.isna(v)
-        out.append(None if missing else v.item() if hasattr(v, "item") else v)
-    return tuple(out)
-
-
-class Latest(StatefulProcessor):
-    """Gives out a key's row whenever a later one by `order` takes its place; of equal ones the first stays."""
-
-    def __init__(self, schema: StructType, order: list[str]):
-        self.schema, self.order = schema, order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.row = handle.getValueState("row", self.schema)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = self.schema.names
-        at = [names.index(c) for c in self.order]
-        place = lambda r: tuple((r[k] is not None, r[k] if r[k] is not None else 0) for k in at)  # noqa: E731  null comes first
-        old = tuple(self.row.get()) if self.row.exists() else None
-        best = old
-        for frame in rows:
-            top = frame[names].sort_values(self.order, kind="stable", na_position="first")
-            last = top[self.order].iloc[-1]
-            same = top[(top[self.order].eq(last) | (top[self.order].isna() & last.isna())).all(axis=1)]
-            new = _row(same, 0)
-            if best is None or place(new) > place(best):
-                best = new
-        if best is not old:
-            self.row.update(best)
-            yield pd.DataFrame([best], columns=names).astype(object)
-
-    def close(self) -> None:
-        pass
-
-
 def upserts(stream: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The stream of rows that are the latest of their key when their batch ends; each key once a batch at most."""
+    """The stream of rows that are the latest of their key by `order` when their batch ends; each key once a batch at most, and only if a row of that batch took its place.
+
+    Of equal rows that of the earlier batch stays; nulls come first. Rows are compared by Spark's own aggregation, which combines before the shuffle.
+    """
     prepare(stream.sparkSession)
-    return stream.groupBy(*keys).transformWithStateInPandas(Latest(stream.schema, order), outputStructType=stream.schema, outputMode="Update", timeMode="None")
+    now = F.unix_micros(F.current_timestamp())  # one time for a batch, the same one if it is run again
+    best = F.max_by(F.struct(F.struct(*stream.columns).alias("row"), "_since"), F.struct(*order, -F.col("_since")))
+    latest = stream.withColumn("_since", now).groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(best.alias("best"))
+    return latest.where(F.col("best._since") == now).select("best.row.*")
 
 
 def table_of(changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,6 +42,7 @@ def table_of(changes: DataFrame, keys: list[str]) -> DataFrame:
     return changes.groupBy(*keys).agg(F.max_by(F.struct(*names), "batch").alias("r")).select(*keys, "r.*")
 
 
+#: For whoever keeps changes by hand.
 Stretch = tuple[int, int, tuple, tuple]  # first and last time of changes with no gap between them, the last change's place and row
 
 
@@ -94,60 +59,16 @@ def joined(a: list[Stretch], b: list[Stretch], gap: int) -> list[Stretch]:
     return out
 
 
-class Debounced(StatefulProcessor):
-    """Gives out a key's last change once nothing has followed it for a gap of event time.
+def debounced(stream: DataFrame, keys: list[str], time: str, order: list[str], gap_ms: int, late: str = "0 seconds") -> DataFrame:
+    """A key's changes that nothing follows for gap_ms, given out when the watermark (`late` behind the latest time) has passed that gap. Changes without a time are left out.
 
-    State is the change that waits and the time at which it is due. A batch's changes come in frames, in any order; of each frame only stretches without a
-    gap are kept, a row for each, and joined with those before. All stretches but the last one are over and are given out at once.
+    They are the last rows of session windows, so the state holds a row for each stretch that is still open. Spark also joins
+    rows that are a window's gap apart, so that is a microsecond less.
     """
-
-    def __init__(self, schema: StructType, time: str, order: list[str], gap_ms: int):
-        self.schema, self.time, self.order, self.gap = schema, time, order, gap_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getValueState("waiting", StructType([*self.schema.fields, StructField("_due", LongType())]))
-
-    def stretches(self, frame: pd.DataFrame) -> list[Stretch]:
-        names = self.schema.names
-        at = [names.index(c) for c in self.order]
-        frame = frame[names].sort_values([self.time, *self.order], kind="stable").reset_index(drop=True)
-        ms = frame[self.time].map(lambda t: int(pd.Timestamp(t).timestamp() * 1000))
-        ends = ms.index[ms.shift(-1).isna() | (ms.shift(-1) - ms >= self.gap)].tolist()
-        rows = [_row(frame, k) for k in ends]
-        begins = [0, *(k + 1 for k in ends[:-1])]
-        return [(int(ms[b]), int(ms[e]), tuple(r[k] for k in at), r) for b, e, r in zip(begins, ends, rows, strict=True)]
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held: list[Stretch] = []
-        if self.waiting.exists():
-            *row, due = self.waiting.get()
-            at = [self.schema.names.index(c) for c in self.order]
-            held = [(due - self.gap, due - self.gap, tuple(row[k] for k in at), tuple(row))]
-            self.handle.deleteTimer(due)
-        for frame in rows:
-            held = joined(held, self.stretches(frame), self.gap)
-        _, last, _, row = held[-1]
-        self.waiting.update((*row, last + self.gap))
-        self.handle.registerTimer(last + self.gap)
-        if held[:-1]:
-            yield pd.DataFrame([s[3] for s in held[:-1]], columns=self.schema.names).astype(object)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.waiting.exists():
-            row = tuple(self.waiting.get())[:-1]
-            self.waiting.clear()
-            yield pd.DataFrame([row], columns=self.schema.names).astype(object)
-
-    def close(self) -> None:
-        pass
-
-
-def debounced(stream: DataFrame, keys: list[str], time: str, order: list[str], gap_ms: int, late: str = "0 seconds") -> DataFrame:
-    """A key's changes that nothing follows for gap_ms, given out when the watermark (`late` behind the latest time) has passed that gap. Changes without a time are left out."""
     prepare(stream.sparkSession)
     marked = stream.where(F.col(time).isNotNull()).withWatermark(time, late)
-    return marked.groupBy(*keys).transformWithStateInPandas(Debounced(stream.schema, time, order, gap_ms), outputStructType=stream.schema, outputMode="Append", timeMode="EventTime")
+    last = F.max_by(F.struct(*stream.columns), F.struct(time, *order))
+    return marked.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys], F.session_window(time, f"{gap_ms * 1000 - 1} microseconds")).agg(last.alias("last")).select("last.*")
 
 
 class History:

@@ -186,6 +186,24 @@ def test_a_batch_that_is_run_again_is_written_once(spark):
     assert tries == [0, 0] and [(r.path, r.nth, r.batch) for r in fed.log().collect()] == [("a", 1, 0)]
 
 
+def test_keyed_streams_need_no_python_for_a_key(spark, tmp_path):
+    from sheaf.streaming import keyed
+
+    rows = spark.readStream.schema(EVENTS).parquet(f"file://{tmp_path}")
+    for stream in (keyed.upserts(rows, ["path"], ["nth"]), keyed.debounced(rows, ["path"], "at", ["nth"], 60_000)):
+        assert "Pandas" not in stream._jdf.queryExecution().toString() and stream.dtypes == rows.dtypes
+
+
+def test_gaps_are_told_to_the_microsecond(spark):
+    from sheaf.streaming import keyed
+
+    rows = [("a", stamped(0.0009), 1, ""), ("a", stamped(60.0003), 2, ""), ("b", stamped(0.0004), 3, ""), ("b", stamped(60.0004), 4, ""), ("end", stamped(9000), 5, "")]
+    fed = keyed.Fed(spark, "test-fine", spark.createDataFrame(rows, EVENTS).schema)
+    fed.feed(spark.createDataFrame(rows, EVENTS), 0)
+    fed.run(lambda s: keyed.debounced(s, ["path"], "at", ["nth"], 60_000), "append")
+    assert sorted((r.path, r.nth) for r in fed.log().collect()) == [("a", 2), ("b", 3), ("b", 4)]
+
+
 def plain_debounce(rows, gap):
     out = []
     for p in {r[0] for r in rows}:
