@@ -74,6 +74,7 @@ def _sign(width: int, tables: int, rows: int, carried: bool):
 
 
 FILTER_BITS = 1 << 16, 1 << 26  # least and most bits of a filter, which is at most 8 MB
+STRETCH = 1 << 20  # bits of a filter that come to the driver as one row
 
 
 class IdFilter:
@@ -89,10 +90,27 @@ class IdFilter:
         self.size = min(max(least, 1 << (8 * n).bit_length()), most)
         self.bits = None
         if n <= self.size // 2:
-            bits = ids.select(F.pmod(F.xxhash64(column), F.lit(self.size)).cast("int").alias("bit"))
-            words = bits.select(F.shiftright("bit", 5).alias("w"), F.expr("shiftleft(1L, bit & 31)").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
             self.bits = np.zeros(self.size // 32, np.uint32)
-            self.bits[words["w"].to_numpy()] = words["m"].to_numpy().astype(np.uint32)  # at most size / 32 rows
+            for r in self.stretches(ids, column).collect():  # at most size / STRETCH rows
+                part = np.frombuffer(r["bits"], "<u4")
+                first = r["stretch"] * (STRETCH // 32)
+                self.bits[first : first + len(part)] = part
+
+    def stretches(self, ids: DataFrame, column: str) -> DataFrame:
+        """(stretch, bits): the bitmap in rows of STRETCH bits, put together by tasks."""
+        length = min(STRETCH, self.size)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            maps: dict[int, np.ndarray] = {}
+            for b in batches:
+                bit = b.column(0).to_numpy()
+                for s in np.unique(bit // length).tolist():
+                    maps.setdefault(s, np.zeros(length, bool))[bit[bit // length == s] % length] = True
+            for s, m in maps.items():
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([np.packbits(m, bitorder="little").tobytes()], pa.binary())], names=["stretch", "bits"])
+
+        bits = ids.select(F.pmod(F.xxhash64(column), F.lit(self.size)).cast("int").alias("bit")).distinct()
+        return bits.repartition(-(-self.size // STRETCH), F.floor(F.col("bit") / length)).mapInArrow(run, "stretch int, bits binary")
 
     def keep(self, rows: DataFrame, column: str) -> DataFrame:
         if self.bits is None:

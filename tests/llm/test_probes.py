@@ -394,3 +394,23 @@ def test_what_was_written_can_be_released(spark):
     folder = Path(shared_folder(spark, "probe").removeprefix("file://"))
     folder.mkdir()
     assert release(spark) >= 2 and not folder.exists()
+
+
+def test_a_filter_comes_to_the_driver_in_few_rows(spark, monkeypatch):
+    rows = spark.range(100_000).withColumnRenamed("id", "x")
+    wanted = rows.where("x % 4 = 0")
+    for stretch in (1 << 20, 1 << 15):
+        monkeypatch.setattr(near_duplicates, "STRETCH", stretch)
+        f = near_duplicates.IdFilter(wanted, "x")
+        assert f.stretches(wanted, "x").count() == max(1, f.size // stretch)
+        kept = f.keep(rows, "x")
+        assert kept.join(wanted, "x").count() == 25_000 and kept.count() < 45_000
+
+
+def test_written_tables_have_no_mark(spark):
+    from pathlib import Path
+
+    from sheaf.llm.common import written
+
+    (folder,) = {str(Path(f.removeprefix("file://")).parent) for f in written(spark.range(3), "probe").inputFiles()}
+    assert not [p.name for p in Path(folder).iterdir() if "_SUCCESS" in p.name]
