@@ -35,7 +35,9 @@ def cached(rows: DataFrame, cache: DataFrame, embed) -> tuple[DataFrame, DataFra
     return embedded(rows, whole)[0], whole
 
 
-BLOCK = 512  # vectors that one task compares with others at once
+BLOCK = 512  # vectors at home in a chunk, at least
+HELD = 1 << 22  # numbers that a task holds as the vectors of one chunk, at most
+TILE = 2048  # vectors of each side that are multiplied at once
 MOST_PIVOTS = 1024
 SLACK = 1e-9  # more than rounding can take from a bound
 
@@ -71,8 +73,8 @@ def _homed(shared, reach: float):
                 x = np.array([raw[k] for k in at], np.float64)
                 own, near = cells_of(x / np.linalg.norm(x, axis=1, keepdims=True), shared.value[size], reach)
                 for k, h, row in zip(at, own.tolist(), near, strict=True):
-                    # a pair is found in the cell with the smaller number of its two
-                    home[k], cells[k] = h, [c for c in np.flatnonzero(row).tolist() if c <= h]
+                    # a pair is found in one cell of its two: that from which the other is less than half way round
+                    home[k], cells[k] = h, [c for c in np.flatnonzero(row).tolist() if (h - c) % len(row) <= len(row) // 2]
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((b.column(0), b.column(1), sizes, home, cells, b.column(2)), HOMED, strict=True)], schema=HOMED)
 
     return run
@@ -82,43 +84,60 @@ def _compared(threshold: float):
     """Rows (g, size, cell, chunk, guest, id, home, embedding) by chunk, those at home first: each guest with all that are at home."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, vectors, unit = None, [], [], None
+        key, held, number = None, [], []
         for b in batches:
-            rows = list(zip(*(b.column(k).to_pylist() for k in range(8)), strict=True))
+            g, size, cell, chunk, guest = (b.column(k).to_pylist() for k in range(5))
+            places = list(zip(g, size, cell, chunk, guest, strict=True))
+            ids, homes = b.column(5).to_numpy(), b.column(6).to_numpy()
             at = 0
-            while at < len(rows):
-                end = at
-                while end < len(rows) and rows[end][:5] == rows[at][:5]:
+            while at < len(places):
+                end = at + 1
+                while end < len(places) and places[end] == places[at]:
                     end += 1
-                part, at = rows[at:end], end
-                *place, guest = part[0][:5]
+                *place, is_guest = places[at]
+                x = b.column(7).slice(at, end - at).flatten().to_numpy().reshape(-1, place[1])
+                who, home, at = ids[at:end], homes[at:end], end
                 if place != key:
-                    key, ids, vectors, unit = place, [], [], None
-                if not guest:
-                    ids += [r[5] for r in part]
-                    vectors += [r[7] for r in part]
+                    key, held, number = place, [], []
+                if not is_guest:
+                    held.append(x.copy())
+                    number.append(who.copy())
                     continue
-                if not ids:
+                if not held:
                     continue
-                if unit is None:
-                    held = np.array(vectors, np.float64)
-                    norms = np.sqrt((held * held).sum(axis=1))
-                    unit, number = held / norms[:, None], np.array(ids)
-                x = np.array([r[7] for r in part], np.float64)
-                lengths = np.sqrt((x * x).sum(axis=1))
-                who, homes = np.array([r[5] for r in part]), np.array([r[6] for r in part])
-                like = (x / lengths[:, None]) @ unit.T >= threshold - SLACK
-                like &= (homes[:, None] != place[2]) | (who[:, None] < number[None])
-                i, j = np.nonzero(like)
-                exact = (x[i] * held[j]).sum(axis=1) / (lengths[i] * norms[j])
-                i, j, exact = i[exact >= threshold], j[exact >= threshold], exact[exact >= threshold]
-                if len(i):
-                    two = np.sort(np.stack([who[i], number[j]]), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array([place[0]] * len(i), pa.string()), pa.array(two[0]), pa.array(two[1]), pa.array(exact)], schema=PAIRS)
+                if len(held) > 1:
+                    held, number = [np.concatenate(held)], [np.concatenate(number)]
+                for k in range(0, len(who), TILE):
+                    for m in range(0, len(number[0]), TILE):
+                        yield from met(place, x[k : k + TILE], who[k : k + TILE], home[k : k + TILE], held[0][m : m + TILE], number[0][m : m + TILE])
+
+    def met(place, x, who, home, held, number) -> Iterator[pa.RecordBatch]:
+        lengths, norms = np.sqrt((x * x).sum(axis=1)), np.sqrt((held * held).sum(axis=1))
+        like = (x / lengths[:, None]) @ (held / norms[:, None]).T >= threshold - SLACK
+        like &= (home[:, None] != place[2]) | (who[:, None] < number[None])
+        i, j = np.nonzero(like)
+        for k in range(0, len(i), TILE * 16):
+            p, q = i[k : k + TILE * 16], j[k : k + TILE * 16]
+            exact = (x[p] * held[q]).sum(axis=1) / (lengths[p] * norms[q])
+            p, q, exact = p[exact >= threshold], q[exact >= threshold], exact[exact >= threshold]
+            if len(p):
+                two = np.sort(np.stack([who[p], number[q]]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array([place[0]] * len(p), pa.string()), pa.array(two[0]), pa.array(two[1]), pa.array(exact)], schema=PAIRS)
 
     return run
 
 
+def _unit(x: list) -> np.ndarray:
+    x = np.array(x, np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def chosen_pivots(x: np.ndarray, few: int, most: int, reach: float) -> np.ndarray:
+    """Of unit vectors in a fixed order, the pivots: an odd number of at most `most`, if they spare so much that a vector is copied to fewer cells than `few` pivots make; else at most `few`."""
+    few, most = (min(len(x), n) - 1 | 1 for n in (few, most))
+    return x[:most] if few >= most or cells_of(x, x[:most], reach)[1].sum(axis=1).mean() <= few else x[:few]
+
+
 def similar_vectors(rows: DataFrame, threshold: float, group: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Members (group, id, class_id) and pairs (group, a, b, similarity) of rows (id, embedding): all classes whose cosine is at least the threshold.
 
@@ -127,9 +146,10 @@ def similar_vectors(rows: DataFrame, threshold: float, group: str | None = None)
     and null ids are in no class; rows with equal ids are in the classes of their vectors. The threshold must be above 0.
 
     Exact: unit vectors meet if they are within sqrt(2 - 2 * threshold) of each other. Each is at home with its nearest pivot and is a guest in the cells that can hold
-    such a neighbour. A cell's members are dealt into chunks of about BLOCK, and each chunk is a key of its own, so a cell that holds most
-    vectors is many tasks. With a pivot for every BLOCK vectors a vector is copied to twice as many chunks as there are blocks at worst,
-    when no bound prunes, and to a few where vectors form clusters. The driver holds MOST_PIVOTS vectors of each length at most.
+    such a neighbour. A cell's members are dealt into chunks, and each chunk is a key of its own, so a cell that holds most
+    vectors is many tasks. Where vectors form clusters there is a pivot for every BLOCK vectors, and a vector is copied to a few cells. Where
+    no bound prunes, chunks are about two for each core, so a vector's copies don't grow with the table until a chunk would exceed HELD
+    numbers; beyond that they grow as the table over HELD. The driver holds MOST_PIVOTS vectors of each length at most, and as many to try them.
     """
     if not 0 < threshold <= 1:
         raise ValueError("a threshold above 0, and 1 at most")
@@ -142,15 +162,16 @@ def similar_vectors(rows: DataFrame, threshold: float, group: str | None = None)
     members = good.join(named.withColumnRenamed("id", "class_id"), ["g", "embedding"]).select(_group(group), "id", "class_id")
     size = F.size("embedding")
     lengths = {r["n"]: r["count"] for r in named.groupBy(size.alias("n")).count().collect()}  # a row for each length
-    pivots = {}
-    for n, count in lengths.items():
-        k = max(1, min(MOST_PIVOTS, count // BLOCK))
-        chosen = named.where(size == n).orderBy(F.xxhash64("embedding"), "embedding").select("embedding").limit(k).collect()
-        x = np.array([r["embedding"] for r in chosen])
-        pivots[n] = x / np.linalg.norm(x, axis=1, keepdims=True)
     reach = float(np.sqrt(2 - 2 * threshold))
+    pivots, rows_of = {}, {}
+    for n, count in lengths.items():
+        few = max(1, min(2 * spark.sparkContext.defaultParallelism, -(-count // BLOCK)), -(-count * n // HELD))
+        rows_of[n] = max(1, min(-(-2 * count // few), HELD // n))  # twice a cell of mean size
+        chosen = named.where(size == n).orderBy(F.xxhash64("embedding"), "embedding").select("embedding").limit(max(1, min(2 * MOST_PIVOTS, count // BLOCK * 2))).collect()
+        pivots[n] = chosen_pivots(_unit([r["embedding"] for r in chosen]), min(few, MOST_PIVOTS), min(MOST_PIVOTS, max(1, count // BLOCK)), reach)
     homed = saved(named.select("g", "id", "embedding").mapInArrow(_homed(spark.sparkContext.broadcast(pivots), reach), HOMED_DDL), "homed")
-    chunks = homed.groupBy("g", "size", F.col("home").alias("cell")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+    held = F.element_at(F.create_map(*[F.lit(x) for n in (rows_of or {0: 1}).items() for x in n]), F.col("size"))
+    chunks = homed.groupBy("g", "size", F.col("home").alias("cell")).agg(F.ceil(F.count("*") / held).cast("int").alias("chunks"))
     at_home = homed.withColumn("cell", F.col("home")).join(chunks, ["g", "size", "cell"])
     at_home = at_home.select("g", "size", "cell", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("guest"), "id", "home", "embedding")
     guests = homed.withColumn("cell", F.explode("cells")).join(chunks, ["g", "size", "cell"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))

@@ -310,6 +310,17 @@ def test_bounds_spare_far_cells():
         assert near[a, home[b]] and near[b, home[a]]
 
 
+def test_more_pivots_only_where_they_spare_copies():
+    import numpy as np
+
+    from sheaf.operators import similar
+
+    for clusters, spread, threshold, want in ((500, 0.01, 0.99, 499), (1, 1.0, 0.3, 15)):
+        x = np.array(clustered(8, 1000, 32, clusters, spread))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        assert len(similar.chosen_pivots(x, 16, 500, math.sqrt(2 - 2 * threshold))) == want
+
+
 def test_vectors_that_are_none(spark):
     from sheaf.operators import similar
 
