@@ -201,9 +201,14 @@ def question_hash(text: Column | str, options: Column | str) -> Column:
     return F.sha2(F.concat(body, F.lit("||"), F.coalesce(F.array_join(_c(options), "|"), F.lit(""))), 256)
 
 
+def word_list(x: Column | str) -> Column:
+    """ASCII words of three characters or more."""
+    return F.filter(F.split(F.lower(_c(x)), r"\W+"), lambda w: F.length(w) > 2)
+
+
 def word_set(x: Column | str) -> Column:
-    """Distinct ASCII words of three characters or more."""
-    return F.array_distinct(F.filter(F.split(F.lower(_c(x)), r"[^a-zA-Z0-9_]+"), lambda w: F.length(w) > 2))
+    """The same, each once."""
+    return F.array_distinct(word_list(x))
 
 
 def jaccard(a: Column, b: Column) -> Column:

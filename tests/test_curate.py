@@ -219,6 +219,24 @@ def test_similar_pairs_with_frequent_words(spark, monkeypatch):
         assert {(r.a, r.b) for r in merge.similar_pairs(frame, 0.7).collect()} == expected
 
 
+def test_similar_pairs_travel_without_their_words(spark, monkeypatch):
+    """A group of near copies has many more pairs than sets: words are shuffled for the sets, not for the pairs."""
+    rng = random.Random(4)
+    common = [f"common{k}" for k in range(300)]
+    texts = [" ".join(rng.sample(common, 290) + [f"own{k}x{i}" for i in range(10)]) for k in range(150)]
+    sets = [set(t.split()) for t in texts]
+    expected = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(150) for b in range(a + 1, 150)}
+    expected = {p: s for p, s in expected.items() if s >= 0.8}
+    shuffled = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).head().totalShuffleWrite()
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    before = shuffled()
+    assert {(r.a, r.b): r.similarity for r in merge.similar_pairs(frame).collect()} == expected and len(expected) > 10_000
+    assert shuffled() - before < 4_000_000  # 11,000 pairs with 300 words each were 30 MB and more
+    for name, value in {"BLOCK": 40, "MOST_WORDS": 2000}.items():
+        monkeypatch.setattr(merge, name, value, raising=False)
+    assert {(r.a, r.b): r.similarity for r in merge.similar_pairs(frame).collect()} == expected
+
+
 def test_chosen_names_and_kinds(spark):
     names = {"neet-2024-code-r5.pdf": ("neet", 2024, "code-r5"), "JEEMAIN_2023_24-January-Shift-1.pdf": ("jeemain", 2023, "24-jan-shift-1"), "jee-adv-2022-paper-1.pdf": ("jeeadv", 2022, "paper-1"), "ncert-exemplar-12-unit-3.pdf": ("ncert-exemplar", 12, "unit-3"), "notes.pdf": None}
     for name, expected in names.items():
