@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from sheaf.functions.text import word_list
 from sheaf.operators.stages import saved
 
-FREQUENT = 1000  # a word is frequent if more than one set in so many has it
-MOST_BROADCAST = 500_000  # frequent words: some ten megabytes
+FREQUENT = 50_000  # a word is frequent if more than one set in so many has it
+MOST_BROADCAST = 500_000  # the most frequent words, which are ranked: some ten megabytes
 MOST_WORDS = 1 << 20  # words that are encoded at once
 BLOCK = 512  # sets of a group that are compared in one task
 
@@ -214,8 +214,8 @@ def similar_pairs(rows: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(a, b, similarity) of texts whose word sets have a Jaccard similarity of at least the threshold; rows: (id, text).
 
     Words are known by their 64-bit hashes. Equal sets are one class, that of their smallest id. Exact by prefixes: in any one order of all words,
-    two such sets share one of the first words of each, so only those are joined. The order puts words that many sets have last; there are few of
-    these (at most FREQUENT times the mean size of a set), so they are broadcast. What a pair's sizes or the places of the shared word rule out is
+    two such sets share one of the first words of each, so only those are joined. The order puts words that many sets have last: of those that
+    more than one set in FREQUENT has, the MOST_BROADCAST most frequent are broadcast with their ranks; any order finds the same pairs. What a pair's sizes or the places of the shared word rule out is
     dropped inside the join, and of what is left what the sets' sketches rule out: cells whose parities differ are at most the words that only
     one of the two has.
 
