@@ -414,3 +414,37 @@ def test_written_tables_have_no_mark(spark):
 
     (folder,) = {str(Path(f.removeprefix("file://")).parent) for f in written(spark.range(3), "probe").inputFiles()}
     assert not [p.name for p in Path(folder).iterdir() if "_SUCCESS" in p.name]
+
+
+def plans_of(monkeypatch, *modules):
+    """The plans of what these modules write, as they are before any of it runs."""
+    plans = []
+    for module in modules:
+
+        def noted(df, *args, _written=module.written, **more):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return _written(df, *args, **more)
+
+        monkeypatch.setattr(module, "written", noted)
+    return plans
+
+
+def test_near_duplicates_broadcast_nothing_that_grows(spark, monkeypatch):
+    from sheaf.llm import components
+
+    docs = spark.createDataFrame([(i, prose(i // 40) + " " + prose(i, 2 + i % 5)) for i in range(200)], "doc_id long, text string")
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    plans = plans_of(monkeypatch, near_duplicates, components)
+    got = near_duplicates.near_duplicates(docs)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert got.count() == 200 and any("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p]
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_rows_that_go_are_broadcast_while_they_are_few(spark, monkeypatch, most):
+    docs = spark.createDataFrame([(i, prose(i // 4)) for i in range(40)], "doc_id long, text string")
+    monkeypatch.setattr(near_duplicates, "MOST_BROADCAST", most)
+    left = near_duplicates.without_near_duplicates(docs)
+    assert sorted(r["doc_id"] for r in left.collect()) == list(range(0, 40, 4))
+    assert ("Broadcast" in left._jdf.queryExecution().executedPlan().toString()) == (most > 0)
