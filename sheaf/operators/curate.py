@@ -79,12 +79,16 @@ def row_checksum(columns: list[str]) -> Column:
     return F.sha2(F.concat_ws(FIELD_MARK, *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in columns]), 256)
 
 
+PART = 100  # places of a document whose questions are put together at once; a task holds at most 128 unfinished parts
+
+
 def paper_documents(questions: DataFrame, headers: DataFrame, passages: DataFrame | None = None, generated_at: str = "1970-01-01T00:00:00.000Z") -> DataFrame:
     """One nested document for each paper and one for each of its subjects: header, provenance, questions, passages, checksum.
 
     questions: (exam, year, shift, subject, pos, ...); headers: (exam, year, shift, answer_key_found, ...); passages: (exam, year, shift, id, ...). A
     document's checksum is that of its questions' checksums in order, after its header's. In subject documents numbers start from 1.
-    `path` is where it belongs. A paper's questions come together in one row: they are as many as an exam has.
+    `path` is where it belongs. A paper's questions come together in one row: they are as many as an exam has. A longer document is put together
+    from parts of PART places, so that its task holds its bytes and not an object for each value.
     """
     key = ["exam", "year", "shift"]
     fields = [c for c in questions.columns if c not in (*key, "number")]
@@ -97,19 +101,24 @@ def paper_documents(questions: DataFrame, headers: DataFrame, passages: DataFram
     rows = rows.withColumn("part", F.explode(F.array(F.struct(F.lit("paper").alias("document"), F.col("number").alias("number")), F.struct(F.col("subject").alias("document"), F.col("_subject_number").alias("number")))))
     rows = rows.withColumn("document", F.col("part.document")).withColumn("number", F.col("part.number"))
     rows = rows.withColumn("_sum", row_checksum(["number", *plain, *[f"_{c}" for c in nested]]))
-    grouped = rows.groupBy(*key, "document").agg(F.array_sort(F.collect_list(F.struct("pos", "number", "_sum", *[c for c in fields if c != "pos"]))).alias("questions"), F.array_sort(F.collect_set("subject")).alias("subjects"))
+    parts = rows.withColumn("_part", F.floor(F.col("pos") / PART)).groupBy(*key, "document", "_part").agg(F.array_sort(F.collect_list(F.struct("pos", "number", "_sum", *[c for c in fields if c != "pos"]))).alias("_rows"), F.collect_set("subject").alias("subjects"))
+    part = F.struct("_part", F.transform("_rows", lambda q: q.dropFields("_sum")).alias("questions"), F.array_join(F.transform("_rows", lambda q: q["_sum"]), "").alias("sums"), "subjects")
+    # A number of partitions that is asked for stays: adaptive execution would put many documents into one task.
+    parts = parts.select(*key, "document", part.alias("part"), F.size("_rows").alias("n")).repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key, "document")
+    grouped = parts.groupBy(*key, "document").agg(F.array_sort(F.collect_list("part")).alias("parts"), F.sum("n").cast("int").alias("total"))
+    of_parts = lambda c: F.transform("parts", lambda p: p[c])
     if passages is not None:
         inner = [c for c in passages.columns if c not in key]
         held = passages.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*inner))).alias("passages"))
         grouped = grouped.join(held, key, "left")
     head = [c for c in headers.columns if c not in key]
-    out = grouped.join(headers, key, "left").withColumn("total", F.size("questions"))
+    out = grouped.join(headers, key, "left")
     folder = F.when(F.col("exam") == "ncert-exemplar", F.concat(F.lit("class-"), F.col("year").cast("string"))).otherwise(F.concat_ws("/", F.coalesce(F.col("year").cast("string"), F.lit("unknown")), F.nullif("shift", F.lit(""))))
     path = F.concat(F.concat_ws("/", "exam", folder, "document"), F.lit(".json"))
-    checksum = F.sha2(F.concat_ws(FIELD_MARK, row_checksum([*key, "document", "total", *sorted(head)]), F.array_join(F.transform("questions", lambda q: q["_sum"]), "")), 256)
+    checksum = F.sha2(F.concat_ws(FIELD_MARK, row_checksum([*key, "document", "total", *sorted(head)]), F.array_join(of_parts("sums"), "")), 256)
     provenance = F.struct(F.lit("").alias("author"), F.lit("").alias("repo"), F.lit(LICENSE).alias("license"), F.lit(PIPELINE_VERSION).alias("pipelineVersion"), F.lit(generated_at).alias("generatedAt"))
-    clean = F.transform("questions", lambda q: q.dropFields("_sum"))
-    return out.select(path.alias("path"), F.lit(SCHEMA_VERSION).alias("schema"), *key, "document", "subjects", "total", *head, F.lit(generated_at).alias("scrapedAt"), provenance.alias("provenance"), clean.alias("questions"), *(["passages"] if passages is not None else []), checksum.alias("checksum"))
+    subjects = F.array_sort(F.array_distinct(F.flatten(of_parts("subjects")))).alias("subjects")
+    return out.select(path.alias("path"), F.lit(SCHEMA_VERSION).alias("schema"), *key, "document", subjects, "total", *head, F.lit(generated_at).alias("scrapedAt"), provenance.alias("provenance"), F.flatten(of_parts("questions")).alias("questions"), *(["passages"] if passages is not None else []), checksum.alias("checksum"))
 
 
 def write_documents(documents: DataFrame, folder: str) -> DataFrame:

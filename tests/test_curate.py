@@ -13,6 +13,7 @@ from sheaf.functions import text as tx
 from sheaf.functions.vocabulary import alias_table, tag_table
 from sheaf.operators import consensus, curate, listing, merge, normalize, rules, similar
 from sheaf.operators.stages import Metrics, StageCache, saved
+from sheaf.plans import more
 from sheaf.sources import providers, readers
 
 TOPICS = [
@@ -288,3 +289,21 @@ def test_files_of_one_name_follow_by_the_order_given(spark):
     for then, keys in ((F.asc("key"), [5, 1, 2, 3, 4]), (F.desc("key"), [5, 3, 2, 1, 4])):
         assert [r.key for r in listing.files(rows, "name", "asc", then).orderBy("place").collect()] == keys
     assert [r.key for r in listing.files(rows, "size", "asc").orderBy("place").collect()] == [2, 4, 1, 3, 5]
+
+
+@pytest.mark.parametrize("part", [1, 2])
+def test_documents_put_together_from_parts(spark, sf, monkeypatch, part):
+    documents = lambda: sorted((r.asDict(recursive=True) for r in more._documents(spark, sf).collect()), key=lambda r: r["path"])
+    whole = documents()
+    assert max(r["total"] for r in whole) > part
+    monkeypatch.setattr(curate, "PART", part)
+    assert documents() == whole
+
+
+def test_answers_of_long_papers_come_in_chunks(spark, tmp_path, monkeypatch):
+    spark.range(1, 1000).selectExpr("id as p_partkey", "concat('part ', id) as p_name", "'Brand#1' as p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    seen = []
+    monkeypatch.setattr(more.curate, "curate", lambda raw, *args, **named: seen.append(raw))
+    more._run(spark, str(tmp_path))
+    n = [r["n"] for r in readers.parse_responses(seen[0].withColumn("key", F.struct("key", "provider", "rank", F.xxhash64("raw")))).groupBy("key").agg(F.count("*").alias("n")).collect()]
+    assert sum(n) == 999 * 3 and max(n) <= more.ANSWERED == 100
